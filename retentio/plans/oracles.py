@@ -187,3 +187,152 @@ SELECT {SQL_FEATURES['TenureBucket']} AS TenureBucket,
        count(*) AS n_customers,
        round(avg({SQL_FEATURES['ChurnRiskScore']}), 6) AS avg_risk_score
 FROM mart GROUP BY 1""")
+
+
+# --------------------------------------------------------------------------- profiling
+from retentio.roles import CHURN_ROLES as ROLES  # noqa: E402
+from retentio.sources.mart import MART_COLUMNS  # noqa: E402
+
+_CONT = list(ROLES.continuous)
+_NUMERIC = list(ROLES.continuous) + list(ROLES.discrete)
+_NULLABLE = ["CreditRating", "MaritalStatus", "ChildrenInHH", "MonthlyRevenue", "TotalRecurringCharge",
+             "PercChangeMinutes", "PercChangeRevenues", "DroppedCalls", "CustomerCareCalls", "AgeHH1",
+             "RetentionCalls", "Churn"]
+
+
+def _union(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["p01_missing_summary"] = W(_union([
+    f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS missing_count,
+       round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / count(*), 6) AS missing_pct FROM raw"""
+    for c in MART_COLUMNS]), raw=True)
+
+ORACLES["p02_nullity_correlation"] = W(_union([
+    f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
+       CASE WHEN isnan(corr(CAST({a} IS NULL AS DOUBLE), CAST({b} IS NULL AS DOUBLE))) THEN NULL
+            ELSE round(corr(CAST({a} IS NULL AS DOUBLE), CAST({b} IS NULL AS DOUBLE)), 6) END AS corr
+FROM raw
+HAVING count(*) FILTER (WHERE {a} IS NULL) BETWEEN 1 AND count(*) - 1
+   AND count(*) FILTER (WHERE {b} IS NULL) BETWEEN 1 AND count(*) - 1"""
+    for i, a in enumerate(_NULLABLE) for b in _NULLABLE[i + 1:]]), raw=True)
+
+ORACLES["p03_duplicate_rows"] = W("""
+SELECT count(*) AS n_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT ServiceArea, CreditRating, PrizmCode, Occupation,
+                                         MaritalStatus, ChildrenInHH FROM raw)) AS n_duplicate_rows
+FROM raw""", raw=True)
+
+ORACLES["p04_duplicate_keys"] = """
+SELECT count(*) AS n_keys, count(*) FILTER (WHERE cnt > 1) AS n_repeated_keys,
+       CAST(coalesce(sum(cnt - 1), 0) AS BIGINT) AS n_duplicate_rows
+FROM (SELECT o_custkey, count(*) AS cnt FROM orders GROUP BY o_custkey)"""
+
+ORACLES["p06_describe_numeric"] = W(_union([
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+       round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+       round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM raw"""
+    for c in _CONT]), raw=True)
+
+ORACLES["p07_top_values"] = W("""
+SELECT ServiceArea AS value, count(*) AS count,
+       round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(ServiceArea) FROM mart), 6) AS pct
+FROM mart WHERE ServiceArea IS NOT NULL GROUP BY ServiceArea ORDER BY count DESC, value LIMIT 10""")
+
+ORACLES["p08_value_counts"] = W("""
+SELECT CreditRating AS value, count(*) AS count FROM raw WHERE CreditRating IS NOT NULL GROUP BY 1""", raw=True)
+
+
+def _histogram_sql(src: str, col: str, bins: int, by: str | None) -> str:
+    key = f"{by}, " if by else ""
+    grid = (f"(SELECT DISTINCT {by} FROM d) k CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range({bins})) r"
+            if by else f"(SELECT CAST(range AS INTEGER) AS bin FROM range({bins})) r")
+    using = f"USING ({by}, bin)" if by else "USING (bin)"
+    return f"""
+, d AS (SELECT {key}CAST({col} AS DOUBLE) AS x FROM {src} WHERE {col} IS NOT NULL),
+b AS (SELECT min(x) AS mn, max(x) AS mx FROM d),
+c AS (SELECT {key}CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((x - mn) * {bins} / (mx - mn)), {bins - 1}) END AS INTEGER) AS bin,
+             count(*) AS cnt FROM d CROSS JOIN b GROUP BY ALL),
+g AS (SELECT * FROM {grid})
+SELECT {key}bin, round(mn + bin * (mx - mn) / {bins}, 6) AS lo, round(mn + (bin + 1) * (mx - mn) / {bins}, 6) AS hi,
+       coalesce(cnt, 0) AS count
+FROM g CROSS JOIN b LEFT JOIN c {using}"""
+
+
+ORACLES["p09_histogram"] = W(_histogram_sql("mart", "MonthlyRevenue", 30, None))
+ORACLES["v09_score_histogram"] = W(_histogram_sql("scored", "p1", 20, "label"), scored=True)
+
+ORACLES["p10_box_stats"] = W("""
+, q AS (SELECT Churn, quantile_cont(MonthlyRevenue, 0.25) AS q1, quantile_cont(MonthlyRevenue, 0.5) AS med,
+               quantile_cont(MonthlyRevenue, 0.75) AS q3 FROM mart WHERE MonthlyRevenue IS NOT NULL GROUP BY Churn)
+SELECT m.Churn, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
+       round(min(MonthlyRevenue) FILTER (WHERE MonthlyRevenue >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low,
+       round(max(MonthlyRevenue) FILTER (WHERE MonthlyRevenue <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
+       count(*) FILTER (WHERE MonthlyRevenue < q1 - 1.5 * (q3 - q1) OR MonthlyRevenue > q3 + 1.5 * (q3 - q1)) AS n_outliers,
+       count(*) AS n
+FROM mart m JOIN q ON m.Churn = q.Churn WHERE MonthlyRevenue IS NOT NULL
+GROUP BY m.Churn, q1, med, q3""")
+
+ORACLES["p11_target_distribution"] = W("""
+SELECT Churn AS label, count(*) AS count,
+       round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM mart), 6) AS pct
+FROM mart GROUP BY Churn""")
+
+ORACLES["p12_rate_by_category"] = W("""
+SELECT PrizmCode AS category, round(avg(CASE WHEN Churn = 'Yes' THEN 1.0 ELSE 0.0 END) * 100, 6) AS rate_pct,
+       count(*) AS n
+FROM mart GROUP BY PrizmCode""")
+
+
+def _corr_sql(a: str, b: str, src: str) -> str:
+    return (f"""SELECT '{a}' AS column_a, '{b}' AS column_b,
+       count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n,
+       CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE round(corr({a}, {b}), 6) END AS corr FROM {src}""")
+
+
+ORACLES["p13_correlation_matrix"] = W(_union(
+    [_corr_sql(a, b, "raw") for i, a in enumerate(_CONT) for b in _CONT[i + 1:]]), raw=True)
+
+ORACLES["p14_top_target_correlations"] = W(
+    ", lab AS (SELECT *, CASE WHEN Churn = 'Yes' THEN 1.0 ELSE 0.0 END AS label FROM mart),\n"
+    "c AS (" + _union([f"SELECT '{a}' AS feature, CASE WHEN isnan(corr({a}, label)) THEN NULL "
+                       f"ELSE round(corr({a}, label), 6) END AS corr FROM lab" for a in _NUMERIC]) + ")\n"
+    """SELECT feature, corr, rank, side FROM (
+  SELECT feature, corr, row_number() OVER (ORDER BY corr DESC, feature) AS rank, 'top' AS side
+  FROM c WHERE corr IS NOT NULL) WHERE rank <= 10
+UNION ALL
+SELECT feature, corr, rank, side FROM (
+  SELECT feature, corr, row_number() OVER (ORDER BY corr ASC, feature) AS rank, 'bottom' AS side
+  FROM c WHERE corr IS NOT NULL) WHERE rank <= 10""")
+
+ORACLES["p15_correlated_pairs"] = W(
+    ", c AS (" + _union([_corr_sql(a, b, "mart") for i, a in enumerate(_NUMERIC) for b in _NUMERIC[i + 1:]]) + ")\n"
+    "SELECT column_a, column_b, corr FROM c WHERE abs(corr) > 0.7")
+
+ORACLES["p16_iqr_outlier_summary"] = W(_union([
+    f"""SELECT '{c}' AS "column",
+       (SELECT count(*) FROM raw, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM raw) b
+        WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outlier_count,
+       round(CAST((SELECT count(*) FROM raw, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM raw) b
+        WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS DOUBLE) * 100.0 / (SELECT count(*) FROM raw), 6)
+         AS outlier_pct"""
+    for c in _CONT]), raw=True)
+
+ORACLES["p17_non_numeric_audit"] = W(_union([
+    f"""SELECT '{c}' AS "column", count(*) AS non_numeric_count,
+       list_slice(list_sort(list_distinct(list({c}))), 1, 5) AS examples
+FROM raw WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL HAVING count(*) > 0"""
+    for c in ROLES.discrete]), raw=True)
+
+ORACLES["p18_density"] = W("""
+, d AS (SELECT label, p1 AS x FROM scored),
+mm AS (SELECT min(x) AS mn, max(x) AS mx FROM d),
+st AS (SELECT label, count(*) AS n, stddev_samp(x) AS sd FROM d GROUP BY label),
+cnt AS (SELECT label, x, count(*) AS cnt FROM d GROUP BY label, x),
+g AS (SELECT CAST(range AS INTEGER) AS g FROM range(100)),
+e AS (SELECT cnt.label, g.g, mn + g.g * (mx - mn) / 99 AS xg, cnt, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, x
+      FROM cnt JOIN st USING (label) CROSS JOIN g CROSS JOIN mm)
+SELECT label, g AS grid_idx, round(xg, 6) AS x,
+       round(sum(cnt * exp(-0.5 * ((xg - x) / bw) * ((xg - x) / bw)) / (n * bw * sqrt(2 * pi()))), 6) AS density
+FROM e GROUP BY label, g, xg""", scored=True)

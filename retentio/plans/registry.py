@@ -95,3 +95,109 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["flagship_churn_by_tenure"] = flagship
+
+
+# --------------------------------------------------------------------------- profiling
+from retentio.operators import profile as PR  # noqa: E402
+from retentio.roles import CHURN_ROLES as ROLES  # noqa: E402
+
+NULLABLE = ["CreditRating", "MaritalStatus", "ChildrenInHH", "MonthlyRevenue", "TotalRecurringCharge",
+            "PercChangeMinutes", "PercChangeRevenues", "DroppedCalls", "CustomerCareCalls", "AgeHH1",
+            "RetentionCalls", "Churn"]
+DUP_COLS = ["ServiceArea", "CreditRating", "PrizmCode", "Occupation", "MaritalStatus", "ChildrenInHH"]
+FEATURE_NUMERIC = list(ROLES.continuous) + list(ROLES.discrete)
+
+
+@query("p01_missing_summary")
+def q_p01(spark, sf):
+    return PR.missing_summary(raw_mart(spark, sf))
+
+
+@query("p02_nullity_correlation")
+def q_p02(spark, sf):
+    return PR.nullity_correlation(raw_mart(spark, sf), NULLABLE)
+
+
+@query("p03_duplicate_rows")
+def q_p03(spark, sf):
+    return PR.duplicate_rows(raw_mart(spark, sf), DUP_COLS)
+
+
+@query("p04_duplicate_keys")
+def q_p04(spark, sf):
+    return PR.duplicate_keys(spark.read.parquet(f"{sf}/orders.parquet"), "o_custkey")
+
+
+@query("p06_describe_numeric")
+def q_p06(spark, sf):
+    return PR.describe_numeric(raw_mart(spark, sf), list(ROLES.continuous))
+
+
+@query("p07_top_values")
+def q_p07(spark, sf):
+    return PR.top_values(mart(spark, sf), "ServiceArea", 10)
+
+
+@query("p08_value_counts")
+def q_p08(spark, sf):
+    return PR.value_counts(raw_mart(spark, sf), "CreditRating")
+
+
+@query("p09_histogram")
+def q_p09(spark, sf):
+    return PR.histogram(mart(spark, sf), "MonthlyRevenue", 30)
+
+
+@query("p10_box_stats")
+def q_p10(spark, sf):
+    return PR.box_stats(mart(spark, sf), "MonthlyRevenue", by="Churn")
+
+
+@query("p11_target_distribution")
+def q_p11(spark, sf):
+    return PR.target_distribution(mart(spark, sf), "Churn")
+
+
+@query("p12_rate_by_category")
+def q_p12(spark, sf):
+    return PR.rate_by_category(mart(spark, sf), "PrizmCode", "Churn")
+
+
+@query("p13_correlation_matrix")
+def q_p13(spark, sf):
+    return PR.correlation_matrix(raw_mart(spark, sf), list(ROLES.continuous))
+
+
+def _labelled(spark, sf):
+    m = mart(spark, sf)
+    return m.withColumn("label", F.when(F.col("Churn") == "Yes", 1).otherwise(0))
+
+
+@query("p14_top_target_correlations")
+def q_p14(spark, sf):
+    return PR.top_target_correlations(_labelled(spark, sf), FEATURE_NUMERIC, "label", 10)
+
+
+@query("p15_correlated_pairs")
+def q_p15(spark, sf):
+    return PR.correlated_pairs(mart(spark, sf), FEATURE_NUMERIC, 0.7)
+
+
+@query("p16_iqr_outlier_summary")
+def q_p16(spark, sf):
+    return PR.iqr_outlier_summary(raw_mart(spark, sf), list(ROLES.continuous))
+
+
+@query("p17_non_numeric_audit")
+def q_p17(spark, sf):
+    return PR.non_numeric_audit(raw_mart(spark, sf), list(ROLES.discrete))
+
+
+@query("p18_density")
+def q_p18(spark, sf):
+    return PR.density(scored_table(spark, sf), "p1", by="label", grid=100)
+
+
+@query("v09_score_histogram")
+def q_v09(spark, sf):
+    return PR.histogram(scored_table(spark, sf), "p1", bins=20, by="label")
