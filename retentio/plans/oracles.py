@@ -336,3 +336,145 @@ e AS (SELECT cnt.label, g.g, mn + g.g * (mx - mn) / 99 AS xg, cnt, n, sd * pow(C
 SELECT label, g AS grid_idx, round(xg, 6) AS x,
        round(sum(cnt * exp(-0.5 * ((xg - x) / bw) * ((xg - x) / bw)) / (n * bw * sqrt(2 * pi()))), 6) AS density
 FROM e GROUP BY label, g, xg""", scored=True)
+
+
+# --------------------------------------------------------------------------- cleaning
+_CATS = list(ROLES.categorical)
+_BINS = list(ROLES.binary)
+
+
+def _med(c, src="raw"):
+    return f"(SELECT quantile_cont({c}, 0.5) FROM {src})"
+
+
+def _mode(c, src="raw"):
+    return f"(SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+ORACLES["c01_coerce_numeric"] = W(
+    "SELECT CustomerID, " + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in ROLES.discrete) + " FROM raw", raw=True)
+
+ORACLES["c02_sparse_columns"] = W(_union([
+    f"""SELECT '{c}' AS "column", round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / count(*), 6) AS null_pct,
+       CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / count(*) > 70.0 AS dropped FROM raw"""
+    for c in MART_COLUMNS]), raw=True)
+
+ORACLES["c03_impute_median"] = W(
+    "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, {_med(c)}), 6) AS {c}" for c in _CONT) + " FROM raw",
+    raw=True)
+
+ORACLES["c05_impute_mode"] = W(
+    "SELECT CustomerID, " + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM raw",
+    raw=True)
+
+ORACLES["c06_impute_self"] = W(
+    "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, {_med(c)}), 6) AS {c}" for c in _CONT) + ", "
+    + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM raw", raw=True)
+
+ORACLES["c07_second_pass_impute"] = W(
+    "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM raw)), 6) AS {c}" for c in _CONT)
+    + ", " + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM raw", raw=True)
+
+
+def _zflag(c, src):
+    return (f"(SELECT count(*) FILTER (WHERE abs(({c} - m) / s) > 3) FROM {src}, "
+            f"(SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM {src}) st)")
+
+
+def _clip_expr(c, src="raw"):
+    q = f"(SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {src})"
+    lo = f"(SELECT q1 - 1.5 * (q3 - q1) FROM {q})"
+    hi = f"(SELECT q3 + 1.5 * (q3 - q1) FROM {q})"
+    return (f"CASE WHEN {_zflag(c, src)} = 0 THEN {c} WHEN {c} < {lo} THEN {lo} WHEN {c} > {hi} THEN {hi} "
+            f"ELSE {c} END")
+
+
+ORACLES["c08_outlier_clip"] = W(
+    "SELECT CustomerID, " + ", ".join(f"round({_clip_expr(c)}, 6) AS {c}" for c in _CONT) + " FROM raw", raw=True)
+
+
+def _seq_remove() -> str:
+    ctes = [f", t0 AS (SELECT CustomerID, {', '.join(_CONT)} FROM raw)"]
+    for i, c in enumerate(_CONT):
+        prev = f"t{i}"
+        ctes.append(f"t{i + 1} AS (SELECT * FROM {prev} WHERE NOT coalesce(abs(({c} - "
+                    f"(SELECT avg({c}) FROM {prev})) / (SELECT stddev_samp({c}) FROM {prev})) > 3, false))")
+    return ",\n".join(ctes) + f"\nSELECT CustomerID FROM t{len(_CONT)}"
+
+
+ORACLES["c09_outlier_remove"] = W(_seq_remove(), raw=True)
+
+
+def _impute_expr(c, src="raw"):
+    z = f"abs(({c} - (SELECT avg({c}) FROM {src})) / (SELECT stddev_samp({c}) FROM {src})) > 3"
+    return f"CASE WHEN {_zflag(c, src)} > 0 AND coalesce({z}, false) THEN {_med(c, src)} ELSE {c} END"
+
+
+ORACLES["c10_outlier_impute"] = W(
+    "SELECT CustomerID, " + ", ".join(f"round({_impute_expr(c)}, 6) AS {c}" for c in _CONT) + " FROM raw", raw=True)
+
+_ALIGN = sorted(["CustomerID", "Churn", "MonthlyRevenue", "AgeHH1", "AgeHH2", "PrizmCode"])
+ORACLES["c12_align_features"] = W(
+    "SELECT " + ", ".join("0 AS AgeHH2" if c == "AgeHH2" else c for c in _ALIGN) + " FROM raw", raw=True)
+
+ORACLES["c13_target_map"] = W(
+    "SELECT CustomerID, CAST(CASE WHEN Churn = 'Yes' THEN 1 WHEN Churn = 'No' THEN 0 END AS INTEGER) AS Churn FROM raw",
+    raw=True)
+
+# --------------------------------------------------------------------------- encoding
+_POS = "('yes', 'y', 'true', 't', '1')"
+_NEG = "('no', 'n', 'false', 'f', '0')"
+_POLARITY_BINS = [c for c in _BINS if c != "Homeownership"]
+ORACLES["e01_encode_binary"] = W(
+    "SELECT CustomerID, "
+    + ", ".join(f"CAST(CASE WHEN lower({c}) IN {_POS} THEN 1 WHEN lower({c}) IN {_NEG} THEN 0 END AS INTEGER) AS {c}"
+                for c in _POLARITY_BINS)
+    + ", CAST(dense_rank() OVER (ORDER BY coalesce(Homeownership, 'nan')) - 1 AS INTEGER) AS Homeownership FROM raw",
+    raw=True)
+
+ORACLES["e03_strict_binary"] = W(_union([
+    f"""SELECT '{c}' AS "column", (count(DISTINCT {c}) = 2 AND bool_and({c} IN ('Yes', 'No'))) AS is_strict_binary
+FROM raw WHERE {c} IS NOT NULL""" for c in _CATS + _BINS]), raw=True)
+
+ORACLES["e04_label_encode"] = W(
+    "SELECT CustomerID, " + ", ".join(
+        f"CAST(dense_rank() OVER (ORDER BY coalesce({c}, 'nan')) - 1 AS INTEGER) AS {c}" for c in _CATS) + " FROM raw",
+    raw=True)
+
+# category lists follow from the mart's definitions (fixed by construction)
+_ONE_HOT = {
+    "CreditRating": ["1-Highest", "2-High", "3-Good", "5-Low", "7-Lowest"],
+    "PrizmCode": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "Occupation": ["Clerical", "Crafts", "Other", "Professional", "Retired"],
+    "MaritalStatus": ["No", "Unknown", "Yes"],
+}
+
+
+def _one_hot_sql(drop_first: bool) -> str:
+    cols = []
+    for c, cats in _ONE_HOT.items():
+        for v in (cats[1:] if drop_first else cats):
+            cols.append(f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"{c}_{v}\"")
+    return W("SELECT CustomerID, " + ", ".join(cols) + " FROM mart")
+
+
+ORACLES["e06_one_hot"] = _one_hot_sql(False)
+ORACLES["e07_dummies_drop_first"] = _one_hot_sql(True)
+
+ORACLES["e08_scale_standard"] = W("SELECT CustomerID, " + ", ".join(
+    f"round(({c} - (SELECT avg({c}) FROM mart)) / (SELECT CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL "
+    f"THEN 1 ELSE stddev_pop({c}) END FROM mart), 6) AS {c}" for c in _CONT) + " FROM mart")
+
+ORACLES["e09_scale_minmax"] = W("SELECT CustomerID, " + ", ".join(
+    f"round(({c} - (SELECT min({c}) FROM mart)) / (SELECT CASE WHEN max({c}) - min({c}) = 0 THEN 1 "
+    f"ELSE max({c}) - min({c}) END FROM mart), 6) AS {c}" for c in _CONT) + " FROM mart")
+
+ORACLES["e10_scale_robust"] = W("SELECT CustomerID, " + ", ".join(
+    f"round(({c} - (SELECT quantile_cont({c}, 0.5) FROM mart)) / (SELECT CASE WHEN quantile_cont({c}, 0.75) = "
+    f"quantile_cont({c}, 0.25) THEN 1 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END FROM mart), 6) AS {c}"
+    for c in _CONT) + " FROM mart")
+
+_STRING_COLS = _CATS + _BINS
+ORACLES["e12_prepare_for_model"] = W("SELECT " + ", ".join(
+    f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}" if c in _STRING_COLS else c
+    for c in MART_COLUMNS) + " FROM mart")

@@ -201,3 +201,140 @@ def q_p18(spark, sf):
 @query("v09_score_histogram")
 def q_v09(spark, sf):
     return PR.histogram(scored_table(spark, sf), "p1", bins=20, by="label")
+
+
+# --------------------------------------------------------------------------- cleaning
+from retentio.operators import clean as CL  # noqa: E402
+from retentio.operators import encode as EN  # noqa: E402
+
+CONT = list(ROLES.continuous)
+CATS = list(ROLES.categorical)
+BINS = list(ROLES.binary)
+
+
+@query("c01_coerce_numeric")
+def q_c01(spark, sf):
+    r = raw_mart(spark, sf)
+    return CL.coerce_numeric(r, ROLES.discrete).select("CustomerID", *ROLES.discrete)
+
+
+@query("c02_sparse_columns")
+def q_c02(spark, sf):
+    return CL.sparse_decision_table(raw_mart(spark, sf), 0.7)
+
+
+@query("c03_impute_median")
+def q_c03(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CONT)
+    return round_doubles(CL.fit_median_imputer(r, CONT).transform(r))
+
+
+@query("c05_impute_mode")
+def q_c05(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CATS, *BINS)
+    return CL.fit_mode_imputer(r, CATS + BINS).transform(r)
+
+
+@query("c06_impute_self")
+def q_c06(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CONT, *CATS, *BINS)
+    return round_doubles(CL.impute_self(r, CONT, CATS + BINS))
+
+
+@query("c07_second_pass_impute")
+def q_c07(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CONT, *CATS, *BINS)
+    return round_doubles(CL.second_pass(r, r, CONT, CATS + BINS))
+
+
+@query("c08_outlier_clip")
+def q_c08(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CONT)
+    return round_doubles(CL.fit_outlier_clip(r, CONT, 3.0).transform(r))
+
+
+@query("c09_outlier_remove")
+def q_c09(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CONT)
+    return CL.remove_outliers(r, CONT, 3.0).select("CustomerID")
+
+
+@query("c10_outlier_impute")
+def q_c10(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CONT)
+    return round_doubles(CL.fit_outlier_impute(r, CONT, 3.0).transform(r))
+
+
+ALIGN_TRAIN_COLUMNS = sorted(c for c in ["CustomerID", "Churn", "MonthlyRevenue", "AgeHH1", "AgeHH2", "PrizmCode"])
+
+
+@query("c12_align_features")
+def q_c12(spark, sf):
+    holdout = raw_mart(spark, sf).drop("AgeHH2").withColumn("ExtraColumn", F.lit(1))
+    return CL.align_features(holdout, ALIGN_TRAIN_COLUMNS, fill=0)
+
+
+@query("c13_target_map")
+def q_c13(spark, sf):
+    return CL.map_target(raw_mart(spark, sf).select("CustomerID", "Churn"), "Churn")
+
+
+# --------------------------------------------------------------------------- encoding
+@query("e01_encode_binary")
+def q_e01(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *BINS)
+    return EN.fit_binary_encoder(r, BINS).transform(r)
+
+
+@query("e03_strict_binary")
+def q_e03(spark, sf):
+    r = raw_mart(spark, sf)
+    strict = set(EN.strict_binary_columns(r, CATS + BINS))
+    rows = [(c, c in strict) for c in CATS + BINS]
+    # the decision above is one distributed aggregate; this frame only reports it
+    return spark.createDataFrame(rows, "column string, is_strict_binary boolean")
+
+
+@query("e04_label_encode")
+def q_e04(spark, sf):
+    r = raw_mart(spark, sf).select("CustomerID", *CATS)
+    return EN.fit_label_encoder(r, CATS).transform(r, unknown="mode")
+
+
+ONE_HOT_COLS = ["CreditRating", "PrizmCode", "Occupation", "MaritalStatus"]
+
+
+@query("e06_one_hot")
+def q_e06(spark, sf):
+    m = mart(spark, sf).select("CustomerID", *ONE_HOT_COLS)
+    return EN.fit_one_hot(m, ONE_HOT_COLS).transform(m)
+
+
+@query("e07_dummies_drop_first")
+def q_e07(spark, sf):
+    m = mart(spark, sf).select("CustomerID", *ONE_HOT_COLS)
+    return EN.fit_one_hot(m, ONE_HOT_COLS, drop_first=True).transform(m)
+
+
+@query("e08_scale_standard")
+def q_e08(spark, sf):
+    m = mart(spark, sf).select("CustomerID", *CONT)
+    return round_doubles(EN.fit_standard_scaler(m, CONT).transform(m))
+
+
+@query("e09_scale_minmax")
+def q_e09(spark, sf):
+    m = mart(spark, sf).select("CustomerID", *CONT)
+    return round_doubles(EN.fit_minmax_scaler(m, CONT).transform(m))
+
+
+@query("e10_scale_robust")
+def q_e10(spark, sf):
+    m = mart(spark, sf).select("CustomerID", *CONT)
+    return round_doubles(EN.fit_robust_scaler(m, CONT).transform(m))
+
+
+@query("e12_prepare_for_model")
+def q_e12(spark, sf):
+    out, _ = EN.prepare_for_model(mart(spark, sf), "CustomerID", "Churn")
+    return out
