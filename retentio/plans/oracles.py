@@ -478,3 +478,180 @@ _STRING_COLS = _CATS + _BINS
 ORACLES["e12_prepare_for_model"] = W("SELECT " + ", ".join(
     f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}" if c in _STRING_COLS else c
     for c in MART_COLUMNS) + " FROM mart")
+
+
+# --------------------------------------------------------------------------- metrics
+def S(body: str) -> str:
+    """Oracle over the scored table with ``s1`` = (id, label, prob = p1)."""
+    return W(", s1 AS (SELECT id, label, p1 AS prob FROM scored)\n" + body, scored=True)
+
+
+def _div0(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END)"
+
+
+def _metric_cols(tp="tp", fp="fp", tn="tn", fn="fn") -> dict[str, str]:
+    prec = _div0(tp, f"{tp} + {fp}")
+    rec = _div0(tp, f"{tp} + {fn}")
+    return {"accuracy": _div0(f"{tp} + {tn}", f"{tp} + {fp} + {tn} + {fn}"), "precision": prec, "recall": rec,
+            "f1": _div0(f"2 * {prec} * {rec}", f"{prec} + {rec}")}
+
+
+_CM = """count(*) FILTER (WHERE label = 1 AND prob >= 0.5) AS tp, count(*) FILTER (WHERE label <> 1 AND prob >= 0.5) AS fp,
+       count(*) FILTER (WHERE label <> 1 AND prob < 0.5) AS tn, count(*) FILTER (WHERE label = 1 AND prob < 0.5) AS fn"""
+
+ORACLES["v01_confusion_matrix"] = S(f"SELECT {_CM} FROM s1")
+ORACLES["v02_classification_metrics"] = S(
+    f", cm AS (SELECT {_CM} FROM s1)\nSELECT tp, fp, tn, fn, "
+    + ", ".join(f"round({e}, 6) AS {k}" for k, e in _metric_cols().items()) + " FROM cm")
+
+_SC = """, sc AS (SELECT prob AS score, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos,
+                 CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS neg FROM s1 GROUP BY prob),
+asc_c AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM sc),
+desc_c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+                     sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+                     (SELECT sum(pos) FROM sc) AS P, (SELECT sum(neg) FROM sc) AS N FROM sc)
+"""
+ORACLES["v03_roc_auc"] = S(_SC + """SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+  THEN sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) END, 6) AS roc_auc FROM asc_c""")
+ORACLES["v04_average_precision"] = S(_SC + """SELECT round(CASE WHEN max(P) > 0
+  THEN sum((pos / P) * (cum_pos / (cum_pos + cum_neg))) END, 6) AS average_precision FROM desc_c""")
+ORACLES["v05_roc_curve"] = S(_SC + f"""SELECT score AS threshold, round({_div0('cum_neg', 'N')}, 6) AS fpr,
+       round({_div0('cum_pos', 'P')}, 6) AS tpr FROM desc_c
+UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0.0, 0.0""")
+ORACLES["v06_pr_curve"] = S(_SC + f"""SELECT score AS threshold, round(cum_pos / (cum_pos + cum_neg), 6) AS precision,
+       round({_div0('cum_pos', 'P')}, 6) AS recall, round({_div0('P', 'P + N')}, 6) AS baseline FROM desc_c""")
+
+_m = {k: e for k, e in _metric_cols().items()}
+ORACLES["v07_classification_report"] = S(f"""
+, cm AS (SELECT {_CM} FROM s1),
+pr AS (SELECT tp, fp, tn, fn, {_div0('tp', 'tp + fp')} AS p1, {_div0('tp', 'tp + fn')} AS r1,
+              {_div0('tn', 'tn + fn')} AS p0, {_div0('tn', 'tn + fp')} AS r0, tp + fn AS s1, tn + fp AS s0 FROM cm),
+f AS (SELECT *, {_div0('2 * p1 * r1', 'p1 + r1')} AS f1_1, {_div0('2 * p0 * r0', 'p0 + r0')} AS f1_0, s0 + s1 AS n FROM pr)
+SELECT '0' AS class, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f1_0, 6) AS f1, s0 AS support FROM f
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1_1, 6), s1 FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round({_div0('tp + tn', 'n')}, 6), n FROM f
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f1_0 + f1_1) / 2, 6), n FROM f
+UNION ALL SELECT 'weighted avg', round({_div0('p0 * s0 + p1 * s1', 'n')}, 6), round({_div0('r0 * s0 + r1 * s1', 'n')}, 6),
+                 round({_div0('f1_0 * s0 + f1_1 * s1', 'n')}, 6), n FROM f""")
+
+_SWEEP = """, g AS (SELECT range AS i, CAST(0.01 AS DOUBLE) + CAST(range - 1 AS DOUBLE) * CAST(0.01 AS DOUBLE) AS t
+           FROM range(1, 100)),
+cmg AS (SELECT i, t, count(*) FILTER (WHERE label = 1 AND prob >= t) AS tp, count(*) FILTER (WHERE label <> 1 AND prob >= t) AS fp,
+               count(*) FILTER (WHERE label <> 1 AND prob < t) AS tn, count(*) FILTER (WHERE label = 1 AND prob < t) AS fn
+        FROM g CROSS JOIN s1 GROUP BY i, t),
+sweep AS (SELECT i, round(t, 6) AS threshold, tp, fp, tn, fn, """ + ", ".join(
+    f"round({e}, 6) AS {k}" for k, e in _metric_cols().items()) + " FROM cmg)\n"
+ORACLES["v08_threshold_sweep"] = S(_SWEEP + "SELECT threshold, tp, fp, tn, fn, accuracy, precision, recall, f1 FROM sweep")
+ORACLES["v08_best_threshold"] = S(_SWEEP + "SELECT threshold, f1 AS score FROM sweep ORDER BY f1 DESC, i LIMIT 1")
+
+ORACLES["v10_calibration"] = S("""
+, edges AS (SELECT CAST(range AS DOUBLE) * CAST(0.1 AS DOUBLE) AS e FROM range(0, 11)),
+b AS (SELECT prob, label, (SELECT count(*) FROM edges WHERE e <= prob) - 1 AS raw_bin FROM s1)
+SELECT CAST(CASE WHEN raw_bin < 0 THEN 0 WHEN raw_bin > 9 THEN 9 ELSE raw_bin END AS INTEGER) AS bin,
+       round(avg(prob), 6) AS prob_pred, round(avg(CAST(label AS DOUBLE)), 6) AS prob_true, count(*) AS count
+FROM b GROUP BY 1""")
+
+
+def _model_metrics_cte(models) -> str:
+    parts = []
+    for m in models:
+        parts.append(f"""m_{m} AS (
+  SELECT {', '.join(f'round({e}, 6) AS {k}' for k, e in _metric_cols().items())},
+         (SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) END, 6)
+          FROM (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg
+                FROM (SELECT {m} AS score, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos,
+                             CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS neg FROM scored GROUP BY {m}))) AS roc_auc
+  FROM (SELECT count(*) FILTER (WHERE label = 1 AND {m} >= 0.5) AS tp, count(*) FILTER (WHERE label <> 1 AND {m} >= 0.5) AS fp,
+               count(*) FILTER (WHERE label <> 1 AND {m} < 0.5) AS tn, count(*) FILTER (WHERE label = 1 AND {m} < 0.5) AS fn
+        FROM scored))""")
+    return ", " + ",\n".join(parts) + "\n"
+
+
+_METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+
+
+def _compare_sql(models) -> str:
+    return _model_metrics_cte(models) + _union([
+        f"SELECT '{k}' AS metric, " + ", ".join(f"(SELECT CAST({k} AS DOUBLE) FROM m_{m}) AS {m}" for m in models)
+        for k in _METRICS])
+
+
+ORACLES["v12_compare_models"] = W(_compare_sql(["p1", "p2", "p3"]), scored=True)
+ORACLES["v13_best_model"] = W(
+    _model_metrics_cte(["p1", "p2", "p3"]) + """
+SELECT 'f1' AS metric,
+       CASE WHEN (SELECT f1 FROM m_p1) >= (SELECT f1 FROM m_p2) AND (SELECT f1 FROM m_p1) >= (SELECT f1 FROM m_p3) THEN 'p1'
+            WHEN (SELECT f1 FROM m_p2) >= (SELECT f1 FROM m_p3) THEN 'p2' ELSE 'p3' END AS best_model,
+       greatest((SELECT f1 FROM m_p1), (SELECT f1 FROM m_p2), (SELECT f1 FROM m_p3)) AS value""", scored=True)
+ORACLES["v14_improvement_table"] = W(_model_metrics_cte(["p2", "p1"]) + _union([
+    f"""SELECT '{k}' AS metric, (SELECT CAST({k} AS DOUBLE) FROM m_p2) AS base, (SELECT CAST({k} AS DOUBLE) FROM m_p1) AS new,
+       round((SELECT {k} FROM m_p1) - (SELECT {k} FROM m_p2), 6) AS abs_improvement,
+       round(CASE WHEN (SELECT {k} FROM m_p2) <> 0 THEN ((SELECT {k} FROM m_p1) - (SELECT {k} FROM m_p2)) / (SELECT {k} FROM m_p2) * 100 END, 6)
+         AS pct_improvement""" for k in _METRICS]), scored=True)
+
+
+def _impact_select(keys: str = "") -> str:
+    return f"""SELECT {keys}tp + fp + tn + fn AS total_customers, tp + fn AS actual_churners, tp + fp AS predicted_churners,
+       tp, fp, tn, fn, round(tp * CAST(0.3 AS DOUBLE), 6) AS retained_customers, round(tp * CAST(0.3 AS DOUBLE) * CAST(1000.0 AS DOUBLE), 6) AS retention_value,
+       round(fp * CAST(200.0 AS DOUBLE), 6) AS wasted_retention_cost, round(fn * CAST(1000.0 AS DOUBLE), 6) AS missed_churn_cost,
+       round((tp + fp) * CAST(200.0 AS DOUBLE), 6) AS total_retention_cost,
+       round(tp * CAST(0.3 AS DOUBLE) * CAST(1000.0 AS DOUBLE) - (tp + fp) * CAST(200.0 AS DOUBLE), 6) AS net_value,
+       round(CASE WHEN (tp + fp) * CAST(200.0 AS DOUBLE) > 0 THEN (tp * CAST(0.3 AS DOUBLE) * CAST(1000.0 AS DOUBLE) - (tp + fp) * CAST(200.0 AS DOUBLE)) / ((tp + fp) * CAST(200.0 AS DOUBLE)) ELSE CAST(0.0 AS DOUBLE) END, 6) AS roi"""
+
+
+ORACLES["v15_business_impact"] = S(f", cm AS (SELECT {_CM} FROM s1)\n" + _impact_select() + " FROM cm")
+ORACLES["v16_impact_by_model"] = W(
+    ", lg AS (SELECT id, label, 'p1' AS model, p1 AS prob FROM scored UNION ALL SELECT id, label, 'p2', p2 FROM scored "
+    "UNION ALL SELECT id, label, 'p3', p3 FROM scored),\n"
+    f"cm AS (SELECT model, {_CM} FROM lg GROUP BY model)\n" + _impact_select("model, ") + " FROM cm", scored=True)
+ORACLES["v17_top_risk"] = W("SELECT * FROM scored ORDER BY p3 DESC, id LIMIT 20", scored=True)
+
+# --------------------------------------------------------------------------- ensembles
+ORACLES["b02_voting"] = W("""SELECT id, label,
+  CASE WHEN ((CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END) * CAST(1/3 AS DOUBLE) + (CASE WHEN p2 >= 0.5 THEN 1 ELSE 0 END) * CAST(1/3 AS DOUBLE)
+             + (CASE WHEN p3 >= 0.5 THEN 1 ELSE 0 END) * CAST(1/3 AS DOUBLE)) / 1.0 >= 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS ensemble
+FROM scored""", scored=True)
+ORACLES["b03_averaging"] = W("SELECT id, label, round((p1 + p2 + p3) / 3, 6) AS ensemble FROM scored", scored=True)
+ORACLES["b04_weighted"] = W("SELECT id, label, round(p1 * 0.5 + p2 * 0.3 + p3 * 0.2, 6) AS ensemble FROM scored",
+                            scored=True)
+
+
+def _blend_sql(models, metric) -> str:
+    from retentio.operators.ensemble import blend_grid
+    combos = blend_grid(len(models))
+    vals = ", ".join("(" + ", ".join([str(i)] + [f"CAST('{w!r}' AS DOUBLE)" for w in c]) + ")"
+                     for i, c in enumerate(combos))
+    wcols = ", ".join(f"w{j}" for j in range(len(models)))
+    blended = " + ".join(f"{m} * w{j}" for j, m in enumerate(models))
+    head = f", grid(combo, {wcols}) AS (VALUES {vals}),\nbl AS (SELECT combo, label, {blended} AS prob FROM grid CROSS JOIN scored)"
+    if metric == "auc":
+        body = """,
+sc AS (SELECT combo, prob AS score, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos,
+              CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS neg FROM bl GROUP BY combo, prob),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY combo ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM sc),
+res AS (SELECT combo, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS score
+        FROM c GROUP BY combo)"""
+    else:
+        m = _metric_cols()[metric]
+        body = f""",
+cm AS (SELECT combo, count(*) FILTER (WHERE label = 1 AND prob >= 0.5) AS tp, count(*) FILTER (WHERE label <> 1 AND prob >= 0.5) AS fp,
+              count(*) FILTER (WHERE label <> 1 AND prob < 0.5) AS tn, count(*) FILTER (WHERE label = 1 AND prob < 0.5) AS fn
+       FROM bl GROUP BY combo),
+res AS (SELECT combo, {m} AS score FROM cm)"""
+    sel = ", ".join(f"round(w{j}, 6) AS w_{mm}" for j, mm in enumerate(models))
+    return W(head + body + f"\nSELECT {sel}, round(score, 6) AS score FROM res JOIN grid USING (combo) "
+             "WHERE score IS NOT NULL ORDER BY score DESC, combo LIMIT 1", scored=True)
+
+
+ORACLES["b06_blend_auc"] = _blend_sql(["p1", "p2", "p3"], "auc")
+ORACLES["b06_blend_f1_two_models"] = _blend_sql(["p1", "p2"], "f1")
+
+_ENS = "(p1 * 0.5 + p2 * 0.3 + p3 * 0.2)"
+ORACLES["b09_contributions"] = W(_union([
+    f"SELECT '{m}' AS model, round(corr({m}, {_ENS}), 6) AS correlation, CAST({w} AS DOUBLE) AS weight FROM scored"
+    for m, w in zip(["p1", "p2", "p3"], [0.5, 0.3, 0.2])]), scored=True)
+ORACLES["b10_contributions_detailed"] = W(_union([
+    f"SELECT '{m}' AS model, round(corr({m}, {_ENS}), 6) AS correlation, CAST({w} AS DOUBLE) AS weight, "
+    f"CAST({w} AS DOUBLE) AS unique_contribution FROM scored"
+    for m, w in zip(["p1", "p2", "p3"], [0.5, 0.3, 0.2])]), scored=True)

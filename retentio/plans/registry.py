@@ -338,3 +338,137 @@ def q_e10(spark, sf):
 def q_e12(spark, sf):
     out, _ = EN.prepare_for_model(mart(spark, sf), "CustomerID", "Churn")
     return out
+
+
+# --------------------------------------------------------------------------- metrics
+from retentio.operators import ensemble as EB  # noqa: E402
+from retentio.operators import metrics as MT  # noqa: E402
+
+MODELS = ["p1", "p2", "p3"]
+
+
+def scored1(spark, sf, model="p1"):
+    """Single-model view of the scored table: id, label, prob."""
+    return scored_table(spark, sf).select("id", "label", F.col(model).alias("prob"))
+
+
+@query("v01_confusion_matrix")
+def q_v01(spark, sf):
+    return MT.confusion_counts(scored1(spark, sf), threshold=0.5)
+
+
+@query("v02_classification_metrics")
+def q_v02(spark, sf):
+    return MT.classification_metrics(scored1(spark, sf), threshold=0.5)
+
+
+@query("v03_roc_auc")
+def q_v03(spark, sf):
+    return MT.roc_auc(scored1(spark, sf))
+
+
+@query("v04_average_precision")
+def q_v04(spark, sf):
+    return MT.average_precision(scored1(spark, sf))
+
+
+@query("v05_roc_curve")
+def q_v05(spark, sf):
+    return MT.roc_curve(scored1(spark, sf))
+
+
+@query("v06_pr_curve")
+def q_v06(spark, sf):
+    return MT.pr_curve(scored1(spark, sf))
+
+
+@query("v07_classification_report")
+def q_v07(spark, sf):
+    return MT.classification_report(scored1(spark, sf), threshold=0.5)
+
+
+@query("v08_threshold_sweep")
+def q_v08(spark, sf):
+    return MT.threshold_sweep(scored1(spark, sf))
+
+
+@query("v08_best_threshold")
+def q_v08b(spark, sf):
+    return MT.best_threshold(scored1(spark, sf), "f1")
+
+
+@query("v10_calibration")
+def q_v10(spark, sf):
+    return MT.calibration(scored1(spark, sf), n_bins=10)
+
+
+@query("v12_compare_models")
+def q_v12(spark, sf):
+    return MT.compare_models(scored_table(spark, sf), MODELS)
+
+
+@query("v13_best_model")
+def q_v13(spark, sf):
+    return MT.best_model(scored_table(spark, sf), MODELS, "f1")
+
+
+@query("v14_improvement_table")
+def q_v14(spark, sf):
+    return MT.improvement_table(scored_table(spark, sf), "p2", "p1")
+
+
+@query("v15_business_impact")
+def q_v15(spark, sf):
+    return MT.business_impact(scored1(spark, sf), threshold=0.5)
+
+
+@query("v16_impact_by_model")
+def q_v16(spark, sf):
+    return MT.business_impact(MT.long_scores(scored_table(spark, sf), MODELS), threshold=0.5, model="model")
+
+
+@query("v17_top_risk")
+def q_v17(spark, sf):
+    return MT.top_risk(scored_table(spark, sf), "p3", 20)
+
+
+# --------------------------------------------------------------------------- ensembles
+ENSEMBLE_WEIGHTS = [0.5, 0.3, 0.2]
+
+
+@query("b02_voting")
+def q_b02(spark, sf):
+    s = scored_table(spark, sf)
+    return EB.combine(s, MODELS, "voting").select("id", "label", "ensemble")
+
+
+@query("b03_averaging")
+def q_b03(spark, sf):
+    s = scored_table(spark, sf)
+    return round_doubles(EB.combine(s, MODELS, "averaging").select("id", "label", "ensemble"))
+
+
+@query("b04_weighted")
+def q_b04(spark, sf):
+    s = scored_table(spark, sf)
+    return round_doubles(EB.combine(s, MODELS, "weighted", ENSEMBLE_WEIGHTS).select("id", "label", "ensemble"))
+
+
+@query("b06_blend_auc")
+def q_b06(spark, sf):
+    return EB.blend_weights(scored_table(spark, sf), MODELS, metric="auc")
+
+
+@query("b06_blend_f1_two_models")
+def q_b06b(spark, sf):
+    return EB.blend_weights(scored_table(spark, sf), ["p1", "p2"], metric="f1")
+
+
+@query("b09_contributions")
+def q_b09(spark, sf):
+    return EB.contributions(scored_table(spark, sf), MODELS, "weighted", ENSEMBLE_WEIGHTS)
+
+
+@query("b10_contributions_detailed")
+def q_b10(spark, sf):
+    return EB.contributions(scored_table(spark, sf), MODELS, "weighted", ENSEMBLE_WEIGHTS, detailed=True)
