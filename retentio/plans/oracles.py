@@ -655,3 +655,178 @@ ORACLES["b10_contributions_detailed"] = W(_union([
     f"SELECT '{m}' AS model, round(corr({m}, {_ENS}), 6) AS correlation, CAST({w} AS DOUBLE) AS weight, "
     f"CAST({w} AS DOUBLE) AS unique_contribution FROM scored"
     for m, w in zip(["p1", "p2", "p3"], [0.5, 0.3, 0.2])]), scored=True)
+
+
+# --------------------------------------------------------------------------- splits & resampling
+def _key(seed):
+    return f"((CustomerID * 7919 + {seed}) % 1000003)"
+
+
+def _split_sql(frac, seed, stratify=True) -> str:
+    part = "PARTITION BY Churn " if stratify else ""
+    cnt = "count(*) OVER (PARTITION BY Churn)" if stratify else "count(*) OVER ()"
+    return W(f"""
+, rk AS (SELECT CustomerID, Churn, row_number() OVER ({part}ORDER BY {_key(seed)}, CustomerID) AS r,
+                floor(CAST({cnt} AS DOUBLE) * CAST({frac} AS DOUBLE) + 0.5) AS cut FROM mart)
+SELECT CustomerID, Churn, CASE WHEN r <= cut THEN 'test' ELSE 'train' END AS split FROM rk""")
+
+
+ORACLES["r01_stratified_split"] = _split_sql(0.2, 42)
+ORACLES["r02_random_split"] = _split_sql(0.2, 7, stratify=False)
+ORACLES["r03_three_way_split"] = W(f"""
+, rk AS (SELECT CustomerID, Churn, row_number() OVER (PARTITION BY Churn ORDER BY {_key(42)}, CustomerID) AS r,
+                floor(CAST(count(*) OVER (PARTITION BY Churn) AS DOUBLE) * CAST(0.3 AS DOUBLE) + 0.5) AS temp FROM mart)
+SELECT CustomerID, Churn,
+       CASE WHEN r <= floor(temp * CAST(0.5 AS DOUBLE) + 0.5) THEN 'test' WHEN r <= temp THEN 'val' ELSE 'train' END AS split
+FROM rk""")
+ORACLES["r04_stratified_kfold"] = W(f"""
+SELECT CustomerID, Churn,
+       CAST((row_number() OVER (PARTITION BY Churn ORDER BY {_key(42)}, CustomerID) - 1) % 5 AS INTEGER) AS fold FROM mart""")
+_UNDER = f"""
+, cc AS (SELECT Churn, count(*) AS n FROM mart GROUP BY Churn),
+mino AS (SELECT Churn, n FROM cc ORDER BY n, Churn LIMIT 1),
+majo AS (SELECT Churn, n FROM cc ORDER BY n DESC, Churn DESC LIMIT 1),
+under AS (
+  SELECT CustomerID, Churn FROM mart WHERE Churn = (SELECT Churn FROM mino)
+  UNION ALL
+  SELECT CustomerID, Churn FROM (
+    SELECT CustomerID, Churn, row_number() OVER (ORDER BY {_key(42)}, CustomerID) AS r FROM mart
+    WHERE Churn = (SELECT Churn FROM majo))
+  WHERE r <= CAST(floor(CAST((SELECT n FROM mino) AS DOUBLE) / 1.0) AS BIGINT))
+"""
+ORACLES["r05_undersample"] = W(_UNDER + "SELECT * FROM under")
+ORACLES["r09_class_weights"] = W("""
+SELECT Churn, count(*) AS count,
+       round(CAST((SELECT count(*) FROM mart) AS DOUBLE) / ((SELECT count(DISTINCT Churn) FROM mart) * count(*)), 6) AS weight
+FROM mart GROUP BY Churn""")
+ORACLES["r10_scale_pos_weight"] = W("""
+SELECT count(*) FILTER (WHERE label = 0) AS neg, count(*) FILTER (WHERE label = 1) AS pos,
+       round(CASE WHEN count(*) FILTER (WHERE label = 1) > 0
+             THEN CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) / count(*) FILTER (WHERE label = 1) ELSE 1.0 END, 6)
+         AS scale_pos_weight FROM scored""", scored=True)
+ORACLES["r11_class_distribution"] = W(_UNDER + """
+SELECT 'before' AS stage, Churn, count(*) AS count, round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM mart), 6) AS pct
+FROM mart GROUP BY Churn
+UNION ALL
+SELECT 'after', Churn, count(*), round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM under), 6) FROM under GROUP BY Churn""")
+
+# --------------------------------------------------------------------------- selection & statistics
+_LAB = ", lab AS (SELECT *, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label FROM mart)\n"
+
+ORACLES["l01_drop_correlated"] = W(
+    ", pairs AS (" + _union([
+        f"SELECT {i} AS i, {j} AS j, round(corr({a}, {b}), 6) AS c FROM mart"
+        for i, a in enumerate(_NUMERIC) for j, b in enumerate(_NUMERIC) if i < j]) + "),\n"
+    "names(feature, ordinal) AS (VALUES " + ", ".join(f"('{c}', {i})" for i, c in enumerate(_NUMERIC)) + ")\n"
+    "SELECT feature, CAST(ordinal AS INTEGER) AS ordinal, "
+    "EXISTS (SELECT 1 FROM pairs WHERE j = ordinal AND abs(c) > 0.85 AND NOT isnan(c)) AS dropped FROM names")
+
+
+def _anova_sql(f: str) -> str:
+    return f"""SELECT '{f}' AS feature, round(CASE WHEN k > 1 AND n > k AND (sstot - ssbn) / (n - k) > 0
+  THEN (ssbn / (k - 1)) / ((sstot - ssbn) / (n - k)) END, 6) AS f_score
+FROM (SELECT sum(ng) AS n, count(*) AS k, ss - s * s / sum(ng) AS sstot, sum(sg * sg / ng) - s * s / sum(ng) AS ssbn
+      FROM (SELECT label, count({f}) AS ng, sum({f}) AS sg,
+                   (SELECT sum({f} * {f}) FROM lab) AS ss, (SELECT sum({f}) FROM lab) AS s
+            FROM lab WHERE {f} IS NOT NULL GROUP BY label) GROUP BY ss, s)"""
+
+
+ORACLES["l02_select_k_best_anova"] = W(
+    _LAB + ", sc AS (" + _union([_anova_sql(f) for f in _NUMERIC]) + "),\n"
+    "names(feature, ordinal) AS (VALUES " + ", ".join(f"('{c}', {i})" for i, c in enumerate(_NUMERIC)) + ")\n"
+    "SELECT feature, f_score AS score, row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) AS rank, "
+    "row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) <= 10 AS selected FROM sc JOIN names USING (feature)")
+
+_DECILES = "[" + ", ".join(f"CAST('{p!r}' AS DOUBLE)" for p in [i * 0.1 for i in range(10)] + [1.0]) + "]"
+
+
+def _bins_sql(numeric, categorical) -> str:
+    parts = []
+    for f in numeric:
+        parts.append(f"""SELECT '{f}' AS feature, CAST(greatest((SELECT count(*) FROM (SELECT DISTINCT unnest(quantile_cont({f}, {_DECILES})) AS e FROM lab) WHERE e < {f}), 1) AS VARCHAR) AS bin, label
+FROM lab WHERE {f} IS NOT NULL
+  AND (SELECT count(DISTINCT e) FROM (SELECT unnest(quantile_cont({f}, {_DECILES})) AS e FROM lab)) >= 2""")
+    for f in categorical:
+        parts.append(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS bin, label FROM lab WHERE {f} IS NOT NULL")
+    return _union(parts)
+
+
+def _woe_ctes(numeric, categorical) -> str:
+    return (_LAB + ", b AS (" + _bins_sql(numeric, categorical) + "),\n" + """
+g AS (SELECT feature, bin, count(*) AS count, sum(CAST(label AS DOUBLE)) AS events FROM b GROUP BY feature, bin),
+g2 AS (SELECT *, count - events AS non_events, sum(events) OVER (PARTITION BY feature) AS te,
+              sum(count - events) OVER (PARTITION BY feature) AS tn FROM g),
+w AS (SELECT feature, bin, count, events, non_events, events / te AS event_pct, non_events / tn AS non_event_pct,
+             CASE WHEN events = 0 AND non_events > 0 THEN CAST('-Infinity' AS DOUBLE)
+                  WHEN non_events = 0 AND events > 0 THEN CAST('Infinity' AS DOUBLE)
+                  ELSE ln((events / te) / (non_events / tn)) END AS woe,
+             CASE WHEN events = 0 OR non_events = 0 THEN CAST('Infinity' AS DOUBLE)
+                  ELSE (events / te - non_events / tn) * ln((events / te) / (non_events / tn)) END AS iv_part FROM g2)
+""")
+
+
+_WOE_NUM = ["MonthlyRevenue", "CurrentEquipmentDays", "MonthsInService"]
+ORACLES["l08_woe_table"] = W(_woe_ctes(_WOE_NUM, ["PrizmCode"]) + """
+SELECT feature, bin, count, round(events, 6) AS events, round(non_events, 6) AS non_events, round(event_pct, 6) AS event_pct,
+       round(non_event_pct, 6) AS non_event_pct, round(woe, 6) AS woe, round(iv_part, 6) AS iv_part FROM w""")
+ORACLES["l08_information_value"] = W(_woe_ctes(_NUMERIC, _CATS) + """
+SELECT feature, round(sum(iv_part), 6) AS iv,
+       CASE WHEN sum(iv_part) <= 0.02 THEN 'Useless' WHEN sum(iv_part) <= 0.1 THEN 'Weak'
+            WHEN sum(iv_part) <= 0.3 THEN 'Medium' WHEN sum(iv_part) <= 0.5 THEN 'Strong' ELSE 'Very Strong' END AS strength
+FROM w GROUP BY feature""")
+ORACLES["l04_mutual_info_binned"] = W(_LAB + ", b AS (" + _bins_sql(_NUMERIC, []) + "),\n" + """
+j AS (SELECT feature, bin, label, CAST(count(*) AS DOUBLE) AS nxy FROM b GROUP BY ALL),
+j2 AS (SELECT *, sum(nxy) OVER (PARTITION BY feature, bin) AS nx, sum(nxy) OVER (PARTITION BY feature, label) AS ny,
+              sum(nxy) OVER (PARTITION BY feature) AS n FROM j)
+SELECT feature, round(sum(nxy / n * ln(nxy * n / (nx * ny))), 6) AS mutual_info FROM j2 GROUP BY feature""")
+
+# --------------------------------------------------------------------------- sequences & forecast
+ORACLES["t02_sequences"] = W("""
+, s AS (SELECT id, t AS t_end,
+       CAST(lag(n, 2) OVER w AS DOUBLE) AS x0_n, CAST(lag(n_error, 2) OVER w AS DOUBLE) AS x0_n_error,
+       CAST(lag(n, 1) OVER w AS DOUBLE) AS x1_n, CAST(lag(n_error, 1) OVER w AS DOUBLE) AS x1_n_error,
+       CAST(n AS DOUBLE) AS x2_n, CAST(n_error AS DOUBLE) AS x2_n_error,
+       lead(label, 1) OVER w AS label_next, row_number() OVER w AS rn
+  FROM usage WINDOW w AS (PARTITION BY id ORDER BY t))
+SELECT id, t_end, x0_n, x0_n_error, x1_n, x1_n_error, x2_n, x2_n_error, label_next FROM s
+WHERE rn >= 3 AND label_next IS NOT NULL""", usage=True, mart=False)
+
+_COEF = [0.02, 0.05, 0.03, 0.08, 0.05, 0.12]
+
+
+def _sig(slots) -> str:
+    z = "CAST(-1.5 AS DOUBLE)"
+    for c, s in zip(_COEF, slots):
+        z = f"({z} + CAST({c} AS DOUBLE) * {s})"
+    return f"(1.0 / (1.0 + exp(-{z})))"
+
+
+def _fc_slots():
+    # slot s (0 oldest .. 2 newest) at period k holds latest-rank r = 3 - s - (k - 1), clamped at 1
+    out = []
+    for s in range(3):
+        r = f"(3 - {s} - (period - 1))"
+        for c in ["n", "n_error"]:
+            out.append(f"(CASE WHEN {r} = 3 THEN v3_{c} WHEN {r} = 2 THEN v2_{c} ELSE v1_{c} END)")
+    return out
+
+
+ORACLES["t05_forecast"] = W(f"""
+, rk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC) AS r, count(*) OVER (PARTITION BY id) AS cnt FROM usage),
+lastw AS (SELECT id,
+   max(CASE WHEN r = 1 THEN CAST(n AS DOUBLE) END) AS v1_n, max(CASE WHEN r = 1 THEN CAST(n_error AS DOUBLE) END) AS v1_n_error,
+   max(CASE WHEN r = 2 THEN CAST(n AS DOUBLE) END) AS v2_n, max(CASE WHEN r = 2 THEN CAST(n_error AS DOUBLE) END) AS v2_n_error,
+   max(CASE WHEN r = 3 THEN CAST(n AS DOUBLE) END) AS v3_n, max(CASE WHEN r = 3 THEN CAST(n_error AS DOUBLE) END) AS v3_n_error
+   FROM rk WHERE r <= 3 AND cnt >= 3 GROUP BY id),
+st AS (SELECT lastw.*, CAST(range AS INTEGER) AS period FROM lastw CROSS JOIN range(1, 4))
+SELECT id, (SELECT max(t) FROM usage) + period AS t, round({_sig(_fc_slots())}, 6) AS forecast_prob, period FROM st""",
+                          usage=True, mart=False)
+
+ORACLES["t04_score_series"] = W(f"""
+, s AS (SELECT id, t, CAST(lag(n, 2) OVER w AS DOUBLE) AS a0, CAST(lag(n_error, 2) OVER w AS DOUBLE) AS a1,
+       CAST(lag(n, 1) OVER w AS DOUBLE) AS a2, CAST(lag(n_error, 1) OVER w AS DOUBLE) AS a3,
+       CAST(n AS DOUBLE) AS a4, CAST(n_error AS DOUBLE) AS a5, n, row_number() OVER w AS rn
+  FROM usage WINDOW w AS (PARTITION BY id ORDER BY t))
+SELECT id, t, round(CASE WHEN rn >= 3 THEN {_sig(['a0', 'a1', 'a2', 'a3', 'a4', 'a5'])}
+                    ELSE 1.0 / (1.0 + exp(-(CAST(-1.0 AS DOUBLE) + CAST(0.05 AS DOUBLE) * n))) END, 6) AS score FROM s""",
+                             usage=True, mart=False)

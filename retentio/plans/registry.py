@@ -472,3 +472,111 @@ def q_b09(spark, sf):
 @query("b10_contributions_detailed")
 def q_b10(spark, sf):
     return EB.contributions(scored_table(spark, sf), MODELS, "weighted", ENSEMBLE_WEIGHTS, detailed=True)
+
+
+# --------------------------------------------------------------------------- splits & resampling
+from retentio.operators import forecast as FC  # noqa: E402
+from retentio.operators import sample as SA  # noqa: E402
+from retentio.operators import select as SE  # noqa: E402
+
+
+def _ids(spark, sf):
+    return mart(spark, sf).select("CustomerID", "Churn")
+
+
+@query("r01_stratified_split")
+def q_r01(spark, sf):
+    return SA.stratified_split(_ids(spark, sf), "CustomerID", "Churn", 0.2, seed=42)
+
+
+@query("r02_random_split")
+def q_r02(spark, sf):
+    return SA.stratified_split(_ids(spark, sf), "CustomerID", "Churn", 0.2, seed=7, stratify=False)
+
+
+@query("r03_three_way_split")
+def q_r03(spark, sf):
+    return SA.three_way_split(_ids(spark, sf), "CustomerID", "Churn", 0.3, seed=42)
+
+
+@query("r04_stratified_kfold")
+def q_r04(spark, sf):
+    return SA.stratified_kfold(_ids(spark, sf), "CustomerID", "Churn", 5, seed=42)
+
+
+@query("r05_undersample")
+def q_r05(spark, sf):
+    return SA.undersample(_ids(spark, sf), "CustomerID", "Churn", 1.0, seed=42)
+
+
+@query("r09_class_weights")
+def q_r09(spark, sf):
+    return round_doubles(SA.class_weights(_ids(spark, sf), "Churn"))
+
+
+@query("r10_scale_pos_weight")
+def q_r10(spark, sf):
+    return round_doubles(SA.scale_pos_weight(scored_table(spark, sf), "label"))
+
+
+@query("r11_class_distribution")
+def q_r11(spark, sf):
+    ids = _ids(spark, sf)
+    return round_doubles(SA.distribution_before_after(ids, SA.undersample(ids, "CustomerID", "Churn", 1.0), "Churn"))
+
+
+# --------------------------------------------------------------------------- selection & statistics
+def _lab(spark, sf):
+    return _labelled(spark, sf)
+
+
+@query("l01_drop_correlated")
+def q_l01(spark, sf):
+    return SE.drop_correlated(mart(spark, sf), FEATURE_NUMERIC, 0.85)
+
+
+@query("l02_select_k_best_anova")
+def q_l02(spark, sf):
+    return SE.select_k_best(_lab(spark, sf), FEATURE_NUMERIC, "label", k=10)
+
+
+@query("l04_mutual_info_binned")
+def q_l04(spark, sf):
+    return SE.mutual_info_binned(_lab(spark, sf), FEATURE_NUMERIC, "label")
+
+
+WOE_NUMERIC = ["MonthlyRevenue", "CurrentEquipmentDays", "MonthsInService"]
+WOE_CATEGORICAL = ["PrizmCode"]
+
+
+@query("l08_woe_table")
+def q_l08w(spark, sf):
+    return round_doubles(SE.woe_table(_lab(spark, sf), WOE_NUMERIC, WOE_CATEGORICAL, "label"))
+
+
+@query("l08_information_value")
+def q_l08(spark, sf):
+    return SE.information_values(_lab(spark, sf), FEATURE_NUMERIC, CATS, "label")
+
+
+# --------------------------------------------------------------------------- sequences & forecast
+SEQ_VECTOR = ["n", "n_error"]
+SEQ_COEF = [0.02, 0.05, 0.03, 0.08, 0.05, 0.12]
+SEQ_INTERCEPT = -1.5
+
+
+@query("t02_sequences")
+def q_t02(spark, sf):
+    return FC.sequences(usage_series(spark, sf), "id", "t", SEQ_VECTOR, "label", window=3)
+
+
+@query("t05_forecast")
+def q_t05(spark, sf):
+    return FC.forecast(usage_series(spark, sf), "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, window=3, periods=3)
+
+
+@query("t04_score_series")
+def q_t04(spark, sf):
+    u = usage_series(spark, sf)
+    fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
+    return round_doubles(FC.score_series(u, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback, window=3))
