@@ -55,14 +55,16 @@ def slice_column(df: DataFrame, key: str | Column, group_cols: Sequence[str] = (
     if not group_cols:
         b = rows[0]["b"] if rows and rows[0]["b"] is not None else []
         return idx(F.array(*[F.lit(v) for v in b])) if b else F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
     kv = []
     for r in rows:
         if r["b"] is None:
             continue
-        kv += [F.struct(*[F.lit(r[g]).alias(g) for g in group_cols]), F.array(*[F.lit(v) for v in r["b"]])]
+        key = F.struct(*[F.lit(r[g]).cast(types[g]).alias(g) for g in group_cols])
+        kv += [key, F.array(*[F.lit(v) for v in r["b"]])]
     if not kv:
         return F.lit(0)
-    bounds = F.create_map(*kv)[F.struct(*[F.col(g) for g in group_cols])]
+    bounds = F.create_map(*kv)[F.struct(*[F.col(g).alias(g) for g in group_cols])]
     return F.coalesce(idx(bounds), F.lit(0))
 
 
