@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from retentio.functions.expr import rnd
 from retentio.operators import features as FE
-from retentio.sources.mart import customer_mart, scored_table, usage_series
+from retentio.sources.mart import customer_mart, mart_table, scored_table, usage_series
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,22 +34,22 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def mart(spark, sf):
-    return customer_mart(spark, sf)
+    return mart_table(spark, sf)
 
 
 def raw_mart(spark, sf):
-    return customer_mart(spark, sf, raw=True)
+    return mart_table(spark, sf, raw=True)
 
 
 # --------------------------------------------------------------------------- bridge
 @query("s03_customer_mart")
 def q_customer_mart(spark, sf):
-    return mart(spark, sf)
+    return customer_mart(spark, sf)
 
 
 @query("s03_customer_mart_raw")
 def q_customer_mart_raw(spark, sf):
-    return raw_mart(spark, sf)
+    return customer_mart(spark, sf, raw=True)
 
 
 @query("s03_scored_table")

@@ -219,7 +219,7 @@ def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     p1/p2 mix the label with key arithmetic; p3 mixes the idle days with key
     arithmetic, so it carries real signal from the orders table.
     """
-    m = customer_mart(spark, sf_dir).select("CustomerID", "Churn", "CurrentEquipmentDays")
+    m = mart_table(spark, sf_dir).select("CustomerID", "Churn", "CurrentEquipmentDays")
     k = F.col("CustomerID")
     label = F.when(F.col("Churn") == "Yes", F.lit(1)).otherwise(F.lit(0))
     days = F.col("CurrentEquipmentDays").cast("long")
@@ -255,3 +255,45 @@ def usage_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n", "value", "n_error",
         F.when(nxt.isNull() | (F.datediff(nxt, F.col("day")) > 1), F.lit(1)).otherwise(F.lit(0)).alias("label"),
     )
+
+
+# Bump when the mart definition changes: materialized copies are keyed by it.
+MART_VERSION = "1"
+
+
+def _input_signature(spark: SparkSession, sf_dir: str, names) -> str:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for n in names:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{n}.parquet")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            st = fs.getContentSummary(p)
+            parts.append(f"{n}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
+    return "|".join(parts)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def mart_table(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
+    """The mart as a written table: built once per input version under the shared
+    checkpoint folder (``spark.checkpoint.dir``), then read back by every query.
+
+    Fit steps of the operators run several small jobs over their input; reading a
+    stored table keeps each of them a scan instead of a rebuild of the joins and
+    aggregations above, and a stored table survives executor loss.
+    """
+    import hashlib
+
+    from retentio.session import checkpoint_dir
+    sig = _input_signature(spark, sf_dir, ["customer", "orders", "lineitem", "events", "nation"])
+    key = hashlib.sha1(f"{MART_VERSION}|{sf_dir}|{raw}|{sig}".encode()).hexdigest()[:16]
+    path = f"{checkpoint_dir(spark)}/retentio-marts/{'raw' if raw else 'mart'}-{key}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        customer_mart(spark, sf_dir, raw=raw).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
