@@ -37,8 +37,9 @@ def map_target(df: DataFrame, target: str = "Churn", name: str | None = None) ->
     t = F.col(target)
     y = F.when(t == TARGET_POSITIVE, F.lit(1)).when(t == TARGET_NEGATIVE, F.lit(0)).otherwise(F.lit(None).cast("int"))
     name = name or target
-    return df.select(*[y.alias(name) if c == target else F.col(c) for c in df.columns],
-                     *([y.alias(name)] if name not in df.columns else []))
+    if name == target:
+        return df.select(*[y.alias(name) if c == target else F.col(c) for c in df.columns])
+    return df.select(*[F.col(c) for c in df.columns if c != name], y.alias(name))
 
 
 # ----------------------------------------------------------------- C2

@@ -194,6 +194,19 @@ def feature_columns(df: DataFrame, names: Iterable[str], variant: str = "fe") ->
     return [c(n).alias(n) for n in names]
 
 
+def available(df: DataFrame, names: Iterable[str], variant: str = "fe") -> list[str]:
+    """Features whose inputs are all present (the reference skips the others)."""
+    c = resolver(df.columns, variant)
+    out = []
+    for n in names:
+        try:
+            c(n)
+        except KeyError:
+            continue
+        out.append(n)
+    return out
+
+
 def add_features(df: DataFrame, names: Iterable[str] | None = None, families: Iterable[str] | None = None,
                  variant: str = "fe", keep: bool = True) -> DataFrame:
     """Append features in one projection (F1-F55; ``variant='cut'`` for F22b-F33b)."""

@@ -580,3 +580,206 @@ def q_t04(spark, sf):
     u = usage_series(spark, sf)
     fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
     return round_doubles(FC.score_series(u, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback, window=3))
+
+
+# --------------------------------------------------------------------------- models (rows-only checks)
+from retentio.operators import models as MD  # noqa: E402
+from retentio.operators import smote as SM  # noqa: E402
+from retentio.plans import workflows as WF  # noqa: E402
+
+PERM_FEATURES = ["MonthlyRevenue", "MonthlyMinutes", "TotalRecurringCharge", "PercChangeMinutes",
+                 "PercChangeRevenues", "CurrentEquipmentDays", "MonthsInService", "OverageMinutes"]
+
+
+def _model_frame(spark, sf):
+    m = _labelled(spark, sf)
+    return CL.fit_median_imputer(m, FEATURE_NUMERIC).transform(m).select("CustomerID", "label", *FEATURE_NUMERIC)
+
+
+def _train_test(spark, sf):
+    sp = SA.stratified_split(_model_frame(spark, sf), "CustomerID", "label", 0.2, seed=42)
+    return sp.where(F.col("split") == "train").drop("split"), sp.where(F.col("split") == "test").drop("split")
+
+
+def _spw_weighted(df):
+    spw = SA.scale_pos_weight(df, "label").first()["scale_pos_weight"]
+    return df.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(spw))).otherwise(F.lit(1.0)))
+
+
+def _fit_score(kind, weighted=None, **params):
+    def run(spark, sf):
+        train, test = _train_test(spark, sf)
+        wcol = None
+        if weighted == "spw":
+            train, wcol = _spw_weighted(train), "weight"
+        elif weighted == "balanced":
+            train, wcol = SA.with_weight_column(train, "label"), "weight"
+        model = MD.create_model(kind, FEATURE_NUMERIC, "label", weight_col=wcol, **params).fit(train)
+        return round_doubles(model.predict_proba(test, keep=["CustomerID", "label"]))
+    return run
+
+
+QUERIES["m01_boosted_trees_xgb"] = _fit_score("xgboost", "spw")
+QUERIES["m02_boosted_trees_lgbm"] = _fit_score("lightgbm")
+QUERIES["m04_neural_network"] = _fit_score("neural_network")
+QUERIES["m05_random_forest"] = _fit_score("random_forest", "balanced")
+QUERIES["m06_logistic_regression"] = _fit_score("logistic_regression", "balanced")
+QUERIES["m07_gradient_boosting"] = _fit_score("gradient_boosting")
+
+
+@query("m03_early_stopping")
+def q_m03(spark, sf):
+    train, test = _train_test(spark, sf)
+    val = SA.stratified_split(train, "CustomerID", "label", 0.2, seed=11)
+    val = val.withColumn("is_val", F.col("split") == "test").drop("split")
+    model = MD.create_model("xgboost", FEATURE_NUMERIC, "label", validationIndicatorCol="is_val",
+                            validationTol=0.01).fit(val)
+    return round_doubles(model.predict_proba(test, keep=["CustomerID", "label"]))
+
+
+@query("m10_tuning")
+def q_m10(spark, sf):
+    train, _ = _train_test(spark, sf)
+    _, results = MD.tune("logistic_regression", train, FEATURE_NUMERIC, "label",
+                         {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, n_iter=4, folds=3)
+    return spark.createDataFrame([(str(sorted(p.items())), m) for p, m in results], "params string, cv_auc double")
+
+
+@query("m13_training_curve")
+def q_m13(spark, sf):
+    train, _ = _train_test(spark, sf)
+    model = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label", maxIter=20).fit(train)
+    return spark.createDataFrame([(i, float(v)) for i, v in model.training_curve(train)], "iteration int, loss double")
+
+
+@query("l05_model_based_selection")
+def q_l05(spark, sf):
+    train, _ = _train_test(spark, sf)
+    imp = MD.create_model("random_forest", FEATURE_NUMERIC, "label").fit(train).feature_importances()
+    return spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(imp[:20])],
+                                 "feature string, importance double, rank int")
+
+
+@query("l06_select_from_model")
+def q_l06(spark, sf):
+    train, _ = _train_test(spark, sf)
+    kept = MD.select_from_model(train, FEATURE_NUMERIC, "label", "mean")
+    return spark.createDataFrame([(f,) for f in kept], "feature string")
+
+
+@query("l12_split_counts")
+def q_l12(spark, sf):
+    train, _ = _train_test(spark, sf)
+    m = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label", maxIter=20).fit(train)
+    return spark.createDataFrame(sorted(m.split_counts().items()), "feature string, splits long")
+
+
+@query("l13_permutation_importance")
+def q_l13(spark, sf):
+    train, test = _train_test(spark, sf)
+    m = MD.create_model("logistic_regression", PERM_FEATURES, "label").fit(train)
+    return MD.permutation_importance(m, test, "CustomerID", "label", n_repeats=3)
+
+
+@query("v11_cross_validate")
+def q_v11(spark, sf):
+    per, _ = MD.cross_validate("logistic_regression", _model_frame(spark, sf), "CustomerID", FEATURE_NUMERIC,
+                               "label", k=5)
+    return per
+
+
+@query("v18_score_holdout")
+def q_v18(spark, sf):
+    train, test = _train_test(spark, sf)
+    m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
+    return round_doubles(WF.score_holdout(m, test.drop("label"), "CustomerID"))
+
+
+@query("b05_stacking")
+def q_b05(spark, sf):
+    stacked, _, _ = MD.stacking(_model_frame(spark, sf), "CustomerID", FEATURE_NUMERIC, "label",
+                                ["logistic_regression", "random_forest"], k=5)
+    return round_doubles(stacked)
+
+
+@query("b07_blend_search")
+def q_b07(spark, sf):
+    return EB.blend_search(scored_table(spark, sf), MODELS, metric="auc", samples=32, rounds=3)
+
+
+@query("t01_per_period_models")
+def q_t01(spark, sf):
+    u = usage_series(spark, sf)
+    models = MD.per_period_models(u, "t", ["n", "value", "n_error"], "label")
+    rows = [(int(t), float(m.model.stages[-1].intercept)) for t, m in sorted(models.items())]
+    return spark.createDataFrame(rows, "t int, intercept double")
+
+
+@query("t03_sequence_model")
+def q_t03(spark, sf):
+    seqs = FC.sequences(usage_series(spark, sf), "id", "t", SEQ_VECTOR, "label", window=3)
+    m = MD.sequence_model(seqs)
+    return round_doubles(m.predict_proba(seqs, keep=["id", "t_end", "label_next"]))
+
+
+@query("t07_forecast_with_history")
+def q_t07(spark, sf):
+    from retentio.plans.ordering import k_smallest
+    u = usage_series(spark, sf)
+    ids = k_smallest(u.select("id").distinct().withColumn("_h", F.xxhash64("id", F.lit(42))), ["_h", "id"], 10)
+    sample = u.join(ids.select("id"), "id")
+    fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
+    hist = FC.score_series(sample, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback).select(
+        "id", "t", F.col("score").alias("prob"), F.lit("history").alias("kind"))
+    fut = FC.forecast(sample, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT).select(
+        "id", "t", F.col("forecast_prob").alias("prob"), F.lit("forecast").alias("kind"))
+    return round_doubles(hist.unionByName(fut))
+
+
+@query("r06_smote")
+def q_r06(spark, sf):
+    out = SM.smote(_model_frame(spark, sf), "CustomerID", "label", FEATURE_NUMERIC, ratio=1.0)
+    return out.groupBy("label").agg(F.count("*").alias("count"), F.count("CustomerID").alias("original"))
+
+
+@query("r07_hybrid")
+def q_r07(spark, sf):
+    out = SM.hybrid(_model_frame(spark, sf), "CustomerID", "label", FEATURE_NUMERIC, ratio=0.5)
+    return out.groupBy("label").agg(F.count("*").alias("count"), F.count("CustomerID").alias("original"))
+
+
+# --------------------------------------------------------------------------- workflows
+@query("w01_preprocess")
+def q_w01(spark, sf):
+    return round_doubles(WF.Preprocessor().fit_transform(raw_mart(spark, sf)))
+
+
+@query("w02_feature_engineering")
+def q_w02(spark, sf):
+    fe = WF.FeatureEngineer(k=15)
+    return round_doubles(fe.fit_transform(_labelled(spark, sf)))
+
+
+@query("w03_prepare_data")
+def q_w03(spark, sf):
+    return WF.prepare_data(mart(spark, sf))
+
+
+@query("w04_training_run")
+def q_w04(spark, sf):
+    train, test = _train_test(spark, sf)
+    res = WF.training_run(train, test, "CustomerID", FEATURE_NUMERIC, "random_forest", resampling="undersample")
+    return res["tuned_metrics"].withColumn("threshold", F.lit(res["threshold"]))
+
+
+@query("w06_deployment_batch")
+def q_w06(spark, sf):
+    train, test = _train_test(spark, sf)
+    m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
+    return round_doubles(WF.deployment_batch(m, test, "CustomerID")["predictions"])
+
+
+@query("w07_first_look_importance")
+def q_w07(spark, sf):
+    imp = WF.first_look_importance(raw_mart(spark, sf))
+    return spark.createDataFrame([(f, v) for f, v in imp], "feature string, importance double")
