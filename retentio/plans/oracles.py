@@ -830,3 +830,14 @@ ORACLES["t04_score_series"] = W(f"""
 SELECT id, t, round(CASE WHEN rn >= 3 THEN {_sig(['a0', 'a1', 'a2', 'a3', 'a4', 'a5'])}
                     ELSE 1.0 / (1.0 + exp(-(CAST(-1.0 AS DOUBLE) + CAST(0.05 AS DOUBLE) * n))) END, 6) AS score FROM s""",
                              usage=True, mart=False)
+
+
+# --------------------------------------------------------------------------- sources / sinks / streaming
+ORACLES["s01_csv_roundtrip"] = W("SELECT * FROM mart")
+ORACLES["s03_parquet_roundtrip"] = W("SELECT * FROM mart")
+ORACLES["s08_split_files"] = W(f"""
+, rk AS (SELECT CustomerID, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label,
+                row_number() OVER (PARTITION BY Churn ORDER BY {_key(42)}, CustomerID) AS r,
+                floor(CAST(count(*) OVER (PARTITION BY Churn) AS DOUBLE) * CAST(0.2 AS DOUBLE) + 0.5) AS cut FROM mart)
+SELECT CASE WHEN r <= cut THEN 'test' ELSE 'train' END AS split, label, count(*) AS count FROM rk GROUP BY 1, 2""")
+ORACLES["st01_streaming_features"] = ORACLES["f_features_risk"]

@@ -783,3 +783,48 @@ def q_w06(spark, sf):
 def q_w07(spark, sf):
     imp = WF.first_look_importance(raw_mart(spark, sf))
     return spark.createDataFrame([(f, v) for f, v in imp], "feature string, importance double")
+
+
+# --------------------------------------------------------------------------- sources / sinks / streaming
+from retentio.sources import io as IO  # noqa: E402
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from retentio.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/retentio-io/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@query("s01_csv_roundtrip")
+def q_s01(spark, sf):
+    m = mart(spark, sf)
+    path = _scratch(spark, "mart") + ".csv"
+    IO.save(m, path)
+    return IO.load(spark, path, schema=m.schema)
+
+
+@query("s03_parquet_roundtrip")
+def q_s03(spark, sf):
+    m = mart(spark, sf)
+    path = _scratch(spark, "mart") + ".parquet"
+    IO.save(m, path)
+    return IO.load(spark, path)
+
+
+@query("s08_split_files")
+def q_s08(spark, sf):
+    path = _scratch(spark, "splits")
+    IO.write_splits(WF.prepare_data(mart(spark, sf)), path)
+    return spark.read.parquet(path).groupBy("split", "label").agg(F.count("*").alias("count"))
+
+
+@query("st01_streaming_features")
+def q_st01(spark, sf):
+    from retentio.sources.mart import mart_table
+    from retentio.streaming.features import run_available
+    src = mart_table(spark, sf)
+    source_path = src.inputFiles()[0].rsplit("/", 1)[0]
+    base = _scratch(spark, "stream")
+    out = run_available(spark, source_path, src.schema, f"{base}/out", f"{base}/checkpoint", families=["risk"])
+    return round_doubles(out)
