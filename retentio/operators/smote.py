@@ -56,10 +56,15 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], ratio
     mino = df.where(F.col(label) == minority)
     nbs = minority_neighbours(mino, id_col, features, k, seed=seed)
     found = nbs.groupBy("qid").agg(F.max("nb_rank").alias("n_nb"))
-    base = row_index(mino.select(id_col, *features), [id_col], name="_pos")
-    reps = F.lit(n_new // n_min) + F.when(F.col("_pos") <= n_new % n_min, 1).otherwise(0)
-    gen = base.join(found, base[id_col] == found.qid).select(
-        id_col, *features, "n_nb", F.explode(F.sequence(F.lit(1), reps)).alias("_rep")).where(F.col("_rep") > 0)
+    # synthetic rows are allocated over the minority rows that have at least one neighbour
+    with_nb = mino.select(id_col, *features).join(found, F.col(id_col) == found.qid).drop("qid")
+    n_base = with_nb.count()
+    if n_base == 0:
+        return df
+    base = row_index(with_nb, [id_col], name="_pos")
+    reps = F.lit(n_new // n_base) + F.when(F.col("_pos") <= n_new % n_base, 1).otherwise(0)
+    gen = base.select(id_col, *features, "n_nb", F.explode(F.sequence(F.lit(0), reps)).alias("_rep")) \
+        .where(F.col("_rep") > 0)
     gen = gen.withColumn("nb_rank", (F.pmod(F.xxhash64(id_col, "_rep", F.lit(seed)), F.col("n_nb")) + 1).cast("int"))
     gen = gen.withColumn("_u", _uniform(F.col(id_col), F.col("_rep"), seed=seed + 1))
     nb_feats = mino.select(F.col(id_col).alias("nb_id"), *[F.col(c).alias(f"_nb_{c}") for c in features])
