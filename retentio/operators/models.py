@@ -205,7 +205,8 @@ def cross_validate(kind: str, df: DataFrame, id_col: str, features: Sequence[str
     test part holds one class is skipped; returns per-fold metrics and mean / population std."""
     from retentio.operators import metrics as MT
     from retentio.operators.sample import resample, stratified_kfold
-    folded = stratified_kfold(df, id_col, label, k, seed)
+    from retentio.session import cut_lineage
+    folded = cut_lineage(stratified_kfold(df, id_col, label, k, seed))   # reused by 2k jobs
     rows = []
     for f in range(k):
         train = folded.where(F.col("fold") != f).drop("fold")
@@ -298,7 +299,8 @@ def stacking(df: DataFrame, id_col: str, features: Sequence[str], label: str, ki
     Returns the OOF table (id, label, p_<kind>..., stacked) and the meta
     coefficients / intercept (used by B9 contributions)."""
     from retentio.operators.sample import stratified_kfold
-    folded = stratified_kfold(df, id_col, label, k, seed)
+    from retentio.session import cut_lineage
+    folded = cut_lineage(stratified_kfold(df, id_col, label, k, seed))   # reused by k x models fits
     oof = None
     for kind in kinds:
         parts = None
@@ -307,7 +309,7 @@ def stacking(df: DataFrame, id_col: str, features: Sequence[str], label: str, ki
             p = m.predict_proba(folded.where(F.col("fold") == f), keep=[id_col]).withColumnRenamed("prob", f"p_{kind}")
             parts = p if parts is None else parts.unionByName(p)
         oof = parts if oof is None else oof.join(parts, id_col)
-    oof = oof.join(df.select(id_col, label), id_col)
+    oof = cut_lineage(oof.join(df.select(id_col, label), id_col))
     meta = create_model("logistic_regression", [f"p_{kd}" for kd in kinds], label, seed=seed).fit(oof)
     lr = meta.model.stages[-1]
     stacked = meta.predict_proba(oof, keep=[id_col, label, *[f"p_{kd}" for kd in kinds]]).withColumnRenamed("prob", "stacked")

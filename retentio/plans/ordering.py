@@ -26,6 +26,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# A group smaller than this is ranked in one task: below it the eager bounds
+# pass costs more than it saves.  Decided from Catalyst's size estimate of the
+# input (no job); the estimate is an upper bound for a group's size.
+SINGLE_SLICE_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable: assume large
+        return 1 << 62
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
@@ -44,7 +57,8 @@ def slice_column(df: DataFrame, key: str | Column, group_cols: Sequence[str] = (
     group_cols = list(group_cols)
     s = _partitions(df, num_slices)
     k = F.col(key) if isinstance(key, str) else key
-    if s <= 1:
+    limit = int(df.sparkSession.conf.get("retentio.ordering.singleSliceBytes", str(SINGLE_SLICE_BYTES)))
+    if s <= 1 or (num_slices is None and estimated_bytes(df) <= limit):
         return F.lit(0)
     probs = [i / s for i in range(1, s)]
     rows = df.groupBy(*group_cols).agg(F.percentile_approx(k, probs, accuracy).alias("b")).collect()

@@ -772,6 +772,19 @@ def q_w04(spark, sf):
     return res["tuned_metrics"].withColumn("threshold", F.lit(res["threshold"]))
 
 
+@query("w05_original_vs_engineered")
+def q_w05(spark, sf):
+    m = _labelled(spark, sf)
+    eng = [n for f in ["behavioral", "usage", "ratio", "value", "trend", "risk", "interaction"]
+           for n in FE.family_members(f) if n not in FEATURE_NUMERIC]
+    eng = list(dict.fromkeys(eng))
+    full = FE.add_features(m, names=eng)
+    full = CL.fit_median_imputer(full, FEATURE_NUMERIC + eng).transform(full)
+    sp = SA.stratified_split(full.select("CustomerID", "label", *FEATURE_NUMERIC, *eng), "CustomerID", "label", 0.2)
+    train, test = sp.where("split = 'train'").drop("split"), sp.where("split = 'test'").drop("split")
+    return WF.compare_original_vs_engineered(train, test, "CustomerID", FEATURE_NUMERIC, eng)
+
+
 @query("w06_deployment_batch")
 def q_w06(spark, sf):
     train, test = _train_test(spark, sf)
