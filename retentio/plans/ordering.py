@@ -82,30 +82,45 @@ def slice_column(df: DataFrame, key: str | Column, group_cols: Sequence[str] = (
     return F.coalesce(idx(bounds), F.lit(0))
 
 
+def _is_single_slice(col: Column) -> bool:
+    return str(col) == str(F.lit(0))
+
+
 def running_sum(df: DataFrame, order_cols: Sequence[str | Column], sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), num_partitions: int | None = None,
-                prefix: str = "cum_") -> DataFrame:
+                prefix: str = "cum_", with_totals: bool = False) -> DataFrame:
     """Append inclusive running sums ``{prefix}{c}`` ordered by ``order_cols`` within ``group_cols``.
 
     ``group_cols`` must be low-cardinality (labels, column names); the first
     order column must be numeric / date / timestamp (it defines the slices).
     Ties in ``order_cols`` are summed in an arbitrary but complete order, so
-    callers that need a unique order add a unique tiebreaker.
+    callers that need a unique order add a unique tiebreaker.  ``with_totals``
+    also returns the group total as ``{prefix}total_{c}`` (no extra pass).
     """
     group_cols = list(group_cols)
     orders = [F.col(o) if isinstance(o, str) else o for o in order_cols]
-    sliced = df.withColumn("_slice", slice_column(df, orders[0], group_cols, num_partitions))
+    slices = slice_column(df, orders[0], group_cols, num_partitions)
+    if _is_single_slice(slices):
+        # small input (checked estimate): one window per group, no offsets
+        w = Window.partitionBy(*group_cols).orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        tot = [F.sum(c).over(Window.partitionBy(*group_cols)).alias(f"{prefix}total_{c}")
+               for c in sum_cols] if with_totals else []
+        return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols], *tot)
+    sliced = df.withColumn("_slice", slices)
     w_local = (Window.partitionBy("_slice", *group_cols).orderBy(*orders)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in sum_cols])
     totals = sliced.groupBy("_slice", *group_cols).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*group_cols)
     offsets = totals.select("_slice", *group_cols, *[
-        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+        F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.sum(f"_tot_{c}").over(w_all).alias(f"_all_{c}") for c in sum_cols])
     # offsets holds at most S x G rows (slices x groups): the only broadcast
     out = local.join(F.broadcast(offsets), ["_slice", *group_cols])
+    tot = [F.col(f"_all_{c}").alias(f"{prefix}total_{c}") for c in sum_cols] if with_totals else []
     return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}")
-                                     for c in sum_cols])
+                                     for c in sum_cols], *tot)
 
 
 def row_index(df: DataFrame, order_cols: Sequence[str | Column], group_cols: Sequence[str] = (),
@@ -132,18 +147,16 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     num_partitions: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``), exact.
 
-    Returns one row per (by..., column) with ``n`` and ``q0..q{k-1}`` (doubles,
-    NULL for an all-null column).  Work: one partial aggregation to distinct
+    Returns one row per (by..., column) holding a value, with ``n`` and
+    ``q0..q{k-1}`` (an all-null column has no row).  Work: one partial aggregation to distinct
     (column, value) counts, one running sum over them, then a filter that
     keeps at most two rows per requested probability.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     counts = long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cnt"))
-    cum = running_sum(counts, ["value"], ["cnt"], [*by, "column"], num_partitions)
-    n = cum.groupBy(*by, "column").agg(F.sum("cnt").alias("n"))
-    # n holds one row per (by, column): bounded by the number of columns x groups
-    cum = cum.join(F.broadcast(n), [*by, "column"])
+    cum = running_sum(counts, ["value"], ["cnt"], [*by, "column"], num_partitions, with_totals=True) \
+        .withColumnRenamed("cum_total_cnt", "n")
     first_pos = F.col("cum_cnt") - F.col("cnt")          # 0-based first position of this value
     last_pos = F.col("cum_cnt") - 1
     picks = []
@@ -153,19 +166,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             picks.append(F.when((pos >= first_pos) & (pos <= last_pos),
                                 F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"))))
     hits = cum.select(*by, "column", "n", "value", F.explode(F.filter(F.array(*picks), lambda x: x.isNotNull())).alias("hit"))
-    agg = hits.groupBy(*by, "column", "n", F.col("hit.i").alias("i")).agg(
-        F.max(F.when(F.col("hit.kind") == "lo", F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("hit.kind") == "hi", F.col("value"))).alias("v_hi"))
-    h = (F.col("n") - 1) * F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1)
-    agg = agg.withColumn("q", F.col("v_lo") + (h - F.floor(h)) * (F.col("v_hi") - F.col("v_lo")))
-    wide = agg.groupBy(*by, "column", "n").pivot("i", list(range(len(probs)))).agg(F.first("q"))
+    aggs = []
     for i in range(len(probs)):
-        wide = wide.withColumnRenamed(str(i), f"q{i}")
-    # columns with no non-null value still get a row
-    all_cols = df.sparkSession.createDataFrame([(c,) for c in cols], "column string") if not by else None
-    if all_cols is not None:
-        wide = all_cols.join(wide, "column", "left")
-    return wide
+        for kind in ("lo", "hi"):
+            aggs.append(F.max(F.when((F.col("hit.i") == i) & (F.col("hit.kind") == kind), F.col("value")))
+                        .alias(f"v_{kind}{i}"))
+    agg = hits.groupBy(*by, "column", "n").agg(*aggs)
+    qcols = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(p)
+        qcols.append((F.col(f"v_lo{i}") + (h - F.floor(h)) * (F.col(f"v_hi{i}") - F.col(f"v_lo{i}"))).alias(f"q{i}"))
+    # a column without any non-null value has no row; callers left-join or default it
+    return agg.select(*by, "column", "n", *qcols)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:

@@ -40,9 +40,18 @@ def test_exact_quantiles_linear(spark):
 
 
 def test_exact_quantiles_all_null_column(spark):
-    df = spark.createDataFrame([(None,), (None,)], "x double")
-    r = exact_quantiles(df, ["x"], [0.5]).collect()
-    assert len(r) == 1 and r[0]["q0"] is None
+    from retentio.plans.ordering import quantile_row
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "x double, y double")
+    assert exact_quantiles(df, ["x"], [0.5]).count() == 0
+    assert quantile_row(df, ["x", "y"], [0.5]) == {"x": [None], "y": [2.0]}
+
+
+def test_running_sum_totals_both_paths(spark):
+    df, pdf = _frame(spark)
+    for parts in (None, 6):
+        out = running_sum(df, ["id"], ["w"], ["g"], num_partitions=parts, with_totals=True).toPandas()
+        exp = pdf.groupby("g")["w"].sum()
+        assert (out.groupby("g")["cum_total_w"].first() == exp).all()
 
 
 def test_k_smallest(spark):
