@@ -21,6 +21,7 @@ from retentio.operators import models as MD
 from retentio.operators import sample as SA
 from retentio.operators import select as SE
 from retentio.roles import CHURN_ROLES, ColumnRoles
+from retentio.session import cut_lineage
 
 
 # ----------------------------------------------------------------- W1
@@ -61,6 +62,8 @@ class Preprocessor:
         df = st["mode"].transform(st["median"].transform(df))
         df = CL.handle_outliers(df, [c for c in self.roles.continuous if c in df.columns],
                                 cfg.outlier_treatment, cfg.outlier_threshold, is_train=True)
+        # the encoder and scaler fits below read a stored table, not the cleaning chain
+        df = cut_lineage(df)
         return self._encode_scale(df, fit=True)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -213,3 +216,21 @@ def first_look_importance(raw: DataFrame, roles: ColumnRoles = CHURN_ROLES, seed
     feats = num + strings
     model = MD.create_model("random_forest", feats, "label", seed=seed, maxDepth=5, weight_col="weight").fit(df)
     return model.feature_importances()
+
+
+# ----------------------------------------------------------------- S10
+
+
+def process_and_save(spark, train_path: str, holdout_path: str, out_dir: str,
+                     config: PreprocessConfig | None = None, roles: ColumnRoles = CHURN_ROLES) -> Preprocessor:
+    """Load train + holdout, fit the preprocessor on train, replay it on holdout
+    (holdout columns aligned to train's), write both as Parquet under ``out_dir``."""
+    from retentio.sources import io as IO
+    train, holdout = IO.load_pair(spark, train_path, holdout_path)
+    pre = Preprocessor(roles, config or PreprocessConfig())
+    t = pre.fit_transform(train)
+    h = pre.transform(holdout)
+    h = CL.align_features(h, [c for c in t.columns if c != roles.target or c in h.columns], fill=0.0)
+    IO.save(t, f"{out_dir}/train_processed.parquet")
+    IO.save(h, f"{out_dir}/holdout_processed.parquet")
+    return pre

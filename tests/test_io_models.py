@@ -110,3 +110,21 @@ def test_credit_mapping_only_when_all_mapped(spark):
     bad = spark.createDataFrame([("Poor",), (None,)], "CreditRating string")
     assert [r[0] for r in FE.credit_score_mapped(ok).select("CreditScore").collect()] == [1, 4]
     assert "CreditScore" not in FE.credit_score_mapped(bad).columns
+
+
+def test_preprocessor_replays_on_holdout(spark, sf):
+    from retentio.plans.workflows import Preprocessor, process_and_save
+    from retentio.sources.mart import mart_table
+    raw = mart_table(spark, sf, raw=True)
+    train, hold = raw.where("CustomerID % 2 = 0"), raw.where("CustomerID % 2 = 1").drop("Churn")
+    pre = Preprocessor()
+    t = pre.fit_transform(train)
+    h = pre.transform(hold)
+    assert set(h.columns) <= set(t.columns)
+    num = [c for c in pre.roles.numeric if c in h.columns]
+    assert h.select([F.count_if(F.col(c).isNull()).alias(c) for c in num]).first().asDict() == {c: 0 for c in num}
+    d = _tmp()
+    train.write.parquet(f"{d}/train.parquet")
+    hold.write.parquet(f"{d}/hold.parquet")
+    process_and_save(spark, f"{d}/train.parquet", f"{d}/hold.parquet", f"{d}/out")
+    assert spark.read.parquet(f"{d}/out/holdout_processed.parquet").count() == hold.count()

@@ -59,3 +59,23 @@ def test_k_smallest(spark):
     got = k_smallest(df, ["id"], 3, ["g"]).toPandas()
     for g, part in pdf.groupby("g"):
         assert sorted(got[got.g == g]["id"]) == sorted(part["id"])[:3]
+
+
+def test_hot_group_is_sliced_and_exact(spark):
+    """One group holds a third of the rows: it is cut into several slices (no single
+    task holds it) and ranks / quantiles stay exact."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from retentio.plans.ordering import slice_column
+    n = 3000
+    pdf = pd.DataFrame({"id": np.arange(n), "g": np.where(np.arange(n) % 3 == 0, 0, 1 + np.arange(n) % 50)})
+    pdf["v"] = (pdf["id"] * 7919) % 1009
+    df = spark.createDataFrame(pdf)
+    sl = df.select("g", slice_column(df, "id", ["g"], num_slices=8).alias("s"))
+    hot = sl.where("g = 0").groupBy("s").count().collect()
+    assert len(hot) >= 6 and max(r["count"] for r in hot) <= n // 3 // 4
+    ranked = row_index(df, ["id"], ["g"], num_partitions=8).where("g = 0").toPandas().sort_values("id")
+    assert (ranked["row_idx"].to_numpy() == np.arange(1, n // 3 + 1)).all()
+    q = exact_quantiles(df.where(F.col("g") == 0), ["v"], [0.5], num_partitions=8).first()["q0"]
+    assert q == float(np.quantile(pdf[pdf.g == 0]["v"], 0.5))
