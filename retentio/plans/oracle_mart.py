@@ -159,7 +159,7 @@ udaily AS (
   FROM events GROUP BY user_id, CAST(ts AS DATE)),
 usage AS (
   SELECT id, day,
-         date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), day) + 1 AS t,
+         CAST(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), day) + 1 AS INTEGER) AS t,
          n, value, n_error,
          CASE WHEN lead(day) OVER (PARTITION BY id ORDER BY day) IS NULL
                 OR date_diff('day', day, lead(day) OVER (PARTITION BY id ORDER BY day)) > 1

@@ -299,11 +299,11 @@ ORACLES["p14_top_target_correlations"] = W(
     "c AS (" + _union([f"SELECT '{a}' AS feature, CASE WHEN isnan(corr({a}, label)) THEN NULL "
                        f"ELSE round(corr({a}, label), 6) END AS corr FROM lab" for a in _NUMERIC]) + ")\n"
     """SELECT feature, corr, rank, side FROM (
-  SELECT feature, corr, row_number() OVER (ORDER BY corr DESC, feature) AS rank, 'top' AS side
+  SELECT feature, corr, CAST(row_number() OVER (ORDER BY corr DESC, feature) AS INTEGER) AS rank, 'top' AS side
   FROM c WHERE corr IS NOT NULL) WHERE rank <= 10
 UNION ALL
 SELECT feature, corr, rank, side FROM (
-  SELECT feature, corr, row_number() OVER (ORDER BY corr ASC, feature) AS rank, 'bottom' AS side
+  SELECT feature, corr, CAST(row_number() OVER (ORDER BY corr ASC, feature) AS INTEGER) AS rank, 'bottom' AS side
   FROM c WHERE corr IS NOT NULL) WHERE rank <= 10""")
 
 ORACLES["p15_correlated_pairs"] = W(
@@ -734,7 +734,7 @@ FROM (SELECT sum(ng) AS n, count(*) AS k, ss - s * s / sum(ng) AS sstot, sum(sg
 ORACLES["l02_select_k_best_anova"] = W(
     _LAB + ", sc AS (" + _union([_anova_sql(f) for f in _NUMERIC]) + "),\n"
     "names(feature, ordinal) AS (VALUES " + ", ".join(f"('{c}', {i})" for i, c in enumerate(_NUMERIC)) + ")\n"
-    "SELECT feature, f_score AS score, row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) AS rank, "
+    "SELECT feature, f_score AS score, CAST(row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) AS INTEGER) AS rank, "
     "row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) <= 10 AS selected FROM sc JOIN names USING (feature)")
 
 _DECILES = "[" + ", ".join(f"CAST('{p!r}' AS DOUBLE)" for p in [i * 0.1 for i in range(10)] + [1.0]) + "]"
@@ -819,7 +819,7 @@ lastw AS (SELECT id,
    max(CASE WHEN r = 3 THEN CAST(n AS DOUBLE) END) AS v3_n, max(CASE WHEN r = 3 THEN CAST(n_error AS DOUBLE) END) AS v3_n_error
    FROM rk WHERE r <= 3 AND cnt >= 3 GROUP BY id),
 st AS (SELECT lastw.*, CAST(range AS INTEGER) AS period FROM lastw CROSS JOIN range(1, 4))
-SELECT id, (SELECT max(t) FROM usage) + period AS t, round({_sig(_fc_slots())}, 6) AS forecast_prob, period FROM st""",
+SELECT id, CAST((SELECT max(t) FROM usage) + period AS INTEGER) AS t, round({_sig(_fc_slots())}, 6) AS forecast_prob, period FROM st""",
                           usage=True, mart=False)
 
 ORACLES["t04_score_series"] = W(f"""
