@@ -9,6 +9,7 @@ one ``transform``.  Probabilities come out of the probability vector with
 from __future__ import annotations
 
 import json
+import re
 import random
 import time
 from collections.abc import Sequence
@@ -118,7 +119,7 @@ class ChurnModel:
         clf = self.model.stages[-1]
         counts = {f: 0 for f in self.features}
         for tree in getattr(clf, "trees", []):
-            for m in __import__("re").finditer(r"feature (\d+)", tree.toDebugString):
+            for m in re.finditer(r"feature (\d+)", tree.toDebugString):
                 counts[self.features[int(m.group(1))]] += 1
         # each split prints two branches (If / Else)
         return {k: v // 2 for k, v in counts.items()}

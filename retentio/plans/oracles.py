@@ -841,3 +841,81 @@ ORACLES["s08_split_files"] = W(f"""
                 floor(CAST(count(*) OVER (PARTITION BY Churn) AS DOUBLE) * CAST(0.2 AS DOUBLE) + 0.5) AS cut FROM mart)
 SELECT CASE WHEN r <= cut THEN 'test' ELSE 'train' END AS split, label, count(*) AS count FROM rk GROUP BY 1, 2""")
 ORACLES["st01_streaming_features"] = ORACLES["f_features_risk"]
+
+
+# --------------------------------------------------------------------------- W3 prepare data
+# Categories follow from the mart's definition: nation names are NATION_<key> for the 25 keys.
+_W3_ONE_HOT = {
+    "ServiceArea": sorted(f"NATION_{i}" for i in range(25)),
+    "CreditRating": _ONE_HOT["CreditRating"], "PrizmCode": _ONE_HOT["PrizmCode"],
+    "Occupation": _ONE_HOT["Occupation"], "MaritalStatus": _ONE_HOT["MaritalStatus"],
+    "Homeownership": ["Known", "Unknown"],
+}
+_W3_STRICT = ["ChildrenInHH", "HandsetWebCapable", "OwnsComputer", "HasCreditCard", "MadeCallToRetentionTeam"]
+
+
+def _w3_sql() -> str:
+    cols = []
+    for c in MART_COLUMNS:
+        if c in _W3_STRICT:
+            cols.append(f"CAST(CASE WHEN {c} = 'Yes' THEN 1 WHEN {c} = 'No' THEN 0 END AS INTEGER) AS {c}")
+        elif c in _W3_ONE_HOT:
+            cols += [f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"{c}_{v}\"" for v in _W3_ONE_HOT[c]]
+        else:
+            cols.append(c)
+    return W(f"""
+, lab AS (SELECT *, CAST(CASE WHEN Churn = 'Yes' THEN 1 WHEN Churn = 'No' THEN 0 END AS INTEGER) AS label FROM mart),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_key(42)}, CustomerID) AS r,
+              floor(CAST(count(*) OVER (PARTITION BY label) AS DOUBLE) * CAST(0.2 AS DOUBLE) + 0.5) AS cut FROM lab
+       WHERE label IS NOT NULL)
+SELECT {', '.join(cols)}, label, CASE WHEN r <= cut THEN 'test' ELSE 'train' END AS split FROM rk""")
+
+
+ORACLES["w03_prepare_data"] = _w3_sql()
+
+
+# --------------------------------------------------------------------------- W1 preprocess
+# Columns the 70 % null rule removes from the raw mart: the event-derived ones
+# (customers without events have NULL there; about 90 % of customers).
+_W1_SPARSE = ["DroppedCalls", "BlockedCalls", "UnansweredCalls", "CustomerCareCalls", "ThreewayCalls", "ReceivedCalls",
+              "OutboundCalls", "InboundCalls", "CallForwardingCalls", "CallWaitingCalls", "DroppedBlockedCalls",
+              "RetentionCalls", "RetentionOffersAccepted"]
+
+
+def _w1_sql() -> str:
+    kept = [c for c in MART_COLUMNS if c not in _W1_SPARSE]
+    num = [c for c in list(ROLES.continuous) + list(ROLES.discrete) if c in kept]
+    cont = [c for c in ROLES.continuous if c in kept]
+    strs = [c for c in list(ROLES.categorical) + list(ROLES.binary) if c in kept]
+    disc = set(ROLES.discrete)
+    t1 = ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" if c in disc else c for c in kept)
+    t2 = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM t1)) AS {c}" if c in num else
+                   f"coalesce({c}, (SELECT {c} FROM t1 WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}"
+                   if c in strs else c for c in kept)
+    t3 = ", ".join(f"{_clip_expr(c, 't2')} AS {c}" if c in cont else c for c in kept)
+    feats = [f"Handsets / {nzs('HandsetModels')} AS HandsetsPerModel",
+             f"MonthlyRevenue / {nzs('MonthlyMinutes')} AS RevenuePerMinute"]
+    enc = []
+    for c in kept:
+        if c in ROLES.binary and c != "Homeownership":
+            enc.append(f"CAST(CASE WHEN lower({c}) IN {_POS} THEN 1 WHEN lower({c}) IN {_NEG} THEN 0 END AS INTEGER) AS {c}")
+        elif c == "Homeownership":
+            enc.append("CAST(CASE Homeownership WHEN 'Known' THEN 0 WHEN 'Unknown' THEN 1 END AS INTEGER) AS Homeownership")
+        elif c in ROLES.categorical:
+            enc += [f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"{c}_{v}\"" for v in _W3_ONE_HOT[c]]
+        elif c in num:
+            enc.append(f"round(({c} - (SELECT avg({c}) FROM t3)) / (SELECT CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL "
+                       f"THEN 1 ELSE stddev_pop({c}) END FROM t3), 6) AS {c}")
+        elif c == "Churn":
+            enc.append("CAST(CASE WHEN Churn = 'Yes' THEN 1 WHEN Churn = 'No' THEN 0 END AS INTEGER) AS Churn")
+        else:
+            enc.append(c)
+    enc += [f"round({f.split(' AS ')[0]}, 6) AS {f.split(' AS ')[1]}" for f in feats]
+    return W(f"""
+, t1 AS (SELECT {t1} FROM raw),
+t2 AS (SELECT {t2} FROM t1),
+t3 AS (SELECT {t3} FROM t2)
+SELECT {', '.join(enc)} FROM t3""", raw=True)
+
+
+ORACLES["w01_preprocess"] = _w1_sql()
