@@ -632,6 +632,14 @@ sc AS (SELECT combo, prob AS score, CAST(count(*) FILTER (WHERE label = 1) AS DO
 c AS (SELECT *, sum(neg) OVER (PARTITION BY combo ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM sc),
 res AS (SELECT combo, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS score
         FROM c GROUP BY combo)"""
+    elif metric == "average_precision":
+        body = """,
+sc AS (SELECT combo, prob AS score, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos,
+              CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS neg FROM bl GROUP BY combo, prob),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY combo ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+                sum(neg) OVER (PARTITION BY combo ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+                sum(pos) OVER (PARTITION BY combo) AS P FROM sc),
+res AS (SELECT combo, sum(pos / P * cum_pos / (cum_pos + cum_neg)) AS score FROM c GROUP BY combo)"""
     else:
         m = _metric_cols()[metric]
         body = f""",
@@ -646,6 +654,7 @@ res AS (SELECT combo, {m} AS score FROM cm)"""
 
 ORACLES["b06_blend_auc"] = _blend_sql(["p1", "p2", "p3"], "auc")
 ORACLES["b06_blend_f1_two_models"] = _blend_sql(["p1", "p2"], "f1")
+ORACLES["b08_blend_average_precision"] = _blend_sql(["p1", "p3"], "average_precision")
 
 _ENS = "(p1 * 0.5 + p2 * 0.3 + p3 * 0.2)"
 ORACLES["b09_contributions"] = W(_union([

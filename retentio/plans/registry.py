@@ -841,3 +841,8 @@ def q_st01(spark, sf):
     base = _scratch(spark, "stream")
     out = run_available(spark, source_path, src.schema, f"{base}/out", f"{base}/checkpoint", families=["risk"])
     return round_doubles(out)
+
+
+@query("b08_blend_average_precision")
+def q_b08(spark, sf):
+    return EB.blend_weights(scored_table(spark, sf), ["p1", "p3"], metric="average_precision")

@@ -29,3 +29,22 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_forecast_timestamp_labels_add_months(spark):
+    import datetime as dt
+    rows = [(1, dt.datetime(2024, m, 1), float(m), 0.0, 0) for m in range(1, 5)]
+    df = spark.createDataFrame(rows, "id long, t timestamp, n double, e double, label int")
+    out = FC.forecast(df, "id", "t", ["n", "e"], [0] * 6, 0.0, window=3, periods=2, time_kind="timestamp")
+    got = sorted((r["period"], r["t"]) for r in out.collect())
+    assert [p for p, _ in got] == [1, 2] and got[0][1].month == 5 and got[1][1].month == 6
+
+
+def test_run_log_appends(spark):
+    import tempfile
+
+    from retentio.operators.models import append_run_log
+    d = tempfile.mkdtemp(prefix="retentio-test-")
+    append_run_log(spark, f"{d}/log", {"auc": 0.8, "threshold": 0.4})
+    append_run_log(spark, f"{d}/log", {"auc": 0.9, "threshold": 0.5})
+    assert spark.read.parquet(f"{d}/log").count() == 2
