@@ -90,28 +90,33 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
 
     Partial aggregation to distinct (column, value) counts, then a bounded
     ``min(struct(-count, value))`` per column: no per-group value map.
+    Numeric columns are compared as numbers, the others as strings.
     """
     cols = list(cols)
     if not cols:
         return {}
-    long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("cnt"))
-    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value"))).alias("b"))
-    out = {c: None for c in cols}
     types = dict(df.dtypes)
-    for r in best.collect():
-        out[r["column"]] = _restore(r["b"]["value"], types[r["column"]])
+    numeric = [c for c in cols if types[c] in ("double", "float", "int", "bigint", "smallint", "tinyint")]
+    out = {c: None for c in cols}
+    for group, cast in ((numeric, "double"), ([c for c in cols if c not in numeric], "string")):
+        if not group:
+            continue
+        long = (df.select(*[F.col(c).cast(cast).alias(c) for c in group])
+                .unpivot([], group, "column", "value").where(F.col("value").isNotNull()))
+        counts = long.groupBy("column", "value").agg(F.count("*").alias("cnt"))
+        best = counts.groupBy("column").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value"))).alias("b"))
+        for r in best.collect():                      # one row per column
+            out[r["column"]] = _restore(r["b"]["value"], types[r["column"]])
     return out
 
 
-def _restore(v: str | None, dtype: str):
+def _restore(v, dtype: str):
     if v is None:
         return None
     if dtype in ("double", "float"):
         return float(v)
     if dtype in ("int", "bigint", "smallint", "tinyint"):
-        return int(v)
+        return int(float(v))
     return v
 
 

@@ -77,3 +77,8 @@ def test_scalers_zero_spread(spark):
     assert mm.scale["c"] == 1.0
     rb = EN.fit_robust_scaler(df, ["c"])
     assert rb.scale["c"] == 1.0
+
+
+def test_numeric_mode_ties_compare_numerically(spark):
+    df = spark.createDataFrame([(10.0,), (9.0,), (10.0,), (9.0,)], "x double")
+    assert CL.modes(df, ["x"])["x"] == 9.0
