@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from retentio.functions.expr import rnd
 from retentio.plans.moments import correlation_pairs
-from retentio.plans.ordering import exact_quantiles, k_smallest
+from retentio.plans.ordering import exact_quantiles, k_smallest, sort_bounded
 
 
 def _wide_to_long(row_df: DataFrame, cols: Sequence[str], stats: Sequence[str]) -> DataFrame:
@@ -36,9 +36,9 @@ def missing_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     row = df.agg(F.count("*").alias("n"), *aggs)
     long = _wide_to_long(row.select("*", *[F.col("n").alias(f"n__{i}") for i in range(len(cols))]),
                          cols, ["missing_count", "n"])
-    return (long.select("column", "missing_count",
-                        rnd(F.try_divide(F.col("missing_count") * 100.0, F.col("n"))).alias("missing_pct"))
-            .orderBy(F.desc("missing_pct"), "column"))
+    return sort_bounded(long.select("column", "missing_count",
+                                    rnd(F.try_divide(F.col("missing_count") * 100.0, F.col("n"))).alias("missing_pct")),
+                        F.desc("missing_pct"), "column")
 
 
 # P2
@@ -96,8 +96,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).select(
         "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
     out = stats.join(q, "column", "left")
-    return out.select("column", "count", *[rnd(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]]) \
-        .orderBy(F.desc_nulls_last("mean"), "column")
+    return sort_bounded(out.select("column", "count", *[rnd(c).alias(c) for c in
+                                                        ["mean", "std", "min", "q25", "q50", "q75", "max"]]),
+                        F.desc_nulls_last("mean"), "column")
 
 
 # P7
@@ -173,7 +174,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
 def target_distribution(df: DataFrame, label: str) -> DataFrame:
     g = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("count"))
     total = df.select(F.count("*")).scalar()
-    return g.select("label", "count", rnd(F.col("count") * 100.0 / total).alias("pct")).orderBy("label")
+    return sort_bounded(g.select("label", "count", rnd(F.col("count") * 100.0 / total).alias("pct")), "label")
 
 
 # P12
@@ -205,8 +206,8 @@ def top_target_correlations(df: DataFrame, cols: Sequence[str], label: str, k: i
 
 # P15
 def correlated_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.7) -> DataFrame:
-    return (correlation_pairs(df, cols).where(F.abs("corr") > threshold)
-            .select("column_a", "column_b", "corr").orderBy(F.desc(F.abs("corr")), "column_a", "column_b"))
+    return sort_bounded(correlation_pairs(df, cols).where(F.abs("corr") > threshold)
+                        .select("column_a", "column_b", "corr"), F.desc(F.abs("corr")), "column_a", "column_b")
 
 
 # P16
@@ -227,9 +228,9 @@ def iqr_outlier_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     row = df.agg(*aggs)
     long = _wide_to_long(row.select("*", *[F.col("n").alias(f"n__{i}") for i in range(len(cols))]),
                          cols, ["outliers", "n"])
-    return (long.select("column", F.col("outliers").alias("outlier_count"),
-                        rnd(F.try_divide(F.col("outliers") * 100.0, F.col("n"))).alias("outlier_pct"))
-            .orderBy(F.desc("outlier_count"), "column"))
+    return sort_bounded(long.select("column", F.col("outliers").alias("outlier_count"),
+                                    rnd(F.try_divide(F.col("outliers") * 100.0, F.col("n"))).alias("outlier_pct")),
+                        F.desc("outlier_count"), "column")
 
 
 # P17
@@ -245,7 +246,7 @@ def non_numeric_audit(df: DataFrame, cols: Sequence[str], samples: int = 5) -> D
     ranked = k_smallest(distinct, ["value"], samples, ["column"], rank_name="rk")
     ex = ranked.groupBy("column").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rk", "value"))), lambda s: s["value"]).alias("examples"))
-    return counts.join(ex, "column").orderBy("column")
+    return sort_bounded(counts.join(ex, "column"), "column")
 
 
 # P18

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from retentio.functions.expr import rnd
 from retentio.plans.moments import correlation_pairs
-from retentio.plans.ordering import exact_quantiles
+from retentio.plans.ordering import exact_quantiles, sort_bounded
 
 # IV strength bands, right-closed, as labelled by the reference.
 IV_BANDS = [(0.02, "Useless"), (0.1, "Weak"), (0.3, "Medium"), (0.5, "Strong")]
@@ -170,8 +170,8 @@ def information_values(df: DataFrame, numeric: Sequence[str], categorical: Seque
     """(feature, iv, strength) for all features from one grouped job, highest first."""
     w = woe_table(df, numeric, categorical, label)
     iv = w.groupBy("feature").agg(F.sum("iv_part").alias("iv"))
-    return iv.select("feature", rnd("iv").alias("iv"), strength(F.col("iv")).alias("strength")) \
-        .orderBy(F.desc("iv"), "feature")
+    return sort_bounded(iv.select("feature", rnd("iv").alias("iv"), strength(F.col("iv")).alias("strength")),
+                        F.desc("iv"), "feature")
 
 
 def mutual_info_binned(df: DataFrame, numeric: Sequence[str], label: str,

@@ -204,3 +204,9 @@ def k_smallest(df: DataFrame, order_cols: Sequence[str | Column], k: int, group_
     survivors = pre.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_part")
     w2 = Window.partitionBy(*group_cols).orderBy(*orders)
     return survivors.withColumn(rank_name, F.row_number().over(w2)).where(F.col(rank_name) <= k)
+
+
+def sort_bounded(df: DataFrame, *cols) -> DataFrame:
+    """Sort a result whose size is bounded by the number of columns / features /
+    classes: one small exchange into one partition, no range-sampling job."""
+    return df.repartition(1).sortWithinPartitions(*cols)
