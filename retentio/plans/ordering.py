@@ -34,7 +34,8 @@ SINGLE_SLICE_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())   # py4j may already convert BigInt
     except Exception:  # noqa: BLE001 - estimate unavailable: assume large
         return 1 << 62
 
@@ -154,6 +155,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     by = list(by)
     probs = [float(p) for p in probs]
+    if num_partitions is None:
+        # a group (one column) never holds more rows than the input: decide the
+        # slicing from the input's estimate, not from the unpivoted (k-times) one
+        limit = int(df.sparkSession.conf.get("retentio.ordering.singleSliceBytes", str(SINGLE_SLICE_BYTES)))
+        if estimated_bytes(df.select(*by, *cols)) <= limit:
+            num_partitions = 1
     counts = long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cnt"))
     cum = running_sum(counts, ["value"], ["cnt"], [*by, "column"], num_partitions, with_totals=True) \
         .withColumnRenamed("cum_total_cnt", "n")
