@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from retentio.functions.expr import rnd
 from retentio.operators import metrics as MT
 from retentio.plans.moments import correlation_pairs
+from retentio.plans.ordering import slices_for
 
 
 def normalize_weights(n_models: int, weights: Sequence[float] | None = None) -> list[float]:
@@ -101,6 +102,8 @@ def _blend_scores(df: DataFrame, models: Sequence[str], combos: Sequence[Sequenc
                   metric: str, threshold: float = 0.5) -> DataFrame:
     """Score every weight vector: returns (combo, w0.., score)."""
     tuples = df.groupBy(label, *models).agg(F.count("*").alias("cnt"))
+    # one weight vector's scores are bounded by the distinct tuples, not by the expanded grid
+    parts = slices_for(tuples)
     arr = F.array(*[F.struct(F.lit(i).alias("combo"), *[F.lit(float(w)).alias(f"w{j}") for j, w in enumerate(c)])
                     for i, c in enumerate(combos)])
     ex = tuples.select(label, "cnt", *models, F.explode(arr).alias("c"))
@@ -115,13 +118,13 @@ def _blend_scores(df: DataFrame, models: Sequence[str], combos: Sequence[Sequenc
             F.sum(F.when(y, F.col("cnt")).otherwise(0)).alias("pos"),
             F.sum(F.when(~y, F.col("cnt")).otherwise(0)).alias("neg"))
         if metric == "auc":
-            cum = MT.running_sum(sc, ["score"], ["neg"], ["combo"])
+            cum = MT.running_sum(sc, ["score"], ["neg"], ["combo"], num_partitions=parts)
             agg = cum.groupBy("combo").agg(
                 F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg"))).alias("u"),
                 F.sum("pos").alias("p"), F.sum("neg").alias("n"))
             score = F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("u") / (F.col("p") * F.col("n")))
         else:
-            cum = MT.running_sum(sc, [-F.col("score")], ["pos", "neg"], ["combo"])
+            cum = MT.running_sum(sc, [-F.col("score")], ["pos", "neg"], ["combo"], num_partitions=parts)
             tot = sc.groupBy("combo").agg(F.sum("pos").alias("P"))
             # one row per weight vector: bounded by the grid size
             cum = cum.join(F.broadcast(tot), "combo")

@@ -40,6 +40,14 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+def slices_for(group_bound: DataFrame) -> int | None:
+    """1 (one window per group) when ``group_bound`` - a frame at least as large
+    as any single group - is estimated below the single-slice limit, else None
+    (let ``slice_column`` cut groups into slices)."""
+    limit = int(group_bound.sparkSession.conf.get("retentio.ordering.singleSliceBytes", str(SINGLE_SLICE_BYTES)))
+    return 1 if estimated_bytes(group_bound) <= limit else None
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
@@ -158,9 +166,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if num_partitions is None:
         # a group (one column) never holds more rows than the input: decide the
         # slicing from the input's estimate, not from the unpivoted (k-times) one
-        limit = int(df.sparkSession.conf.get("retentio.ordering.singleSliceBytes", str(SINGLE_SLICE_BYTES)))
-        if estimated_bytes(df.select(*by, *cols)) <= limit:
-            num_partitions = 1
+        num_partitions = slices_for(df.select(*by, *cols))
     counts = long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cnt"))
     cum = running_sum(counts, ["value"], ["cnt"], [*by, "column"], num_partitions, with_totals=True) \
         .withColumnRenamed("cum_total_cnt", "n")
