@@ -928,3 +928,30 @@ SELECT {', '.join(enc)} FROM t3""", raw=True)
 
 
 ORACLES["w01_preprocess"] = _w1_sql()
+
+
+# --------------------------------------------------------------------------- T7 forecast + history
+def _t07_sql() -> str:
+    return W(f"""
+, samp AS (SELECT id FROM (SELECT DISTINCT id FROM usage) ORDER BY (id * 7919 + 42) % 1000003, id LIMIT 10),
+us AS (SELECT * FROM usage WHERE id IN (SELECT id FROM samp)),
+s AS (SELECT id, t, CAST(lag(n, 2) OVER w AS DOUBLE) AS a0, CAST(lag(n_error, 2) OVER w AS DOUBLE) AS a1,
+             CAST(lag(n, 1) OVER w AS DOUBLE) AS a2, CAST(lag(n_error, 1) OVER w AS DOUBLE) AS a3,
+             CAST(n AS DOUBLE) AS a4, CAST(n_error AS DOUBLE) AS a5, n, row_number() OVER w AS rn
+      FROM us WINDOW w AS (PARTITION BY id ORDER BY t)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC) AS r, count(*) OVER (PARTITION BY id) AS cnt FROM us),
+lastw AS (SELECT id,
+   max(CASE WHEN r = 1 THEN CAST(n AS DOUBLE) END) AS v1_n, max(CASE WHEN r = 1 THEN CAST(n_error AS DOUBLE) END) AS v1_n_error,
+   max(CASE WHEN r = 2 THEN CAST(n AS DOUBLE) END) AS v2_n, max(CASE WHEN r = 2 THEN CAST(n_error AS DOUBLE) END) AS v2_n_error,
+   max(CASE WHEN r = 3 THEN CAST(n AS DOUBLE) END) AS v3_n, max(CASE WHEN r = 3 THEN CAST(n_error AS DOUBLE) END) AS v3_n_error
+   FROM rk WHERE r <= 3 AND cnt >= 3 GROUP BY id),
+st AS (SELECT lastw.*, CAST(range AS INTEGER) AS period FROM lastw CROSS JOIN range(1, 4))
+SELECT id, t, round(CASE WHEN rn >= 3 THEN {_sig(['a0', 'a1', 'a2', 'a3', 'a4', 'a5'])}
+                    ELSE 1.0 / (1.0 + exp(-(CAST(-1.0 AS DOUBLE) + CAST(0.05 AS DOUBLE) * n))) END, 6) AS prob,
+       'history' AS kind FROM s
+UNION ALL
+SELECT id, CAST((SELECT max(t) FROM us) + period AS INTEGER) AS t, round({_sig(_fc_slots())}, 6) AS prob,
+       'forecast' AS kind FROM st""", usage=True, mart=False)
+
+
+ORACLES["t07_forecast_with_history"] = _t07_sql()

@@ -726,7 +726,7 @@ def q_t03(spark, sf):
 def q_t07(spark, sf):
     from retentio.plans.ordering import k_smallest
     u = usage_series(spark, sf)
-    ids = k_smallest(u.select("id").distinct().withColumn("_h", F.xxhash64("id", F.lit(42))), ["_h", "id"], 10)
+    ids = k_smallest(u.select("id").distinct().withColumn("_h", SA.shuffle_key("id", 42)), ["_h", "id"], 10)
     sample = u.join(ids.select("id"), "id")
     fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
     hist = FC.score_series(sample, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback).select(
