@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from retentio.llm import quality_rules
+from retentio.llm import chat, quality_rules
 
 QUERIES = {
+    "op8_chat_formatting": chat.query,
     "op9_quality_rules": quality_rules.query,
 }
 
 ORACLES = {
+    "op8_chat_formatting": chat.SQL,
     "op9_quality_rules": quality_rules.SQL,
 }
