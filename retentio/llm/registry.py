@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from retentio.llm import chat, packing, quality_rules, url_filter
+from retentio.llm import chat, packing, quality_ranking, quality_rules, url_filter
 
 QUERIES = {
+    "op5_quality_ranking": quality_ranking.query,
     "op6_best_fit_packing": packing.query,
     "op10_url_filter": url_filter.query,
     "op8_chat_formatting": chat.query,
