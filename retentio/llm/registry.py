@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from retentio.llm import chat, packing, quality_ranking, quality_rules, substring_dedup, url_filter
+from retentio.llm import chat, line_dedup, packing, quality_ranking, quality_rules, substring_dedup, url_filter
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.query,
     "op2_substring_dedup": substring_dedup.query,
     "op5_quality_ranking": quality_ranking.query,
     "op6_best_fit_packing": packing.query,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_line_dedup": line_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
     "op8_chat_formatting": chat.SQL,
     "op9_quality_rules": quality_rules.SQL,
