@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from retentio.llm import chat, license_scan, line_dedup, packing, quality_ranking, quality_rules, substring_dedup, url_filter
+from retentio.llm import chat, license_scan, line_dedup, ngram_join, packing, quality_ranking, quality_rules, substring_dedup, url_filter
 
 QUERIES = {
+    "op4_ngram_join": ngram_join.query,
     "op7_license_scan": license_scan.query,
     "op1_line_dedup": line_dedup.query,
     "op2_substring_dedup": substring_dedup.query,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_ngram_join": ngram_join.SQL,
     "op7_license_scan": license_scan.SQL,
     "op1_line_dedup": line_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
