@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from retentio.llm import chat, license_scan, line_dedup, ngram_join, packing, quality_ranking, quality_rules, substring_dedup, url_filter
+from retentio.llm import chat, decontamination, license_scan, line_dedup, ngram_join, packing, quality_ranking, quality_rules, substring_dedup, url_filter
 
 QUERIES = {
+    "op3_benchmark_decontamination": decontamination.query,
     "op4_ngram_join": ngram_join.query,
     "op7_license_scan": license_scan.query,
     "op1_line_dedup": line_dedup.query,
