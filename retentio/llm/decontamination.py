@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentio.llm.common import list_values, mix64, table, window_hashes
 
@@ -217,25 +218,28 @@ def find_items(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item, n_words, edits, start_word): every benchmark item that a document holds,
     with the closest passage's edits and the window it was found by."""
+    item_type = benchmark.schema[item_col].dataType
+    src = docs.select(F.col(id_col).alias("_id"), normalised_hashes(F.col(text_col).cast("string")).alias("h"))
+    schema = T.StructType([src.schema["_id"], T.StructField("_item", item_type), T.StructField("n_words", T.IntegerType()),
+                           T.StructField("edits", T.IntegerType()), T.StructField("start_word", T.LongType())])
+    out = None
+    for block in _blocks(benchmark, settings, item_col, item_text):
+        part = src.mapInArrow(_searcher(block, item_type), schema)
+        out = part if out is None else out.unionByName(part)
+    return out.withColumnsRenamed({"_id": id_col, "_item": item_col})
+
+
+def _blocks(benchmark: DataFrame, settings: Settings, item_col: str, item_text: str):
+    """The items in blocks of about ``block_items``, one block on the driver at a time."""
     items = benchmark.select(F.col(item_col).alias("item"), normalised_hashes(F.col(item_text)).alias("h")) \
         .filter(F.size("h") > 0)
-    item_type = items.schema["item"].dataType
-    src = docs.select(F.col(id_col).alias("_id"), normalised_hashes(F.col(text_col).cast("string")).alias("h"))
-    schema = (f"_id {src.schema['_id'].dataType.simpleString()}, _item {item_type.simpleString()}, "
-              "n_words int, edits int, start_word long")
-    blocks = -(-items.count() // settings.block_items)
-    parts = []
-    for number in range(max(1, blocks)):
-        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(max(1, blocks))) == number).toArrow()
-        order = np.lexsort(([str(x) for x in part.column("item").to_pylist()],))
+    blocks = max(1, -(-items.count() // settings.block_items))
+    for number in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number).toArrow()
+        ids = part.column("item").to_pylist()
         flat, offsets = list_values(part.column("h"))
-        codes = [flat[offsets[i]:offsets[i + 1]].view(np.uint64) for i in order]
-        ids = [part.column("item")[int(i)].as_py() for i in order]
-        parts.append(src.mapInArrow(_searcher(Block(ids, codes, settings), item_type), schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumnsRenamed({"_id": id_col, "_item": item_col})
+        order = sorted(range(len(ids)), key=lambda i: (str(ids[i]), flat[offsets[i]:offsets[i + 1]].tolist()))
+        yield Block([ids[i] for i in order], [flat[offsets[i]:offsets[i + 1]].view(np.uint64) for i in order], settings)
 
 
 def _searcher(block: Block, item_type):
@@ -257,9 +261,24 @@ def _searcher(block: Block, item_type):
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Documents that hold no benchmark item, with all columns."""
-    hit = find_items(docs, benchmark, settings).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti")
+    """Documents that hold no benchmark item, with all columns; one narrow pass per block."""
+    out = docs
+    for block in _blocks(benchmark, settings, "item_id", "text"):
+        src = out.select(F.struct(*docs.columns).alias("_row"),
+                         normalised_hashes(F.col("text").cast("string")).alias("h"))
+        out = src.mapInArrow(_without(block), T.StructType([src.schema["_row"]])).select("_row.*")
+    return out
+
+
+def _without(block: Block):
+    def keep(batches):
+        for b in batches:
+            flat, offsets = list_values(b.column("h"))
+            stay = np.ones(b.num_rows, bool)
+            stay[[x[0] for x in block.search(flat, offsets)] if len(block.ids) and len(flat) else []] = False
+            yield pa.RecordBatch.from_arrays([b.column("_row").filter(pa.array(stay))], names=["_row"])
+
+    return keep
 
 
 def query(spark, sf_dir):

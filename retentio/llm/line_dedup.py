@@ -60,13 +60,11 @@ def chunks(text: Column, window: int = 2, divisor: int = 3) -> Column:
     return let(F.split(text, "\n", -1), cut)
 
 
-def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
-                           divisor: int = 3) -> DataFrame:
-    """All columns of ``docs`` with the deduplicated text, and the counts ``_lines``,
-    ``_chunks``, ``_removed_chunks``, ``_removed_lines``."""
-    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int, divisor: int) -> DataFrame:
+    """(_row, text, stats): every row of ``docs`` as a struct, its new text and its counts."""
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_doc"),
-                      F.col(text_col).alias("_text"), F.struct(F.col(id_col), *rest).alias("_row"))
+                      F.col(text_col).cast("string").alias("_text"),
+                      F.struct(*[c for c in docs.columns if c != text_col]).alias("_row"))
     cut = chunks(F.col("_text"), window, divisor)
     keys = stage(src.select("_doc", F.explode(F.transform(F.filter(cut, lambda c: c["n_real"] >= 2),
                                                           lambda c: F.struct(c["no"].alias("no"), c["key"].alias("key")))).alias("c"))
@@ -95,27 +93,33 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.filter("_x", lambda c: c["gone"]) if only_gone else F.col("_x"), F.lit(0).cast("long"),
         lambda a, c: a + c["n_lines"]), F.lit(0).cast("long"))
     text = F.array_join(F.transform(F.filter("_x", lambda c: ~c["gone"]), lambda c: c["text"]), "\n")
-    made = {id_col: F.col(f"_row.`{id_col}`"), text_col: text} | {c: F.col(f"_row.`{c}`") for c in rest}
-    return out.select(*[made[c].alias(c) for c in docs.columns], lines(False).alias("_lines"),
-                      F.coalesce(F.size("_x"), F.lit(0)).cast("long").alias("_chunks"),
-                      F.coalesce(F.size(F.filter("_x", lambda c: c["gone"])), F.lit(0)).cast("long").alias("_removed_chunks"),
-                      lines(True).alias("_removed_lines"))
+    return out.select("_row", text.alias("text"), F.struct(
+        lines(False).alias("n_lines"), F.coalesce(F.size("_x"), F.lit(0)).cast("long").alias("n_chunks"),
+        F.coalesce(F.size(F.filter("_x", lambda c: c["gone"])), F.lit(0)).cast("long").alias("n_removed_chunks"),
+        lines(True).alias("n_removed_lines")).alias("stats"))
+
+
+def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
+                           divisor: int = 3) -> DataFrame:
+    """(id, text, n_lines, n_chunks, n_removed_chunks, n_removed_lines), one row per row of ``docs``."""
+    out = _deduplicated(docs.select(id_col, text_col), id_col, text_col, window, divisor)
+    return out.select(F.col(f"_row.`{id_col}`").alias(id_col), F.col("text").alias(text_col), "stats.*")
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """Documents with deduplicated text; ``n_chars`` follows the text."""
-    out = remove_repeated_chunks(docs)
+    """Documents with deduplicated text and all their columns; ``n_chars`` follows the text."""
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    out = _deduplicated(docs, "doc_id", "text", 2, 3)
+    return out.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
     """op1: line counts and digest of every document after line dedup."""
-    out = remove_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_chunks").alias("n_chunks"),
-                      F.col("_removed_chunks").alias("n_removed_chunks"),
-                      F.col("_removed_lines").alias("n_removed_lines"), F.sha2("text", 256).alias("kept_sha256"))
+    out = remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
+                      F.sha2("text", 256).alias("kept_sha256"))
 
 
 #: chunks of the table {docs} as CTEs up to ``chunk`` (doc_id, no, n_lines, n_real, t)

@@ -356,9 +356,9 @@ def keep_one(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> DataFr
     doc, text_key = _keys("doc_id", "text")
     stay = (classes_of(docs, settings).filter(F.struct("doc", "text_key") == F.col("first"))
             .select(F.col("doc").alias("_doc"), F.col("text_key").alias("_text_key")))
-    return (docs.withColumn("_doc", doc).withColumn("_text_key", text_key)
-            .join(stay, ["_doc", "_text_key"], "left_semi").dropDuplicates(["_doc", "_text_key"])
-            .select(*docs.columns))
+    rows = docs.select(doc.alias("_doc"), text_key.alias("_text_key"), F.struct(*docs.columns).alias("_row"))
+    return (rows.join(stay, ["_doc", "_text_key"], "left_semi").dropDuplicates(["_doc", "_text_key"])
+            .select("_row.*"))
 
 
 def query(spark, sf_dir):

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentio.llm.common import WORD
 
@@ -93,32 +94,26 @@ def _measure(text: str | None) -> tuple[int, ...]:
             text.count("!"), len(re.findall("[A-Z]", text)))
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: id, ``keep`` columns, the measurements, ``failed`` (rule bits).
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, the measurements, ``failed`` (rule bits).
 
     The measurements come from one pass over the whole text in Arrow batches;
-    the rules are column expressions over them.
-    """
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"),
-                      *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    kept = [f"_keep_{c}" for c in keep]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text")
+    the rules are column expressions over them.  Any column may serve as id,
+    also a struct of a whole row."""
+    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    schema = T.StructType([src.schema["_id"], *(T.StructField(m, T.LongType()) for m in MEASURES)])
 
     def measure(batches):
         for b in batches:
-            found = [_measure(t) for t in b.column("_text").to_pylist()]
+            found = [_measure(t.as_py()) for t in b.column("_text")]
             cols = np.array(found, np.int64).reshape(len(found), len(MEASURES))
             yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("_id", *kept)] + [pa.array(cols[:, i]) for i in range(len(MEASURES))],
-                names=["_id", *kept, *MEASURES])
+                [b.column("_id"), *(pa.array(cols[:, i]) for i in range(len(MEASURES)))], names=["_id", *MEASURES])
 
-    out = src.mapInArrow(measure, fields + "".join(f", {m} long" for m in MEASURES))
     failed = F.lit(0).cast("long")
     for name, rule in RULES.items():
         failed = failed + F.when(F.expr(rule), F.lit(BITS[name]).cast("long")).otherwise(F.lit(0).cast("long"))
-    return out.select(F.col("_id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in keep],
-                      *MEASURES, failed.alias("failed"))
+    return src.mapInArrow(measure, schema).select(F.col("_id").alias(id_col), *MEASURES, failed.alias("failed"))
 
 
 def fails(policy: Policy) -> Column:
@@ -147,8 +142,8 @@ def ablations(rows: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
 
 def keep_documents(docs: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """The documents that pass the policy, with all their columns."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    return ledger(docs, keep=rest).filter(~fails(policy)).select(*docs.columns)
+    rows = ledger(docs.select(F.struct(*docs.columns).alias("_row"), "text"), "_row")
+    return rows.filter(~fails(policy)).select("_row.*")
 
 
 def query(spark, sf_dir):

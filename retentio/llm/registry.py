@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
-from retentio.llm import chat, decontamination, license_scan, line_dedup, ngram_join, packing, quality_ranking, quality_rules, substring_dedup, url_filter
+import corpus_pipeline
+from retentio.llm import (chat, decontamination, license_scan, line_dedup, ngram_join, packing, quality_ranking,
+                          quality_rules, substring_dedup, url_filter)
 
 QUERIES = {
-    "op3_benchmark_decontamination": decontamination.query,
-    "op4_ngram_join": ngram_join.query,
-    "op7_license_scan": license_scan.query,
     "op1_line_dedup": line_dedup.query,
     "op2_substring_dedup": substring_dedup.query,
+    "op3_benchmark_decontamination": decontamination.query,
+    "op4_ngram_join": ngram_join.query,
     "op5_quality_ranking": quality_ranking.query,
     "op6_best_fit_packing": packing.query,
-    "op10_url_filter": url_filter.query,
+    "op7_license_scan": license_scan.query,
     "op8_chat_formatting": chat.query,
     "op9_quality_rules": quality_rules.query,
+    "op10_url_filter": url_filter.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
-    "op4_ngram_join": ngram_join.SQL,
-    "op7_license_scan": license_scan.SQL,
     "op1_line_dedup": line_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
+    "op4_ngram_join": ngram_join.SQL,
+    "op7_license_scan": license_scan.SQL,
     "op8_chat_formatting": chat.SQL,
     "op9_quality_rules": quality_rules.SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
