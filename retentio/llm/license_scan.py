@@ -17,6 +17,7 @@ occur; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -66,6 +67,12 @@ def bigrams(text: Column) -> Column:
         lambda i: F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i)))))
 
 
+def size_bounds(size: int, threshold: float) -> tuple[int, int]:
+    """Fewest and most bigrams of a unit that can reach the threshold against ``size`` ones."""
+    share = threshold / (2 - threshold)
+    return math.ceil(size * share - 1e-9), math.floor(size / share + 1e-9)
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(id, unit, line_no, license, dice): units that match a template; ``line_no`` is 0 for a whole text."""
@@ -76,15 +83,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     none = F.lit(None).cast("struct<dice:double,license:string>")
     if not sets:
         sets = {"": [""]}
-    share = threshold / (2 - threshold)
-    least = min(map(len, sets.values())) * share
+    least = min(size_bounds(len(grams), threshold)[0] for grams in sets.values())
 
     def best(grams):
         out = none
         for name, wanted in sets.items():
             size = F.size(grams)
             # when() is lazy: the intersection is taken only inside the size bounds
-            dice = F.when(size.between(len(wanted) * share, len(wanted) / share),
+            dice = F.when(size.between(*size_bounds(len(wanted), threshold)),
                           2 * F.size(F.array_intersect(grams, F.lit(wanted))) / (size + len(wanted)))
             hit = F.when(dice >= threshold, F.struct((-dice).alias("dice"), F.lit(name).alias("license")))
             out = F.least(out, hit)
