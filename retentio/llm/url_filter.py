@@ -6,8 +6,9 @@ third of all pages is one row per distinct template after the map side:
 
 1. variable segments (numbers, hexadecimal ids, very long names) become typed
    wildcards;
-2. level by level, a node with more than ``max_children`` different literal
-   children gets one ``*`` child (branching a site generates, not writes);
+2. level by level, where a node has more than ``max_children`` different literal
+   children, those with less than ``1 / max_children`` of its pages become one
+   ``*`` child (names a site generates, not sections it has);
 3. sibling branches (templates that differ in one literal segment) whose
    labelled block rates do not differ significantly from their pooled rate
    are merged: they share one labelled count.
@@ -81,14 +82,16 @@ def templates(counts: DataFrame, max_children: int = 50, max_depth: int = 4) ->
         here = F.get(F.col("template"), F.lit(d))
         prefix = F.concat_ws("/", F.slice(F.col("template"), 1, d)) if d else F.lit("")
         t = t.withColumn("_prefix", prefix).withColumn("_here", here)
-        wide = (t.filter(here.isNotNull() & ~_wild(here)).select("host", "_prefix", "_here").distinct()
-                .groupBy("host", "_prefix").count().filter(F.col("count") > max_children)
-                .select("host", "_prefix", F.lit(True).alias("_wide")))
-        t = (t.join(wide, ["host", "_prefix"], "left")
-             .withColumn("template", F.when(F.col("_wide") & F.col("_here").isNotNull() & ~_wild(F.col("_here")),
-                         F.transform("template", lambda s, i: F.when(i == d, F.lit("*")).otherwise(s)))
-                         .otherwise(F.col("template")))
-             .drop("_prefix", "_here", "_wide"))
+        literal = F.col("_here").isNotNull() & ~_wild(F.col("_here"))
+        children = t.filter(literal).groupBy("host", "_prefix", "_here").agg(F.sum("n").alias("_n"))
+        fan_out = children.groupBy("host", "_prefix").agg(F.count("*").alias("_children"), F.sum("_n").alias("_all"))
+        rare = (children.join(fan_out, ["host", "_prefix"])
+                .filter((F.col("_children") > max_children) & (F.col("_n") * max_children < F.col("_all")))
+                .select("host", "_prefix", "_here", F.lit(True).alias("_rare")))
+        t = (t.join(rare, ["host", "_prefix", "_here"], "left")
+             .withColumn("template", F.when(F.col("_rare"), F.transform(
+                 "template", lambda s, i: F.when(i == d, F.lit("*")).otherwise(s))).otherwise(F.col("template")))
+             .drop("_prefix", "_here", "_rare"))
     return t
 
 
