@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from retentio.functions.expr import rnd
 from retentio.operators import metrics as MT
 from retentio.plans.moments import correlation_pairs
-from retentio.plans.ordering import slices_for
+from retentio.plans.ordering import slice_count
 
 
 def normalize_weights(n_models: int, weights: Sequence[float] | None = None) -> list[float]:
@@ -103,7 +103,7 @@ def _blend_scores(df: DataFrame, models: Sequence[str], combos: Sequence[Sequenc
     """Score every weight vector: returns (combo, w0.., score)."""
     tuples = df.groupBy(label, *models).agg(F.count("*").alias("cnt"))
     # one weight vector's scores are bounded by the distinct tuples, not by the expanded grid
-    parts = slices_for(tuples)
+    parts = slice_count(tuples)
     arr = F.array(*[F.struct(F.lit(i).alias("combo"), *[F.lit(float(w)).alias(f"w{j}") for j, w in enumerate(c)])
                     for i, c in enumerate(combos)])
     ex = tuples.select(label, "cnt", *models, F.explode(arr).alias("c"))

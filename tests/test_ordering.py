@@ -64,18 +64,52 @@ def test_k_smallest(spark):
 def test_hot_group_is_sliced_and_exact(spark):
     """One group holds a third of the rows: it is cut into several slices (no single
     task holds it) and ranks / quantiles stay exact."""
-    import pandas as pd
     from pyspark.sql import functions as F
 
-    from retentio.plans.ordering import slice_column
+    from retentio.plans.ordering import with_slices
     n = 3000
     pdf = pd.DataFrame({"id": np.arange(n), "g": np.where(np.arange(n) % 3 == 0, 0, 1 + np.arange(n) % 50)})
     pdf["v"] = (pdf["id"] * 7919) % 1009
     df = spark.createDataFrame(pdf)
-    sl = df.select("g", slice_column(df, "id", ["g"], num_slices=8).alias("s"))
-    hot = sl.where("g = 0").groupBy("s").count().collect()
+    hot = with_slices(df, "id", ["g"], num_slices=8).where("g = 0").groupBy("_slice").count().collect()
     assert len(hot) >= 6 and max(r["count"] for r in hot) <= n // 3 // 4
     ranked = row_index(df, ["id"], ["g"], num_partitions=8).where("g = 0").toPandas().sort_values("id")
     assert (ranked["row_idx"].to_numpy() == np.arange(1, n // 3 + 1)).all()
-    q = exact_quantiles(df.where(F.col("g") == 0), ["v"], [0.5], num_partitions=8).first()["q0"]
+    q = exact_quantiles(df.where(F.col("g") == 0), ["v"], [0.5]).first()["q0"]
     assert q == float(np.quantile(pdf[pdf.g == 0]["v"], 0.5))
+
+
+def test_null_group_and_null_key_keep_their_rows(spark):
+    rows = [(i, None if i % 20 == 0 else i % 3, None if i % 7 == 0 else float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    for slices in (None, 1, 9):
+        out = row_index(df, ["v", "id"], ["g"], num_partitions=slices).toPandas()
+        assert len(out) == 600
+        for _, part in out.groupby("g", dropna=False):
+            assert sorted(part["row_idx"]) == list(range(1, len(part) + 1))
+    q = {r["g"]: r["q0"] for r in exact_quantiles(df, ["v"], [0.5], by=["g"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["id", "g", "v"])
+    assert q[None] == pdf[pdf.g.isna()]["v"].median() and q[1] == pdf[pdf.g == 1]["v"].median()
+
+
+def test_quantiles_of_large_skewed_columns(spark):
+    """Brackets narrower than the data: ties, infinities, one group with a third of the rows."""
+    rng = np.random.default_rng(4)
+    n = 60_000
+    pdf = pd.DataFrame({"g": np.where(np.arange(n) % 3 == 0, 0, np.arange(n) % 5), "x": rng.normal(size=n),
+                        "zeros": np.where(rng.random(n) < 0.9, 0.0, rng.normal(size=n)), "k": rng.integers(0, 4, n)})
+    pdf.loc[5, "x"] = np.inf
+    df = spark.createDataFrame(pdf).repartition(4)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.9, 0.9999, 1.0]
+    got = exact_quantiles(df, ["x", "zeros", "k"], probs, by=["g"]).toPandas()
+    for _, r in got.iterrows():
+        exp = pdf[pdf.g == r["g"]][r["column"]].quantile(probs).to_numpy()
+        have = np.array([r[f"q{i}"] for i in range(len(probs))])
+        same = (have == exp) | (np.abs(have - exp) < 1e-12)
+        assert same[np.isfinite(exp)].all() and r["n"] == (pdf.g == r["g"]).sum()
+
+
+def test_empty_frame(spark):
+    df = spark.createDataFrame([], "id long, g int, v double")
+    assert row_index(df, ["id"], ["g"]).count() == 0 and row_index(df, ["id"]).count() == 0
+    assert exact_quantiles(df, ["v"], [0.5]).count() == 0
