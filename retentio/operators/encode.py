@@ -1,11 +1,12 @@
 """Encoding and scaling (survey §2.4, E1-E12).
 
-Dictionaries (category -> code) are fitted by one grouped aggregate and are
-bounded by the column's cardinality, which is checked against
-``MAX_LITERAL_CATEGORIES`` before anything is collected; they are replayed as
-literal maps inside one projection (no join, no shuffle at transform).
-Scalers fit one wide aggregate (or the exact-quantile job for the robust
-scaler) and transform with literals.
+Dictionaries (category -> code) are fitted by one grouped aggregate.  Up to
+``MAX_LITERAL_CATEGORIES`` values of a column are replayed as a literal map
+inside one projection; wider columns keep their dictionary as a stored table
+(value, code), ranked slice-wise, and are replayed by a join that Spark sizes
+itself.  Only small dictionaries ever reach the driver.  Scalers fit one wide
+aggregate (or the exact-quantile job for the robust scaler) and transform
+with literals.
 """
 
 from __future__ import annotations
@@ -16,35 +17,34 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentio.plans.ordering import quantile_row
+from retentio.plans.ordering import quantile_row, row_index
+from retentio.session import cut_lineage
 
-MAX_LITERAL_CATEGORIES = 10_000
+MAX_LITERAL_CATEGORIES = 1_000
 
 # Spellings read as the positive / negative class of a binary column.
 POSITIVE_SPELLINGS = ["yes", "y", "true", "t", "1"]
 NEGATIVE_SPELLINGS = ["no", "n", "false", "f", "0"]
 
 
-def distinct_values(df: DataFrame, cols: Sequence[str], include_null: bool = False,
-                    limit: int = MAX_LITERAL_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct values per column, from one partial aggregation.
+def _distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct non-null (column, value), values as strings; one partial aggregation."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    return long.where(F.col("value").isNotNull()).distinct()
 
-    Raises when a column has more than ``limit`` values: such a column is not
-    categorical and must be encoded through a dictionary join instead.
-    """
+
+def distinct_values(df: DataFrame, cols: Sequence[str], limit: int = MAX_LITERAL_CATEGORIES) -> dict[str, list | None]:
+    """Sorted distinct values per column; None for a column with more than ``limit``."""
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    if not include_null:
-        long = long.where(F.col("value").isNotNull())
-    d = long.groupBy("column", "value").agg(F.count("*").alias("cnt"))
+    if not cols:
+        return {}
+    d = cut_lineage(_distinct(df, cols))
     sizes = {r["column"]: r["n"] for r in d.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    too_big = [c for c, n in sizes.items() if n > limit]
-    if too_big:
-        raise ValueError(f"columns with more than {limit} categories: {too_big}")
-    out = {c: [] for c in cols}
-    for r in d.select("column", "value").collect():
+    out: dict[str, list | None] = {c: None if sizes.get(c, 0) > limit else [] for c in cols}
+    small = [c for c in cols if out[c] is not None]
+    for r in d.where(F.col("column").isin(small)).collect():        # at most limit x columns rows
         out[r["column"]].append(r["value"])
-    return {c: sorted(v, key=lambda x: (x is None, x)) for c, v in out.items()}
+    return {c: None if v is None else sorted(v) for c, v in out.items()}
 
 
 def _lookup(mapping: dict, key: Column, default=None) -> Column:
@@ -55,80 +55,113 @@ def _lookup(mapping: dict, key: Column, default=None) -> Column:
     return F.coalesce(out, F.lit(default)) if default is not None else out
 
 
-# ----------------------------------------------------------------- E1-E3
+# ----------------------------------------------------------------- E4, E5, E12
+
+
+def _as_class(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
 
 
 @dataclass(frozen=True)
-class BinaryEncoder:
-    """Per column either a polarity map (value -> 1/0, others NULL) or a
-    label dictionary over the string form (NULL becomes the class 'nan')."""
-    polarity: dict[str, dict[str, int | None]] = field(default_factory=dict)
-    labels: dict[str, dict[str, int]] = field(default_factory=dict)
+class LabelEncoder:
+    """Sorted distinct string values -> 0..n-1; NULL is the class 'nan'.  E5: an unknown
+    value at transform takes the code of the transformed frame's most frequent value."""
+    classes: dict[str, list[str]]
+    dictionaries: dict[str, DataFrame] = field(default_factory=dict)      # wide columns: (value, code)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        def enc(c):
-            if c in self.polarity:
-                return _lookup(self.polarity[c], F.col(c)).cast("int").alias(c)
-            if c in self.labels:
-                key = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-                return _lookup(self.labels[c], key).cast("int").alias(c)
-            return F.col(c)
-        return df.select(*[enc(c) for c in df.columns])
+    @property
+    def columns(self) -> list[str]:
+        return [*self.classes, *self.dictionaries]
 
+    def codes(self, c: str) -> dict[str, int]:
+        return {v: i for i, v in enumerate(self.classes[c])}
 
-def fit_binary_encoder(df: DataFrame, cols: Sequence[str]) -> BinaryEncoder:
-    vals = distinct_values(df, cols)
-    pol, lab = {}, {}
-    for c in cols:
-        pos = [v for v in vals[c] if v.lower() in POSITIVE_SPELLINGS]
-        neg = [v for v in vals[c] if v.lower() in NEGATIVE_SPELLINGS]
-        if pos and neg:
-            pol[c] = {v: (1 if v in pos else 0 if v in neg else None) for v in vals[c]}
-        else:
-            with_null = distinct_values(df.select(c), [c], include_null=True)[c]
-            classes = sorted({"nan" if v is None else v for v in with_null})
-            lab[c] = {v: i for i, v in enumerate(classes)}
-    return BinaryEncoder(pol, lab)
+    def _code_of(self, c: str, value) -> int | None:
+        if c in self.classes:
+            return self.codes(c).get(value)
+        row = self.dictionaries[c].where(F.col("value") == F.lit(value)).select("code").first()
+        return row["code"] if row else None
 
+    def transform(self, df: DataFrame, unknown: str = "mode") -> DataFrame:
+        from retentio.operators.clean import modes
+        cols = [c for c in self.columns if c in df.columns]
+        fallback = {}
+        if unknown == "mode" and cols:
+            most = modes(df.select(*[_as_class(c).alias(c) for c in cols]), cols)
+            fallback = {c: self._code_of(c, most[c]) for c in cols if most[c] is not None}
+        out, coded = df, {}
+        for i, c in enumerate(c for c in cols if c in self.dictionaries):
+            d = self.dictionaries[c].select(F.col("value").alias(f"_value{i}"), F.col("code").alias(f"_code{i}"))
+            out = out.join(d, _as_class(c) == F.col(f"_value{i}"), "left")
+            coded[c] = F.coalesce(F.col(f"_code{i}"), F.lit(fallback.get(c))).cast("int")
+        for c in cols:
+            if c in self.classes:
+                coded[c] = _lookup(self.codes(c), _as_class(c), fallback.get(c)).cast("int")
+        return out.select(*[coded[c].alias(c) if c in coded else F.col(c) for c in df.columns])
+
+
+def _dictionary(df: DataFrame, c: str) -> DataFrame:
+    """(value, code) of a wide column, codes in the order of the strings.  The first seven
+    bytes as a number cut the values into slices; the whole string orders within them."""
+    values = df.select(_as_class(c).alias("value")).distinct()
+    head = F.conv(F.rpad(F.hex(F.substring(F.encode("value", "utf-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    ranked = row_index(values.withColumn("_head", head), ["_head", "value"], name="_rank")
+    return cut_lineage(ranked.select("value", (F.col("_rank") - 1).cast("int").alias("code")))
 
-def strict_binary_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Columns whose non-null values are exactly {'Yes', 'No'}."""
-    vals = distinct_values(df, cols)
-    return [c for c in cols if set(vals[c]) == {"Yes", "No"}]
+
+def fit_label_encoder(df: DataFrame, cols: Sequence[str]) -> LabelEncoder:
+    vals = distinct_values(df.select(*[_as_class(c).alias(c) for c in cols]), cols)
+    return LabelEncoder({c: v for c, v in vals.items() if v is not None},
+                        {c: _dictionary(df, c) for c, v in vals.items() if v is None})
+
+
+def prepare_for_model(df: DataFrame, id_col: str, target: str) -> tuple[DataFrame, LabelEncoder]:
+    """Label-encode every remaining string column except id and target."""
+    cols = [c for c, t in df.dtypes if t == "string" and c not in (id_col, target)]
+    enc = fit_label_encoder(df, cols)
+    return enc.transform(df, unknown="none"), enc
 
 
-# ----------------------------------------------------------------- E4-E7, E12
+# ----------------------------------------------------------------- E1-E3
 
 
 @dataclass(frozen=True)
-class LabelEncoder:
-    """Sorted distinct string values -> 0..n-1.  E5: an unknown value at
-    transform takes the code of the transformed frame's most frequent value."""
-    classes: dict[str, list[str]]
+class BinaryEncoder:
+    """Per column either a polarity map (value -> 1/0, others NULL) or label codes,
+    where an unknown value takes the most frequent value's code (E5)."""
+    polarity: dict[str, dict[str, int]] = field(default_factory=dict)
+    labels: LabelEncoder = field(default_factory=lambda: LabelEncoder({}))
 
-    def codes(self, c: str) -> dict[str, int]:
-        return {v: i for i, v in enumerate(self.classes[c])}
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df.select(*[_lookup(self.polarity[c], F.col(c).cast("string")).cast("int").alias(c)
+                          if c in self.polarity else F.col(c) for c in df.columns])
+        return self.labels.transform(out) if any(c in df.columns for c in self.labels.columns) else out
 
-    def transform(self, df: DataFrame, unknown: str = "mode") -> DataFrame:
-        from retentio.operators.clean import modes
-        fallback = {}
-        if unknown == "mode":
-            cols = [c for c in self.classes if c in df.columns]
-            mode_vals = modes(df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias(c) for c in cols]), cols)
-            fallback = {c: self.codes(c).get(mode_vals[c]) for c in cols}
 
-        def enc(c):
-            if c not in self.classes:
-                return F.col(c)
-            key = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-            return _lookup(self.codes(c), key, fallback.get(c)).cast("int").alias(c)
-        return df.select(*[enc(c) for c in df.columns])
+def fit_binary_encoder(df: DataFrame, cols: Sequence[str]) -> BinaryEncoder:
+    cols = list(cols)
+    spelled = POSITIVE_SPELLINGS + NEGATIVE_SPELLINGS
+    seen: dict[str, dict[str, int]] = {c: {} for c in cols}
+    # the spellings a column holds: bounded by the upper / lower case variants of ten short words
+    for r in (_distinct(df, cols).where(F.lower("value").isin(spelled)).collect() if cols else []):
+        seen[r["column"]][r["value"]] = int(r["value"].lower() in POSITIVE_SPELLINGS)
+    polar = {c: m for c, m in seen.items() if len(set(m.values())) == 2}
+    rest = [c for c in cols if c not in polar]
+    return BinaryEncoder(polar, fit_label_encoder(df, rest) if rest else LabelEncoder({}))
 
 
-def fit_label_encoder(df: DataFrame, cols: Sequence[str]) -> LabelEncoder:
-    vals = distinct_values(df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias(c) for c in cols]),
-                           cols)
-    return LabelEncoder({c: sorted(vals[c]) for c in cols})
+def strict_binary_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Columns whose non-null values are exactly {'Yes', 'No'}; one aggregate of fixed size."""
+    cols = list(cols)
+    if not cols:
+        return []
+    v = {c: F.col(c).cast("string") for c in cols}
+    row = df.agg(*[f(x).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f, x in (
+        ("yes", F.max, v[c] == "Yes"), ("no", F.max, v[c] == "No"), ("other", F.max, ~v[c].isin("Yes", "No")))]).first()
+    return [c for i, c in enumerate(cols) if row[f"yes{i}"] and row[f"no{i}"] and not row[f"other{i}"]]
+
+
+# ----------------------------------------------------------------- E6, E7
 
 
 @dataclass(frozen=True)
@@ -158,16 +191,21 @@ class OneHotEncoder:
         return {name: c for c in self.categories for name, _ in self.output_columns(c)}
 
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = False) -> OneHotEncoder:
-    vals = distinct_values(df, cols)
+def fit_one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = False,
+                limit: int = MAX_LITERAL_CATEGORIES) -> OneHotEncoder:
+    """Each category becomes a column of the result, so a column may hold at most ``limit``;
+    wider ones are for the label encoder (``split_by_width`` tells them apart)."""
+    vals = distinct_values(df, cols, limit)
+    wide = [c for c, v in vals.items() if v is None]
+    if wide:
+        raise ValueError(f"one-hot encoding of more than {limit} categories: {wide}")
     return OneHotEncoder({c: vals[c] for c in cols}, drop_first)
 
 
-def prepare_for_model(df: DataFrame, id_col: str, target: str) -> tuple[DataFrame, LabelEncoder]:
-    """Label-encode every remaining string column except id and target."""
-    cols = [c for c, t in df.dtypes if t == "string" and c not in (id_col, target)]
-    enc = fit_label_encoder(df, cols)
-    return enc.transform(df, unknown="none"), enc
+def split_by_width(df: DataFrame, cols: Sequence[str], limit: int = MAX_LITERAL_CATEGORIES) -> tuple[list[str], list[str]]:
+    """(columns with at most ``limit`` categories, wider columns)."""
+    vals = distinct_values(df, cols, limit)
+    return [c for c in cols if vals[c] is not None], [c for c in cols if vals[c] is None]
 
 
 # ----------------------------------------------------------------- E8-E11

@@ -1,10 +1,13 @@
 """Splits, folds, resampling and class weights (survey §2.7, R1-R11).
 
-Row order inside a class is a seeded pseudo-shuffle key (modular arithmetic,
-so an SQL engine can reproduce it) with the id as tiebreaker.  Ranks within a
-class come from ``row_index`` - slice-wise running counts - because a class
-is a huge group (one label can hold most rows) and a window partitioned by
-the label would put it in a single task.
+Row order inside a class is a seeded shuffle key with the id as tiebreaker:
+``hash`` (any id type) or ``modular`` (integer ids; arithmetic an SQL engine can
+repeat).  Ranks within a class come from ``row_index`` - slice-wise running
+counts - because a class is a huge group (one label can hold most rows) and a
+window partitioned by the label would put it in a single task.
+
+A row whose label is NULL belongs to no class: splits and folds return it with
+a NULL split or fold, resampling leaves it as it is.
 """
 
 from __future__ import annotations
@@ -17,22 +20,26 @@ from pyspark.sql import functions as F
 
 from retentio.plans.ordering import row_index
 
-# Fixed values of the shuffle key: (id * multiplier + seed) mod modulus.
+# Fixed values of the modular shuffle key: (id * multiplier + seed) mod modulus.
 SHUFFLE_MULTIPLIER, SHUFFLE_MODULUS = 7919, 1000003
 
 
-def shuffle_key(id_col: str, seed: int = 42) -> Column:
-    """Seeded order key; valid for ids below 2^63 / 7919 (about 1.1e15)."""
-    return (F.col(id_col) * SHUFFLE_MULTIPLIER + seed) % SHUFFLE_MODULUS
+def shuffle_key(id_col: str, seed: int = 42, shuffle: str = "hash") -> Column:
+    """Seeded order key; ``modular`` is valid for ids below 2^63 / 7919 (about 1.1e15)."""
+    if shuffle == "hash":
+        return F.xxhash64(F.col(id_col), F.lit(seed))
+    if shuffle == "modular":
+        return (F.col(id_col) * SHUFFLE_MULTIPLIER + seed) % SHUFFLE_MODULUS
+    raise ValueError(f"no such shuffle: {shuffle}")
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """{class: n} from one partial aggregation (bounded by the number of classes)."""
-    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    """{class: n} without NULL, from one partial aggregation (bounded by the number of classes)."""
+    return {r[0]: r[1] for r in df.groupBy(label).count().collect() if r[0] is not None}
 
 
-def _ranked(df: DataFrame, id_col: str, label: str | None, seed: int) -> DataFrame:
-    keyed = df.withColumn("_key", shuffle_key(id_col, seed))
+def _ranked(df: DataFrame, id_col: str, label: str | None, seed: int, shuffle: str) -> DataFrame:
+    keyed = df.withColumn("_key", shuffle_key(id_col, seed, shuffle))
     groups = [label] if label else []
     return row_index(keyed, ["_key", id_col], groups, name="_rank").drop("_key")
 
@@ -41,48 +48,52 @@ def _half_up(x: float) -> int:
     return int(math.floor(x + 0.5))
 
 
+def _per_class(values: dict, label: str) -> Column:
+    """The value of a row's class; NULL for a NULL label."""
+    out = F.lit(None).cast("long")
+    for c, v in values.items():
+        out = F.when(F.col(label) == F.lit(c), F.lit(v)).otherwise(out)
+    return out
+
+
 def stratified_split(df: DataFrame, id_col: str, label: str, test_frac: float = 0.2, seed: int = 42,
-                     stratify: bool = True) -> DataFrame:
+                     stratify: bool = True, shuffle: str = "hash") -> DataFrame:
     """Adds ``split`` = 'test' for the first round(n_c * frac) rows of each
-    class in shuffle order (all rows when ``stratify=False``), else 'train'."""
+    class in shuffle order (of all rows when ``stratify=False``), else 'train'."""
     if stratify:
-        counts = class_counts(df, label)
-        cut = F.create_map(*[x for c, n in counts.items() if c is not None
-                             for x in (F.lit(c), F.lit(_half_up(n * test_frac)))])[F.col(label)]
-        ranked = _ranked(df, id_col, label, seed)
+        cut = _per_class({c: _half_up(n * test_frac) for c, n in class_counts(df, label).items()}, label)
     else:
-        n = df.count()
-        cut = F.lit(_half_up(n * test_frac))
-        ranked = _ranked(df, id_col, None, seed)
-    return ranked.withColumn("split", F.when(F.col("_rank") <= cut, "test").otherwise("train")).drop("_rank")
+        cut = F.lit(_half_up(df.count() * test_frac))
+    ranked = _ranked(df, id_col, label if stratify else None, seed, shuffle)
+    return ranked.withColumn("split", F.when(F.col("_rank") <= cut, "test").when(cut.isNotNull(), "train")).drop("_rank")
 
 
-def three_way_split(df: DataFrame, id_col: str, label: str, temp_frac: float = 0.3, seed: int = 42) -> DataFrame:
+def three_way_split(df: DataFrame, id_col: str, label: str, temp_frac: float = 0.3, seed: int = 42,
+                    shuffle: str = "hash") -> DataFrame:
     """70/15/15 - a stratified 30 % temp part, halved into test and val."""
-    counts = class_counts(df, label)
-    temp = {c: _half_up(n * temp_frac) for c, n in counts.items() if c is not None}
-    test = {c: _half_up(t * 0.5) for c, t in temp.items()}
-
-    def lookup(d):
-        return F.create_map(*[x for c, v in d.items() for x in (F.lit(c), F.lit(v))])[F.col(label)]
+    temp = {c: _half_up(n * temp_frac) for c, n in class_counts(df, label).items()}
+    test = _per_class({c: _half_up(t * 0.5) for c, t in temp.items()}, label)
     r = F.col("_rank")
-    ranked = _ranked(df, id_col, label, seed)
-    return ranked.withColumn("split", F.when(r <= lookup(test), "test").when(r <= lookup(temp), "val")
-                             .otherwise("train")).drop("_rank")
+    ranked = _ranked(df, id_col, label, seed, shuffle)
+    return ranked.withColumn("split", F.when(r <= test, "test").when(r <= _per_class(temp, label), "val")
+                             .when(test.isNotNull(), "train")).drop("_rank")
 
 
-def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
+def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42,
+                     shuffle: str = "hash") -> DataFrame:
     """``fold`` = (rank within class - 1) mod k."""
-    ranked = _ranked(df, id_col, label, seed)
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
+    ranked = _ranked(df, id_col, label, seed, shuffle)
+    fold = F.when(F.col(label).isNotNull(), ((F.col("_rank") - 1) % k).cast("int"))
+    return ranked.withColumn("fold", fold).drop("_rank")
 
 
 def is_binary(df: DataFrame, label: str) -> tuple[bool, dict]:
     counts = class_counts(df, label)
-    return len([c for c in counts if c is not None]) == 2, counts
+    return len(counts) == 2, counts
 
 
-def undersample(df: DataFrame, id_col: str, label: str, ratio: float = 1.0, seed: int = 42) -> DataFrame:
+def undersample(df: DataFrame, id_col: str, label: str, ratio: float = 1.0, seed: int = 42,
+                shuffle: str = "hash") -> DataFrame:
     """Keep every minority row and the first int(n_min / ratio) majority rows.
     R8: a label that is not binary leaves the frame unchanged."""
     binary, counts = is_binary(df, label)
@@ -92,9 +103,9 @@ def undersample(df: DataFrame, id_col: str, label: str, ratio: float = 1.0, seed
     target = int(n_min / ratio)
     if target >= n_maj:
         return df
-    ranked = _ranked(df.where(F.col(label) == majority), id_col, None, seed)
+    ranked = _ranked(df.where(F.col(label) == majority), id_col, None, seed, shuffle)
     kept = ranked.where(F.col("_rank") <= target).drop("_rank")
-    return df.where(F.col(label) == minority).unionByName(kept)
+    return df.where((F.col(label) == minority) | F.col(label).isNull()).unionByName(kept)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -1,78 +1,138 @@
 """SMOTE and hybrid resampling (survey §2.7, R6/R7).
 
-Neighbour search uses Spark ML's ``BucketedRandomProjectionLSH`` similarity
-join on standardized features (approximate k-NN: candidates are the rows
-sharing a hash bucket within ``radius``); the k closest candidates per row
-are kept with the two-stage top-k, and synthetic rows are generated by a
-deterministic assignment of base rows, neighbours and gaps (hash-derived
-uniforms), so a rerun - or a recomputed partition - yields the same rows.
+Neighbours come from a forest of random-projection trees on standardized
+features: every node is cut at quantiles of a random projection (sketched per
+node, a partial aggregation) until leaves hold about ``leaf_rows`` rows; rows
+that no projection tells apart are cut by hash.  Inside a leaf k-NN is exact,
+and a row keeps the best k over all trees, so every minority row gets k
+neighbours (or all others, if fewer) and the table has at most
+rows x k x trees rows on the way.  It is stored once.  Synthetic rows follow
+from a deterministic assignment of base rows, neighbours and gaps
+(hash-derived uniforms): a rerun or a recomputed partition yields the same.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentio.plans.ordering import k_smallest, row_index
+from retentio.session import cut_lineage
+
+#: children of a node
+FAN_OUT = 4
 
 
 def _uniform(*cols, seed: int):
     return (F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1_000_003)).cast("double") + 0.5) / 1_000_003.0
 
 
+def _standardized(df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
+    """(id, v): features as an array with mean 0 and deviation 1; NULL counts as 0."""
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
+    m = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(x)],
+               *[F.stddev_samp(v).alias(f"s{i}") for i, v in enumerate(x)]).first()
+    return df.select(F.col(id_col).alias("id"), F.array(*[
+        (v - F.lit(m[f"m{i}"] or 0.0)) / F.lit(m[f"s{i}"] or 1.0) for i, v in enumerate(x)]).alias("v"))
+
+
+def _projection(dim: int, seed: tuple[int, ...]) -> Column:
+    w = np.random.default_rng(seed).normal(size=dim).tolist()
+    return F.aggregate(F.zip_with("v", F.lit(w), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+
+
+def _leaves(vec: DataFrame, n: int, dim: int, leaf_rows: int, seed: int) -> DataFrame:
+    """``vec`` with ``leaf``: groups of about ``leaf_rows`` rows that lie close together."""
+    probs = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    out = vec.withColumn("leaf", F.lit(0).cast("long"))
+    depth = max(0, math.ceil(math.log(max(1, n) / leaf_rows, FAN_OUT))) if n > leaf_rows else 0
+    for level in range(depth):
+        out = out.withColumn("_p", _projection(dim, (seed, level)))
+        cuts = out.groupBy("leaf").agg(F.percentile_approx("_p", probs, 1000).alias("_cuts"))
+        out = (out.join(cuts, "leaf")
+               .withColumn("leaf", F.col("leaf") * FAN_OUT + F.size(F.filter("_cuts", lambda c: c < F.col("_p"))))
+               .select("id", "v", "leaf"))
+        out = cut_lineage(out)          # the next level reads it twice
+    sizes = out.groupBy("leaf").agg(F.count("*").alias("_m"))
+    parts = F.ceil(F.col("_m") / F.lit(2 * leaf_rows))
+    return (out.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), parts)).select("id", "v", "leaf", "part"))
+
+
+def _nearest(k: int):
+    def search(leaf: pa.Table) -> pa.Table:
+        v = np.array(leaf.column("v").to_pylist(), float)
+        ids = leaf.column("id")
+        take = min(k, len(v) - 1)
+        rows, others, dist = [], [], []
+        for lo in range(0, len(v), 256):
+            d = np.sqrt(((v[lo:lo + 256, None, :] - v[None, :, :]) ** 2).sum(axis=2))
+            d[np.arange(len(d)), np.arange(lo, lo + len(d))] = np.inf
+            near = np.argsort(d, axis=1, kind="stable")[:, :take]
+            rows.append(np.repeat(np.arange(lo, lo + len(d)), take))
+            others.append(near.ravel())
+            dist.append(np.take_along_axis(d, near, 1).ravel())
+        rows, others, dist = (np.concatenate(x) for x in (rows, others, dist))
+        return pa.table({"qid": ids.take(pa.array(rows, pa.int64())), "nb_id": ids.take(pa.array(others, pa.int64())),
+                         "dist": pa.array(dist, pa.float64())})
+
+    return search
+
+
 def minority_neighbours(minority: DataFrame, id_col: str, features: Sequence[str], k: int = 5,
-                        radius: float | None = None, seed: int = 42) -> DataFrame:
-    """(id, nb_rank, nb_id) for up to k approximate nearest minority neighbours."""
-    va = VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="keep")
-    vec = va.transform(minority.select(id_col, *features).fillna(0.0, list(features)))
-    sc = StandardScaler(inputCol="raw", outputCol="v", withMean=True, withStd=True).fit(vec)
-    vec = sc.transform(vec).select(id_col, "v")
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=2.0, numHashTables=3, seed=seed)
-    model = lsh.fit(vec)
-    r = radius if radius is not None else 2.0 * len(features) ** 0.5
-    pairs = model.approxSimilarityJoin(vec, vec, r, distCol="dist").select(
-        F.col(f"datasetA.{id_col}").alias("qid"), F.col(f"datasetB.{id_col}").alias("nb_id"), "dist")
-    pairs = pairs.where(F.col("qid") != F.col("nb_id")).dropDuplicates(["qid", "nb_id"])
-    return k_smallest(pairs, ["dist", "nb_id"], k, ["qid"], rank_name="nb_rank")
+                        leaf_rows: int = 256, trees: int = 3, seed: int = 42) -> DataFrame:
+    """(qid, nb_id, dist, nb_rank): the ``k`` nearest minority rows found, stored once."""
+    vec = cut_lineage(_standardized(minority, id_col, features))
+    n = vec.count()
+    kind = vec.schema["id"].dataType.simpleString()
+    found = None
+    for t in range(trees):
+        one = (_leaves(vec, n, len(features), max(leaf_rows, 2 * (k + 1)), seed + t).groupBy("leaf", "part")
+               .applyInArrow(_nearest(k), f"qid {kind}, nb_id {kind}, dist double"))
+        found = one if found is None else found.unionByName(one)
+    pairs = found.groupBy("qid", "nb_id").agg(F.min("dist").alias("dist"))
+    return cut_lineage(k_smallest(pairs, ["dist", "nb_id"], k, ["qid"], rank_name="nb_rank"))
 
 
 def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], ratio: float = 1.0, k: int = 5,
           seed: int = 42) -> DataFrame:
     """Add int(ratio * n_majority) - n_minority synthetic minority rows
-    x + u * (neighbour - x); synthetic ids are NULL.  Not binary or already
-    balanced enough: unchanged (R8)."""
+    x + u * (neighbour - x); their id and all columns that are not features are NULL.
+    Not binary or already balanced enough: unchanged (R8)."""
     from retentio.operators.sample import is_binary
     binary, counts = is_binary(df, label)
     if not binary:
         return df
     (minority, n_min), (_, n_maj) = sorted(counts.items(), key=lambda kv: (kv[1], kv[0]))
     n_new = int(ratio * n_maj) - n_min
-    if n_new <= 0:
+    if n_new <= 0 or n_min < 2:
         return df
-    mino = df.where(F.col(label) == minority)
-    nbs = minority_neighbours(mino, id_col, features, k, seed=seed)
-    found = nbs.groupBy("qid").agg(F.max("nb_rank").alias("n_nb"))
-    # synthetic rows are allocated over the minority rows that have at least one neighbour
-    with_nb = mino.select(id_col, *features).join(found, F.col(id_col) == found.qid).drop("qid")
-    n_base = with_nb.count()
-    if n_base == 0:
-        return df
-    base = row_index(with_nb, [id_col], name="_pos")
-    reps = F.lit(n_new // n_base) + F.when(F.col("_pos") <= n_new % n_base, 1).otherwise(0)
-    gen = base.select(id_col, *features, "n_nb", F.explode(F.sequence(F.lit(0), reps)).alias("_rep")) \
-        .where(F.col("_rep") > 0)
-    gen = gen.withColumn("nb_rank", (F.pmod(F.xxhash64(id_col, "_rep", F.lit(seed)), F.col("n_nb")) + 1).cast("int"))
-    gen = gen.withColumn("_u", _uniform(F.col(id_col), F.col("_rep"), seed=seed + 1))
-    nb_feats = mino.select(F.col(id_col).alias("nb_id"), *[F.col(c).alias(f"_nb_{c}") for c in features])
-    j = gen.join(nbs, (gen[id_col] == nbs.qid) & (gen.nb_rank == nbs.nb_rank)).join(nb_feats, "nb_id")
-    synth = j.select(F.lit(None).cast(df.schema[id_col].dataType).alias(id_col), F.lit(minority).alias(label),
-                     *[(F.col(c) + F.col("_u") * (F.col(f"_nb_{c}") - F.col(c))).alias(c) for c in features])
-    keep = [c for c in df.columns if c in set([id_col, label, *features])]
-    return df.select(*keep).unionByName(synth.select(*keep))
+    synth = synthetic_rows(df, id_col, label, features, minority, n_min, n_new, k, seed)
+    return df.unionByName(synth.select(*[
+        F.col(c).cast(df.schema[c].dataType).alias(c) if c in (label, *features)
+        else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns]))
+
+
+def synthetic_rows(df: DataFrame, id_col: str, label: str, features: Sequence[str], minority, n_min: int,
+                   n_new: int, k: int = 5, seed: int = 42) -> DataFrame:
+    """(base_id, nb_id, gap, label, features...): the synthetic rows and what made them."""
+    mino = df.where(F.col(label) == minority).select(F.col(id_col).alias("base_id"), *features)
+    nbs = minority_neighbours(mino, "base_id", features, k, seed=seed)
+    n_nb = F.lit(min(k, n_min - 1))
+    base = row_index(mino.withColumn("_key", F.xxhash64("base_id", F.lit(seed))), ["_key", "base_id"], name="_pos").drop("_key")
+    reps = F.lit(n_new // n_min) + F.when(F.col("_pos") <= n_new % n_min, 1).otherwise(0)
+    gen = base.select("base_id", *features, F.explode(F.sequence(F.lit(0), reps)).alias("_rep")).where(F.col("_rep") > 0)
+    gen = gen.withColumn("_rank", (F.pmod(F.xxhash64("base_id", "_rep", F.lit(seed)), n_nb) + 1).cast("int"))
+    gen = gen.withColumn("gap", _uniform(F.col("base_id"), F.col("_rep"), seed=seed + 1))
+    nb_feats = mino.select(F.col("base_id").alias("nb_id"), *[F.col(c).alias(f"_nb_{c}") for c in features])
+    j = (gen.join(nbs.select(F.col("qid").alias("base_id"), F.col("nb_rank").alias("_rank"), "nb_id"), ["base_id", "_rank"])
+         .join(nb_feats, "nb_id"))
+    return j.select("base_id", "nb_id", "gap", F.lit(minority).alias(label),
+                    *[(F.col(c) + F.col("gap") * (F.col(f"_nb_{c}") - F.col(c))).alias(c) for c in features])
 
 
 def hybrid(df: DataFrame, id_col: str, label: str, features: Sequence[str], ratio: float = 1.0, k: int = 5,
@@ -83,6 +143,6 @@ def hybrid(df: DataFrame, id_col: str, label: str, features: Sequence[str], rati
     binary, counts = is_binary(df, label)
     if not binary:
         return df
-    n_min, n_maj = sorted(counts.values())
+    n_min, n_maj = sorted(counts.values())      # classes only: a NULL label is none
     step = undersample(df, id_col, label, 0.3, seed) if n_min / n_maj < 0.3 else df
     return smote(step, id_col, label, features, ratio, k, seed)

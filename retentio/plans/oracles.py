@@ -458,6 +458,12 @@ def _one_hot_sql(drop_first: bool) -> str:
     return W("SELECT CustomerID, " + ", ".join(cols) + " FROM mart")
 
 
+ORACLES["e04_label_encode_wide_holdout"] = """
+WITH dict AS (SELECT k, CAST(row_number() OVER (ORDER BY k) - 1 AS INTEGER) AS code FROM (
+       SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')),
+most AS (SELECT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, k LIMIT 1)
+SELECT l_orderkey, l_linenumber, coalesce(dict.code, (SELECT code FROM dict JOIN most USING (k))) AS key
+FROM lineitem LEFT JOIN dict ON dict.k = CAST(l_orderkey AS VARCHAR)"""
 ORACLES["e06_one_hot"] = _one_hot_sql(False)
 ORACLES["e07_dummies_drop_first"] = _one_hot_sql(True)
 
@@ -719,6 +725,22 @@ FROM mart GROUP BY Churn
 UNION ALL
 SELECT 'after', Churn, count(*), round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM under), 6) FROM under GROUP BY Churn""")
 
+
+
+def _resampled(majority: str, ratio: str) -> str:
+    """Class counts after SMOTE up to ``ratio`` of ``majority`` (an expression over small / large)."""
+    return W(f""",
+cls AS (SELECT CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, count(*) AS n FROM mart GROUP BY 1),
+lim AS (SELECT CAST(min(n) AS DOUBLE) AS small, CAST(max(n) AS DOUBLE) AS large FROM cls),
+tgt AS (SELECT small, {majority} AS maj FROM lim),
+aft AS (SELECT label, CASE WHEN n = small THEN greatest(n, CAST(floor({ratio} * maj) AS BIGINT)) ELSE CAST(maj AS BIGINT) END AS count,
+               CASE WHEN n = small THEN n ELSE CAST(maj AS BIGINT) END AS original FROM cls, tgt)
+SELECT label, count, original, count - original AS synthetic, CAST(0 AS BIGINT) AS outside_hull FROM aft""")
+
+
+ORACLES["r06_smote"] = _resampled("large", "1.0")
+ORACLES["r07_hybrid"] = _resampled("CASE WHEN small / large < 0.3 THEN least(large, floor(small / 0.3)) ELSE large END", "0.5")
+
 # --------------------------------------------------------------------------- selection & statistics
 _LAB = ", lab AS (SELECT *, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label FROM mart)\n"
 

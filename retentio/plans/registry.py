@@ -301,6 +301,16 @@ def q_e04(spark, sf):
     return EN.fit_label_encoder(r, CATS).transform(r, unknown="mode")
 
 
+@query("e04_label_encode_wide_holdout")
+def q_e04_wide(spark, sf):
+    """A key column with thousands of values, fitted on early lines and replayed on all
+    (later keys are unknown: code of the most frequent key)."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("key"), "l_shipdate")
+    enc = EN.fit_label_encoder(li.where("l_shipdate < timestamp '1997-01-01'"), ["key"])
+    return enc.transform(li.drop("l_shipdate"))
+
+
 ONE_HOT_COLS = ["CreditRating", "PrizmCode", "Occupation", "MaritalStatus"]
 
 
@@ -486,27 +496,27 @@ def _ids(spark, sf):
 
 @query("r01_stratified_split")
 def q_r01(spark, sf):
-    return SA.stratified_split(_ids(spark, sf), "CustomerID", "Churn", 0.2, seed=42)
+    return SA.stratified_split(_ids(spark, sf), "CustomerID", "Churn", 0.2, seed=42, shuffle="modular")
 
 
 @query("r02_random_split")
 def q_r02(spark, sf):
-    return SA.stratified_split(_ids(spark, sf), "CustomerID", "Churn", 0.2, seed=7, stratify=False)
+    return SA.stratified_split(_ids(spark, sf), "CustomerID", "Churn", 0.2, seed=7, stratify=False, shuffle="modular")
 
 
 @query("r03_three_way_split")
 def q_r03(spark, sf):
-    return SA.three_way_split(_ids(spark, sf), "CustomerID", "Churn", 0.3, seed=42)
+    return SA.three_way_split(_ids(spark, sf), "CustomerID", "Churn", 0.3, seed=42, shuffle="modular")
 
 
 @query("r04_stratified_kfold")
 def q_r04(spark, sf):
-    return SA.stratified_kfold(_ids(spark, sf), "CustomerID", "Churn", 5, seed=42)
+    return SA.stratified_kfold(_ids(spark, sf), "CustomerID", "Churn", 5, seed=42, shuffle="modular")
 
 
 @query("r05_undersample")
 def q_r05(spark, sf):
-    return SA.undersample(_ids(spark, sf), "CustomerID", "Churn", 1.0, seed=42)
+    return SA.undersample(_ids(spark, sf), "CustomerID", "Churn", 1.0, seed=42, shuffle="modular")
 
 
 @query("r09_class_weights")
@@ -522,7 +532,7 @@ def q_r10(spark, sf):
 @query("r11_class_distribution")
 def q_r11(spark, sf):
     ids = _ids(spark, sf)
-    return round_doubles(SA.distribution_before_after(ids, SA.undersample(ids, "CustomerID", "Churn", 1.0), "Churn"))
+    return round_doubles(SA.distribution_before_after(ids, SA.undersample(ids, "CustomerID", "Churn", 1.0, shuffle="modular"), "Churn"))
 
 
 # --------------------------------------------------------------------------- selection & statistics
@@ -726,7 +736,7 @@ def q_t03(spark, sf):
 def q_t07(spark, sf):
     from retentio.plans.ordering import k_smallest
     u = usage_series(spark, sf)
-    ids = k_smallest(u.select("id").distinct().withColumn("_h", SA.shuffle_key("id", 42)), ["_h", "id"], 10)
+    ids = k_smallest(u.select("id").distinct().withColumn("_h", SA.shuffle_key("id", 42, "modular")), ["_h", "id"], 10)
     sample = u.join(ids.select("id"), "id")
     fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
     hist = FC.score_series(sample, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback).select(
@@ -736,16 +746,30 @@ def q_t07(spark, sf):
     return round_doubles(hist.unionByName(fut))
 
 
+def _resampled_report(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Per class: rows, original rows, synthetic rows, and synthetic values that lie
+    outside the range of the class's original rows (interpolation has none)."""
+    lo_hi = before.groupBy("label").agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(FEATURE_NUMERIC)
+                                          for n, f in (("lo", F.min), ("hi", F.max))])
+    outside = sum((F.when((F.col(c) < F.col(f"lo_{i}") - 1e-9) | (F.col(c) > F.col(f"hi_{i}") + 1e-9), 1).otherwise(0)
+                   for i, c in enumerate(FEATURE_NUMERIC)), F.lit(0))
+    synthetic = F.col("CustomerID").isNull()
+    # lo_hi holds one row per class
+    return after.join(F.broadcast(lo_hi), "label").groupBy("label").agg(
+        F.count("*").alias("count"), F.count("CustomerID").alias("original"), F.count_if(synthetic).alias("synthetic"),
+        F.sum(F.when(synthetic, outside).otherwise(0)).alias("outside_hull"))
+
+
 @query("r06_smote")
 def q_r06(spark, sf):
-    out = SM.smote(_model_frame(spark, sf), "CustomerID", "label", FEATURE_NUMERIC, ratio=1.0)
-    return out.groupBy("label").agg(F.count("*").alias("count"), F.count("CustomerID").alias("original"))
+    frame = _model_frame(spark, sf)
+    return _resampled_report(frame, SM.smote(frame, "CustomerID", "label", FEATURE_NUMERIC, ratio=1.0))
 
 
 @query("r07_hybrid")
 def q_r07(spark, sf):
-    out = SM.hybrid(_model_frame(spark, sf), "CustomerID", "label", FEATURE_NUMERIC, ratio=0.5)
-    return out.groupBy("label").agg(F.count("*").alias("count"), F.count("CustomerID").alias("original"))
+    frame = _model_frame(spark, sf)
+    return _resampled_report(frame, SM.hybrid(frame, "CustomerID", "label", FEATURE_NUMERIC, ratio=0.5))
 
 
 # --------------------------------------------------------------------------- workflows
@@ -762,7 +786,7 @@ def q_w02(spark, sf):
 
 @query("w03_prepare_data")
 def q_w03(spark, sf):
-    return WF.prepare_data(mart(spark, sf))
+    return WF.prepare_data(mart(spark, sf), shuffle="modular")
 
 
 @query("w04_training_run")
@@ -828,7 +852,7 @@ def q_s03(spark, sf):
 @query("s08_split_files")
 def q_s08(spark, sf):
     path = _scratch(spark, "splits")
-    IO.write_splits(WF.prepare_data(mart(spark, sf)), path)
+    IO.write_splits(WF.prepare_data(mart(spark, sf), shuffle="modular"), path)
     return spark.read.parquet(path).groupBy("split", "label").agg(F.count("*").alias("count"))
 
 

@@ -128,7 +128,7 @@ class FeatureEngineer:
 
 
 def prepare_data(df: DataFrame, roles: ColumnRoles = CHURN_ROLES, test_frac: float = 0.2, seed: int = 42,
-                 out_path: str | None = None) -> DataFrame:
+                 out_path: str | None = None, shuffle: str = "hash") -> DataFrame:
     """Target map -> strict Yes/No columns to 0/1 -> one-hot the rest -> stratified
     split -> (optional) one Parquet written partitioned by ``split`` (S8)."""
     df = CL.map_target(df, roles.target, "label").where(F.col("label").isNotNull())
@@ -137,8 +137,11 @@ def prepare_data(df: DataFrame, roles: ColumnRoles = CHURN_ROLES, test_frac: flo
     df = df.select(*[F.when(F.col(c) == "Yes", 1).when(F.col(c) == "No", 0).alias(c) if c in strict else F.col(c)
                      for c in df.columns])
     rest = [c for c in strings if c not in strict]
-    df = EN.fit_one_hot(df, rest).transform(df)
-    out = SA.stratified_split(df, roles.id, "label", test_frac, seed)
+    narrow, wide = EN.split_by_width(df, rest)       # a wide column gets label codes, not thousands of columns
+    df = EN.fit_one_hot(df, narrow).transform(df)
+    if wide:
+        df = EN.fit_label_encoder(df, wide).transform(df, unknown="none")
+    out = SA.stratified_split(df, roles.id, "label", test_frac, seed, shuffle=shuffle)
     if out_path:
         out.write.mode("overwrite").partitionBy("split").parquet(out_path)
     return out

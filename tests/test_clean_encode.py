@@ -82,3 +82,26 @@ def test_scalers_zero_spread(spark):
 def test_numeric_mode_ties_compare_numerically(spark):
     df = spark.createDataFrame([(10.0,), (9.0,), (10.0,), (9.0,)], "x double")
     assert CL.modes(df, ["x"])["x"] == 9.0
+
+
+def test_wide_label_dictionary_and_unknown_binary_value(spark, monkeypatch):
+    monkeypatch.setattr(EN, "MAX_LITERAL_CATEGORIES", 5)
+    monkeypatch.setattr(EN.distinct_values, "__defaults__", (5,))
+    vals = [f"k{i % 40:03d}é" if i % 7 else None for i in range(300)] + ["", "long prefix a", "long prefix b"]
+    train = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x string")
+    enc = EN.fit_label_encoder(train, ["x"])
+    assert list(enc.dictionaries) == ["x"]
+    codes = {v: i for i, v in enumerate(sorted({"nan" if v is None else v for v in vals}))}
+    got = {r["id"]: r["x"] for r in enc.transform(train).collect()}
+    assert got == {i: codes["nan" if v is None else v] for i, v in enumerate(vals)}
+    hold = spark.createDataFrame([(1, "unseen"), (2, "k001é"), (3, "k001é")], "id long, x string")
+    assert {r["x"] for r in enc.transform(hold).collect()} == {codes["k001é"]}
+    known = EN.fit_binary_encoder(spark.createDataFrame([("Known",), ("Unknown",)], "h string"), ["h"])
+    out = known.transform(spark.createDataFrame([("Other",), ("Unknown",), ("Unknown",)], "h string"))
+    assert [r["h"] for r in out.collect()] == [1, 1, 1]
+
+
+def test_strict_binary_is_one_bounded_aggregate(spark):
+    df = spark.createDataFrame([("Yes", str(i), "Yes") for i in range(50)] + [("No", None, None)], "a string, b string, c string")
+    assert EN.strict_binary_columns(df, ["a", "b", "c"]) == ["a"]
+    assert EN.strict_binary_columns(df.limit(0), ["a"]) == []

@@ -57,3 +57,48 @@ def test_anova_f_matches_formula(spark):
     f = SE.anova_f(df, ["x"], "label").first()["f_score"]
     # groups (1,2,3) and (6,7,8): SSB = 37.5, SSW = 4 -> F = 37.5 / (4 / 4)
     assert abs(f - 37.5) < 1e-9
+
+
+def test_null_labels_string_ids_and_empty_frames(spark):
+    rows = [(f"C{i}", None if i % 10 == 0 else i % 3 == 0) for i in range(300)]
+    df = spark.createDataFrame([(i, None if y is None else int(y)) for i, y in rows], "id string, y int")
+    for out in (SA.stratified_split(df, "id", "y", 0.2), SA.three_way_split(df, "id", "y")):
+        got = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+        assert sum(got.values()) == 300 and got[(None, None)] == 30
+        assert all((k[0] is None) == (k[1] is None) for k in got)
+    folds = SA.stratified_kfold(df, "id", "y", 4)
+    assert folds.count() == 300 and folds.where("y IS NULL AND fold IS NULL").count() == 30
+    under = SA.undersample(df, "id", "y")
+    assert {r["y"]: r["count"] for r in under.groupBy("y").count().collect()} == {None: 30, 0: 90, 1: 90}
+    empty = df.limit(0)
+    for out in (SA.stratified_split(empty, "id", "y"), SA.three_way_split(empty, "id", "y"),
+                SA.stratified_kfold(empty, "id", "y"), SA.undersample(empty, "id", "y")):
+        assert out.count() == 0
+
+
+def test_smote_neighbours_and_other_columns(spark):
+    import numpy as np
+
+    from retentio.operators import smote as SM
+    rng = np.random.default_rng(3)
+    pts = rng.normal(size=(700, 3))
+    rows = [(f"i{k}", int(k < 200), *map(float, p), "x") for k, p in enumerate(pts)] + [("n", None, 0.0, 0.0, 0.0, "x")]
+    df = spark.createDataFrame(rows, "id string, y int, a double, b double, c double, other string")
+    nb = SM.minority_neighbours(df.where("y = 1"), "id", ["a", "b", "c"], k=4, leaf_rows=20, trees=4).toPandas()
+    assert (nb.groupby("qid").size() == 4).all() and nb["qid"].nunique() == 200
+    std = (pts[:200] - pts[:200].mean(0)) / pts[:200].std(0, ddof=1)
+    true = np.sort(np.sqrt(((std[:, None] - std[None]) ** 2).sum(2)), axis=1)[:, 1:5]
+    found = np.sort(np.stack(nb.sort_values(["qid", "nb_rank"]).groupby("qid")["dist"].apply(np.array).reindex(
+        [f"i{k}" for k in range(200)]).to_list()), axis=1)
+    assert found.mean() < 1.2 * true.mean() and (found >= true - 1e-9).all()
+    out = SM.smote(df, "id", "y", ["a", "b", "c"])
+    assert out.columns == df.columns
+    new = out.where("id IS NULL").toPandas()
+    assert len(new) == 300 and (new["y"] == 1).all() and new["other"].isna().all()
+    assert out.where("y IS NULL").count() == 1
+    low, high = pts[:200].min(0), pts[:200].max(0)
+    assert (new[["a", "b", "c"]].to_numpy() >= low).all() and (new[["a", "b", "c"]].to_numpy() <= high).all()
+    same = SM.smote(df, "id", "y", ["a", "b", "c"]).where("id IS NULL").toPandas()
+    assert sorted(map(tuple, same[["a", "b", "c"]].to_numpy())) == sorted(map(tuple, new[["a", "b", "c"]].to_numpy()))
+    tied = spark.createDataFrame([(k, int(k < 100), 1.0) for k in range(250)], "id long, y int, a double")
+    assert SM.smote(tied, "id", "y", ["a"]).count() == 300
