@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentio.llm.common import table
+from retentio.llm.common import stage, table
 
 # Fixed rules of the query: (verdict, rule)
 QUERY_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -92,6 +92,7 @@ def templates(counts: DataFrame, max_children: int = 50, max_depth: int = 4) ->
              .withColumn("template", F.when(F.col("_rare"), F.transform(
                  "template", lambda s, i: F.when(i == d, F.lit("*")).otherwise(s))).otherwise(F.col("template")))
              .drop("_prefix", "_here", "_rare"))
+        t = stage(t, "templates")      # small: one row per (host, leaf); keeps the plan flat
     return t
 
 
@@ -113,7 +114,7 @@ def merge_branches(t: DataFrame, z: float = 1.96) -> DataFrame:
 
 def template_verdicts(t: DataFrame, threshold: float = 0.9, min_labels: int = 20, strength: float = 10.0) -> DataFrame:
     """(host, template, n_labelled, purity, rejected) with hierarchical smoothing."""
-    merged = merge_branches(t)
+    merged = stage(merge_branches(t), "branches")
     total = t.agg(F.try_divide(F.sum("blocked"), F.sum("labelled")).alias("r"))
     base = F.coalesce(total.scalar(), F.lit(0.0))
     host = (t.groupBy("host").agg(F.sum("labelled").alias("_hn"), F.sum("blocked").alias("_hb"))
@@ -140,6 +141,7 @@ def judge(pages: DataFrame, rules=QUERY_RULES, id_col: str = "page_id", url_col:
     counts = (p.select("host", "leaf", label.alias("_label")).groupBy("host", "leaf")
               .agg(F.count("*").alias("n"), F.count("_label").alias("labelled"),
                    F.coalesce(F.sum("_label"), F.lit(0)).alias("blocked")))
+    counts = stage(counts, "url-counts")
     t = templates(counts, max_children)
     judged = (t.select("host", "leaf", "template")
               .join(template_verdicts(t, threshold, min_labels), ["host", "template"])
