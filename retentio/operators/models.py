@@ -256,31 +256,30 @@ def permutation_importance(model: ChurnModel, df: DataFrame, id_col: str, label:
 
     Per repeat, one permutation pairs each row's position in id order with the
     row at the same position in a seeded hash order (exact ranks from the
-    slice-wise ``row_index``).  All features are scored in the same job: the
-    frame is replicated once per feature (fan-out = number of features) with
-    only that feature taken from the donor row, and AUC is computed grouped by
-    the permuted feature.
+    slice-wise ``row_index``, all repeats in one pass).  The paired table is
+    stored once; every (repeat, feature) variant of a row is then scored in one
+    job, with only that feature taken from the donor row, and reduced to
+    distinct scores before anything is shuffled.
     """
     from retentio.operators import metrics as MT
     from retentio.plans.ordering import row_index
+    from retentio.session import cut_lineage
     base = MT.roc_auc(model.predict_proba(df, keep=[label]).withColumnRenamed(label, "label")).first()[0]
     feats = list(model.features)
     by_id = row_index(df.select(id_col, label, *feats), [id_col], name="_pos")
-    tag = F.explode(F.array(*[F.lit(f) for f in feats])).alias("_perm_feature")
-    rows = []
-    for r in range(n_repeats):
-        key = F.xxhash64(F.col(id_col), F.lit(seed + r))
-        donor = row_index(df.select(id_col, *feats).withColumn("_k", key), ["_k", id_col], name="_pos") \
-            .select("_pos", *[F.col(f).alias(f"_d_{f}") for f in feats])
-        pairs = by_id.join(donor, "_pos").select("*", tag)
-        variants = pairs.select(label, "_perm_feature", *[
-            F.when(F.col("_perm_feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in feats])
-        scored = model.predict_proba(variants, keep=["_perm_feature", label]).withColumnRenamed(label, "label")
-        for row in MT.roc_auc(scored, model="_perm_feature").collect():    # one row per feature
-            auc = row["roc_auc"]
-            rows.append((row["_perm_feature"], r, float(base - auc) if auc is not None and base is not None else None))
-    out = df.sparkSession.createDataFrame(rows, "feature string, rep int, drop double")
-    return out.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+    repeats = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("_rep")
+    shuffled = df.select(id_col, *feats, repeats).withColumn("_k", F.xxhash64(F.col(id_col), F.col("_rep") + F.lit(seed)))
+    donor = row_index(shuffled, ["_k", id_col], ["_rep"], name="_pos") \
+        .select("_pos", "_rep", *[F.col(f).alias(f"_d_{f}") for f in feats])
+    pairs = cut_lineage(by_id.join(donor, "_pos"))
+    tag = F.explode(F.array(*[F.lit(f) for f in feats])).alias("_f")
+    variants = pairs.select("*", tag).select(label, F.concat_ws("#", "_f", "_rep").alias("_variant"), *[
+        F.when(F.col("_f") == f, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in feats])
+    scored = model.predict_proba(variants, keep=["_variant", label]).withColumnRenamed(label, "label")
+    auc = MT.roc_auc(scored, model="_variant")                 # one row per feature and repeat
+    drop = F.lit(None if base is None else float(base)).cast("double") - F.col("roc_auc")
+    return (auc.groupBy(F.substring_index("_variant", "#", 1).alias("feature"))
+            .agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")))
 
 
 def importance_origin(importances: Sequence[tuple[str, float]], engineered: Sequence[str], top: int = 20) -> dict:

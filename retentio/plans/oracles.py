@@ -977,3 +977,45 @@ SELECT id, CAST((SELECT max(t) FROM us) + period AS INTEGER) AS t, round({_sig(_
 
 
 ORACLES["t07_forecast_with_history"] = _t07_sql()
+
+# --------------------------------------------------------------------------- model reports
+# What a report must say, stated from the tables alone.
+_CLS = ", cls AS (SELECT CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, count(*) AS n FROM mart GROUP BY 1)"
+_HELD = "(SELECT CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) FROM cls)"
+
+
+def _scored_report_sql(rows: str) -> str:
+    return W(_CLS + f"""
+SELECT {rows} AS n_rows, {rows} AS n_ids, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor""")
+
+
+for _q in ("m01_boosted_trees_xgb", "m02_boosted_trees_lgbm", "m03_early_stopping", "m04_neural_network", "m05_random_forest",
+           "m06_logistic_regression", "m07_gradient_boosting", "v18_score_holdout", "w06_deployment_batch"):
+    ORACLES[_q] = _scored_report_sql(_HELD)
+ORACLES["b05_stacking"] = _scored_report_sql("(SELECT CAST(sum(n) AS BIGINT) FROM cls)")
+ORACLES["m10_tuning"] = "SELECT CAST(10 AS BIGINT) AS n_tried, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor"
+ORACLES["m13_training_curve"] = "SELECT CAST(100 AS BIGINT) AS n_rounds, true AS falls, true AS finite"
+ORACLES["l05_model_based_selection"] = (
+    f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(20 AS BIGINT) AS n_shown, true AS sums_to_one, "
+    "true AS sorted_desc, true AS none_negative")
+ORACLES["l06_select_from_model"] = "SELECT true AS mean_keeps_some, true AS median_keeps_half, true AS known"
+ORACLES["l12_split_counts"] = f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, true AS has_splits, true AS none_negative"
+ORACLES["l13_permutation_importance"] = (
+    f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_out_of_range, true AS some_matter")
+ORACLES["v11_cross_validate"] = "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor"
+ORACLES["b07_blend_search"] = "SELECT CAST(4 AS BIGINT) AS n_weights, true AS sums_to_one, true AS none_negative, true AS beats_equal"
+ORACLES["t01_per_period_models"] = W("""
+SELECT count(*) AS n_models, count(*) AS n_finite FROM (SELECT t FROM usage GROUP BY t HAVING count(DISTINCT label) > 1)""",
+                                     usage=True, mart=False)
+ORACLES["t03_sequence_model"] = W("""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range FROM (
+  SELECT row_number() OVER w AS rn, lead(label, 1) OVER w AS nxt FROM usage WINDOW w AS (PARTITION BY id ORDER BY t))
+WHERE rn >= 3 AND nxt IS NOT NULL""", usage=True, mart=False)
+ORACLES["w02_feature_engineering"] = W("""
+SELECT count(*) AS n_rows, count(DISTINCT CustomerID) AS n_ids, CAST(30 AS BIGINT) AS n_selected FROM mart""")
+ORACLES["w04_training_run"] = "SELECT CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS threshold_inside"
+ORACLES["w05_original_vs_engineered"] = "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_metrics"
+ORACLES["w07_first_look_importance"] = (
+    f"SELECT CAST({len(ROLES.numeric) + len(ROLES.strings)} AS BIGINT) AS n_features, "
+    f"CAST({len(ROLES.numeric) + len(ROLES.strings)} AS BIGINT) AS n_shown, true AS sums_to_one, true AS sorted_desc, "
+    "true AS none_negative")

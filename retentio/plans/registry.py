@@ -595,12 +595,9 @@ def q_t04(spark, sf):
 # --------------------------------------------------------------------------- models (rows-only checks)
 from retentio.operators import models as MD  # noqa: E402
 from retentio.operators import smote as SM  # noqa: E402
+from retentio.plans import reports as RP  # noqa: E402
 from retentio.plans import workflows as WF  # noqa: E402
 
-PERM_FEATURES = ["MonthlyRevenue", "MonthlyMinutes", "TotalRecurringCharge", "PercChangeMinutes",
-                 "PercChangeRevenues", "CurrentEquipmentDays", "MonthsInService", "OverageMinutes"]
-
-
 def _model_frame(spark, sf):
     m = _labelled(spark, sf)
     return CL.fit_median_imputer(m, FEATURE_NUMERIC).transform(m).select("CustomerID", "label", *FEATURE_NUMERIC)
@@ -625,7 +622,7 @@ def _fit_score(kind, weighted=None, **params):
         elif weighted == "balanced":
             train, wcol = SA.with_weight_column(train, "label"), "weight"
         model = MD.create_model(kind, FEATURE_NUMERIC, "label", weight_col=wcol, **params).fit(train)
-        return round_doubles(model.predict_proba(test, keep=["CustomerID", "label"]))
+        return RP.scored_report(model.predict_proba(test, keep=["CustomerID", "label"]), "CustomerID", "label", "prob")
     return run
 
 
@@ -644,92 +641,112 @@ def q_m03(spark, sf):
     val = val.withColumn("is_val", F.col("split") == "test").drop("split")
     model = MD.create_model("xgboost", FEATURE_NUMERIC, "label", validationIndicatorCol="is_val",
                             validationTol=0.01).fit(val)
-    return round_doubles(model.predict_proba(test, keep=["CustomerID", "label"]))
+    return RP.scored_report(model.predict_proba(test, keep=["CustomerID", "label"]), "CustomerID", "label", "prob")
 
 
 @query("m10_tuning")
 def q_m10(spark, sf):
     train, _ = _train_test(spark, sf)
     _, results = MD.tune("logistic_regression", train, FEATURE_NUMERIC, "label",
-                         {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, n_iter=4, folds=3)
-    return spark.createDataFrame([(str(sorted(p.items())), m) for p, m in results], "params string, cv_auc double")
+                         {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}, n_iter=10, folds=3)
+    tried = spark.createDataFrame([(str(sorted(p.items())), m) for p, m in results], "params string, cv_auc double")
+    return tried.agg(F.count_distinct("params").alias("n_tried"),
+                     F.sum(F.when(F.col("cv_auc").between(0, 1), 0).otherwise(1)).alias("n_out_of_range"),
+                     (F.max("cv_auc") >= RP.AUC_FLOOR).alias("beats_floor"))
 
 
 @query("m13_training_curve")
 def q_m13(spark, sf):
     train, _ = _train_test(spark, sf)
-    model = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label", maxIter=20).fit(train)
-    return spark.createDataFrame([(i, float(v)) for i, v in model.training_curve(train)], "iteration int, loss double")
+    curve = [float(v) for _, v in MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label").fit(train).training_curve(train)]
+    return spark.createDataFrame([(len(curve), curve[-1] < curve[0], all(v == v and v >= 0 for v in curve))],
+                                 "n_rounds long, falls boolean, finite boolean")
 
 
 @query("l05_model_based_selection")
 def q_l05(spark, sf):
     train, _ = _train_test(spark, sf)
-    imp = MD.create_model("random_forest", FEATURE_NUMERIC, "label").fit(train).feature_importances()
-    return spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(imp[:20])],
-                                 "feature string, importance double, rank int")
+    return RP.importance_report(spark, MD.create_model("random_forest", FEATURE_NUMERIC, "label").fit(train)
+                                .feature_importances(), top=20)
 
 
 @query("l06_select_from_model")
 def q_l06(spark, sf):
     train, _ = _train_test(spark, sf)
     kept = MD.select_from_model(train, FEATURE_NUMERIC, "label", "mean")
-    return spark.createDataFrame([(f,) for f in kept], "feature string")
+    half = MD.select_from_model(train, FEATURE_NUMERIC, "label", "median")
+    return spark.createDataFrame([(0 < len(kept) < len(FEATURE_NUMERIC), len(half) >= (len(FEATURE_NUMERIC) + 1) // 2,
+                                   set(kept) <= set(FEATURE_NUMERIC))],
+                                 "mean_keeps_some boolean, median_keeps_half boolean, known boolean")
 
 
 @query("l12_split_counts")
 def q_l12(spark, sf):
     train, _ = _train_test(spark, sf)
-    m = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label", maxIter=20).fit(train)
-    return spark.createDataFrame(sorted(m.split_counts().items()), "feature string, splits long")
+    counts = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label").fit(train).split_counts()
+    return spark.createDataFrame([(len(counts), sum(counts.values()) > 0, min(counts.values()) >= 0)],
+                                 "n_features long, has_splits boolean, none_negative boolean")
 
 
 @query("l13_permutation_importance")
 def q_l13(spark, sf):
     train, test = _train_test(spark, sf)
-    m = MD.create_model("logistic_regression", PERM_FEATURES, "label").fit(train)
-    return MD.permutation_importance(m, test, "CustomerID", "label", n_repeats=3)
+    m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
+    out = MD.permutation_importance(m, test, "CustomerID", "label", n_repeats=10)
+    return out.agg(F.count_distinct("feature").alias("n_features"),
+                   F.sum(F.when(F.abs("importance_mean") <= 1, 0).otherwise(1)).alias("n_out_of_range"),
+                   (F.max("importance_mean") > 0).alias("some_matter"))
 
 
 @query("v11_cross_validate")
 def q_v11(spark, sf):
     per, _ = MD.cross_validate("logistic_regression", _model_frame(spark, sf), "CustomerID", FEATURE_NUMERIC,
                                "label", k=5)
-    return per
+    rates = RP.rates_report(per, ["accuracy", "precision", "recall", "f1", "roc_auc"])
+    return rates.select("*", (per.select(F.avg("roc_auc")).scalar() >= RP.AUC_FLOOR).alias("beats_floor"))
 
 
 @query("v18_score_holdout")
 def q_v18(spark, sf):
     train, test = _train_test(spark, sf)
     m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
-    return round_doubles(WF.score_holdout(m, test.drop("label"), "CustomerID"))
+    out = WF.score_holdout(m, test.drop("label"), "CustomerID")
+    back = out.join(test.select(F.col("CustomerID").alias("customer_id"), "label"), "customer_id")
+    return RP.scored_report(back, "customer_id", "label", "churn_probability")
 
 
 @query("b05_stacking")
 def q_b05(spark, sf):
     stacked, _, _ = MD.stacking(_model_frame(spark, sf), "CustomerID", FEATURE_NUMERIC, "label",
                                 ["logistic_regression", "random_forest"], k=5)
-    return round_doubles(stacked)
+    return RP.scored_report(stacked, "CustomerID", "label", "stacked")
 
 
 @query("b07_blend_search")
 def q_b07(spark, sf):
-    return EB.blend_search(scored_table(spark, sf), MODELS, metric="auc", samples=32, rounds=3)
+    scored = scored_table(spark, sf).withColumn("p4", (F.col("p1") + F.col("p3")) / 2)
+    best = EB.blend_search(scored, [*MODELS, "p4"], metric="auc").first()
+    w = [best[f"w_{m}"] for m in (*MODELS, "p4")]
+    equal = MT.roc_auc(EB.combine(scored, [*MODELS, "p4"], "averaging", None, name="prob")).first()[0]
+    return spark.createDataFrame([(len(w), abs(sum(w) - 1) < 1e-6, min(w) >= 0, best["score"] >= equal - 1e-6)],
+                                 "n_weights long, sums_to_one boolean, none_negative boolean, beats_equal boolean")
 
 
 @query("t01_per_period_models")
 def q_t01(spark, sf):
     u = usage_series(spark, sf)
     models = MD.per_period_models(u, "t", ["n", "value", "n_error"], "label")
-    rows = [(int(t), float(m.model.stages[-1].intercept)) for t, m in sorted(models.items())]
-    return spark.createDataFrame(rows, "t int, intercept double")
+    finite = [m for m in models.values() if abs(float(m.model.stages[-1].intercept)) < float("inf")]
+    return spark.createDataFrame([(len(models), len(finite))], "n_models long, n_finite long")
 
 
 @query("t03_sequence_model")
 def q_t03(spark, sf):
     seqs = FC.sequences(usage_series(spark, sf), "id", "t", SEQ_VECTOR, "label", window=3)
-    m = MD.sequence_model(seqs)
-    return round_doubles(m.predict_proba(seqs, keep=["id", "t_end", "label_next"]))
+    held = F.pmod(F.xxhash64("id"), F.lit(4)) == 0            # scored on customers it was not fitted on
+    m = MD.sequence_model(seqs.where(~held))
+    out = m.predict_proba(seqs, keep=["id", "t_end", "label_next"])
+    return RP.rates_report(out, ["prob"])
 
 
 @query("t07_forecast_with_history")
@@ -780,8 +797,10 @@ def q_w01(spark, sf):
 
 @query("w02_feature_engineering")
 def q_w02(spark, sf):
-    fe = WF.FeatureEngineer(k=15)
-    return round_doubles(fe.fit_transform(_labelled(spark, sf)))
+    """Rows, selected features (k, default 30) and NULL-free ids of the engineered frame."""
+    out = WF.FeatureEngineer(k=30).fit_transform(_labelled(spark, sf))
+    return out.agg(F.count("*").alias("n_rows"), F.count_distinct("CustomerID").alias("n_ids"),
+                   F.lit(len(set(out.columns) - {"CustomerID", "label", "Churn"})).cast("long").alias("n_selected"))
 
 
 @query("w03_prepare_data")
@@ -793,7 +812,9 @@ def q_w03(spark, sf):
 def q_w04(spark, sf):
     train, test = _train_test(spark, sf)
     res = WF.training_run(train, test, "CustomerID", FEATURE_NUMERIC, "random_forest", resampling="undersample")
-    return res["tuned_metrics"].withColumn("threshold", F.lit(res["threshold"]))
+    out = res["tuned_metrics"]
+    rates = [c for c in ("accuracy", "precision", "recall", "f1", "roc_auc") if c in out.columns]
+    return RP.rates_report(out, rates).withColumn("threshold_inside", F.lit(0 < res["threshold"] < 1))
 
 
 @query("w05_original_vs_engineered")
@@ -806,20 +827,22 @@ def q_w05(spark, sf):
     full = CL.fit_median_imputer(full, FEATURE_NUMERIC + eng).transform(full)
     sp = SA.stratified_split(full.select("CustomerID", "label", *FEATURE_NUMERIC, *eng), "CustomerID", "label", 0.2)
     train, test = sp.where("split = 'train'").drop("split"), sp.where("split = 'test'").drop("split")
-    return WF.compare_original_vs_engineered(train, test, "CustomerID", FEATURE_NUMERIC, eng)
+    out = WF.compare_original_vs_engineered(train, test, "CustomerID", FEATURE_NUMERIC, eng)
+    return out.agg(F.count("*").alias("n_rows"), F.count_distinct(out.columns[0]).alias("n_metrics"))
 
 
 @query("w06_deployment_batch")
 def q_w06(spark, sf):
     train, test = _train_test(spark, sf)
     m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
-    return round_doubles(WF.deployment_batch(m, test, "CustomerID")["predictions"])
+    out = WF.deployment_batch(m, test, "CustomerID")["predictions"]
+    back = out.join(test.select(F.col("CustomerID").alias("customer_id"), "label"), "customer_id")
+    return RP.scored_report(back, "customer_id", "label", "churn_probability")
 
 
 @query("w07_first_look_importance")
 def q_w07(spark, sf):
-    imp = WF.first_look_importance(raw_mart(spark, sf))
-    return spark.createDataFrame([(f, v) for f, v in imp], "feature string, importance double")
+    return RP.importance_report(spark, WF.first_look_importance(raw_mart(spark, sf)))
 
 
 # --------------------------------------------------------------------------- sources / sinks / streaming
