@@ -71,6 +71,7 @@ def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int, divi
                  .select("_doc", "c.no", "c.key"), "chunk-keys")
     first = (keys.groupBy("key").agg(F.min(F.struct("_doc", "no")).alias("first"), F.count("*").alias("n"))
              .filter("n > 1").select("key", "first"))
+    first = stage(first, "repeated-chunks")    # two stored sides: Spark may split a hot key of the join
     # every place of a repeated chunk, the first marked
     places = (keys.join(first, "key")
               .select("_doc", F.struct("no", "key", (F.struct("_doc", "no") == F.col("first")).alias("first")).alias("c"))
