@@ -6,10 +6,10 @@ third of all pages is one row per distinct template after the map side:
 
 1. variable segments (numbers, hexadecimal ids, very long names) become typed
    wildcards;
-2. level by level, where a node has more than ``max_children`` different literal
+2. level by level down to the longest path, where a node has more than ``max_children`` different literal
    children, those with less than ``1 / max_children`` of its pages become one
    ``*`` child (names a site generates, not sections it has);
-3. sibling branches (templates that differ in one literal segment) whose
+3. from the leaves up, sibling branches (templates that differ in one literal segment) whose
    labelled block rates do not differ significantly from their pooled rate
    are merged: they share one labelled count.
 
@@ -72,15 +72,25 @@ def _wild(s: Column) -> Column:
     return s.rlike(r"^(\*|\{[nhs]\})")
 
 
-def templates(counts: DataFrame, max_children: int = 50, max_depth: int = 4) -> DataFrame:
+def _depths(t: DataFrame, column: str, least: int, same_length: bool = False) -> list[int]:
+    """Levels at which some host has at least ``least`` different segments that are not wild: no
+    other level can hold a node with so many literal children, whatever is merged above it."""
+    keys = ["host", "_at", *(["_size"] if same_length else [])]
+    seen = (t.select("host", F.size(column).alias("_size"), F.posexplode(column).alias("_at", "_here"))
+            .filter(~_wild(F.col("_here"))).select(*keys, "_here").distinct())
+    levels = seen.groupBy(*keys).count().filter(F.col("count") >= least).select("_at").distinct()
+    return sorted(r["_at"] for r in levels.collect())
+
+
+def templates(counts: DataFrame, max_children: int = 50) -> DataFrame:
     """``leaf`` (typed segments) -> ``template`` per host with fan-out wildcards.
 
-    ``counts`` has one row per (host, leaf).  Levels below ``max_depth`` keep
-    their typed segments."""
+    ``counts`` has one row per (host, leaf).  Every level of the longest path that
+    can hold a wide node is generalised, from the top down."""
     t = counts.withColumn("template", F.col("leaf"))
-    for d in range(max_depth):
+    for d in _depths(t, "template", max_children + 1):
         here = F.get(F.col("template"), F.lit(d))
-        prefix = F.concat_ws("/", F.slice(F.col("template"), 1, d)) if d else F.lit("")
+        prefix = F.slice(F.col("template"), 1, d)
         t = t.withColumn("_prefix", prefix).withColumn("_here", here)
         literal = F.col("_here").isNotNull() & ~_wild(F.col("_here"))
         children = t.filter(literal).groupBy("host", "_prefix", "_here").agg(F.sum("n").alias("_n"))
@@ -97,24 +107,30 @@ def templates(counts: DataFrame, max_children: int = 50, max_depth: int = 4) ->
 
 
 def merge_branches(t: DataFrame, z: float = 1.96) -> DataFrame:
-    """Adds ``branch``: the template, with its first literal segment wild where its
-    labelled block rate lies within ``z`` standard errors of the pooled siblings'."""
-    first = F.array_position(F.transform("template", lambda s: ~_wild(s) & (s != "")), True)
+    """(host, template, labelled, blocked, branch).  From the leaves up, a literal segment of
+    ``branch`` becomes ``~`` where the branch's labelled block rate lies within ``z`` standard
+    errors of its pooled siblings'."""
     per = (t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-           .withColumn("_at", first)
-           .withColumn("pooled", F.transform("template", lambda s, i: F.when(i + 1 == F.col("_at"), F.lit("~")).otherwise(s))))
-    pool = per.groupBy("host", "pooled").agg(F.sum("labelled").alias("_n"), F.sum("blocked").alias("_b"))
-    rate, pool_rate = F.try_divide("blocked", "labelled"), F.try_divide("_b", "_n")
-    error = F.sqrt(F.try_divide(pool_rate * (1 - pool_rate), F.col("labelled")))
-    similar = (F.col("labelled") > 0) & (F.abs(rate - pool_rate) <= z * error)
-    return (per.join(pool, ["host", "pooled"])
-            .select("host", "template", "labelled", "blocked",
-                    F.when(F.coalesce(similar, F.lit(False)), F.col("pooled")).otherwise(F.col("template")).alias("branch")))
+           .withColumn("branch", F.col("template")))
+    for d in reversed(_depths(per, "template", 2, same_length=True)):
+        pooled = F.transform("branch", lambda s, i: F.when(i == d, F.lit("~")).otherwise(s))
+        each = (per.groupBy("host", "branch").agg(F.sum("labelled").alias("_l"), F.sum("blocked").alias("_c"))
+                .withColumn("_here", F.get(F.col("branch"), F.lit(d)))
+                .filter(~_wild(F.col("_here")) & ~F.col("_here").isin("", "~")).withColumn("pooled", pooled))
+        pool = each.groupBy("host", "pooled").agg(F.sum("_l").alias("_n"), F.sum("_c").alias("_b"))
+        rate, pool_rate = F.try_divide("_c", "_l"), F.try_divide("_b", "_n")
+        error = F.sqrt(F.try_divide(pool_rate * (1 - pool_rate), F.col("_l")))
+        moved = (each.join(pool, ["host", "pooled"]).filter(F.abs(rate - pool_rate) <= z * error)
+                 .select("host", "branch", "pooled"))
+        per = (per.join(moved, ["host", "branch"], "left")
+               .select("host", "template", "labelled", "blocked", F.coalesce("pooled", "branch").alias("branch")))
+        per = stage(per, "branches")
+    return per
 
 
 def template_verdicts(t: DataFrame, threshold: float = 0.9, min_labels: int = 20, strength: float = 10.0) -> DataFrame:
     """(host, template, n_labelled, purity, rejected) with hierarchical smoothing."""
-    merged = stage(merge_branches(t), "branches")
+    merged = merge_branches(t)
     total = t.agg(F.try_divide(F.sum("blocked"), F.sum("labelled")).alias("r"))
     base = F.coalesce(total.scalar(), F.lit(0.0))
     host = (t.groupBy("host").agg(F.sum("labelled").alias("_hn"), F.sum("blocked").alias("_hb"))

@@ -255,6 +255,27 @@ def test_template_tree(spark):
     for u in ("http://shop.test/about/3", "http://other.test/item/5", "http://mix.test/a/2", "http://shop.test/item/1/2"):
         assert by_url[u]["verdict"] == "allow", u
 
+def test_template_tree_deep_paths(spark):
+    """Wide levels and sibling branches below the fourth segment are generalised too."""
+    rows = []
+    for k in range(60):
+        name = chr(97 + k % 26) + chr(97 + k // 26)
+        rows += [(f"http://deep.test/2024/05/12/a/news/slug{name}", 1),
+                 (f"http://deep.test/2024/05/12/a/help/topics/page{name}/x", 0)]
+    rows += [("http://deep.test/2024/05/12/a/news/slugnew", None), ("http://deep.test/2024/05/12/a/help/topics/pagenew/x", None)]
+    rows += [(f"http://late.test/en/p/q/r/s/{u}/promo", 1) for u in "abcdefgh" for _ in range(6)]
+    rows += [(f"http://late.test/en/p/q/r/s/{u}/about", 0) for u in "abcdefgh" for _ in range(6)]
+    df = spark.createDataFrame([(i, u, y) for i, (u, y) in enumerate(rows)], "page_id long, url string, label int")
+    got = {u: r for (u, _), r in zip(rows, sorted(url_filter.judge(df, (), label_col="label", max_children=40).collect(),
+                                                  key=lambda r: r["page_id"]))}
+    assert got["http://deep.test/2024/05/12/a/news/slugnew"]["template"] == "/{n}/{n}/{n}/a/news/*"
+    assert got["http://deep.test/2024/05/12/a/news/slugnew"]["verdict"] == "block"
+    assert got["http://deep.test/2024/05/12/a/help/topics/pagenew/x"]["template"] == "/{n}/{n}/{n}/a/help/topics/*/x"
+    assert got["http://deep.test/2024/05/12/a/help/topics/pagenew/x"]["verdict"] == "allow"
+    for user in "abcdefgh":                                # 6 labels each, 48 in the branch /en/p/q/r/s/~/promo
+        promo, about = got[f"http://late.test/en/p/q/r/s/{user}/promo"], got[f"http://late.test/en/p/q/r/s/{user}/about"]
+        assert (promo["n_labelled"], promo["verdict"]) == (48, "block") and (about["n_labelled"], about["verdict"]) == (48, "allow")
+
 
 # ---- pipeline
 
