@@ -9,14 +9,16 @@ third of all pages is one row per distinct template after the map side:
 2. level by level down to the longest path, where a node has more than ``max_children`` different literal
    children, those with less than ``1 / max_children`` of its pages become one
    ``*`` child (names a site generates, not sections it has);
-3. from the leaves up, sibling branches (templates that differ in one literal segment) whose
-   labelled block rates do not differ significantly from their pooled rate
-   are merged: they share one labelled count.
-
-The labelled purity of a merged template is its block rate smoothed towards
-the host's, which is smoothed towards the global one; a template with at
-least ``min_labels`` labelled pages and a purity of ``threshold`` or more is
-rejected.  Labels are the verdicts of the rules (or a ``label`` column given
+3. from the leaves up, sibling branches (templates that differ in one literal
+   segment) whose labelled block rates do not differ significantly from their
+   pooled rate are merged: they share one labelled count.  A branch without
+   labels joins siblings that all agree.
+
+The purity of a template is the block rate of its branch smoothed towards the
+nodes above it, theirs towards the host's and that towards the global one; a
+template with few or no labels so takes its purity from the tree.  It is
+rejected if that purity is ``threshold`` or more and some level it comes from
+has ``min_labels`` labelled pages.  Labels are the verdicts of the rules (or a ``label`` column given
 by the caller: 1 block, 0 allow, NULL unknown).
 
 Defined results: a NULL url or one without ``://`` has the empty host and
@@ -109,7 +111,7 @@ def templates(counts: DataFrame, max_children: int = 50) -> DataFrame:
 def merge_branches(t: DataFrame, z: float = 1.96) -> DataFrame:
     """(host, template, labelled, blocked, branch).  From the leaves up, a literal segment of
     ``branch`` becomes ``~`` where the branch's labelled block rate lies within ``z`` standard
-    errors of its pooled siblings'."""
+    errors of its pooled siblings'; a branch without labels joins siblings that all agree."""
     per = (t.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
            .withColumn("branch", F.col("template")))
     for d in reversed(_depths(per, "template", 2, same_length=True)):
@@ -120,7 +122,9 @@ def merge_branches(t: DataFrame, z: float = 1.96) -> DataFrame:
         pool = each.groupBy("host", "pooled").agg(F.sum("_l").alias("_n"), F.sum("_c").alias("_b"))
         rate, pool_rate = F.try_divide("_c", "_l"), F.try_divide("_b", "_n")
         error = F.sqrt(F.try_divide(pool_rate * (1 - pool_rate), F.col("_l")))
-        moved = (each.join(pool, ["host", "pooled"]).filter(F.abs(rate - pool_rate) <= z * error)
+        tested = each.join(pool, ["host", "pooled"]).withColumn("similar", F.abs(rate - pool_rate) <= z * error)
+        agree = tested.groupBy("host", "pooled").agg(F.bool_and("similar").alias("agree"))      # NULL: no labels at all
+        moved = (tested.join(agree, ["host", "pooled"]).filter(F.coalesce("similar", "agree", F.lit(False)))
                  .select("host", "branch", "pooled"))
         per = (per.join(moved, ["host", "branch"], "left")
                .select("host", "template", "labelled", "blocked", F.coalesce("pooled", "branch").alias("branch")))
@@ -129,18 +133,34 @@ def merge_branches(t: DataFrame, z: float = 1.96) -> DataFrame:
 
 
 def template_verdicts(t: DataFrame, threshold: float = 0.9, min_labels: int = 20, strength: float = 10.0) -> DataFrame:
-    """(host, template, n_labelled, purity, rejected) with hierarchical smoothing."""
-    merged = merge_branches(t)
+    """(host, template, n_labelled, purity, rejected) with hierarchical smoothing.
+
+    The levels of a template are its host, the nodes above it (templates of as many segments
+    under one prefix) and its branch.  Each level's block rate is smoothed towards the one
+    above, the host's towards the global one.  ``n_labelled`` is the count of the lowest level
+    with ``min_labels`` labelled pages, and of the branch if no level has as many."""
+    merged = stage(merge_branches(t), "merged")
     total = t.agg(F.try_divide(F.sum("blocked"), F.sum("labelled")).alias("r"))
     base = F.coalesce(total.scalar(), F.lit(0.0))
-    host = (t.groupBy("host").agg(F.sum("labelled").alias("_hn"), F.sum("blocked").alias("_hb"))
-            .select("host", ((F.col("_hb") + strength * base) / (F.col("_hn") + strength)).alias("_prior")))
-    branch = merged.groupBy("host", "branch").agg(F.sum("labelled").alias("_n"), F.sum("blocked").alias("_b"))
-    scored = (branch.join(host, "host")
-              .withColumn("purity", (F.col("_b") + strength * F.col("_prior")) / (F.col("_n") + strength)))
-    return (merged.join(scored, ["host", "branch"])
-            .select("host", "template", F.col("_n").alias("n_labelled"), "purity",
-                    ((F.col("_n") >= min_labels) & (F.col("purity") >= threshold)).alias("rejected")))
+    sums = [F.sum("labelled").alias("_n"), F.sum("blocked").alias("_b")]
+    host = merged.groupBy("host").agg(*sums).select("host", F.struct(F.lit(-1).alias("k"), "_n", "_b").alias("_top"))
+    branch = merged.groupBy("host", "branch").agg(*sums).select(
+        "host", "branch", F.struct(F.lit(1 << 30).alias("k"), "_n", "_b").alias("_own"))
+    above = (merged.withColumn("_size", F.size("template"))
+             .withColumn("_k", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_size") - 1, F.lit(0)))))
+             .withColumn("_prefix", F.slice(F.col("template"), 1, F.col("_k"))))
+    node = above.groupBy("host", "_size", "_prefix").agg(*sums).filter(F.col("_n") > 0)
+    nodes = (above.join(node, ["host", "_size", "_prefix"]).groupBy("host", "template")
+             .agg(F.sort_array(F.collect_list(F.struct(F.col("_k").alias("k"), "_n", "_b"))).alias("_nodes")))
+    levels = F.concat(F.array("_top"), F.coalesce("_nodes", F.array().cast("array<struct<k:int,_n:bigint,_b:bigint>>")),
+                      F.array("_own"))
+    purity = F.aggregate("_levels", F.col("_base"), lambda p, x: (x["_b"] + strength * p) / (x["_n"] + strength))
+    enough = F.try_element_at(F.filter("_levels", lambda x: x["_n"] >= min_labels), F.lit(-1))["_n"]
+    scored = (merged.join(host, "host").join(branch, ["host", "branch"]).join(nodes, ["host", "template"], "left")
+              .withColumn("_levels", levels).withColumn("_base", base)
+              .withColumn("purity", purity).withColumn("_enough", enough))
+    return scored.select("host", "template", F.coalesce("_enough", "_own._n").alias("n_labelled"), "purity",
+                         (F.col("_enough").isNotNull() & (F.col("purity") >= threshold)).alias("rejected"))
 
 
 def judge(pages: DataFrame, rules=QUERY_RULES, id_col: str = "page_id", url_col: str = "url",

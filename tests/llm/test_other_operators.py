@@ -277,6 +277,33 @@ def test_template_tree_deep_paths(spark):
         assert (promo["n_labelled"], promo["verdict"]) == (48, "block") and (about["n_labelled"], about["verdict"]) == (48, "allow")
 
 
+def test_template_without_labels_takes_purity_from_the_tree(spark):
+    """Pooled siblings, then the nodes above, then the host; the evidence limit holds at that level."""
+    rows = [(f"http://a.test/s/{w}/x", 1) for w in ("aa", "bb", "cc") for _ in range(10)]
+    rows += [("http://a.test/s/dd/x", None), ("http://few.test/s/aa/x", 1), ("http://few.test/s/bb/x", None)]
+    rows += [("http://up.test/bad/%s/%d" % (w, k), 1) for w in ("aa", "bb") for k in range(30)]
+    rows += [("http://up.test/good/cc/%d" % k, 0) for k in range(60)]
+    rows += [("http://up.test/bad/zz/page", None), ("http://up.test/good/zz/page", None), ("http://up.test/other", None)]
+    rows += [("http://up.test/bad/mine/1", 0)] * 8
+    df = spark.createDataFrame([(i, u, y) for i, (u, y) in enumerate(rows)], "page_id long, url string, label int")
+    got = {u: r for (u, _), r in zip(rows, sorted(url_filter.judge(df, (), label_col="label").collect(),
+                                                  key=lambda r: r["page_id"]))}
+    assert (got["http://a.test/s/dd/x"]["n_labelled"], got["http://a.test/s/dd/x"]["verdict"]) == (30, "block")
+    assert (got["http://few.test/s/bb/x"]["n_labelled"], got["http://few.test/s/bb/x"]["verdict"]) == (1, "allow")
+    assert got["http://up.test/good/zz/page"]["verdict"] == "allow"
+    assert got["http://up.test/other"]["verdict"] == "allow"          # the host's pages are mixed
+    assert got["http://up.test/bad/mine/1"]["verdict"] == "allow"     # its own few labels count
+
+
+def test_url_query_blocks_unruled_pages(spark, tmp_path):
+    urls = [f"http://spam.example.com/de/{k}" for k in range(40)] + ["http://spam.example.com/en/1", "http://ham.example.com/en/1"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {urls[r["page_id"]]: r for r in url_filter.query(spark, str(tmp_path)).collect()}
+    spam = got["http://spam.example.com/en/1"]
+    assert (spam["rule"], spam["verdict"], spam["n_labelled"]) == (None, "block", 40)
+    assert got["http://ham.example.com/en/1"]["verdict"] == "allow"
+
+
 # ---- pipeline
 
 def test_pipeline_stages(spark, sf):
