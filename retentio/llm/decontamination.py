@@ -13,9 +13,10 @@ An item is found in a document if some passage is within
    among the 3n written ones.
 3. *Bit-sampling LSH.*  Each of R repetitions draws new bits and samples
    ``samples`` places; a window whose samples equal the item's is a candidate.
-   The share of such collisions at the largest allowed number of edits is
-   measured on edited copies of the items, and R is chosen from it so that a
-   window is found with probability ``recall``.
+   Collisions at the largest allowed number of edits are measured for each item
+   length on edited copies of the items, with the windows of step 1, and R is
+   chosen for the length so that a passage is found with probability ``recall``.
+   A length that needs more than ``max_repeats`` has all its windows verified.
 4. *Exact verification.*  The word edit distance between the item and the best
    passage around the window.
 
@@ -42,6 +43,9 @@ from retentio.llm.common import list_values, mix64, table, window_hashes
 
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 
+# Measuring the repetitions: edited copies a length, seeds a copy
+COPIES, SEEDS = 40, 32
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -62,15 +66,22 @@ def allowed_edits(n: int, similarity: float) -> int:
     return int((1 - similarity) * n + 1e-9)
 
 
-def embed(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, seed: int, steps: int) -> np.ndarray:
-    """(rows, steps) CGK embedding of the words ``codes[begin:begin+n]``; PAD after the last word."""
+def shared_run(n: int, e: int) -> int:
+    """Length of a run of item words that ``e`` edits leave unchanged, 8 at most."""
+    return min(8, max(1, math.ceil((n - e) / (e + 1))))
+
+
+def embed(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, seed, steps: int) -> np.ndarray:
+    """(rows, steps) CGK embedding of the words ``codes[begin:begin+n]``; PAD after the last word.
+    ``seed`` is one number or one a row."""
     out = np.empty((len(begin), steps), np.uint64)
     at = np.zeros(len(begin), np.int64)
     last = len(codes) - 1
+    seeds = np.atleast_1d(np.asarray(seed, np.uint64)) << np.uint64(20)
     for j in range(steps):
         word = np.where(at < n, codes[np.minimum(begin + at, last)], PAD)
         out[:, j] = word
-        salt = mix64(np.array([(seed << 20) + j + 1], np.uint64))[0]
+        salt = mix64(seeds + np.uint64(j + 1))
         at += (mix64(word ^ salt) & np.uint64(1)).astype(np.int64)
     return out
 
@@ -101,14 +112,14 @@ class Block:
     codes: list                                            # one array of word codes per item
     settings: Settings
     runs: dict = field(default_factory=dict)               # run length -> (hashes, item, offset), sorted
-    repeats: int = 0
+    repeats: dict = field(default_factory=dict)            # item length -> repetitions; None: verify all windows
 
     def __post_init__(self):
         by_run: dict[int, list] = {}
         for k, c in enumerate(self.codes):
             n = len(c)
             e = allowed_edits(n, self.settings.similarity)
-            q = min(8, max(1, math.ceil((n - e) / (e + 1))))
+            q = shared_run(n, e)
             h = window_hashes(c, q)
             by_run.setdefault(q, []).append((h, np.full(len(h), k), np.arange(len(h))))
         for q, parts in by_run.items():
@@ -120,31 +131,61 @@ class Block:
         self.n = np.array([len(c) for c in self.codes], np.int64)
         self.begin = np.cumsum(self.n) - self.n
 
-    def _measured_repeats(self) -> int:
-        """Repetitions for the wanted recall, from collisions of items with copies of
-        themselves that carry the largest allowed number of edits."""
+    def _measured_repeats(self) -> dict:
+        """Repetitions for the wanted recall by item length.  Lengths within a few percent share
+        the figure of the one among them with the highest share of edits."""
+        by_length: dict[int, list] = {}
+        for c in self.codes:
+            by_length.setdefault(len(c), []).append(c)
+        edits = {n: allowed_edits(n, self.settings.similarity) for n in by_length}
+        out = {n: 1 for n in by_length if edits[n] == 0}       # equal words have equal embeddings
+        classes: dict[int, list] = {}
+        for n in by_length.keys() - out.keys():
+            classes.setdefault(n if n <= 32 else 32 + int(math.log(n / 32) / math.log(1.08)) + 1, []).append(n)
+        for part in classes.values():
+            hardest = max(part, key=lambda n: (edits[n] / n, n))
+            out.update(dict.fromkeys(part, self._repeats_for(by_length[hardest], edits[hardest])))
+        return out
+
+    def _repeats_for(self, items: list, e: int) -> int | None:
+        """Repetitions that find copies of the items (of one length) with ``e`` edits, in other text,
+        with probability ``recall``; the mean is over the copies, whose rates differ."""
         rng = np.random.default_rng(11)
-        hits = trials = 0
-        for c in self.codes[:200]:
+        rates = []
+        for c in (items[i * len(items) // COPIES] for i in range(COPIES)):
             n = len(c)
-            e = allowed_edits(n, self.settings.similarity)
             edited = c.tolist()
             for _ in range(e):
                 p = int(rng.integers(0, len(edited)))
                 kind = rng.integers(0, 3)
                 edited[p:p + (kind != 1)] = [] if kind == 2 else [int(rng.integers(1, 1 << 62))]
-            both = np.concatenate([c, np.array(edited, np.uint64)])
-            for seed in range(8):
-                s = sampled_places(n, 1000 + seed, self.settings.samples)
-                x = embed(both, np.array([0, n]), np.array([n, min(n, len(edited))]), 1000 + seed, 3 * n)[:, s]
-                hits += bool((x[0] == x[1]).all())
-                trials += 1
-        if not trials:
-            return 1
-        p = max(hits / trials, 1e-3)
-        if p >= 1:
-            return 1
-        return int(min(self.settings.max_repeats, math.ceil(math.log(1 - self.settings.recall) / math.log(1 - p))))
+            around = rng.integers(1, 1 << 62, 2 * n).astype(np.uint64)
+            text = np.concatenate([around[:n], np.array(edited, np.uint64), around[n:]])
+            q = shared_run(n, e)
+            own, h = window_hashes(c, q), window_hashes(text, q)
+            order = np.argsort(own, kind="stable")
+            first = np.searchsorted(own[order], h, "left")
+            count = np.searchsorted(own[order], h, "right") - first
+            pick = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            starts = np.unique(np.repeat(np.arange(len(h)), count) - order[pick])
+            both = np.concatenate([c, text])
+            begin = np.concatenate([[0], n + np.maximum(starts, 0)])
+            size = np.minimum(n, len(both) - begin)
+            hits = 0
+            together = max(1, 8_000_000 // (len(begin) * 3 * n))       # seeds in one walk, bounded in memory
+            for lo in range(1000, 1000 + SEEDS, together):
+                seeds = np.arange(lo, min(lo + together, 1000 + SEEDS))
+                row_seed = np.repeat(seeds, len(begin))
+                x = embed(both, np.tile(begin, len(seeds)), np.tile(size, len(seeds)), row_seed, 3 * n)
+                at = np.stack([sampled_places(n, int(k), self.settings.samples) for k in seeds])
+                x = np.take_along_axis(x, np.repeat(at, len(begin), axis=0), axis=1).reshape(len(seeds), len(begin), -1)
+                hits += int((x[:, 1:] == x[:, :1]).all(axis=2).any(axis=1).sum())
+            rates.append((hits + 0.5) / (SEEDS + 1))
+        miss = 1 - np.array(rates)
+        for r in range(1, self.settings.max_repeats + 1):
+            if (miss ** r).mean() <= 1 - self.settings.recall:
+                return r
+        return None
 
     def search(self, flat: np.ndarray, offsets: np.ndarray):
         """(document row, item, edits, start) of every item found in a batch."""
@@ -182,12 +223,18 @@ class Block:
         begin = np.maximum(starts, offsets[rows])
         n = np.maximum(0, np.minimum(starts + self.n[items], offsets[rows + 1]) - begin)
         hit = np.zeros(len(found), bool)
-        for seed in range(self.repeats):
-            for size in np.unique(self.n[items]):
+        sizes = np.unique(self.n[items]).tolist()
+        for size in sizes:
+            if self.repeats[size] is None:
+                hit |= self.n[items] == size
+        for seed in range(max((self.repeats[size] or 0 for size in sizes), default=0)):
+            for size in sizes:
+                if seed >= (self.repeats[size] or 0):
+                    continue
                 todo = np.flatnonzero(~hit & (self.n[items] == size))
                 if not len(todo):
                     continue
-                s = sampled_places(int(size), seed, self.settings.samples)
+                s = sampled_places(size, seed, self.settings.samples)
                 steps = int(s.max()) + 1
                 own, which = np.unique(items[todo], return_inverse=True)
                 a = embed(self.flat, self.begin[own], self.n[own], seed, steps)[:, s]

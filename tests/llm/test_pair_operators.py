@@ -200,3 +200,27 @@ def test_decontamination_in_blocks_and_stage(spark):
     assert decontamination.find_items(frame(spark, rows), nothing).count() == 0
     assert decontamination.clean_documents(frame(spark, rows), nothing).count() == len(rows)
     assert decontamination.find_items(frame(spark, []), bench).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["short", "long", "mixed"])
+def test_decontamination_recall_at_all_allowed_edits(kind):
+    """More than 200 items of differing lengths, the shortest first, copies with the largest number of edits."""
+    rng = np.random.default_rng(4)
+    sizes = {"short": [3, 4, 5, 10, 15] * 50, "long": [120, 200] * 110, "mixed": [3] * 110 + [4] * 110 + [60, 200] * 60}[kind]
+    codes = [rng.integers(1, 1 << 62, n).astype(np.uint64) for n in sizes]
+    block = decontamination.Block(list(range(len(codes))), codes, decontamination.Settings())
+    texts, planted = [], []
+    for k, c in enumerate(codes):
+        for _ in range(2):
+            w = c.tolist()
+            for _ in range(decontamination.allowed_edits(len(c), 0.8)):
+                p, what = int(rng.integers(0, len(w))), int(rng.integers(0, 3))
+                w[p:p + (what != 1)] = [] if what == 2 else [int(rng.integers(1, 1 << 62))]
+            planted.append((len(texts), k))
+            texts.append(np.concatenate([rng.integers(1, 1 << 62, 40).astype(np.uint64), np.array(w, np.uint64),
+                                         rng.integers(1, 1 << 62, 40).astype(np.uint64)]))
+    got = {(r, k) for r, k, _, _ in block.search(np.concatenate(texts).view(np.int64),
+                                                 np.cumsum([0] + [len(t) for t in texts]))}
+    for size in set(sizes):
+        want = [x for x in planted if sizes[x[1]] == size]
+        assert len(got & set(want)) >= 0.97 * len(want), size
