@@ -7,6 +7,13 @@ bigram count lies within the bounds that the threshold allows: with Dice
 larger one's bigrams, so most pairs are dropped on their sizes alone.  The
 best template of a unit is reported; ties go to the first name.
 
+Passages cover what lies across lines or inside a longer one: windows of as many
+consecutive bigrams as the bounds allow that begin and end with a bigram of the
+template (others cannot score higher).  A window has to hold every bigram of the
+template that has a digit, so that versions agree.  Only texts that hold two thirds
+of a template's bigrams (at a threshold of 0.8) are searched, which loses nothing.
+Of overlapping windows the best stays, and none that overlaps a matching line or text.
+
 Templates are literals of the plan, so their number is checked
 (``MAX_TEMPLATES``).  One narrow pass, no shuffle, DataFrame functions only.
 
@@ -53,6 +60,13 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Versions that only passages are compared with; the SQL covers TEMPLATES and lines and texts
+PASSAGE_TEMPLATES = TEMPLATES | {
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0 header": TEMPLATES["GPL-3.0 header"].replace("version 3", "version 2"),
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+}
+
 
 def template_bigrams(text: str) -> list[str]:
     found = re.findall(r"[^\W_]+", text.lower())
@@ -67,6 +81,58 @@ def bigrams(text: Column) -> Column:
         lambda i: F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i)))))
 
 
+def _all_bigrams(w: Column) -> Column:
+    return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))), lambda i: i < F.size(w)),
+                       lambda i: F.concat(F.get(w, i - 1), F.lit(" "), F.get(w, i)))
+
+
+def passages(text: Column, taken: Column, templates: dict[str, str], threshold: float) -> Column:
+    """Array of (dice, first, last, license): best windows, by bigram, outside the ``taken`` ranges."""
+    sets = {name: template_bigrams(t) for name, t in sorted(templates.items())}
+    sets = {name: grams for name, grams in sets.items() if grams}
+    empty = F.array().cast("array<struct<dice:double,first:int,last:int,license:string>>")
+    if not sets:
+        return empty
+    known = sorted({g for grams in sets.values() for g in grams})
+    forms = F.array(*[F.struct(
+        F.lit(name).alias("name"), F.array(*map(F.lit, grams)).alias("grams"),
+        F.array(*map(F.lit, [g for g in grams if any(c.isdigit() for c in g)])).cast("array<string>").alias("digits"),
+        F.lit(size_bounds(len(grams), threshold)[0]).alias("least"), F.lit(size_bounds(len(grams), threshold)[1]).alias("most"),
+        F.lit(math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)).alias("need")) for name, grams in sets.items()])
+
+    def window(g, t, a, e):
+        return let(F.array_distinct(F.slice(g, a + 1, e - a + 1)), lambda x: F.struct(
+            (2 * F.size(F.array_intersect(x, t["grams"])) / (F.size(x) + F.size(t["grams"]))).alias("dice"),
+            a.alias("first"), e.alias("last"),
+            F.when(F.size(F.array_except(t["digits"], x)) == 0, t["name"]).alias("license")))
+
+    def windows(g, t):
+        places = F.filter(F.sequence(F.lit(0), F.size(g) - 1), lambda i: F.array_contains(t["grams"], F.get(g, i)))
+        found = let(places, lambda p: F.flatten(F.transform(p, lambda a: F.transform(
+            F.filter(p, lambda e: (e >= a + t["least"] - 1) & (e < a + t["most"])), lambda e: window(g, t, a, e)))))
+        return F.filter(found, lambda x: (x["dice"] >= threshold) & x["license"].isNotNull())
+
+    def choose(found):
+        ranked = F.sort_array(F.transform(found, lambda x: F.struct(
+            (-x["dice"]).alias("dice"), x["first"].alias("first"), x["last"].alias("last"), x["license"].alias("license"))))
+        return F.aggregate(ranked, empty, lambda kept, x: F.when(
+            F.exists(F.concat(F.transform(kept, lambda k: F.struct(k["first"].alias("first"), k["last"].alias("last"))), taken),
+                     lambda k: (k["first"] <= x["last"]) & (x["first"] <= k["last"])), kept)
+            .otherwise(F.concat(kept, F.array(x))))
+
+    def search(g):
+        held = F.array_distinct(F.filter(g, lambda b: b.isin(known)))
+        likely = let(held, lambda h: F.filter(forms, lambda t: F.size(F.array_intersect(h, t["grams"])) >= t["need"]))
+        return let(likely, lambda ts: F.when(F.size(ts) > 0, let(
+            F.flatten(F.transform(ts, lambda t: windows(g, t))), choose)).otherwise(empty))
+
+    return let(normal_words(text), lambda w: let(_all_bigrams(w), search))
+
+
+def normal_words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
 def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     """Fewest and most bigrams of a unit that can reach the threshold against ``size`` ones."""
     share = threshold / (2 - threshold)
@@ -75,7 +141,9 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """(id, unit, line_no, license, dice): units that match a template; ``line_no`` is 0 for a whole text."""
+    """(id, unit, line_no, license, dice): units that match a template; ``line_no`` is 0 for a whole text
+    and the line of the first word for a passage."""
+    also = PASSAGE_TEMPLATES if templates is TEMPLATES else templates
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     sets = {name: template_bigrams(text) for name, text in sorted(templates.items())}
@@ -106,7 +174,21 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     found = F.transform(units, lambda u: F.struct(
         u["unit"].alias("unit"), u["line_no"].alias("line_no"),
         F.when(F.length(u["t"]) >= least * 2, let(bigrams(u["t"]), best)).alias("best")))
-    rows = docs.select(F.col(id_col).alias("_id"), F.explode(F.filter(found, lambda u: u["best"].isNotNull())).alias("u"))
+    hits = F.filter(found, lambda u: u["best"].isNotNull())
+    # first word of every line, and the bigrams of what matched already
+    begins = let(lines, lambda x: F.aggregate(
+        x, F.array(F.lit(0)), lambda at, line: F.concat(at, F.array(F.element_at(at, -1) + F.size(normal_words(line))))))
+    taken = F.transform(F.col("_hits"), lambda u: F.when(u["unit"] == "text", F.struct(
+        F.lit(0).alias("first"), F.lit((1 << 31) - 1).alias("last"))).otherwise(F.struct(
+            F.get(F.col("_begins"), u["line_no"] - 1).alias("first"), (F.get(F.col("_begins"), u["line_no"]) - 2).alias("last"))))
+    more = F.transform(passages(F.col("_text"), F.col("_taken"), also, threshold), lambda p: F.struct(
+        F.lit("passage").alias("unit"),
+        F.size(F.filter(F.col("_begins"), lambda b: b <= p["first"])).alias("line_no"),
+        F.struct(p["dice"].alias("dice"), p["license"].alias("license")).alias("best")))
+    rows = (docs.select(F.col(id_col).alias("_id"), text.alias("_text"), hits.alias("_hits"), begins.alias("_begins"))
+            .withColumn("_taken", taken)
+            .select("_id", F.explode(F.concat("_hits", F.coalesce(more, F.array().cast(
+                "array<struct<unit:string,line_no:int,best:struct<dice:double,license:string>>>")))).alias("u")))
     return rows.select(F.col("_id").alias(id_col), "u.unit", "u.line_no", F.col("u.best.license").alias("license"),
                        (-F.col("u.best.dice")).alias("dice"))
 

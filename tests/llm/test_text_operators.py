@@ -188,6 +188,24 @@ def test_license_size_bounds_lose_nothing():
             assert (least <= a <= most) == (20 * min(a, b) >= 8 * (a + b))
 
 
+def test_license_passages(spark):
+    """Notices that wrap inside a longer text, or lie inside a longer line; the version has to agree."""
+    import textwrap
+    t = license_scan.PASSAGE_TEMPLATES
+    prose = "A paragraph about something else that goes on for quite some time before it ends. " * 4
+    other = " ".join(f"word{k}" for k in range(200))
+    wrapped = textwrap.fill(t["MIT grant"], 70)
+    rest = ("\nThe above copyright notice and this permission notice shall be included in all copies.\n"
+            "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO\n"
+            "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.")
+    rows = [(1, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + wrapped + rest), (2, prose + t["MIT"] + " " + prose),
+            (3, prose + t["GPL-2.0"] + " " + prose), (4, other + "\n" + textwrap.fill(t["GPL-3.0 header"], 60) + "\n" + other),
+            (5, prose), (6, prose + t["MIT"] + " " + prose + t["MIT"]), (7, prose + t["GPL-3.0"].replace("3", "7") + " " + prose)]
+    got = collect(license_scan.scan(frame(spark, rows)), "doc_id", "unit", "line_no", "license", "dice")
+    assert got == [(1, "passage", 5, "MIT grant", 1.0), (2, "passage", 1, "MIT", 1.0), (3, "passage", 1, "GPL-2.0", 1.0),
+                   (4, "passage", 2, "GPL-3.0 header", 1.0), (6, "passage", 1, "MIT", 1.0), (6, "passage", 1, "MIT", 1.0)]
+
+
 def test_license_dice_value(spark):
     text = "Released under the new MIT License."
     got = license_scan.scan(frame(spark, [(1, text)]), threshold=0.5).first()
