@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from retentio.llm import (chat, decontamination, license_scan, line_dedup, ngram_join, packing, quality_ranking,
-                          quality_rules, substring_dedup, url_filter)
+from retentio.llm import (byte_bpe, chat, decontamination, fill_in_middle, license_scan, line_dedup, merkle_manifest,
+                          ngram_join, packing, quality_ranking, quality_rules, substring_dedup, url_filter)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_chat_formatting": chat.query,
     "op9_quality_rules": quality_rules.query,
     "op10_url_filter": url_filter.query,
+    "op11_merkle_manifest": merkle_manifest.query,
+    "op12_fill_in_middle": fill_in_middle.query,
+    "op13_byte_bpe": byte_bpe.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,6 +30,8 @@ ORACLES = {
     "op7_license_scan": license_scan.SQL,
     "op8_chat_formatting": chat.SQL,
     "op9_quality_rules": quality_rules.SQL,
+    "op11_merkle_manifest": merkle_manifest.SQL,
+    "op12_fill_in_middle": fill_in_middle.SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
