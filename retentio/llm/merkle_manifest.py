@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from retentio.llm.common import stage, table
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+#: paths are stored after so many levels, so that no plan holds the joins of all levels
+STORE_EVERY = 3
 PATH = "array<struct<left:binary,right:binary>>"
 
 
@@ -116,13 +118,15 @@ def paths(levels: list[DataFrame], top: DataFrame, fanout: int) -> DataFrame:
             (F.col("pos") * fanout + k).alias("pos"), F.col(f"s{k}.item").alias("item"), F.col(f"s{k}.digest").alias("digest"),
             side(range(k)).alias("left"), side(range(k + 1, fanout)).alias("right"))))
     above = None
-    for level in reversed(levels):
+    for height, level in reversed(list(enumerate(levels))):
         here = level.filter("size = 1").select("grp", "pos").join(top, "grp").select("grp", "pos", "path", *more)
         above = here if above is None else here.unionByName(above.select("grp", "pos", "path", *more))
         own = F.when(F.col("below") > 1, F.array(F.struct("c.left", "c.right"))).otherwise(F.array().cast(PATH))
         above = (level.join(above, ["grp", "pos"])
                  .select("grp", "below", "path", *more, F.explode(F.filter(F.array(*siblings), lambda x: x.isNotNull())).alias("c"))
                  .select("grp", "c.pos", "c.item", "c.digest", F.concat(own, "path").alias("path"), *more))
+        if height and height % STORE_EVERY == 0:
+            above = stage(above.drop("item"), "paths").withColumn("item", F.lit(None))
     return above.drop("grp", "pos")
 
 
