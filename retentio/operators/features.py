@@ -29,6 +29,33 @@ def _yes(c: Resolver, name: str) -> Column:
     return flag(c(name) == "Yes")
 
 
+def _present(c: Resolver, names: Iterable[str], term: Callable[[Column], Column]) -> list[Column]:
+    """``term`` of the columns that the frame has."""
+    out = []
+    for n in names:
+        try:
+            out.append(term(c(n)))
+        except KeyError:
+            continue
+    return out
+
+
+def _tech_savvy(c: Resolver) -> Column:
+    """An absent column counts as 'No'; absent as a feature if both are."""
+    parts = _present(c, ["OwnsComputer", "HandsetWebCapable"], lambda x: flag(x == "Yes"))
+    if not parts:
+        raise KeyError("OwnsComputer, HandsetWebCapable")
+    return sum(parts[1:], parts[0])
+
+
+def _trend_consistency(c: Resolver) -> Column:
+    """Mean sign of the indicators that are present; absent as a feature if none is."""
+    signs = _present(c, ["PercChangeMinutes", "PercChangeRevenues", "CustomerCareCalls", "DroppedCalls"], F.signum)
+    if not signs:
+        raise KeyError("indicators of a trend")
+    return F.abs(sum(signs[1:], signs[0]) / len(signs))
+
+
 def _avg_positive_age(c: Resolver) -> Column:
     a1 = F.when(c("AgeHH1") > 0, c("AgeHH1"))
     a2 = F.when(c("AgeHH2") > 0, c("AgeHH2"))
@@ -113,7 +140,7 @@ FEATURES: dict[str, tuple[str, Callable[[Resolver], Column]]] = {
     "EquipmentLifeRatio": ("ratio", lambda c: c("CurrentEquipmentDays") / nz(c("MonthsInService") * 30)),
     "RecurringRevenueRatio": ("ratio", lambda c: c("TotalRecurringCharge") / nz(c("MonthlyRevenue"))),
     # profile, F29-F37
-    "TechSavvyScore": ("profile", lambda c: _yes(c, "OwnsComputer") + _yes(c, "HandsetWebCapable")),
+    "TechSavvyScore": ("profile", _tech_savvy),
     "HasChildren": ("profile", lambda c: _yes(c, "ChildrenInHH")),
     "IsMultiPersonHH": ("profile", lambda c: flag((c("AgeHH1") > 0) & (c("AgeHH2") > 0))),
     "AvgHHAge": ("profile", _avg_positive_age),
@@ -136,9 +163,7 @@ FEATURES: dict[str, tuple[str, Callable[[Resolver], Column]]] = {
     "RevenueTrendDirection": ("trend", lambda c: sign0(c("PercChangeRevenues"))),
     "UsageAcceleration": ("trend", lambda c: c("PercChangeMinutes") / _m1(c)),
     "RevenueAcceleration": ("trend", lambda c: c("PercChangeRevenues") / _m1(c)),
-    "TrendConsistency": ("trend", lambda c: F.abs(
-        (F.signum(c("PercChangeMinutes")) + F.signum(c("PercChangeRevenues"))
-         + F.signum(c("CustomerCareCalls")) + F.signum(c("DroppedCalls"))) / 4)),
+    "TrendConsistency": ("trend", _trend_consistency),
     # composite risk, F47-F50
     "ServiceQualityRiskScore": ("risk", _risk_service),
     "FinancialRiskScore": ("risk", _risk_financial),
@@ -207,6 +232,17 @@ def available(df: DataFrame, names: Iterable[str], variant: str = "fe") -> list[
     return out
 
 
+def grouped_features(df: DataFrame) -> list[str]:
+    """F1-F6 that W1 adds to ``df``: those whose inputs are present and, for OutboundCallRatio, only
+    if the calls of all rows add up to more than 0 (one aggregate)."""
+    names = available(df, [n for n in GROUPED if n not in df.columns])
+    if "OutboundCallRatio" in names:
+        total = df.select(F.sum(resolver(df.columns)("TotalCalls"))).first()[0]
+        if not (total or 0) > 0:
+            names.remove("OutboundCallRatio")
+    return names
+
+
 def add_features(df: DataFrame, names: Iterable[str] | None = None, families: Iterable[str] | None = None,
                  variant: str = "fe", keep: bool = True) -> DataFrame:
     """Append features in one projection (F1-F55; ``variant='cut'`` for F22b-F33b)."""

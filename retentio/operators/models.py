@@ -1,4 +1,4 @@
-"""Model fit / score through Spark ML (survey §2.8, M1-M13; L5, L6, L11-L13; V11, V18; B5; T1, T3).
+"""Model fit / score through Spark ML (survey §2.8, M1-M13; L5, L6, L11-L13; V11, V18; B5).
 
 Every estimator is a Spark ML ``Pipeline`` (VectorAssembler -> optional
 scaler -> classifier), so fitting is a distributed iteration and scoring is
@@ -316,29 +316,6 @@ def stacking(df: DataFrame, id_col: str, features: Sequence[str], label: str, ki
     return stacked, [float(c) for c in lr.coefficients.toArray()], float(lr.intercept)
 
 
-# ----------------------------------------------------------------- T1 / T3
-
-
-def per_period_models(df: DataFrame, time_col: str, features: Sequence[str], label: str,
-                      kind: str = "logistic_regression", seed: int = 42, max_parallel: int = 4) -> dict:
-    """One fit per time value (each fit distributed over that period's rows)."""
-    from concurrent.futures import ThreadPoolExecutor
-    periods = [r[0] for r in df.select(time_col).distinct().orderBy(time_col).collect()]   # bounded: periods
-    classes = {r[0]: r[1] for r in df.groupBy(time_col).agg(F.countDistinct(label)).collect()}
-
-    def fit(t):
-        return t, create_model(kind, features, label, seed=seed).fit(df.where(F.col(time_col) == t))
-    # independent fits are submitted as concurrent Spark jobs from driver threads
-    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-        return dict(pool.map(fit, [t for t in periods if classes.get(t, 0) >= 2]))
-
-
-def sequence_model(seqs: DataFrame, label: str = "label_next", seed: int = 42) -> ChurnModel:
-    """Logistic regression on the flattened windows of ``forecast.sequences``."""
-    feats = [c for c in seqs.columns if c.startswith("x") and "_" in c]
-    return create_model("logistic_regression", feats, label, seed=seed).fit(seqs.fillna(0.0, feats))
-
-
 # ----------------------------------------------------------------- M12
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentio.plans.ordering import k_smallest, row_index
-from retentio.session import cut_lineage
+from retentio.session import cut_lineage, stored
 
 #: children of a node
 FAN_OUT = 4
@@ -46,20 +46,46 @@ def _projection(dim: int, seed: tuple[int, ...]) -> Column:
     return F.aggregate(F.zip_with("v", F.lit(w), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
 
 
-def _leaves(vec: DataFrame, n: int, dim: int, leaf_rows: int, seed: int) -> DataFrame:
-    """``vec`` with ``leaf``: groups of about ``leaf_rows`` rows that lie close together."""
+def _merged(least: int) -> Column:
+    """Map child -> child with the small children of a leaf joined to the ones before them (the first
+    to the one after), from ``_kids``, the sorted (child, n) of the leaf."""
+    acc = F.struct(F.array().cast("array<struct<child:long,into:long>>").alias("m"), F.lit(-1).cast("long").alias("into"),
+                   F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("before"))
+
+    def add(a, x):
+        new = (a["into"] < 0) | (a["n"] >= least)
+        into = F.when(new, x["child"]).otherwise(a["into"])
+        return F.struct(F.concat(a["m"], F.array(F.struct(x["child"].alias("child"), into.alias("into")))).alias("m"), into.alias("into"),
+                        (x["n"] + F.when(new, F.lit(0)).otherwise(a["n"])).cast("long").alias("n"),
+                        F.when(new & (a["into"] >= 0), a["into"]).otherwise(a["before"]).alias("before"))
+
+    def close(a):
+        # the last group may be too small: it joins the one before it, if there is one
+        first = a["m"][0]["into"]
+        last = F.when((a["n"] < least) & (a["into"] != first), a["before"]).otherwise(a["into"])
+        return F.map_from_entries(F.transform(a["m"], lambda e: F.struct(
+            e["child"], F.when(e["into"] == a["into"], last).otherwise(e["into"]))))
+
+    return F.aggregate("_kids", acc, add, close)
+
+
+def _leaves(vec: DataFrame, n: int, dim: int, leaf_rows: int, least: int, seed: int) -> DataFrame:
+    """``vec`` with ``leaf`` and ``part``: groups of about ``leaf_rows`` rows that lie close together.
+    A leaf is cut only while it has more rows, and no cut leaves fewer than ``least`` rows."""
     probs = [i / FAN_OUT for i in range(1, FAN_OUT)]
     out = vec.withColumn("leaf", F.lit(0).cast("long"))
     depth = max(0, math.ceil(math.log(max(1, n) / leaf_rows, FAN_OUT))) if n > leaf_rows else 0
     for level in range(depth):
         out = out.withColumn("_p", _projection(dim, (seed, level)))
-        cuts = out.groupBy("leaf").agg(F.percentile_approx("_p", probs, 1000).alias("_cuts"))
-        out = (out.join(cuts, "leaf")
-               .withColumn("leaf", F.col("leaf") * FAN_OUT + F.size(F.filter("_cuts", lambda c: c < F.col("_p"))))
-               .select("id", "v", "leaf"))
-        out = cut_lineage(out)          # the next level reads it twice
+        cuts = out.groupBy("leaf").agg(F.percentile_approx("_p", probs, 1000).alias("_cuts"), F.count("*").alias("_m"))
+        child = F.when(F.col("_m") <= leaf_rows, F.lit(0)).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_p"))))
+        out = stored(out.join(cuts, "leaf").select("id", "v", "leaf", child.cast("long").alias("_child")), "leaves")
+        kids = (out.groupBy("leaf", "_child").agg(F.count("*").alias("n")).groupBy("leaf")       # at most FAN_OUT a leaf
+                .agg(F.sort_array(F.collect_list(F.struct(F.col("_child").alias("child"), "n"))).alias("_kids")))
+        out = stored(out.join(kids.select("leaf", _merged(least).alias("_into")), "leaf")
+                     .select("id", "v", (F.col("leaf") * FAN_OUT + F.col("_into")[F.col("_child")]).alias("leaf")), "leaves")
     sizes = out.groupBy("leaf").agg(F.count("*").alias("_m"))
-    parts = F.ceil(F.col("_m") / F.lit(2 * leaf_rows))
+    parts = F.greatest(F.floor(F.col("_m") / F.lit(leaf_rows)), F.lit(1))
     return (out.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), parts)).select("id", "v", "leaf", "part"))
 
 
@@ -91,7 +117,7 @@ def minority_neighbours(minority: DataFrame, id_col: str, features: Sequence[str
     kind = vec.schema["id"].dataType.simpleString()
     found = None
     for t in range(trees):
-        one = (_leaves(vec, n, len(features), max(leaf_rows, 2 * (k + 1)), seed + t).groupBy("leaf", "part")
+        one = (_leaves(vec, n, len(features), max(leaf_rows, 4 * (k + 1)), 2 * (k + 1), seed + t).groupBy("leaf", "part")
                .applyInArrow(_nearest(k), f"qid {kind}, nb_id {kind}, dist double"))
         found = one if found is None else found.unionByName(one)
     pairs = found.groupBy("qid", "nb_id").agg(F.min("dist").alias("dist"))
@@ -122,15 +148,17 @@ def synthetic_rows(df: DataFrame, id_col: str, label: str, features: Sequence[st
     """(base_id, nb_id, gap, label, features...): the synthetic rows and what made them."""
     mino = df.where(F.col(label) == minority).select(F.col(id_col).alias("base_id"), *features)
     nbs = minority_neighbours(mino, "base_id", features, k, seed=seed)
-    n_nb = F.lit(min(k, n_min - 1))
+    own = nbs.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("nb_rank", "nb_id"))).alias("_nbs"))   # at most k
     base = row_index(mino.withColumn("_key", F.xxhash64("base_id", F.lit(seed))), ["_key", "base_id"], name="_pos").drop("_key")
     reps = F.lit(n_new // n_min) + F.when(F.col("_pos") <= n_new % n_min, 1).otherwise(0)
-    gen = base.select("base_id", *features, F.explode(F.sequence(F.lit(0), reps)).alias("_rep")).where(F.col("_rep") > 0)
-    gen = gen.withColumn("_rank", (F.pmod(F.xxhash64("base_id", "_rep", F.lit(seed)), n_nb) + 1).cast("int"))
+    base = base.join(own, F.col("base_id").eqNullSafe(F.col("qid")), "left")
+    gen = base.select("base_id", "_nbs", *features, F.explode(F.sequence(F.lit(0), reps)).alias("_rep")).where(F.col("_rep") > 0)
+    pick = F.pmod(F.xxhash64("base_id", "_rep", F.lit(seed)), F.size("_nbs")).cast("int")
+    # a row alone in its leaf of every tree would be its own neighbour
+    gen = gen.withColumn("nb_id", F.coalesce(F.get("_nbs", pick)["nb_id"], F.col("base_id"))).drop("_nbs")
     gen = gen.withColumn("gap", _uniform(F.col("base_id"), F.col("_rep"), seed=seed + 1))
-    nb_feats = mino.select(F.col("base_id").alias("nb_id"), *[F.col(c).alias(f"_nb_{c}") for c in features])
-    j = (gen.join(nbs.select(F.col("qid").alias("base_id"), F.col("nb_rank").alias("_rank"), "nb_id"), ["base_id", "_rank"])
-         .join(nb_feats, "nb_id"))
+    nb_feats = mino.select(F.col("base_id").alias("_nb"), *[F.col(c).alias(f"_nb_{c}") for c in features])
+    j = gen.join(nb_feats, F.col("nb_id").eqNullSafe(F.col("_nb")))
     return j.select("base_id", "nb_id", "gap", F.lit(minority).alias(label),
                     *[(F.col(c) + F.col("gap") * (F.col(f"_nb_{c}") - F.col(c))).alias(c) for c in features])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from retentio.plans.oracle_irls import irls_ctes, logistic_sql
 from retentio.plans.oracle_mart import SCORED_CTE, USAGE_CTE, mart_ctes, mart_ctes_raw_only
 
 ORACLES: dict[str, str] = {}
@@ -822,14 +823,41 @@ ORACLES["t02_sequences"] = W("""
 SELECT id, t_end, x0_n, x0_n_error, x1_n, x1_n_error, x2_n, x2_n_error, label_next FROM s
 WHERE rn >= 3 AND label_next IS NOT NULL""", usage=True, mart=False)
 
-_COEF = [0.02, 0.05, 0.03, 0.08, 0.05, 0.12]
+_BASES = {"usage": ["n", "n_error"], "spend": ["value"]}
+_PERIOD = ",\n".join(irls_ctes(f"per_{b}", "usage", f, "label", group="t") for b, f in _BASES.items())
 
 
-def _sig(slots) -> str:
-    z = "CAST(-1.5 AS DOUBLE)"
-    for c, s in zip(_COEF, slots):
-        z = f"({z} + CAST({c} AS DOUBLE) * {s})"
-    return f"(1.0 / (1.0 + exp(-{z})))"
+def _series_sql() -> str:
+    """The fitted chain: per_<base> (coefficients per period), all_<base> and seq (one row each), and
+    us, the panel with the scores of the models over all periods."""
+    scored = ", ".join("coalesce({}, 0) AS p_{}".format(logistic_sql([f"{b}.b{i}" for i in range(len(f) + 1)], [f"u.{c}" for c in f]), b)
+                       for b, f in _BASES.items())
+    joins = " ".join(f"LEFT JOIN per_{b} AS {b} ON u.t = {b}.grp" for b in _BASES)
+    xs = [f"x{s}_p_{b}" for s in range(3) for b in _BASES]
+    lags = ", ".join(f"lag(p_{b}, {2 - s}) OVER w AS x{s}_p_{b}" if s < 2 else f"p_{b} AS x2_p_{b}" for s in range(3) for b in _BASES)
+    overall = ", ".join("{} AS p_{}".format(logistic_sql([f"(SELECT b{i} FROM all_{b})" for i in range(len(f) + 1)], f), b)
+                        for b, f in _BASES.items())
+    return ",\n" + ",\n".join([
+        _PERIOD,
+        f"ps AS MATERIALIZED (SELECT u.id, u.t, u.label, {scored} FROM usage AS u {joins})",
+        f"""sq AS MATERIALIZED (SELECT * FROM (SELECT id, t AS t_end, {lags}, lead(label, 1) OVER w AS label_next, row_number() OVER w AS rn
+  FROM ps WINDOW w AS (PARTITION BY id ORDER BY t)) AS q WHERE rn >= 3 AND label_next IS NOT NULL)""",
+        irls_ctes("seq", "sq", xs, "label_next"),
+        *[irls_ctes(f"all_{b}", "usage", f, "label") for b, f in _BASES.items()],
+        f"us AS MATERIALIZED (SELECT id, t, {overall} FROM usage)"])
+
+
+_SERIES = _series_sql()
+_SEQ_B = [f"(SELECT b{i} FROM seq)" for i in range(7)]
+
+ORACLES["t01_per_period_models"] = W(",\n" + _PERIOD + "\n" + " UNION ALL ".join(
+    f"SELECT '{b}' AS model, grp AS t, n, '{c}' AS term, round(b{i}, 6) AS coefficient FROM per_{b}"
+    for b, f in _BASES.items() for i, c in enumerate(["intercept", *f])), usage=True, mart=False)
+
+_SEQ_X = [f"x{s}_p_{b}" for s in range(3) for b in _BASES]
+ORACLES["t03_sequence_model"] = W(_SERIES + f"""
+SELECT id, t_end, {', '.join(f'round({x}, 6) AS {x}' for x in _SEQ_X)}, label_next, round({logistic_sql(_SEQ_B, _SEQ_X)}, 6) AS prob
+FROM sq""", usage=True, mart=False)
 
 
 def _fc_slots():
@@ -837,30 +865,34 @@ def _fc_slots():
     out = []
     for s in range(3):
         r = f"(3 - {s} - (period - 1))"
-        for c in ["n", "n_error"]:
-            out.append(f"(CASE WHEN {r} = 3 THEN v3_{c} WHEN {r} = 2 THEN v2_{c} ELSE v1_{c} END)")
+        for b in _BASES:
+            out.append(f"(CASE WHEN {r} = 3 THEN v3_{b} WHEN {r} = 2 THEN v2_{b} ELSE v1_{b} END)")
     return out
 
 
-ORACLES["t05_forecast"] = W(f"""
-, rk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC) AS r, count(*) OVER (PARTITION BY id) AS cnt FROM usage),
-lastw AS (SELECT id,
-   max(CASE WHEN r = 1 THEN CAST(n AS DOUBLE) END) AS v1_n, max(CASE WHEN r = 1 THEN CAST(n_error AS DOUBLE) END) AS v1_n_error,
-   max(CASE WHEN r = 2 THEN CAST(n AS DOUBLE) END) AS v2_n, max(CASE WHEN r = 2 THEN CAST(n_error AS DOUBLE) END) AS v2_n_error,
-   max(CASE WHEN r = 3 THEN CAST(n AS DOUBLE) END) AS v3_n, max(CASE WHEN r = 3 THEN CAST(n_error AS DOUBLE) END) AS v3_n_error
-   FROM rk WHERE r <= 3 AND cnt >= 3 GROUP BY id),
-st AS (SELECT lastw.*, CAST(range AS INTEGER) AS period FROM lastw CROSS JOIN range(1, 4))
-SELECT id, CAST((SELECT max(t) FROM usage) + period AS INTEGER) AS t, round({_sig(_fc_slots())}, 6) AS forecast_prob, period FROM st""",
-                          usage=True, mart=False)
-
-ORACLES["t04_score_series"] = W(f"""
-, s AS (SELECT id, t, CAST(lag(n, 2) OVER w AS DOUBLE) AS a0, CAST(lag(n_error, 2) OVER w AS DOUBLE) AS a1,
-       CAST(lag(n, 1) OVER w AS DOUBLE) AS a2, CAST(lag(n_error, 1) OVER w AS DOUBLE) AS a3,
-       CAST(n AS DOUBLE) AS a4, CAST(n_error AS DOUBLE) AS a5, n, row_number() OVER w AS rn
-  FROM usage WINDOW w AS (PARTITION BY id ORDER BY t))
-SELECT id, t, round(CASE WHEN rn >= 3 THEN {_sig(['a0', 'a1', 'a2', 'a3', 'a4', 'a5'])}
-                    ELSE 1.0 / (1.0 + exp(-(CAST(-1.0 AS DOUBLE) + CAST(0.05 AS DOUBLE) * n))) END, 6) AS score FROM s""",
-                             usage=True, mart=False)
+def _history(panel: str) -> str:
+    lags = ", ".join(f"lag(p_{b}, {2 - s}) OVER w AS a{s}_{b}" if s < 2 else f"p_{b} AS a2_{b}" for s in range(3) for b in _BASES)
+    mean = " + ".join(f"p_{b}" for b in _BASES)
+    return f"""SELECT id, t, round(CASE WHEN rn >= 3 THEN {logistic_sql(_SEQ_B, [f'a{s}_{b}' for s in range(3) for b in _BASES])}
+     ELSE ({mean}) / {len(_BASES)} END, 6) AS score
+  FROM (SELECT *, {lags}, row_number() OVER w AS rn FROM {panel} WINDOW w AS (PARTITION BY id ORDER BY t)) AS s"""
+
+
+def _future(panel: str) -> str:
+    last = ", ".join(f"max(CASE WHEN r = {r} THEN p_{b} END) AS v{r}_{b}" for r in (1, 2, 3) for b in _BASES)
+    return f"""SELECT id, CAST((SELECT max(t) FROM {panel}) + period AS INTEGER) AS t,
+    round({logistic_sql(_SEQ_B, _fc_slots())}, 6) AS forecast_prob, period
+  FROM (SELECT id, {last} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC) AS r, count(*) OVER (PARTITION BY id) AS cnt
+        FROM {panel}) AS rk WHERE r <= 3 AND cnt >= 3 GROUP BY id) AS lastw CROSS JOIN (SELECT CAST(range AS INTEGER) AS period FROM range(1, 4)) AS st"""
+
+
+ORACLES["t04_score_series"] = W(_SERIES + "\n" + _history("us"), usage=True, mart=False)
+ORACLES["t05_forecast"] = W(_SERIES + "\n" + _future("us"), usage=True, mart=False)
+ORACLES["t07_forecast_with_history"] = W(_SERIES + f""",
+samp AS (SELECT id FROM (SELECT DISTINCT id FROM usage) AS d ORDER BY (id * 7919 + 42) % 1000003, id LIMIT 10),
+uc AS (SELECT * FROM us WHERE id IN (SELECT id FROM samp))
+SELECT id, t, score AS prob, 'history' AS kind FROM ({_history('uc')}) AS h
+UNION ALL SELECT id, t, forecast_prob AS prob, 'forecast' AS kind FROM ({_future('uc')}) AS f""", usage=True, mart=False)
 
 
 # --------------------------------------------------------------------------- sources / sinks / streaming
@@ -952,32 +984,6 @@ SELECT {', '.join(enc)} FROM t3""", raw=True)
 ORACLES["w01_preprocess"] = _w1_sql()
 
 
-# --------------------------------------------------------------------------- T7 forecast + history
-def _t07_sql() -> str:
-    return W(f"""
-, samp AS (SELECT id FROM (SELECT DISTINCT id FROM usage) ORDER BY (id * 7919 + 42) % 1000003, id LIMIT 10),
-us AS (SELECT * FROM usage WHERE id IN (SELECT id FROM samp)),
-s AS (SELECT id, t, CAST(lag(n, 2) OVER w AS DOUBLE) AS a0, CAST(lag(n_error, 2) OVER w AS DOUBLE) AS a1,
-             CAST(lag(n, 1) OVER w AS DOUBLE) AS a2, CAST(lag(n_error, 1) OVER w AS DOUBLE) AS a3,
-             CAST(n AS DOUBLE) AS a4, CAST(n_error AS DOUBLE) AS a5, n, row_number() OVER w AS rn
-      FROM us WINDOW w AS (PARTITION BY id ORDER BY t)),
-rk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC) AS r, count(*) OVER (PARTITION BY id) AS cnt FROM us),
-lastw AS (SELECT id,
-   max(CASE WHEN r = 1 THEN CAST(n AS DOUBLE) END) AS v1_n, max(CASE WHEN r = 1 THEN CAST(n_error AS DOUBLE) END) AS v1_n_error,
-   max(CASE WHEN r = 2 THEN CAST(n AS DOUBLE) END) AS v2_n, max(CASE WHEN r = 2 THEN CAST(n_error AS DOUBLE) END) AS v2_n_error,
-   max(CASE WHEN r = 3 THEN CAST(n AS DOUBLE) END) AS v3_n, max(CASE WHEN r = 3 THEN CAST(n_error AS DOUBLE) END) AS v3_n_error
-   FROM rk WHERE r <= 3 AND cnt >= 3 GROUP BY id),
-st AS (SELECT lastw.*, CAST(range AS INTEGER) AS period FROM lastw CROSS JOIN range(1, 4))
-SELECT id, t, round(CASE WHEN rn >= 3 THEN {_sig(['a0', 'a1', 'a2', 'a3', 'a4', 'a5'])}
-                    ELSE 1.0 / (1.0 + exp(-(CAST(-1.0 AS DOUBLE) + CAST(0.05 AS DOUBLE) * n))) END, 6) AS prob,
-       'history' AS kind FROM s
-UNION ALL
-SELECT id, CAST((SELECT max(t) FROM us) + period AS INTEGER) AS t, round({_sig(_fc_slots())}, 6) AS prob,
-       'forecast' AS kind FROM st""", usage=True, mart=False)
-
-
-ORACLES["t07_forecast_with_history"] = _t07_sql()
-
 # --------------------------------------------------------------------------- model reports
 # What a report must say, stated from the tables alone.
 _CLS = ", cls AS (SELECT CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, count(*) AS n FROM mart GROUP BY 1)"
@@ -1004,13 +1010,6 @@ ORACLES["l13_permutation_importance"] = (
     f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_out_of_range, true AS some_matter")
 ORACLES["v11_cross_validate"] = "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor"
 ORACLES["b07_blend_search"] = "SELECT CAST(4 AS BIGINT) AS n_weights, true AS sums_to_one, true AS none_negative, true AS beats_equal"
-ORACLES["t01_per_period_models"] = W("""
-SELECT count(*) AS n_models, count(*) AS n_finite FROM (SELECT t FROM usage GROUP BY t HAVING count(DISTINCT label) > 1)""",
-                                     usage=True, mart=False)
-ORACLES["t03_sequence_model"] = W("""
-SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range FROM (
-  SELECT row_number() OVER w AS rn, lead(label, 1) OVER w AS nxt FROM usage WINDOW w AS (PARTITION BY id ORDER BY t))
-WHERE rn >= 3 AND nxt IS NOT NULL""", usage=True, mart=False)
 ORACLES["w02_feature_engineering"] = W("""
 SELECT count(*) AS n_rows, count(DISTINCT CustomerID) AS n_ids, CAST(30 AS BIGINT) AS n_selected FROM mart""")
 ORACLES["w04_training_run"] = "SELECT CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS threshold_inside"

@@ -486,8 +486,10 @@ def q_b10(spark, sf):
 
 # --------------------------------------------------------------------------- splits & resampling
 from retentio.operators import forecast as FC  # noqa: E402
+from retentio.operators import irls as IR  # noqa: E402
 from retentio.operators import sample as SA  # noqa: E402
 from retentio.operators import select as SE  # noqa: E402
+from retentio.operators import timeseries as TS  # noqa: E402
 
 
 def _ids(spark, sf):
@@ -571,8 +573,8 @@ def q_l08(spark, sf):
 
 # --------------------------------------------------------------------------- sequences & forecast
 SEQ_VECTOR = ["n", "n_error"]
-SEQ_COEF = [0.02, 0.05, 0.03, 0.08, 0.05, 0.12]
-SEQ_INTERCEPT = -1.5
+#: base models of the time-series ensemble: their features
+SERIES_BASES = {"usage": ["n", "n_error"], "spend": ["value"]}
 
 
 @query("t02_sequences")
@@ -580,16 +582,41 @@ def q_t02(spark, sf):
     return FC.sequences(usage_series(spark, sf), "id", "t", SEQ_VECTOR, "label", window=3)
 
 
-@query("t05_forecast")
-def q_t05(spark, sf):
-    return FC.forecast(usage_series(spark, sf), "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, window=3, periods=3)
+def _series_model(panel):
+    return TS.fit(panel, "id", "t", SERIES_BASES, "label", window=3)
+
+
+@query("t01_per_period_models")
+def q_t01(spark, sf):
+    """Coefficients of every base model in every period."""
+    panel = usage_series(spark, sf)
+    models = TS.period_models(panel, "t", SERIES_BASES, "label")
+    rows = [IR.terms(models[b], "t", f).select(F.lit(b).alias("model"), "*") for b, f in SERIES_BASES.items()]
+    return round_doubles(rows[0].unionByName(rows[1]))
+
+
+@query("t03_sequence_model")
+def q_t03(spark, sf):
+    """Windows of the per-period scores and what the fitted sequence model makes of them."""
+    panel = usage_series(spark, sf)
+    model = _series_model(panel)
+    fitted = {b: model.period_models.where(F.col("model") == b).groupBy("t").pivot("term", ["intercept", *f]).agg(F.first("coefficient"))
+              .select("t", *[F.col(c).alias(f"b{i}") for i, c in enumerate(["intercept", *f])])
+              for b, f in SERIES_BASES.items()}
+    seqs = TS.sequences(panel, "id", "t", SERIES_BASES, "label", fitted)
+    return round_doubles(model.score_sequences(seqs))
 
 
 @query("t04_score_series")
 def q_t04(spark, sf):
-    u = usage_series(spark, sf)
-    fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
-    return round_doubles(FC.score_series(u, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback, window=3))
+    panel = usage_series(spark, sf)
+    return round_doubles(_series_model(panel).score(panel))
+
+
+@query("t05_forecast")
+def q_t05(spark, sf):
+    panel = usage_series(spark, sf)
+    return _series_model(panel).forecast(panel, periods=3)
 
 
 # --------------------------------------------------------------------------- models (rows-only checks)
@@ -732,35 +759,13 @@ def q_b07(spark, sf):
                                  "n_weights long, sums_to_one boolean, none_negative boolean, beats_equal boolean")
 
 
-@query("t01_per_period_models")
-def q_t01(spark, sf):
-    u = usage_series(spark, sf)
-    models = MD.per_period_models(u, "t", ["n", "value", "n_error"], "label")
-    finite = [m for m in models.values() if abs(float(m.model.stages[-1].intercept)) < float("inf")]
-    return spark.createDataFrame([(len(models), len(finite))], "n_models long, n_finite long")
-
-
-@query("t03_sequence_model")
-def q_t03(spark, sf):
-    seqs = FC.sequences(usage_series(spark, sf), "id", "t", SEQ_VECTOR, "label", window=3)
-    held = F.pmod(F.xxhash64("id"), F.lit(4)) == 0            # scored on customers it was not fitted on
-    m = MD.sequence_model(seqs.where(~held))
-    out = m.predict_proba(seqs, keep=["id", "t_end", "label_next"])
-    return RP.rates_report(out, ["prob"])
-
-
 @query("t07_forecast_with_history")
 def q_t07(spark, sf):
+    """Past scores and forecasts of ten drawn customers (the number that a chart shows)."""
     from retentio.plans.ordering import k_smallest
-    u = usage_series(spark, sf)
-    ids = k_smallest(u.select("id").distinct().withColumn("_h", SA.shuffle_key("id", 42, "modular")), ["_h", "id"], 10)
-    sample = u.join(ids.select("id"), "id")
-    fallback = 1.0 / (1.0 + F.exp(-(F.lit(-1.0) + F.lit(0.05) * F.col("n"))))
-    hist = FC.score_series(sample, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT, fallback).select(
-        "id", "t", F.col("score").alias("prob"), F.lit("history").alias("kind"))
-    fut = FC.forecast(sample, "id", "t", SEQ_VECTOR, SEQ_COEF, SEQ_INTERCEPT).select(
-        "id", "t", F.col("forecast_prob").alias("prob"), F.lit("forecast").alias("kind"))
-    return round_doubles(hist.unionByName(fut))
+    panel = usage_series(spark, sf)
+    drawn = k_smallest(panel.select("id").distinct().withColumn("_h", SA.shuffle_key("id", 42, "modular")), ["_h", "id"], 10)
+    return round_doubles(_series_model(panel).history_and_forecast(panel, drawn))
 
 
 def _resampled_report(before: DataFrame, after: DataFrame) -> DataFrame:

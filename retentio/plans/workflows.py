@@ -77,7 +77,9 @@ class Preprocessor:
     def _encode_scale(self, df: DataFrame, fit: bool) -> DataFrame:
         cfg, st = self.config, self.state
         if cfg.create_feature_groups:
-            df = FE.add_features(df, names=FE.available(df, [n for n in FE.GROUPED if n not in df.columns]))
+            if fit:
+                st["grouped"] = FE.grouped_features(df)
+            df = FE.add_features(df, names=FE.available(df, st["grouped"]))
         bins = [c for c in self.roles.binary if c in df.columns]
         cats = [c for c in self.roles.categorical if c in df.columns]
         if fit:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,13 @@ def cut_lineage(df):
     """Reliable checkpoint (survives executor loss), never a local one."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """Write ``df`` under the shared checkpoint folder and read it back.  Like a
+    checkpoint it ends the lineage; its size is known to the planner, so a small
+    table is broadcast by the size check of every join."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/retentio-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
