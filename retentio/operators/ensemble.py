@@ -75,6 +75,13 @@ def combine(df: DataFrame, models: Sequence[str], method: str = "averaging",
         e = averaging(models)
     elif method == "weighted":
         e = weighted(models, weights)
+    elif method == "stacking":
+        if weights is None or len(weights) != len(models) + 1:
+            raise ValueError("stacking needs the meta-model's intercept and one coefficient per model")
+        z = F.lit(float(weights[0]))
+        for m, b in zip(models, weights[1:]):
+            z = z + F.lit(float(b)) * F.col(m)
+        e = 1.0 / (1.0 + F.exp(-z))
     else:
         raise ValueError(f"unknown ensemble method: {method}")
     return df.withColumn(name, e)
@@ -192,6 +199,13 @@ def blend_search(df: DataFrame, models: Sequence[str], label: str = "label", met
                                            ", ".join([f"w_{m} double" for m in models] + ["score double"]))
 
 
+def optimal_weights(df: DataFrame, models: Sequence[str], label: str = "label", metric: str = "auc") -> DataFrame:
+    """B6 for two or three models, B7 for more; a single model has weight 1."""
+    if len(models) == 1:
+        return _blend_scores(df, models, [(1.0,)], label, metric).select(F.lit(1.0).alias(f"w_{models[0]}"), rnd("score").alias("score"))
+    return (blend_weights if len(models) <= 3 else blend_search)(df, models, label, metric)
+
+
 # ----------------------------------------------------------------- B9 / B10
 
 
@@ -199,13 +213,14 @@ def contributions(df: DataFrame, models: Sequence[str], method: str = "weighted"
                   weights: Sequence[float] | None = None, detailed: bool = False,
                   meta_coefficients: Sequence[float] | None = None) -> DataFrame:
     """Correlation of each model with the ensemble output, effective weight,
-    and (detailed) the unique contribution proxy (its weight, or 1.0 if it is the only model)."""
+    and (detailed) the unique contribution proxy (its weight, or 1.0 if it is the only model).
+    For stacking ``meta_coefficients`` are the meta-model's, intercept first."""
     w = normalize_weights(len(models), weights)
-    ens = combine(df, models, method, weights, name="__ens")
+    ens = combine(df, models, method, meta_coefficients if method == "stacking" else weights, name="__ens")
     corr = correlation_pairs(ens.select(*models, "__ens"), [*models, "__ens"]).where(F.col("column_b") == "__ens")
-    if method == "stacking" and meta_coefficients is not None:
-        s = sum(abs(c) for c in meta_coefficients)
-        eff = [c / s for c in meta_coefficients]
+    if method == "stacking":
+        s = sum(abs(c) for c in meta_coefficients[1:])
+        eff = [abs(c) / s if s else 0.0 for c in meta_coefficients[1:]]
     else:
         eff = w
     wmap = F.create_map(*[x for m, v in zip(models, eff) for x in (F.lit(m), F.lit(float(v)))])

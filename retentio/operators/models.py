@@ -1,4 +1,4 @@
-"""Model fit / score through Spark ML (survey §2.8, M1-M13; L5, L6, L11-L13; V11, V18; B5).
+"""Model fit / score through Spark ML (survey §2.8, M1-M13; L5, L6, L11-L13; V11, V18).
 
 Every estimator is a Spark ML ``Pipeline`` (VectorAssembler -> optional
 scaler -> classifier), so fitting is a distributed iteration and scoring is
@@ -289,33 +289,6 @@ def importance_origin(importances: Sequence[tuple[str, float]], engineered: Sequ
     return {"engineered": eng, "original": len(head) - eng, "engineered_share": eng / len(head) if head else 0.0}
 
 
-# ----------------------------------------------------------------- B5 stacking
-
-
-def stacking(df: DataFrame, id_col: str, features: Sequence[str], label: str, kinds: Sequence[str],
-             k: int = 5, seed: int = 42) -> tuple[DataFrame, list[float], float]:
-    """Out-of-fold base predictions (k stratified folds) -> logistic meta-model.
-
-    Returns the OOF table (id, label, p_<kind>..., stacked) and the meta
-    coefficients / intercept (used by B9 contributions)."""
-    from retentio.operators.sample import stratified_kfold
-    from retentio.session import cut_lineage
-    folded = cut_lineage(stratified_kfold(df, id_col, label, k, seed))   # reused by k x models fits
-    oof = None
-    for kind in kinds:
-        parts = None
-        for f in range(k):
-            m = create_model(kind, features, label, seed=seed).fit(folded.where(F.col("fold") != f))
-            p = m.predict_proba(folded.where(F.col("fold") == f), keep=[id_col]).withColumnRenamed("prob", f"p_{kind}")
-            parts = p if parts is None else parts.unionByName(p)
-        oof = parts if oof is None else oof.join(parts, id_col)
-    oof = cut_lineage(oof.join(df.select(id_col, label), id_col))
-    meta = create_model("logistic_regression", [f"p_{kd}" for kd in kinds], label, seed=seed).fit(oof)
-    lr = meta.model.stages[-1]
-    stacked = meta.predict_proba(oof, keep=[id_col, label, *[f"p_{kd}" for kd in kinds]]).withColumnRenamed("prob", "stacked")
-    return stacked, [float(c) for c in lr.coefficients.toArray()], float(lr.intercept)
-
-
 # ----------------------------------------------------------------- M12
 
 

@@ -24,6 +24,9 @@ from retentio.plans.ordering import exact_quantiles, sort_bounded
 IV_BANDS = [(0.02, "Useless"), (0.1, "Weak"), (0.3, "Medium"), (0.5, "Strong")]
 IV_TOP_LABEL = "Very Strong"
 
+#: columns of one wide aggregate, few enough for its code to be compiled
+WIDE = 12
+
 # Decile probabilities as numpy's linspace(0, 1, 11) produces them.
 DECILE_PROBS = [i * 0.1 for i in range(10)] + [1.0]
 
@@ -57,17 +60,20 @@ def _long(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """ANOVA F (sklearn f_classif formula) per feature from one wide aggregate per class.
+    """ANOVA F (sklearn f_classif formula) per feature from wide aggregates per class.
     Values are taken relative to their column's mean, so that sums of squares do not cancel."""
     cols = list(cols)
-    x = {c: F.col(c).cast("double") for c in cols}
-    mean = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(x.values())]).first()
-    off = {c: v - F.lit(mean[f"m{i}"]) for i, (c, v) in enumerate(x.items())}
-    wide = df.groupBy(F.col(label).alias("label")).agg(*[e for i, d in enumerate(off.values()) for e in (
-        F.count(d).alias(f"n{i}"), F.sum(d).alias(f"s{i}"), F.sum(d * d).alias(f"q{i}"))])
-    g = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s"),
-                                                 F.col(f"q{i}").alias("ss")) for i, c in enumerate(cols)])).alias("_f")
-                    ).select("_f.*").where("n > 0")
+    g = None
+    for at in range(0, len(cols), WIDE):                 # each scan reads its own columns only
+        part = [F.col(c).cast("double") for c in cols[at:at + WIDE]]
+        mean = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(part)]).first()
+        off = [v - F.lit(mean[f"m{i}"]) for i, v in enumerate(part)]
+        wide = df.groupBy(F.col(label).alias("label")).agg(*[e for i, d in enumerate(off) for e in (
+            F.count(d).alias(f"n{i}"), F.sum(d).alias(f"s{i}"), F.sum(d * d).alias(f"q{i}"))])
+        rows = wide.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s"), F.col(f"q{i}").alias("ss"))
+            for i, c in enumerate(cols[at:at + WIDE])])).alias("_f")).select("_f.*").where("n > 0")
+        g = rows if g is None else g.unionByName(rows)
     per = g.groupBy("feature").agg(
         F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"),
         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("sum_sq_groups"), F.count("*").alias("k"))

@@ -998,7 +998,44 @@ SELECT {rows} AS n_rows, {rows} AS n_ids, CAST(0 AS BIGINT) AS n_out_of_range, t
 for _q in ("m01_boosted_trees_xgb", "m02_boosted_trees_lgbm", "m03_early_stopping", "m04_neural_network", "m05_random_forest",
            "m06_logistic_regression", "m07_gradient_boosting", "v18_score_holdout", "w06_deployment_batch"):
     ORACLES[_q] = _scored_report_sql(_HELD)
-ORACLES["b05_stacking"] = _scored_report_sql("(SELECT CAST(sum(n) AS BIGINT) FROM cls)")
+ORACLES["b05_stacking"] = _scored_report_sql(_HELD)
+
+_STACK = {"service": ["DroppedCalls", "BlockedCalls", "UnansweredCalls", "CustomerCareCalls"],
+          "value": ["MonthlyRevenue", "MonthlyMinutes", "TotalRecurringCharge"],
+          "change": ["PercChangeMinutes", "PercChangeRevenues", "OverageMinutes"]}
+
+
+def _stack_sql() -> str:
+    """oof_<base> (coefficients per held-out fold), meta, full_<base>, and held: the scored held-out rows."""
+    cols = list(dict.fromkeys(c for f in _STACK.values() for c in f))
+    score = lambda at, b: logistic_sql([f"{at}_{b}.b{i}" for i in range(len(_STACK[b]) + 1)],          # noqa: E731
+                                       [f"coalesce(CAST(d.{c} AS DOUBLE), 0)" for c in _STACK[b]])
+    p = [f"p_{b}" for b in _STACK]
+    return ",\n" + ",\n".join([
+        f"""rk AS MATERIALIZED (SELECT CustomerID, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, {', '.join(cols)},
+       row_number() OVER (PARTITION BY Churn ORDER BY {_key(42)}, CustomerID) AS r,
+       floor(CAST(count(*) OVER (PARTITION BY Churn) AS DOUBLE) * CAST(0.2 AS DOUBLE) + 0.5) AS cut FROM mart)""",
+        f"""fo AS MATERIALIZED (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY {_key(42)}, CustomerID) - 1) % 5 AS fold
+       FROM rk WHERE r > cut)""",
+        "rep AS MATERIALIZED (SELECT fo.*, k.range AS held FROM fo JOIN range(5) AS k ON k.range <> fo.fold)",
+        *[irls_ctes(f"oof_{b}", "rep", f, "label", group="held") for b, f in _STACK.items()],
+        "oof AS MATERIALIZED (SELECT d.label, " + ", ".join(f"{score('oof', b)} AS p_{b}" for b in _STACK) + " FROM fo AS d "
+        + " ".join(f"JOIN oof_{b} ON oof_{b}.grp = d.fold" for b in _STACK) + ")",
+        irls_ctes("meta", "oof", p, "label"),
+        *[irls_ctes(f"full_{b}", "fo", f, "label") for b, f in _STACK.items()],
+        "hp AS MATERIALIZED (SELECT d.CustomerID, d.label, " + ", ".join(f"{score('full', b)} AS p_{b}" for b in _STACK)
+        + " FROM rk AS d " + " ".join(f"JOIN full_{b} ON true" for b in _STACK) + " WHERE d.r <= d.cut)",
+        "held AS MATERIALIZED (SELECT hp.*, " + logistic_sql([f"meta.b{i}" for i in range(len(p) + 1)], p)
+        + " AS ensemble FROM hp JOIN meta ON true)"])
+
+
+_STACKED = _stack_sql()
+ORACLES["b05_stacking_scores"] = W(_STACKED + "\nSELECT CustomerID, label, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in [*(f"p_{b}" for b in _STACK), "ensemble"]) + " FROM held")
+_META_SUM = " + ".join(f"abs(b{i})" for i in range(1, len(_STACK) + 1))
+ORACLES["b09_contributions_stacking"] = W(_STACKED + "\n" + " UNION ALL ".join(
+    f"SELECT 'p_{b}' AS model, round(corr(p_{b}, ensemble), 6) AS correlation, round((SELECT abs(b{i}) / ({_META_SUM}) FROM meta), 6) AS weight "
+    "FROM held" for i, b in enumerate(_STACK, 1)))
 ORACLES["m10_tuning"] = "SELECT CAST(10 AS BIGINT) AS n_tried, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor"
 ORACLES["m13_training_curve"] = "SELECT CAST(100 AS BIGINT) AS n_rounds, true AS falls, true AS finite"
 ORACLES["l05_model_based_selection"] = (
