@@ -23,9 +23,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retentio.operators.leafwise import LeafwiseBoosting, LeafwiseModel
+
 # Default hyper-parameters of the reference's model families.
 BOOSTING_XGB = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "subsamplingRate": 0.8}
-BOOSTING_LGBM = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "minInstancesPerNode": 20}
+BOOSTING_LGBM = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "numLeaves": 31, "minChild": 20, "ridge": 1.0,
+                 "featureShare": 0.8}
 FOREST = {"numTrees": 100}
 GRADIENT_BOOSTING = {"maxIter": 100, "maxDepth": 3}
 NETWORK_HIDDEN = [64, 32, 16]
@@ -48,8 +51,13 @@ class ChurnModel:
     def _classifier(self):
         p = dict(self.params)
         common = {"featuresCol": "features", "labelCol": self.label}
-        if self.kind in ("xgboost", "lightgbm", "gradient_boosting"):
-            base = {"xgboost": BOOSTING_XGB, "lightgbm": BOOSTING_LGBM, "gradient_boosting": GRADIENT_BOOSTING}[self.kind]
+        if self.kind == "lightgbm":
+            kw = {**BOOSTING_LGBM, **p, **common, "seed": self.seed}
+            if self.weight_col:
+                kw["weightCol"] = self.weight_col
+            return LeafwiseBoosting(**kw)
+        if self.kind in ("xgboost", "gradient_boosting"):
+            base = {"xgboost": BOOSTING_XGB, "gradient_boosting": GRADIENT_BOOSTING}[self.kind]
             kw = {**base, **p, **common, "seed": self.seed}
             if self.weight_col:
                 kw["weightCol"] = self.weight_col
@@ -117,6 +125,9 @@ class ChurnModel:
         """L12 'weight' importance: number of splits on each feature across all trees."""
         self._check()
         clf = self.model.stages[-1]
+        if isinstance(clf, LeafwiseModel):
+            weight = clf.importances("weight")
+            return {f: int(weight.get(i, 0)) for i, f in enumerate(self.features)}
         counts = {f: 0 for f in self.features}
         for tree in getattr(clf, "trees", []):
             for m in re.finditer(r"feature (\d+)", tree.toDebugString):
@@ -124,10 +135,21 @@ class ChurnModel:
         # each split prints two branches (If / Else)
         return {k: v // 2 for k, v in counts.items()}
 
+    def split_importances(self, kind: str = "gain") -> dict[str, float]:
+        """L12 of the leaf-wise trees: 'weight', mean 'gain' or mean 'cover' of a feature's splits."""
+        self._check()
+        clf = self.model.stages[-1]
+        if not isinstance(clf, LeafwiseModel):
+            raise ValueError(f"{kind} of splits is not kept for {self.kind}")
+        found = clf.importances(kind)
+        return {f: found.get(i, 0.0) for i, f in enumerate(self.features)}
+
     # ------------------------------------------------------------- M13
     def training_curve(self, df: DataFrame | None = None) -> list[tuple[int, float]]:
         self._check()
         clf = self.model.stages[-1]
+        if isinstance(clf, LeafwiseModel):
+            return [(k, train) for k, train, _ in clf.history()]
         if self.kind == "logistic_regression":
             return list(enumerate(clf.summary.objectiveHistory))
         if hasattr(clf, "evaluateEachIteration") and df is not None:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from retentio.functions.expr import rnd
 from retentio.operators import features as FE
+from retentio.session import stored
 from retentio.sources.mart import customer_mart, mart_table, scored_table, usage_series
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -634,7 +635,8 @@ def _model_frame(spark, sf):
 
 
 def _train_test(spark, sf):
-    sp = SA.stratified_split(_model_frame(spark, sf), "CustomerID", "label", 0.2, seed=42)
+    # stored: every iteration of a fit reads it
+    sp = stored(SA.stratified_split(_model_frame(spark, sf), "CustomerID", "label", 0.2, seed=42), "train-test")
     return sp.where(F.col("split") == "train").drop("split"), sp.where(F.col("split") == "test").drop("split")
 
 
@@ -674,6 +676,30 @@ def q_m03(spark, sf):
     return RP.scored_report(model.predict_proba(test, keep=["CustomerID", "label"]), "CustomerID", "label", "prob")
 
 
+def _leafwise(spark, sf, **params):
+    """Leaf-wise trees on all features, with a fifth of the training rows for validation."""
+    train, _ = _train_test(spark, sf)
+    val = SA.stratified_split(train, "CustomerID", "label", 0.2, seed=11)
+    val = stored(val.withColumn("is_val", F.col("split") == "test").drop("split"), "train-val")
+    return MD.create_model("lightgbm", FEATURE_NUMERIC, "label", validationIndicatorCol="is_val", maxIter=20, **params).fit(val)
+
+
+@query("m02_leafwise_trees")
+def q_m02_trees(spark, sf):
+    """Every node of the fitted trees: split, gain, cover, rows and leaf value."""
+    clf = _leafwise(spark, sf).model.stages[-1]
+    rows = [(k, v, FEATURE_NUMERIC[f] if f >= 0 else None, t, g, c, int(n), x) for k, v, f, t, g, c, n, x in clf.split_rows()]
+    return round_doubles(spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, gain double, "
+                                                     "cover double, n_rows long, value double"))
+
+
+@query("m13_validation_curve")
+def q_m13_curve(spark, sf):
+    """Log loss on training and validation rows after every tree."""
+    clf = _leafwise(spark, sf, patience=5).model.stages[-1]
+    return round_doubles(spark.createDataFrame([tuple(r) for r in clf.history()], "n_trees int, training double, validation double"))
+
+
 @query("m10_tuning")
 def q_m10(spark, sf):
     train, _ = _train_test(spark, sf)
@@ -766,7 +792,7 @@ STACK_BASES = {"service": ["DroppedCalls", "BlockedCalls", "UnansweredCalls", "C
 def _stacked(spark, sf):
     """(model as loaded from disk, its scores of the held-out customers)"""
     m = _labelled(spark, sf)
-    sp = SA.stratified_split(m, "CustomerID", "label", 0.2, seed=42, shuffle="modular")
+    sp = stored(SA.stratified_split(m, "CustomerID", "label", 0.2, seed=42, shuffle="modular"), "train-test")
     bases = {b: {"kind": ML.RIDGE, "features": f} for b, f in STACK_BASES.items()}
     fitted = ML.ChurnEnsemble(bases, "stacking", folds=5, shuffle="modular").fit(sp.where("split = 'train'").drop("split"))
     path = _scratch(spark, "ensemble")
