@@ -4,8 +4,8 @@
   byte a feature (0 is a missing value, which goes left) beside label, weight and margin.
 * A round of one tree is one job: the rows find their leaf in the tree so far, every task sums
   gradients, hessians and counts per (leaf, feature, bin) in NumPy, and a grouped step adds
-  the tasks' histograms of one (leaf, feature) and returns its best split.  The driver
-  sees one row per leaf and feature.
+  the tasks' histograms of one (leaf, block of features) and returns its best split.  The driver
+  sees one row per leaf and block.
 * Growth is best first: the leaf with the largest gain is split until ``numLeaves``.  The children of
   every leaf that can still be chosen are evaluated in the same job, so a tree takes about as many
   jobs as it is deep, not one a split, and the tree is that of strict best-first growth.
@@ -37,7 +37,9 @@ KEEP = 8
 ROWS_A_TASK = 20_000
 #: bytes of the histograms that a task holds; more leaves than fit are taken in several jobs
 HISTOGRAM_BYTES = 1 << 27
-HIST = "leaf int, feature int, g array<double>, h array<double>, n array<double>"
+#: features whose histograms are added up together
+BLOCK = 8
+HIST = "leaf int, block int, g array<double>, h array<double>, n array<double>"
 SPLIT = "leaf int, feature int, bin int, gain double, gl double, hl double, nl double, g double, h double, n double"
 
 
@@ -141,7 +143,7 @@ class _Trainer:
         return self.measured
 
     def evaluate(self, tree: Tree, nodes: list[int], features: list[int]) -> dict[int, list]:
-        """Best split of every feature for each node of ``nodes``, from one job (more only if histograms would not fit)."""
+        """Best split of every block of features for each node of ``nodes``, from one job (more only if histograms would not fit)."""
         size = self.width * self.n_bins * 24
         step = max(1, HISTOGRAM_BYTES // size)
         found: dict[int, list] = {v: [] for v in nodes}
@@ -151,7 +153,7 @@ class _Trainer:
         return found
 
     def _splits(self, tree: Tree, nodes: list[int], features: list[int], measure: bool) -> list:
-        """At most one row per node and feature; ``measure`` also takes the losses (leaves -1 and -2)."""
+        """At most one row per node and block of features; ``measure`` also takes the losses (leaves -1 and -2)."""
         width, n_bins, trees, ridge, least = self.width, self.n_bins, list(self.pending), self.p["ridge"], self.p["minChild"]
         slot_of = np.full(len(tree.feature), -1)
         slot_of[nodes] = np.arange(len(nodes))
@@ -174,22 +176,29 @@ class _Trainer:
                     key = slot * n_bins + bins[use, f]
                     for k, v in enumerate(weights):
                         hist[k, :, j, :] += np.bincount(key, v, len(nodes) * n_bins).reshape(len(nodes), n_bins)
-            for s in range(len(nodes)):
-                if hist[2, s, 0].any():
-                    yield pd.DataFrame({"leaf": s, "feature": features, "g": list(hist[0, s]), "h": list(hist[1, s]), "n": list(hist[2, s])})
+            for s in np.flatnonzero(hist[2, :, 0].any(axis=1)):
+                parts = [hist[:, s, j:j + BLOCK].reshape(3, -1) for j in range(0, len(features), BLOCK)]
+                yield pd.DataFrame({"leaf": s, "block": range(len(parts)), **{c: [q[k] for q in parts] for k, c in enumerate("ghn")}})
             for val in (0, 1):
                 if lost[val, 1]:
-                    yield pd.DataFrame({"leaf": [-1 - val], "feature": [0], "g": [lost[val]], "h": [lost[val]], "n": [lost[val]]})
+                    yield pd.DataFrame({"leaf": [-1 - val], "block": [0], "g": [lost[val]], "h": [lost[val]], "n": [lost[val]]})
 
         def choose(part: pa.Table) -> pa.Table:
             g, h, n = (np.sum([np.asarray(x) for x in part.column(c).to_pylist()], axis=0) for c in "ghn")
-            at, gain = best_split(g, h, n, ridge, least) if part.column("leaf")[0].as_py() >= 0 else (0, g[0] / g[1])
-            row = [part.column("leaf")[0].as_py(), part.column("feature")[0].as_py(), at, gain,
-                   g[:at + 1].sum(), h[:at + 1].sum(), n[:at + 1].sum(), g.sum(), h.sum(), n.sum()]
+            leaf, block = part.column("leaf")[0].as_py(), part.column("block")[0].as_py()
+            if leaf < 0:
+                row = [leaf, 0, 0, g[0] / g[1], *[0.0] * 6]
+            else:
+                g, h, n = (v.reshape(-1, n_bins) for v in (g, h, n))
+                cuts = [best_split(*v, ridge, least) for v in zip(g, h, n)]
+                j = max(range(len(cuts)), key=lambda i: (cuts[i][1], -i))
+                at, gain = cuts[j]
+                row = [leaf, features[BLOCK * block + j], at, gain, g[j, :at + 1].sum(), h[j, :at + 1].sum(), n[j, :at + 1].sum(),
+                       g[j].sum(), h[j].sum(), n[j].sum()]
             return pa.table({f.split()[0]: pa.array([v], pa.int32() if f.endswith("int") else pa.float64())
                              for f, v in zip(SPLIT.split(", "), row)})
 
-        rows = self.rows.mapInPandas(histograms, HIST).groupBy("leaf", "feature").applyInArrow(choose, SPLIT).collect()
+        rows = self.rows.mapInPandas(histograms, HIST).groupBy("leaf", "block").applyInArrow(choose, SPLIT).collect()
         if measure:
             loss = {r["leaf"]: r["gain"] for r in rows}
             self.measured = loss[-1], loss.get(-2)
