@@ -16,14 +16,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentio.operators.leafwise import LeafwiseBoosting, LeafwiseModel
+from retentio.operators.network import NetworkClassifier, NetworkModel
 
 # Default hyper-parameters of the reference's model families.
 BOOSTING_XGB = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "subsamplingRate": 0.8}
@@ -32,7 +32,7 @@ BOOSTING_LGBM = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "numLeaves": 31
 FOREST = {"numTrees": 100}
 GRADIENT_BOOSTING = {"maxIter": 100, "maxDepth": 3}
 NETWORK_HIDDEN = [64, 32, 16]
-NETWORK = {"maxIter": 100, "blockSize": 64}
+NETWORK = {"maxIter": 100, "dropout": 0.3}
 
 
 @dataclass
@@ -73,8 +73,10 @@ class ChurnModel:
                 kw["weightCol"] = self.weight_col
             return LogisticRegression(**kw)
         if self.kind == "neural_network":
-            layers = [len(self.features), *p.pop("hidden", NETWORK_HIDDEN), 2]
-            return MultilayerPerceptronClassifier(layers=layers, **{**NETWORK, **p, **common, "seed": self.seed})
+            kw = {"hidden": NETWORK_HIDDEN, **NETWORK, **p, **common, "seed": self.seed}
+            if self.weight_col:
+                kw["weightCol"] = self.weight_col
+            return NetworkClassifier(**kw)
         raise ValueError(f"unknown model kind: {self.kind}")
 
     def _pipeline(self) -> Pipeline:
@@ -148,7 +150,7 @@ class ChurnModel:
     def training_curve(self, df: DataFrame | None = None) -> list[tuple[int, float]]:
         self._check()
         clf = self.model.stages[-1]
-        if isinstance(clf, LeafwiseModel):
+        if isinstance(clf, (LeafwiseModel, NetworkModel)):
             return [(k, train) for k, train, _ in clf.history()]
         if self.kind == "logistic_regression":
             return list(enumerate(clf.summary.objectiveHistory))
