@@ -92,11 +92,15 @@ def sqrt_k(n_features: int) -> int:
 
 
 def select_k_best(df: DataFrame, cols: Sequence[str], label: str, k: int = 30, score: str = "f_classif") -> DataFrame:
-    """L2 / L4: (feature, score, rank, selected) with the top-k by score (ties by column order)."""
+    """L2 / L4: (feature, score, rank, selected) with the top-k by score (ties by column order); ``score`` is
+    f_classif, mutual_info (nearest neighbours) or mutual_info_binned."""
+    from retentio.operators.mutual_info import mutual_info
     cols = list(cols)
     k = min(k, len(cols))
-    sc = anova_f(df, cols, label).withColumnRenamed("f_score", "score") if score == "f_classif" else \
-        mutual_info_binned(df, cols, label).withColumnRenamed("mutual_info", "score")
+    scores = {"f_classif": anova_f, "mutual_info": mutual_info, "mutual_info_binned": mutual_info_binned}
+    if score not in scores:
+        raise ValueError(f"unknown score: {score}")
+    sc = scores[score](df, cols, label).toDF("feature", "score")
     order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
     # one row per feature: a global window over a column-count-sized table
     from pyspark.sql import Window

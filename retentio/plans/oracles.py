@@ -812,6 +812,34 @@ j2 AS (SELECT *, sum(nxy) OVER (PARTITION BY feature, bin) AS nx, sum(nxy) OVER
               sum(nxy) OVER (PARTITION BY feature) AS n FROM j)
 SELECT feature, round(sum(nxy / n * ln(nxy * n / (nx * ny))), 6) AS mutual_info FROM j2 GROUP BY feature""")
 
+
+
+def _psi(n: str) -> str:
+    n = f"CAST({n} AS DOUBLE)"
+    y = f"({n} + 6)"
+    return (f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * {y} * {y}) + 1 / (120 * pow({y}, 4)) - 1 / (252 * pow({y}, 6)) - "
+            + " - ".join(f"1 / ({n} + {i})" for i in range(6)) + ")")
+
+
+_NEAR_ENDS = ", ".join(
+    "CASE WHEN lag(v, {b}) OVER w IS NOT NULL AND lead(v, {a}) OVER w IS NOT NULL THEN "
+    "greatest(v - lag(v, {b}) OVER w, lead(v, {a}) OVER w - v) END AS r{b}".format(b=j, a=3 - j) for j in range(4))
+ORACLES["l04_mutual_info_neighbours"] = W(_LAB + ", l AS (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, label, CAST({f} AS DOUBLE) AS v FROM lab WHERE {f} IS NOT NULL" for f in _NUMERIC) + f"""),
+g AS MATERIALIZED (SELECT feature, label, v, count(*) AS c FROM l GROUP BY feature, label, v),
+nc AS (SELECT feature, label, sum(c) AS nc FROM g GROUP BY feature, label),
+rr AS (SELECT feature, label, v, {_NEAR_ENDS} FROM l WINDOW w AS (PARTITION BY feature, label ORDER BY v)),
+r AS MATERIALIZED (SELECT feature, label, v, min(least(coalesce(r0, 1e300), coalesce(r1, 1e300), coalesce(r2, 1e300), coalesce(r3, 1e300))) AS r
+      FROM rr GROUP BY feature, label, v),
+p AS MATERIALIZED (SELECT feature, v, sum(c) AS c FROM g GROUP BY feature, v),
+m AS (SELECT r.feature, r.label, r.v, sum(p.c) AS m FROM r JOIN p ON r.feature = p.feature
+        AND ((r.r = 0 AND p.v = r.v) OR (r.r > 0 AND p.v > r.v - r.r * (1 - 1e-9) AND p.v < r.v + r.r * (1 - 1e-9)))
+      GROUP BY r.feature, r.label, r.v)
+SELECT feature, round(greatest({_psi('n')} + mean, 0), 6) AS mutual_info FROM (
+  SELECT g.feature, sum(g.c) AS n, sum(g.c * ({_psi('CASE WHEN r.r = 0 THEN g.c ELSE 3 END')} - {_psi('nc.nc')} - {_psi('m.m')})) / sum(g.c) AS mean
+  FROM g JOIN r ON g.feature = r.feature AND g.label = r.label AND g.v = r.v JOIN m ON g.feature = m.feature AND g.label = m.label AND g.v = m.v
+  JOIN nc ON g.feature = nc.feature AND g.label = nc.label GROUP BY g.feature) AS q""")
+
 # --------------------------------------------------------------------------- sequences & forecast
 ORACLES["t02_sequences"] = W("""
 , s AS (SELECT id, t AS t_end,

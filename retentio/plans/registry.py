@@ -488,6 +488,7 @@ def q_b10(spark, sf):
 # --------------------------------------------------------------------------- splits & resampling
 from retentio.operators import forecast as FC  # noqa: E402
 from retentio.operators import irls as IR  # noqa: E402
+from retentio.operators import mutual_info as MI  # noqa: E402
 from retentio.operators import sample as SA  # noqa: E402
 from retentio.operators import select as SE  # noqa: E402
 from retentio.operators import timeseries as TS  # noqa: E402
@@ -558,6 +559,12 @@ def q_l04(spark, sf):
     return SE.mutual_info_binned(_lab(spark, sf), FEATURE_NUMERIC, "label")
 
 
+@query("l04_mutual_info_neighbours")
+def q_l04_neighbours(spark, sf):
+    """The k-nearest-neighbour estimate of every numeric feature."""
+    return MI.mutual_info(_lab(spark, sf), FEATURE_NUMERIC, "label")
+
+
 WOE_NUMERIC = ["MonthlyRevenue", "CurrentEquipmentDays", "MonthsInService"]
 WOE_CATEGORICAL = ["PrizmCode"]
 
