@@ -224,28 +224,37 @@ def tune(kind: str, df: DataFrame, features: Sequence[str], label: str, grid: di
 
 
 def cross_validate(kind: str, df: DataFrame, id_col: str, features: Sequence[str], label: str, k: int = 5,
-                   seed: int = 42, resampling: str = "none", ratio: float = 1.0,
+                   seed: int = 42, resampling: str = "none", ratio: float = 1.0, shuffle: str = "hash",
                    **params) -> tuple[DataFrame, DataFrame]:
     """Stratified k folds; resampling applies to the training part only; a fold whose
-    test part holds one class is skipped; returns per-fold metrics and mean / population std."""
+    test part holds one class is skipped; returns per-fold metrics and mean / population std.
+
+    Folds of a ridge logistic regression without resampling are fitted in one grouped IRLS, other kinds
+    one after the other; the metrics of all folds come from one grouped pass over the scores."""
+    from functools import reduce
+
     from retentio.operators import metrics as MT
+    from retentio.operators.ensemble_ml import RIDGE, ChurnEnsemble
     from retentio.operators.sample import resample, stratified_kfold
-    from retentio.session import cut_lineage
-    folded = cut_lineage(stratified_kfold(df, id_col, label, k, seed))   # reused by 2k jobs
-    rows = []
-    for f in range(k):
-        train = folded.where(F.col("fold") != f).drop("fold")
-        test = folded.where(F.col("fold") == f).drop("fold")
-        if test.select(label).distinct().count() < 2:
-            continue
-        train = resample(train, id_col, label, features, resampling, ratio, seed)
-        m = create_model(kind, features, label, seed=seed, **params).fit(train)
-        scored = m.predict_proba(test, keep=[label]).withColumnRenamed(label, "label")
-        cls = MT.classification_metrics(scored).first()
-        auc = MT.roc_auc(scored).first()[0]
-        rows.append((f, cls["accuracy"], cls["precision"], cls["recall"], cls["f1"], auc))
-    spark = df.sparkSession
-    per = spark.createDataFrame(rows, "fold int, accuracy double, precision double, recall double, f1 double, roc_auc double")
+    from retentio.session import stored
+    if kind == RIDGE and resampling == "none":
+        base = {"cv": {"kind": RIDGE, "features": list(features), **params}}
+        scored = (ChurnEnsemble(base, id_col=id_col, label=label, folds=k, seed=seed, shuffle=shuffle).out_of_fold(df)
+                  .where("p_cv IS NOT NULL").select("fold", F.col(label).alias("label"), F.col("p_cv").alias("prob")))
+    else:
+        folded = stored(stratified_kfold(df, id_col, label, k, seed, shuffle), "folds")               # reused by 2k jobs
+        parts = []
+        for f in range(k):
+            train = resample(folded.where(F.col("fold") != f).drop("fold"), id_col, label, features, resampling, ratio, seed)
+            m = create_model(kind, features, label, seed=seed, **params).fit(train)
+            parts.append(m.predict_proba(folded.where(F.col("fold") == f), keep=["fold", label]).withColumnRenamed(label, "label"))
+        scored = reduce(DataFrame.unionByName, parts)
+    scored = stored(scored, "fold-scores")
+    both = scored.groupBy("fold").agg(F.count_distinct("label").alias("_classes")).where("_classes = 2").select("fold")
+    scored = scored.join(both, "fold", "left_semi")                   # one row per fold
+    cls = MT.classification_metrics(scored, model="fold").select("fold", "accuracy", "precision", "recall", "f1")
+    per = cls.join(MT.roc_auc(scored, model="fold").select("fold", "roc_auc"), "fold")
+    per = per.select(F.col("fold").cast("int").alias("fold"), "accuracy", "precision", "recall", "f1", "roc_auc")
     summary = per.agg(*[x for c in ["accuracy", "precision", "recall", "f1", "roc_auc"]
                         for x in (F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"))])
     return per, summary

@@ -1073,10 +1073,58 @@ ORACLES["l06_select_from_model"] = "SELECT true AS mean_keeps_some, true AS medi
 ORACLES["l12_split_counts"] = f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, true AS has_splits, true AS none_negative"
 ORACLES["l13_permutation_importance"] = (
     f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_out_of_range, true AS some_matter")
-ORACLES["v11_cross_validate"] = "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor"
+
+
+def _v11_sql() -> str:
+    cols = ["MonthlyRevenue", "MonthlyMinutes", "PercChangeMinutes", "PercChangeRevenues", "DroppedCalls", "CustomerCareCalls"]
+    score = logistic_sql([f"cv.b{i}" for i in range(len(cols) + 1)], [f"coalesce(CAST(d.{c} AS DOUBLE), 0)" for c in cols])
+    return W(f""",
+fo AS MATERIALIZED (SELECT CustomerID, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, {', '.join(cols)},
+  (row_number() OVER (PARTITION BY Churn ORDER BY {_key(42)}, CustomerID) - 1) % 5 AS fold FROM mart),
+rep AS MATERIALIZED (SELECT fo.*, k.range AS held FROM fo JOIN range(5) AS k ON k.range <> fo.fold),
+{irls_ctes('cv', 'rep', cols, 'label', group='held')},
+sc AS MATERIALIZED (SELECT d.fold, d.label, {score} AS p FROM fo AS d JOIN cv ON cv.grp = d.fold),
+cm AS (SELECT fold, count(*) AS n, sum(CASE WHEN p >= 0.5 AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN p >= 0.5 AND label = 0 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN p < 0.5 AND label = 1 THEN 1 ELSE 0 END) AS fn, sum(CASE WHEN p < 0.5 AND label = 0 THEN 1 ELSE 0 END) AS tn FROM sc GROUP BY fold),
+rk AS (SELECT fold, label, rank() OVER (PARTITION BY fold ORDER BY p) + (count(*) OVER (PARTITION BY fold, p) - 1) / 2.0 AS r FROM sc),
+au AS (SELECT fold, (sum(CASE WHEN label = 1 THEN r ELSE 0 END) - sum(label) * (sum(label) + 1) / 2.0) / (sum(label) * sum(1 - label)) AS auc
+  FROM rk GROUP BY fold)
+SELECT CAST(cm.fold AS INTEGER) AS fold, round((tp + tn) / CAST(n AS DOUBLE), 6) AS accuracy,
+  round(CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) ELSE 0 END, 6) AS "precision",
+  round(CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) ELSE 0 END, 6) AS recall,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0 END, 6) AS f1, round(auc, 6) AS roc_auc
+FROM cm JOIN au ON cm.fold = au.fold""")
+
+
+ORACLES["v11_cross_validate"] = _v11_sql()
 ORACLES["b07_blend_search"] = "SELECT CAST(4 AS BIGINT) AS n_weights, true AS sums_to_one, true AS none_negative, true AS beats_equal"
-ORACLES["w02_feature_engineering"] = W("""
-SELECT count(*) AS n_rows, count(DISTINCT CustomerID) AS n_ids, CAST(30 AS BIGINT) AS n_selected FROM mart""")
+
+
+def _w02_sql(k: int = 30, threshold: float = 0.85) -> str:
+    """The L1 and L2 rules over mart columns and features, in long form."""
+    made = {c: e for c, e in SQL_FEATURES.items() if c not in ("TenureBucket", "AgeSegment")}
+    cols = [*[(c, c) for c in _NUMERIC], *made.items()]
+    long = " UNION ALL ".join(f"SELECT CustomerID, label, '{c}' AS feature, {i} AS ordinal, CAST({e} AS DOUBLE) AS v FROM lab"
+                              for i, (c, e) in enumerate(cols))
+    return W(_LAB + f""", lf AS MATERIALIZED (SELECT *, coalesce(v, 0) AS x FROM ({long}) AS u),
+pairs AS (SELECT a.ordinal AS i, b.ordinal AS j, round(corr(a.x, b.x), 6) AS c
+  FROM lf AS a JOIN lf AS b ON a.CustomerID = b.CustomerID AND a.ordinal < b.ordinal GROUP BY a.ordinal, b.ordinal),
+kept AS MATERIALIZED (SELECT DISTINCT ordinal, feature FROM lf
+  WHERE ordinal NOT IN (SELECT j FROM pairs WHERE abs(c) > {threshold} AND NOT isnan(c))),
+mu AS (SELECT ordinal, avg(x) AS mu FROM lf GROUP BY ordinal),
+g AS (SELECT lf.ordinal, label, count(*) AS n, sum(x - mu) AS s, sum((x - mu) * (x - mu)) AS q FROM lf
+  JOIN mu ON lf.ordinal = mu.ordinal GROUP BY lf.ordinal, label),
+t AS (SELECT ordinal, sum(n) AS n, count(*) AS k, sum(q) - sum(s) * sum(s) / sum(n) AS sstot,
+  sum(s * s / n) - sum(s) * sum(s) / sum(n) AS ssbn FROM g GROUP BY ordinal),
+f AS (SELECT ordinal, round(CASE WHEN k > 1 AND n > k AND (sstot - ssbn) / (n - k) > 0
+  THEN (ssbn / (k - 1)) / ((sstot - ssbn) / (n - k)) END, 6) AS f_score FROM t),
+best AS (SELECT kept.ordinal, row_number() OVER (ORDER BY f_score DESC NULLS LAST, kept.ordinal) AS rank
+  FROM kept JOIN f ON kept.ordinal = f.ordinal)
+SELECT CustomerID, label, feature, round(v, 6) AS value, CAST(rank AS INTEGER) AS rank
+FROM lf JOIN best ON lf.ordinal = best.ordinal WHERE rank <= {k}""")
+
+
+ORACLES["w02_feature_engineering"] = _w02_sql()
 ORACLES["w04_training_run"] = "SELECT CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS threshold_inside"
 ORACLES["w05_original_vs_engineered"] = "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_metrics"
 ORACLES["w07_first_look_importance"] = (
