@@ -1064,16 +1064,10 @@ _META_SUM = " + ".join(f"abs(b{i})" for i in range(1, len(_STACK) + 1))
 ORACLES["b09_contributions_stacking"] = W(_STACKED + "\n" + " UNION ALL ".join(
     f"SELECT 'p_{b}' AS model, round(corr(p_{b}, ensemble), 6) AS correlation, round((SELECT abs(b{i}) / ({_META_SUM}) FROM meta), 6) AS weight "
     "FROM held" for i, b in enumerate(_STACK, 1)))
-ORACLES["m10_tuning"] = "SELECT CAST(10 AS BIGINT) AS n_tried, CAST(0 AS BIGINT) AS n_out_of_range, true AS beats_floor"
-ORACLES["m13_training_curve"] = "SELECT CAST(100 AS BIGINT) AS n_rounds, true AS falls, true AS finite"
 ORACLES["l05_model_based_selection"] = (
     f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(20 AS BIGINT) AS n_shown, true AS sums_to_one, "
     "true AS sorted_desc, true AS none_negative")
 ORACLES["l06_select_from_model"] = "SELECT true AS mean_keeps_some, true AS median_keeps_half, true AS known"
-ORACLES["l12_split_counts"] = f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, true AS has_splits, true AS none_negative"
-ORACLES["l13_permutation_importance"] = (
-    f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_out_of_range, true AS some_matter")
-
 
 def _v11_sql() -> str:
     cols = ["MonthlyRevenue", "MonthlyMinutes", "PercChangeMinutes", "PercChangeRevenues", "DroppedCalls", "CustomerCareCalls"]
@@ -1125,8 +1119,6 @@ FROM lf JOIN best ON lf.ordinal = best.ordinal WHERE rank <= {k}""")
 
 
 ORACLES["w02_feature_engineering"] = _w02_sql()
-ORACLES["w04_training_run"] = "SELECT CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range, true AS threshold_inside"
-ORACLES["w05_original_vs_engineered"] = "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_metrics"
 ORACLES["w07_first_look_importance"] = (
     f"SELECT CAST({len(ROLES.numeric) + len(ROLES.strings)} AS BIGINT) AS n_features, "
     f"CAST({len(ROLES.numeric) + len(ROLES.strings)} AS BIGINT) AS n_shown, true AS sums_to_one, true AS sorted_desc, "

@@ -709,21 +709,19 @@ def q_m13_curve(spark, sf):
 
 @query("m10_tuning")
 def q_m10(spark, sf):
+    """Cross-validated AUC of every setting that was tried."""
     train, _ = _train_test(spark, sf)
     _, results = MD.tune("logistic_regression", train, FEATURE_NUMERIC, "label",
                          {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}, n_iter=10, folds=3)
-    tried = spark.createDataFrame([(str(sorted(p.items())), m) for p, m in results], "params string, cv_auc double")
-    return tried.agg(F.count_distinct("params").alias("n_tried"),
-                     F.sum(F.when(F.col("cv_auc").between(0, 1), 0).otherwise(1)).alias("n_out_of_range"),
-                     (F.max("cv_auc") >= RP.AUC_FLOOR).alias("beats_floor"))
+    return round_doubles(spark.createDataFrame([(p["regParam"], p["elasticNetParam"], m) for p, m in results],
+                                               "reg_param double, elastic_net double, cv_auc double"))
 
 
 @query("m13_training_curve")
 def q_m13(spark, sf):
     train, _ = _train_test(spark, sf)
-    curve = [float(v) for _, v in MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label").fit(train).training_curve(train)]
-    return spark.createDataFrame([(len(curve), curve[-1] < curve[0], all(v == v and v >= 0 for v in curve))],
-                                 "n_rounds long, falls boolean, finite boolean")
+    curve = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label").fit(train).training_curve(train)
+    return round_doubles(spark.createDataFrame([(k, float(v)) for k, v in curve], "round int, loss double"))
 
 
 @query("l05_model_based_selection")
@@ -745,20 +743,18 @@ def q_l06(spark, sf):
 
 @query("l12_split_counts")
 def q_l12(spark, sf):
-    train, _ = _train_test(spark, sf)
-    counts = MD.create_model("gradient_boosting", FEATURE_NUMERIC, "label").fit(train).split_counts()
-    return spark.createDataFrame([(len(counts), sum(counts.values()) > 0, min(counts.values()) >= 0)],
-                                 "n_features long, has_splits boolean, none_negative boolean")
+    """Splits, mean gain and mean cover of every feature over the leaf-wise trees."""
+    model = _leafwise(spark, sf)
+    kinds = [model.split_importances(k) for k in ("weight", "gain", "cover")]
+    return round_doubles(spark.createDataFrame([(f, int(kinds[0][f]), float(kinds[1][f]), float(kinds[2][f])) for f in FEATURE_NUMERIC],
+                                               "feature string, weight long, gain double, cover double"))
 
 
 @query("l13_permutation_importance")
 def q_l13(spark, sf):
     train, test = _train_test(spark, sf)
     m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
-    out = MD.permutation_importance(m, test, "CustomerID", "label", n_repeats=10)
-    return out.agg(F.count_distinct("feature").alias("n_features"),
-                   F.sum(F.when(F.abs("importance_mean") <= 1, 0).otherwise(1)).alias("n_out_of_range"),
-                   (F.max("importance_mean") > 0).alias("some_matter"))
+    return round_doubles(MD.permutation_importance(m, test, "CustomerID", "label", n_repeats=10))
 
 
 @query("v11_cross_validate")
@@ -890,25 +886,26 @@ def q_w03(spark, sf):
 
 @query("w04_training_run")
 def q_w04(spark, sf):
+    """Metrics of the held-out customers at 0.5 and at the threshold chosen on the validation part."""
     train, test = _train_test(spark, sf)
-    res = WF.training_run(train, test, "CustomerID", FEATURE_NUMERIC, "random_forest", resampling="undersample")
-    out = res["tuned_metrics"]
-    rates = [c for c in ("accuracy", "precision", "recall", "f1", "roc_auc") if c in out.columns]
-    return RP.rates_report(out, rates).withColumn("threshold_inside", F.lit(0 < res["threshold"] < 1))
+    res = WF.training_run(train, test, "CustomerID", FEATURE_NUMERIC, "random_forest", resampling="undersample",
+                          grid={"maxDepth": [3, 5], "numTrees": [20, 50]}, n_iter=3, out_path=_scratch(spark, "run"))
+    cut = float(res["threshold"])
+    rows = [res[k].select(F.lit(n).alias("at"), F.lit(t).alias("threshold"), "accuracy", "precision", "recall", "f1")
+            for k, n, t in (("metrics", "default", 0.5), ("tuned_metrics", "chosen", cut))]
+    return round_doubles(rows[0].unionByName(rows[1]))
 
 
 @query("w05_original_vs_engineered")
 def q_w05(spark, sf):
     m = _labelled(spark, sf)
-    eng = [n for f in ["behavioral", "usage", "ratio", "value", "trend", "risk", "interaction"]
-           for n in FE.family_members(f) if n not in FEATURE_NUMERIC]
-    eng = list(dict.fromkeys(eng))
+    eng = [n for f in FE.FAMILIES for n in FE.family_members(f) if n not in FEATURE_NUMERIC]
+    eng = [n for n in dict.fromkeys(eng) if n not in ("TenureBucket", "AgeSegment")]      # those two are strings
     full = FE.add_features(m, names=eng)
     full = CL.fit_median_imputer(full, FEATURE_NUMERIC + eng).transform(full)
-    sp = SA.stratified_split(full.select("CustomerID", "label", *FEATURE_NUMERIC, *eng), "CustomerID", "label", 0.2)
+    sp = stored(SA.stratified_split(full.select("CustomerID", "label", *FEATURE_NUMERIC, *eng), "CustomerID", "label", 0.2), "train-test")
     train, test = sp.where("split = 'train'").drop("split"), sp.where("split = 'test'").drop("split")
-    out = WF.compare_original_vs_engineered(train, test, "CustomerID", FEATURE_NUMERIC, eng)
-    return out.agg(F.count("*").alias("n_rows"), F.count_distinct(out.columns[0]).alias("n_metrics"))
+    return WF.compare_original_vs_engineered(train, test, "CustomerID", FEATURE_NUMERIC, eng)
 
 
 @query("w06_deployment_batch")

@@ -21,7 +21,7 @@ from retentio.operators import models as MD
 from retentio.operators import sample as SA
 from retentio.operators import select as SE
 from retentio.roles import CHURN_ROLES, ColumnRoles
-from retentio.session import cut_lineage
+from retentio.session import cut_lineage, stored
 
 
 # ----------------------------------------------------------------- W1
@@ -154,19 +154,39 @@ def prepare_data(df: DataFrame, roles: ColumnRoles = CHURN_ROLES, test_frac: flo
 
 def training_run(train: DataFrame, test: DataFrame, id_col: str, features: Sequence[str], kind: str = "random_forest",
                  resampling: str = "none", ratio: float = 1.0, threshold_metric: str = "f1", seed: int = 42,
-                 **params) -> dict:
-    """Resample train -> fit -> score test -> metrics at 0.5 -> optimal threshold ->
-    metrics at that threshold -> curves -> importances."""
-    train = SA.resample(train, id_col, "label", features, resampling, ratio, seed)
-    model = MD.create_model(kind, features, "label", seed=seed, **params).fit(train)
-    scored = model.predict_proba(test, keep=[id_col, "label"])
+                 val_fraction: float = 0.2, grid: dict[str, list] | None = None, n_iter: int = 10, cv_folds: int = 0,
+                 out_path: str | None = None, **params) -> dict:
+    """Set a validation part of ``train`` aside -> resample the rest -> fit, or tune over ``grid`` -> threshold
+    that is best on the validation part -> metrics of ``test`` at 0.5 and at that threshold, curves, importances.
+    ``cv_folds`` adds cross-validation over ``train``; with ``out_path`` the model, the scores of ``test`` and one
+    line of the run log are saved there."""
+    parts = stored(SA.stratified_split(train.select(id_col, "label", *features), id_col, "label", val_fraction, seed), "run")
+    fit_rows = SA.resample(parts.where("split = 'train'").drop("split"), id_col, "label", features, resampling, ratio, seed)
+    tried = []
+    if grid:
+        model, tried = MD.tune(kind, stored(fit_rows, "run"), features, "label", grid, n_iter, seed=seed)
+    else:
+        model = MD.create_model(kind, features, "label", seed=seed, **params).fit(fit_rows)
+    held = model.predict_proba(parts.where("split = 'test'"), keep=[id_col, "label"])
+    best = MT.best_threshold(held, threshold_metric).first()
+    scored = stored(model.predict_proba(test, keep=[id_col, "label"]), "run-scores")       # read by every metric
     base = MT.classification_metrics(scored, threshold=0.5)
-    best = MT.best_threshold(scored, threshold_metric).first()
     tuned = MT.classification_metrics(scored, threshold=best["threshold"])
-    return {"model": model, "scored": scored, "metrics": base, "threshold": best["threshold"],
-            "tuned_metrics": tuned, "roc_auc": MT.roc_auc(scored), "roc_curve": MT.roc_curve(scored),
-            "pr_curve": MT.pr_curve(scored), "importances": model.feature_importances()
-            if kind in ("random_forest", "xgboost", "lightgbm", "gradient_boosting", "logistic_regression") else []}
+    auc = MT.roc_auc(scored)
+    out = {"model": model, "scored": scored, "metrics": base, "threshold": best["threshold"], "tuned_metrics": tuned,
+           "tuning": tried, "roc_auc": auc, "roc_curve": MT.roc_curve(scored), "pr_curve": MT.pr_curve(scored),
+           "importances": model.feature_importances() if kind != "neural_network" else []}
+    if cv_folds:
+        out["cv"], out["cv_summary"] = MD.cross_validate(kind, train, id_col, features, "label", cv_folds, seed, resampling,
+                                                         ratio, **params)
+    if out_path:
+        model.save(f"{out_path}/model")
+        scored.write.mode("overwrite").parquet(f"{out_path}/scores")
+        record = {"kind": kind, "resampling": resampling, "threshold": best["threshold"], "metrics": base.first().asDict(),
+                  "tuned_metrics": tuned.first().asDict(), "roc_auc": auc.first()[0], "tuning": tried,
+                  "cv": out["cv_summary"].first().asDict() if cv_folds else None}
+        MD.append_run_log(train.sparkSession, f"{out_path}/runs", record)
+    return out
 
 
 def compare_original_vs_engineered(train: DataFrame, test: DataFrame, id_col: str, original: Sequence[str],

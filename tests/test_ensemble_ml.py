@@ -87,3 +87,19 @@ def test_ensembles_that_cannot_be_fitted(rows):
         ML.ChurnEnsemble(RIDGES, "guessing")
     with pytest.raises(ValueError):
         ML.ChurnEnsemble(RIDGES, "averaging").fit(train.withColumn("label", F.lit(1)))
+
+
+def test_training_run_end_to_end(spark, rows, tmp_path):
+    from retentio.operators import metrics as MT
+    from retentio.operators.models import ChurnModel
+    from retentio.plans import workflows as WF
+    train, unseen, _, _, new = rows
+    test = unseen.withColumn("label", (F.col("a") > 0).cast("int"))
+    out = WF.training_run(train, test, "CustomerID", FEATURES, "random_forest", grid={"numTrees": [3, 5]}, n_iter=None,
+                          cv_folds=2, out_path=str(tmp_path / "run"), threshold_metric="f1")
+    assert len(out["tuning"]) == 2 and out["cv"].count() == 2 and 0 < out["threshold"] < 1
+    again = MT.classification_metrics(out["scored"], threshold=out["threshold"]).first()
+    assert again == out["tuned_metrics"].first()
+    saved = ChurnModel.load(str(tmp_path / "run" / "model")).predict_proba(test, ["CustomerID"]).orderBy("CustomerID").collect()
+    assert [r["prob"] for r in saved] == [r["prob"] for r in out["scored"].orderBy("CustomerID").collect()]
+    assert spark.read.parquet(str(tmp_path / "run" / "runs")).count() == 1
