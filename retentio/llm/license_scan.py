@@ -5,12 +5,12 @@ Every line of a text, and a text of several lines as a whole, is normalised
 bigram count lies within the bounds that the threshold allows: with Dice
 ``2|A∩B| / (|A|+|B|) >= t`` the smaller set has at least ``t / (2 - t)`` of the
 larger one's bigrams, so most pairs are dropped on their sizes alone.  The
-best template of a unit is reported; ties go to the first name.
+best template of a unit is reported; ties go to the first name.  A unit has to hold every
+bigram of the template that has a digit, so that versions agree.
 
 Passages cover what lies across lines or inside a longer one: windows of as many
 consecutive bigrams as the bounds allow that begin and end with a bigram of the
-template (others cannot score higher).  A window has to hold every bigram of the
-template that has a digit, so that versions agree.  Only texts that hold two thirds
+template (others cannot score higher).  Only texts that hold two thirds
 of a template's bigrams (at a threshold of 0.8) are searched, which loses nothing.
 Of overlapping windows the best stays, and none that overlaps a matching line or text.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ TEMPLATES = {
     "GPL-3.0 header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
                       "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
                       "License, or (at your option) any later version.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0 header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                      "GNU General Public License as published by the Free Software Foundation, either version 2 of the "
+                      "License, or (at your option) any later version.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "MIT": "Released under the MIT License.",
     "MIT grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -60,19 +66,16 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
-# Versions that only passages are compared with; the SQL covers TEMPLATES and lines and texts
-PASSAGE_TEMPLATES = TEMPLATES | {
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-2.0 header": TEMPLATES["GPL-3.0 header"].replace("version 3", "version 2"),
-    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
-}
-
-
 def template_bigrams(text: str) -> list[str]:
     found = re.findall(r"[^\W_]+", text.lower())
     return sorted({f"{a} {b}" for a, b in zip(found, found[1:])})
 
 
+def versions(grams: list[str]) -> list[str]:
+    """The bigrams with a digit: a unit that lacks one has another version of the licence."""
+    return [g for g in grams if any(c.isdigit() for c in g)]
+
+
 def bigrams(text: Column) -> Column:
     """Distinct word bigrams of the normalised text."""
     found = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -96,7 +99,7 @@ def passages(text: Column, taken: Column, templates: dict[str, str], threshold:
     known = sorted({g for grams in sets.values() for g in grams})
     forms = F.array(*[F.struct(
         F.lit(name).alias("name"), F.array(*map(F.lit, grams)).alias("grams"),
-        F.array(*map(F.lit, [g for g in grams if any(c.isdigit() for c in g)])).cast("array<string>").alias("digits"),
+        F.array(*map(F.lit, versions(grams))).cast("array<string>").alias("digits"),
         F.lit(size_bounds(len(grams), threshold)[0]).alias("least"), F.lit(size_bounds(len(grams), threshold)[1]).alias("most"),
         F.lit(math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)).alias("need")) for name, grams in sets.items()])
 
@@ -143,7 +146,6 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
          text_col: str = "text") -> DataFrame:
     """(id, unit, line_no, license, dice): units that match a template; ``line_no`` is 0 for a whole text
     and the line of the first word for a passage."""
-    also = PASSAGE_TEMPLATES if templates is TEMPLATES else templates
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     sets = {name: template_bigrams(text) for name, text in sorted(templates.items())}
@@ -160,7 +162,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
             # when() is lazy: the intersection is taken only inside the size bounds
             dice = F.when(size.between(*size_bounds(len(wanted), threshold)),
                           2 * F.size(F.array_intersect(grams, F.lit(wanted))) / (size + len(wanted)))
-            hit = F.when(dice >= threshold, F.struct((-dice).alias("dice"), F.lit(name).alias("license")))
+            same = [F.array_contains(grams, v) for v in versions(wanted)]
+            hit = F.when(reduce(lambda a, b: a & b, same, dice >= threshold), F.struct((-dice).alias("dice"), F.lit(name).alias("license")))
             out = F.least(out, hit)
         return out
 
@@ -181,7 +184,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     taken = F.transform(F.col("_hits"), lambda u: F.when(u["unit"] == "text", F.struct(
         F.lit(0).alias("first"), F.lit((1 << 31) - 1).alias("last"))).otherwise(F.struct(
             F.get(F.col("_begins"), u["line_no"] - 1).alias("first"), (F.get(F.col("_begins"), u["line_no"]) - 2).alias("last"))))
-    more = F.transform(passages(F.col("_text"), F.col("_taken"), also, threshold), lambda p: F.struct(
+    more = F.transform(passages(F.col("_text"), F.col("_taken"), templates, threshold), lambda p: F.struct(
         F.lit("passage").alias("unit"),
         F.size(F.filter(F.col("_begins"), lambda b: b <= p["first"])).alias("line_no"),
         F.struct(p["dice"].alias("dice"), p["license"].alias("license")).alias("best")))
@@ -199,10 +202,11 @@ def query(spark, sf_dir):
 
 
 def _sql() -> str:
-    rows = ", ".join("('{}', [{}])".format(name, ", ".join(f"'{g}'" for g in template_bigrams(t)))
+    listed = lambda grams: "[" + ", ".join(f"'{g}'" for g in grams) + "]::VARCHAR[]"                 # noqa: E731
+    rows = ", ".join(f"('{name}', {listed(template_bigrams(t))}, {listed(versions(template_bigrams(t)))})"
                      for name, t in sorted(TEMPLATES.items()))
     return r"""
-WITH tpl AS (SELECT * FROM (VALUES """ + rows + r""") AS v(license, tg)),
+WITH tpl AS (SELECT * FROM (VALUES """ + rows + r""") AS v(license, tg, vs)),
 ln AS (SELECT doc_id, i, ls[i] AS t, len(ls) AS n FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i
        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
 unit AS (SELECT doc_id, 'line' AS unit, i AS line_no, t FROM ln
@@ -211,7 +215,7 @@ w AS (SELECT doc_id, unit, line_no, list_filter(regexp_split_to_array(lower(t),
 g AS (SELECT doc_id, unit, line_no, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i+1])) AS gs
       FROM w WHERE len(ws) > 1),
 d AS (SELECT doc_id, unit, line_no, license, 2 * len(list_intersect(gs, tg)) / (len(gs) + len(tg)) AS dice FROM g, tpl
-      WHERE len(gs) BETWEEN len(tg) * 0.6 AND len(tg) * 1.7)
+      WHERE len(gs) BETWEEN len(tg) * 0.6 AND len(tg) * 1.7 AND len(list_intersect(gs, vs)) = len(vs))
 SELECT doc_id, unit, line_no::INT AS line_no, license, dice::DOUBLE AS dice FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, unit, line_no ORDER BY dice DESC, license) AS r FROM d WHERE dice >= 0.8)
 WHERE r = 1

@@ -176,11 +176,20 @@ def test_license_scan(spark):
             (None, t["CC-BY-NC-4.0"]), (6, "license"), (7, t["MIT grant"].replace("copy, modify", "copy,\nmodify")),
             (8, "nothing about it " * 2000), (1, t["MIT"])]
     got = collect(license_scan.scan(frame(spark, rows, ("unit", "dice", "u", "license"))), "doc_id", "unit", "line_no", "license")
-    assert got == [(1, "line", 1, "MIT"), (1, "line", 2, "MIT"), (2, "line", 1, "Apache-2.0"), (3, "line", 1, "GPL-3.0"),
+    assert got == [(1, "line", 1, "MIT"), (1, "line", 2, "MIT"), (2, "line", 1, "Apache-2.0"), (3, "line", 1, "GPL-2.0"),
                    (7, "text", 0, "MIT grant"), (None, "line", 1, "CC-BY-NC-4.0")]
     assert license_scan.scan(frame(spark, [])).count() == 0
 
 
+def test_license_versions(spark):
+    t = license_scan.TEMPLATES
+    rows = [(1, t["GPL-2.0 header"]), (2, t["GPL-3.0 header"]), (3, t["LGPL-2.1"]), (4, t["LGPL-3.0"]),
+            (5, t["GPL-3.0"].replace("3", "4")), (6, "Some prose before.\n" + t["GPL-2.0 header"] + "\nand after it")]
+    got = collect(license_scan.scan(frame(spark, rows)), "doc_id", "unit", "line_no", "license")
+    assert got == [(1, "line", 1, "GPL-2.0 header"), (2, "line", 1, "GPL-3.0 header"), (3, "line", 1, "LGPL-2.1"),
+                   (4, "line", 1, "LGPL-3.0"), (6, "line", 2, "GPL-2.0 header"), (6, "text", 0, "GPL-2.0 header")]
+
+
 def test_license_size_bounds_lose_nothing():
     for a in range(1, 60):
         for b in range(1, 60):
@@ -191,7 +200,7 @@ def test_license_size_bounds_lose_nothing():
 def test_license_passages(spark):
     """Notices that wrap inside a longer text, or lie inside a longer line; the version has to agree."""
     import textwrap
-    t = license_scan.PASSAGE_TEMPLATES
+    t = license_scan.TEMPLATES
     prose = "A paragraph about something else that goes on for quite some time before it ends. " * 4
     other = " ".join(f"word{k}" for k in range(200))
     wrapped = textwrap.fill(t["MIT grant"], 70)
