@@ -1064,10 +1064,7 @@ _META_SUM = " + ".join(f"abs(b{i})" for i in range(1, len(_STACK) + 1))
 ORACLES["b09_contributions_stacking"] = W(_STACKED + "\n" + " UNION ALL ".join(
     f"SELECT 'p_{b}' AS model, round(corr(p_{b}, ensemble), 6) AS correlation, round((SELECT abs(b{i}) / ({_META_SUM}) FROM meta), 6) AS weight "
     "FROM held" for i, b in enumerate(_STACK, 1)))
-ORACLES["l05_model_based_selection"] = (
-    f"SELECT CAST({len(_NUMERIC)} AS BIGINT) AS n_features, CAST(20 AS BIGINT) AS n_shown, true AS sums_to_one, "
-    "true AS sorted_desc, true AS none_negative")
-ORACLES["l06_select_from_model"] = "SELECT true AS mean_keeps_some, true AS median_keeps_half, true AS known"
+
 
 def _v11_sql() -> str:
     cols = ["MonthlyRevenue", "MonthlyMinutes", "PercChangeMinutes", "PercChangeRevenues", "DroppedCalls", "CustomerCareCalls"]
@@ -1091,8 +1088,6 @@ FROM cm JOIN au ON cm.fold = au.fold""")
 
 
 ORACLES["v11_cross_validate"] = _v11_sql()
-ORACLES["b07_blend_search"] = "SELECT CAST(4 AS BIGINT) AS n_weights, true AS sums_to_one, true AS none_negative, true AS beats_equal"
-
 
 def _w02_sql(k: int = 30, threshold: float = 0.85) -> str:
     """The L1 and L2 rules over mart columns and features, in long form."""
@@ -1119,7 +1114,3 @@ FROM lf JOIN best ON lf.ordinal = best.ordinal WHERE rank <= {k}""")
 
 
 ORACLES["w02_feature_engineering"] = _w02_sql()
-ORACLES["w07_first_look_importance"] = (
-    f"SELECT CAST({len(ROLES.numeric) + len(ROLES.strings)} AS BIGINT) AS n_features, "
-    f"CAST({len(ROLES.numeric) + len(ROLES.strings)} AS BIGINT) AS n_shown, true AS sums_to_one, true AS sorted_desc, "
-    "true AS none_negative")

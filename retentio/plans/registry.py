@@ -724,21 +724,25 @@ def q_m13(spark, sf):
     return round_doubles(spark.createDataFrame([(k, float(v)) for k, v in curve], "round int, loss double"))
 
 
+def _importance_rows(spark, importances, top=None):
+    rows = [(f, float(v), i) for i, (f, v) in enumerate(importances[:top], 1)]
+    return round_doubles(spark.createDataFrame(rows, "feature string, importance double, rank int"))
+
+
 @query("l05_model_based_selection")
 def q_l05(spark, sf):
     train, _ = _train_test(spark, sf)
-    return RP.importance_report(spark, MD.create_model("random_forest", FEATURE_NUMERIC, "label").fit(train)
-                                .feature_importances(), top=20)
+    model = MD.create_model("random_forest", FEATURE_NUMERIC, "label").fit(train)
+    return _importance_rows(spark, model.feature_importances(), 20)
 
 
 @query("l06_select_from_model")
 def q_l06(spark, sf):
+    """Which features reach the mean and the median importance."""
     train, _ = _train_test(spark, sf)
-    kept = MD.select_from_model(train, FEATURE_NUMERIC, "label", "mean")
-    half = MD.select_from_model(train, FEATURE_NUMERIC, "label", "median")
-    return spark.createDataFrame([(0 < len(kept) < len(FEATURE_NUMERIC), len(half) >= (len(FEATURE_NUMERIC) + 1) // 2,
-                                   set(kept) <= set(FEATURE_NUMERIC))],
-                                 "mean_keeps_some boolean, median_keeps_half boolean, known boolean")
+    mean, median = (set(MD.select_from_model(train, FEATURE_NUMERIC, "label", t)) for t in ("mean", "median"))
+    return spark.createDataFrame([(f, f in mean, f in median) for f in FEATURE_NUMERIC],
+                                 "feature string, reaches_mean boolean, reaches_median boolean")
 
 
 @query("l12_split_counts")
@@ -820,11 +824,7 @@ def q_b09_stacking(spark, sf):
 @query("b07_blend_search")
 def q_b07(spark, sf):
     scored = scored_table(spark, sf).withColumn("p4", (F.col("p1") + F.col("p3")) / 2)
-    best = EB.blend_search(scored, [*MODELS, "p4"], metric="auc").first()
-    w = [best[f"w_{m}"] for m in (*MODELS, "p4")]
-    equal = MT.roc_auc(EB.combine(scored, [*MODELS, "p4"], "averaging", None, name="prob")).first()[0]
-    return spark.createDataFrame([(len(w), abs(sum(w) - 1) < 1e-6, min(w) >= 0, best["score"] >= equal - 1e-6)],
-                                 "n_weights long, sums_to_one boolean, none_negative boolean, beats_equal boolean")
+    return round_doubles(EB.blend_search(scored, [*MODELS, "p4"], metric="auc"))
 
 
 @query("t07_forecast_with_history")
@@ -919,7 +919,7 @@ def q_w06(spark, sf):
 
 @query("w07_first_look_importance")
 def q_w07(spark, sf):
-    return RP.importance_report(spark, WF.first_look_importance(raw_mart(spark, sf)))
+    return _importance_rows(spark, WF.first_look_importance(raw_mart(spark, sf)))
 
 
 # --------------------------------------------------------------------------- sources / sinks / streaming

@@ -1,11 +1,9 @@
 """Checkable reports over fitted models: one row of counts and property flags that an SQL
 engine can state without fitting anything (rows scored, probabilities in range, better than
-chance, importances that sum to one, ...)."""
+chance)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,18 +20,3 @@ def scored_report(scored: DataFrame, id_col: str, label: str, prob: str) -> Data
     return scored.agg(F.count("*").alias("n_rows"), F.count_distinct(id_col).alias("n_ids"),
                       F.sum(F.when(p.between(0, 1), 0).otherwise(1)).alias("n_out_of_range")
                       ).select("*", (auc >= AUC_FLOOR).alias("beats_floor"))
-
-
-def importance_report(spark, importances: Sequence[tuple[str, float]], top: int | None = None) -> DataFrame:
-    """n_features, n_shown, sums_to_one, sorted_desc, none_negative."""
-    values = [v for _, v in importances]
-    shown = values[:top] if top else values
-    return spark.createDataFrame([(len({f for f, _ in importances}), len(shown), abs(sum(values) - 1) < 1e-6,
-                                   shown == sorted(shown, reverse=True), min(values) >= 0)],
-                                 "n_features long, n_shown long, sums_to_one boolean, sorted_desc boolean, none_negative boolean")
-
-
-def rates_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """n_rows and the number of values of ``cols`` that are NULL or outside [0, 1]."""
-    bad = sum((F.when(F.col(c).between(0, 1), 0).otherwise(1) for c in cols), F.lit(0))
-    return df.agg(F.count("*").alias("n_rows"), F.sum(bad).alias("n_out_of_range"))
