@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from retentio.functions.expr import rnd
 from retentio.plans.ordering import running_sum
+from retentio.session import stored
 
 # The sweep grid is numpy's arange(0.01, 1.0, 0.01) (start + i * step)
 # and calibration edges are linspace(0, 1, n + 1) (i * step); both kept bit-exact.
@@ -105,7 +106,7 @@ def score_counts(df: DataFrame, label: str = "label", prob: str = "prob", model:
 def roc_auc(df: DataFrame, label: str = "label", prob: str = "prob", model: str | None = None) -> DataFrame:
     """V3: tie-aware AUC (Mann-Whitney); NULL when only one class is present."""
     keys = _keys(model)
-    sc = score_counts(df, label, prob, model)
+    sc = stored(score_counts(df, label, prob, model), "scores")     # the slicing reads it three times
     cum = running_sum(sc, ["score"], ["neg"], keys)             # negatives at or below each score
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.groupBy(*keys).agg(
@@ -117,15 +118,9 @@ def roc_auc(df: DataFrame, label: str = "label", prob: str = "prob", model: str
 
 def _with_totals(df, label, prob, model):
     keys = _keys(model)
-    sc = score_counts(df, label, prob, model)
-    cum = running_sum(sc, [-F.col("score")], ["pos", "neg"], keys)
-    if keys:
-        totals = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        # one row per model: broadcast bounded by the number of models
-        return cum.join(F.broadcast(totals), keys), keys
-    P = sc.select(F.sum("pos")).scalar()
-    N = sc.select(F.sum("neg")).scalar()
-    return cum.select("*", P.alias("P"), N.alias("N")), keys
+    sc = stored(score_counts(df, label, prob, model), "scores")     # the slicing reads it three times
+    cum = running_sum(sc, [-F.col("score")], ["pos", "neg"], keys, with_totals=True)
+    return cum.withColumnsRenamed({"cum_total_pos": "P", "cum_total_neg": "N"}), keys
 
 
 def average_precision(df: DataFrame, label: str = "label", prob: str = "prob", model: str | None = None) -> DataFrame:

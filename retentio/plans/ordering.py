@@ -78,7 +78,8 @@ def with_slices(df: DataFrame, key: str | Column, group_cols: Sequence[str] = ()
     found = df.groupBy(*group_cols).agg(F.percentile_approx(k, probs, max(ACCURACY, 10 * s)).alias("_bounds"))
     names = [f"_g{i}" for i in range(len(group_cols))]
     found = found.select(*[F.col(c).alias(n) for c, n in zip(group_cols, names)], "_bounds")
-    bounds = df.sparkSession.createDataFrame(found.collect(), found.schema)     # one row per group
+    rows = found.collect()                                                      # one row per group
+    bounds = df.sparkSession.createDataFrame(rows, found.schema)
 
     def below(lo: int, hi: int) -> Column:
         """Number of bounds smaller than the key, known to be within [lo, hi]."""
@@ -89,7 +90,7 @@ def with_slices(df: DataFrame, key: str | Column, group_cols: Sequence[str] = ()
 
     small = F.broadcast(bounds)
     joined = (df.join(small, same_groups(df, bounds, group_cols, names), "left") if group_cols
-              else df.withColumn("_bounds", F.lit(list(bounds.first()["_bounds"] or []) if bounds.count() else [])
+              else df.withColumn("_bounds", F.lit(list(rows[0]["_bounds"] or []) if rows else [])
                                  .cast(found.schema["_bounds"].dataType)))
     return joined.withColumn("_slice", F.when(F.col("_bounds").isNull() | k.isNull(), 0)
                              .otherwise(below(0, s - 1))).drop("_bounds", *names)
