@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder as SparseOneHot
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,19 +77,20 @@ class LabelEncoder:
     def codes(self, c: str) -> dict[str, int]:
         return {v: i for i, v in enumerate(self.classes[c])}
 
-    def _code_of(self, c: str, value) -> int | None:
+    def code_of(self, c: str, value) -> int | None:
         if c in self.classes:
             return self.codes(c).get(value)
         row = self.dictionaries[c].where(F.col("value") == F.lit(value)).select("code").first()
         return row["code"] if row else None
 
-    def transform(self, df: DataFrame, unknown: str = "mode") -> DataFrame:
+    def transform(self, df: DataFrame, unknown: str = "mode", codes: dict[str, int] | None = None) -> DataFrame:
+        """``unknown``: 'mode' (E5), 'none' (NULL) or 'fitted' (the code of the column in ``codes``)."""
         from retentio.operators.clean import modes
         cols = [c for c in self.columns if c in df.columns]
-        fallback = {}
+        fallback = dict(codes or {}) if unknown == "fitted" else {}
         if unknown == "mode" and cols:
             most = modes(df.select(*[_as_class(c).alias(c) for c in cols]), cols)
-            fallback = {c: self._code_of(c, most[c]) for c in cols if most[c] is not None}
+            fallback = {c: self.code_of(c, most[c]) for c in cols if most[c] is not None}
         out, coded = df, {}
         for i, c in enumerate(c for c in cols if c in self.dictionaries):
             d = self.dictionaries[c].select(F.col("value").alias(f"_value{i}"), F.col("code").alias(f"_code{i}"))
@@ -168,44 +170,60 @@ def strict_binary_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 class OneHotEncoder:
     """``{col}_{category}`` double indicators over the fitted categories;
     unknown or NULL -> all zeros; the source column is dropped.  E7 with
-    ``drop_first``."""
+    ``drop_first``.  The categories of a wide column are the places of one sparse
+    vector ``{col}_onehot``, in the order of their codes in its dictionary."""
     categories: dict[str, list[str]]
     drop_first: bool = False
+    dictionaries: dict[str, DataFrame] = field(default_factory=dict)      # wide columns: (value, code)
+    sizes: dict[str, int] = field(default_factory=dict)                   # their numbers of values
 
     def output_columns(self, c: str) -> list[tuple[str, str]]:
         cats = self.categories[c][1:] if self.drop_first else self.categories[c]
         return [(f"{c}_{v}", v) for v in cats]
 
+    def _vector(self, df: DataFrame, c: str, i: int) -> DataFrame:
+        """``df`` with the sparse vector of the wide column ``c``."""
+        first = int(self.drop_first)
+        n = self.sizes[c] - first
+        known = self.dictionaries[c].select(F.col("value").alias(f"_value{i}"), (F.col("code") - first).alias(f"_code{i}"))
+        place = F.when(F.col(f"_code{i}") >= 0, F.col(f"_code{i}")).otherwise(F.lit(n)).cast("double")
+        coded = df.join(known, F.col(c).cast("string") == F.col(f"_value{i}"), "left").withColumn(f"_place{i}", place)
+        # a place of n or more is none of the categories: all zeros
+        encoder = SparseOneHot(inputCol=f"_place{i}", outputCol=f"{c}_onehot", handleInvalid="keep", dropLast=True)
+        sized = df.sparkSession.range(1).select(F.lit(float(n - 1)).alias(f"_place{i}"))
+        return encoder.fit(sized).transform(coded).drop(f"_value{i}", f"_code{i}", f"_place{i}")
+
     def transform(self, df: DataFrame) -> DataFrame:
-        out = []
+        out, vectors = [], {}
         for c in df.columns:
-            if c not in self.categories:
+            if c in self.dictionaries:
+                if self.sizes[c] > int(self.drop_first):
+                    out.append(F.col(f"{c}_onehot"))
+                    vectors[c] = len(vectors)
+            elif c not in self.categories:
                 out.append(F.col(c))
-                continue
-            for name, v in self.output_columns(c):
-                out.append(F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0)).alias(name))
+            else:
+                for name, v in self.output_columns(c):
+                    out.append(F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0)).alias(name))
+        for c, i in vectors.items():
+            df = self._vector(df, c, i)
         return df.select(*out)
 
     def source_of(self) -> dict[str, str]:
         """Encoded column -> source column (kept as metadata, not parsed from names)."""
-        return {name: c for c in self.categories for name, _ in self.output_columns(c)}
+        return {**{name: c for c in self.categories for name, _ in self.output_columns(c)},
+                **{f"{c}_onehot": c for c in self.dictionaries}}
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = False,
                 limit: int = MAX_LITERAL_CATEGORIES) -> OneHotEncoder:
-    """Each category becomes a column of the result, so a column may hold at most ``limit``;
-    wider ones are for the label encoder (``split_by_width`` tells them apart)."""
+    """Indicator columns for columns of up to ``limit`` categories, a dictionary table (and one
+    sparse vector column) for wider ones; no column is refused."""
     vals = distinct_values(df, cols, limit)
     wide = [c for c, v in vals.items() if v is None]
-    if wide:
-        raise ValueError(f"one-hot encoding of more than {limit} categories: {wide}")
-    return OneHotEncoder({c: vals[c] for c in cols}, drop_first)
-
-
-def split_by_width(df: DataFrame, cols: Sequence[str], limit: int = MAX_LITERAL_CATEGORIES) -> tuple[list[str], list[str]]:
-    """(columns with at most ``limit`` categories, wider columns)."""
-    vals = distinct_values(df, cols, limit)
-    return [c for c in cols if vals[c] is not None], [c for c in cols if vals[c] is None]
+    tables = {c: _dictionary(df.where(F.col(c).isNotNull()), c) for c in wide}
+    return OneHotEncoder({c: vals[c] for c in cols if c not in tables}, drop_first, tables,
+                         {c: t.count() for c, t in tables.items()})
 
 
 # ----------------------------------------------------------------- E8-E11

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from retentio.functions.expr import rnd
 from retentio.plans.moments import correlation_pairs
-from retentio.plans.ordering import exact_quantiles, sort_bounded
+from retentio.plans.ordering import exact_quantiles, k_smallest, sort_bounded
 
 # IV strength bands, right-closed, as labelled by the reference.
 IV_BANDS = [(0.02, "Useless"), (0.1, "Weak"), (0.3, "Medium"), (0.5, "Strong")]
@@ -86,6 +86,73 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return per.select("feature", rnd(f).alias("f_score"))
 
 
+def indicator_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """ANOVA F of every one-hot indicator of ``cols``, without building an indicator: (source, value, n, f_score).
+
+    An indicator is its non-zeros, so a count per (column, value, class) and the class sizes hold all of its
+    moments.  ``cols`` may have any number of values; a NULL value is a zero of every indicator, rows of a NULL
+    label are left out, and F is NULL where it has no finite value."""
+    cols = list(cols)
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("_y"), *[F.col(c).cast("string").alias(c) for c in cols])
+    sizes = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count("*").alias("n")).collect()}     # one row per class
+    classes, total = sorted(sizes), sum(sizes.values())
+    k = len(classes)
+    counts = (rows.unpivot(["_y"], cols, "source", "value").where(F.col("value").isNotNull())
+              .groupBy("source", "value").agg(F.count("*").alias("n"), *[
+                  F.count_if(F.col("_y") == F.lit(y)).alias(f"_n{i}") for i, y in enumerate(classes)]))
+    p = F.col("n") / F.lit(float(max(total, 1)))
+    between = within = F.lit(0.0)
+    for i, y in enumerate(classes):
+        share = F.col(f"_n{i}") / F.lit(float(sizes[y]))
+        between = between + F.lit(float(sizes[y])) * (share - p) * (share - p)
+        within = within + F.lit(float(sizes[y])) * share * (1 - share)
+    if k < 2 or total <= k:
+        return counts.select("source", "value", "n", F.lit(None).cast("double").alias("f_score"))
+    score = F.when(within > 0, (between / F.lit(float(k - 1))) / (within / F.lit(float(total - k))))
+    return counts.select("source", "value", "n", rnd(score).alias("f_score"))
+
+
+def indicator_correlation(df: DataFrame, cols: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every one-hot indicator of ``cols`` with every numeric column (NULL counts as 0),
+    from sums over the non-zeros: (source, value, feature, corr); NULL for a constant column."""
+    cols, numeric = list(cols), list(numeric)
+    x = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric}
+    mean = df.agg(F.count("*").alias("n"), *[F.avg(x[c]).alias(f"m{j}") for j, c in enumerate(numeric)],
+                  *[F.stddev_pop(x[c]).alias(f"s{j}") for j, c in enumerate(numeric)]).first()
+    # relative to the means, so that the sums over the non-zeros are the covariances
+    rows = df.select(*[F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(cols)],
+                     *[(x[c] - F.lit(mean[f"m{j}"])).alias(f"_x{j}") for j, c in enumerate(numeric)])
+    source = F.create_map(*[y for i, c in enumerate(cols) for y in (F.lit(f"_v{i}"), F.lit(c))])
+    sums = (rows.unpivot([f"_x{j}" for j in range(len(numeric))], [f"_v{i}" for i in range(len(cols))], "_c", "value")
+            .where(F.col("value").isNotNull()).groupBy("_c", "value")
+            .agg(F.count("*").alias("_n"), *[F.sum(f"_x{j}").alias(f"_s{j}") for j in range(len(numeric))]))
+    n = float(max(mean["n"], 1))
+    p = F.col("_n") / F.lit(n)
+
+    def corr(j: int) -> Column:
+        std = mean[f"s{j}"]
+        return F.when((p < 1) & F.lit(bool(std)), F.col(f"_s{j}") / F.lit(n) / (F.lit(std or 1.0) * F.sqrt(p * (1 - p))))
+
+    out = sums.select(source[F.col("_c")].alias("source"), "value", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), rnd(corr(j)).alias("corr")) for j, c in enumerate(numeric)])).alias("_r"))
+    return out.select("source", "value", "_r.*")
+
+
+def select_encoded(df: DataFrame, numeric: Sequence[str], cols: Sequence[str], label: str, k: int = 30,
+                   threshold: float = 0.85) -> DataFrame:
+    """L1, L2, L7 on the encoded frame: the ``k`` best of the numeric columns and of all one-hot indicators of
+    ``cols`` by ANOVA F, as (source, value, f_score, rank); ``value`` is NULL for a numeric column.  An indicator
+    that correlates beyond ``threshold`` with a numeric column goes, like any feature after the one it repeats.
+    Ties: by source, numeric first, then by value."""
+    repeated = indicator_correlation(df, cols, numeric).where(F.abs("corr") > threshold).select("source", "value").distinct()
+    indicators = indicator_f(df, cols, label).drop("n").join(repeated, ["source", "value"], "left_anti")
+    kept = kept_after_correlation(df.fillna(0.0, list(numeric)), numeric, threshold)
+    plain = anova_f(df.where(F.col(label).isNotNull()).fillna(0.0, list(numeric)), kept, label).select(
+        F.col("feature").alias("source"), F.lit(None).cast("string").alias("value"), "f_score")
+    scored = plain.unionByName(indicators).where(F.col("f_score").isNotNull())
+    return k_smallest(scored, [F.desc("f_score"), F.col("source"), F.asc_nulls_first("value")], k, rank_name="rank")
+
+
 def sqrt_k(n_features: int) -> int:
     """L3: k = sqrt(number of features), at least 1."""
     return max(1, int(math.sqrt(n_features)))

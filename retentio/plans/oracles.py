@@ -465,6 +465,72 @@ WITH dict AS (SELECT k, CAST(row_number() OVER (ORDER BY k) - 1 AS INTEGER) AS c
 most AS (SELECT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, k LIMIT 1)
 SELECT l_orderkey, l_linenumber, coalesce(dict.code, (SELECT code FROM dict JOIN most USING (k))) AS key
 FROM lineitem LEFT JOIN dict ON dict.k = CAST(l_orderkey AS VARCHAR)"""
+ORACLES["e06_one_hot_wide"] = """
+WITH dict AS (SELECT k, CAST(row_number() OVER (ORDER BY k) - 1 AS INTEGER) AS code FROM (
+       SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01'))
+SELECT l_orderkey, l_linenumber, CAST((SELECT count(*) FROM dict) AS INTEGER) AS size,
+       CAST(CASE WHEN code IS NULL THEN 0 ELSE 1 END AS INTEGER) AS non_zeros, code AS place,
+       CASE WHEN code IS NOT NULL THEN CAST(1 AS DOUBLE) END AS value
+FROM lineitem LEFT JOIN dict ON dict.k = CAST(l_orderkey AS VARCHAR)"""
+
+
+def _indicator_ctes(cols: list[str], label: str) -> str:
+    """ind: n and ANOVA F of every indicator, from the sums over the whole 0 / 1 column."""
+    parts = " UNION ALL ".join(f"SELECT '{c}' AS source, CAST({c} AS VARCHAR) AS value, y FROM d WHERE {c} IS NOT NULL" for c in cols)
+    return f"""cls AS (SELECT y, count(*) AS ny FROM d GROUP BY y),
+tot AS (SELECT CAST(sum(ny) AS DOUBLE) AS n, count(*) AS k FROM cls),
+cell AS (SELECT source, value, y, count(*) AS c FROM ({parts}) GROUP BY ALL),
+cells AS (SELECT v.source, v.value, cls.ny, coalesce(cell.c, 0) AS c FROM (SELECT DISTINCT source, value FROM cell) AS v
+          CROSS JOIN cls LEFT JOIN cell ON cell.source = v.source AND cell.value = v.value AND cell.y = cls.y),
+sums AS (SELECT source, value, sum(c) AS n, sum(c * c / CAST(ny AS DOUBLE)) AS a FROM cells GROUP BY ALL),
+ind AS (SELECT source, value, CAST(s.n AS BIGINT) AS n,
+       CASE WHEN s.n - a > 1e-9 THEN round(((a - s.n * s.n / tot.n) / (tot.k - 1)) / ((s.n - a) / (tot.n - tot.k)), 6) END AS f_score
+       FROM sums AS s, tot)"""
+
+
+def _indicator_corr_cte(cols: list[str], numeric: list[str]) -> str:
+    parts = " UNION ALL ".join(
+        f"""SELECT '{c}' AS source, value, '{x}' AS feature,
+       CASE WHEN nv < n AND sx > 0 THEN round((xv / n - mx * nv / n) / (sx * sqrt(nv / n * (1 - nv / n))), 6) END AS corr
+FROM (SELECT CAST({c} AS VARCHAR) AS value, CAST(count(*) AS DOUBLE) AS nv, sum(CAST({x} AS DOUBLE)) AS xv FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1),
+     (SELECT CAST(count(*) AS DOUBLE) AS n, avg(CAST({x} AS DOUBLE)) AS mx, stddev_pop(CAST({x} AS DOUBLE)) AS sx FROM lineitem)"""
+        for c in cols for x in numeric)
+    return f"icor AS ({parts})"
+
+
+ORACLES["l02_indicator_f"] = f"""
+WITH d AS (SELECT l_partkey, l_orderkey, l_returnflag AS y FROM lineitem WHERE l_returnflag IS NOT NULL),
+{_indicator_ctes(["l_partkey", "l_orderkey"], "l_returnflag")}
+SELECT source, value, n, f_score FROM ind"""
+_LINE_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount"]
+ORACLES["l01_indicator_correlation"] = f"""
+WITH {_indicator_corr_cte(["l_partkey", "l_suppkey"], _LINE_NUMERIC)}
+SELECT source, value, feature, corr FROM icor"""
+_LINE_KEYS = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+
+
+def _select_encoded_sql() -> str:
+    plain = " UNION ALL ".join(f"SELECT '{c}' AS source, CAST(NULL AS VARCHAR) AS value, y, CAST({c} AS DOUBLE) AS x FROM d" for c in _LINE_NUMERIC)
+    again = " OR ".join(f"(source = '{b}' AND abs((SELECT corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) FROM lineitem)) > 0.85)"
+                        for i, b in enumerate(_LINE_NUMERIC) for a in _LINE_NUMERIC[:i])
+    return f"""
+WITH d AS (SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END AS y FROM lineitem),
+{_indicator_ctes(_LINE_KEYS, "y")},
+{_indicator_corr_cte(_LINE_KEYS, _LINE_NUMERIC)},
+xs AS ({plain}),
+gm AS (SELECT source, y, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM xs GROUP BY ALL),
+am AS (SELECT source, sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS m FROM gm GROUP BY ALL),
+num AS (SELECT source, CAST(NULL AS VARCHAR) AS value, round((sum(gm.n * (gm.m - am.m) * (gm.m - am.m)) / (max(am.k) - 1))
+       / (sum(gm.n * gm.v) / (max(am.n) - max(am.k))), 6) AS f_score FROM gm JOIN am USING (source) GROUP BY source),
+allf AS (SELECT source, value, f_score FROM num WHERE NOT ({again})
+         UNION ALL SELECT source, value, f_score FROM ind
+         WHERE NOT EXISTS (SELECT 1 FROM icor WHERE icor.source = ind.source AND icor.value = ind.value AND abs(corr) > 0.85)),
+rk AS (SELECT *, CAST(row_number() OVER (ORDER BY f_score DESC, source, value NULLS FIRST) AS INTEGER) AS rank
+       FROM allf WHERE f_score IS NOT NULL)
+SELECT source, value, f_score, rank FROM rk WHERE rank <= 30"""
+
+
+ORACLES["l02_select_encoded"] = _select_encoded_sql()
 ORACLES["e06_one_hot"] = _one_hot_sql(False)
 ORACLES["e07_dummies_drop_first"] = _one_hot_sql(True)
 
@@ -973,17 +1039,18 @@ _W1_SPARSE = ["DroppedCalls", "BlockedCalls", "UnansweredCalls", "CustomerCareCa
               "RetentionCalls", "RetentionOffersAccepted"]
 
 
-def _w1_sql() -> str:
+def _w1_sql(fit: str = "true", apply: str | None = None) -> str:
+    """W1 fitted on the ``fit`` rows; the result is those rows, or the ``apply`` rows without the outlier step."""
     kept = [c for c in MART_COLUMNS if c not in _W1_SPARSE]
     num = [c for c in list(ROLES.continuous) + list(ROLES.discrete) if c in kept]
     cont = [c for c in ROLES.continuous if c in kept]
     strs = [c for c in list(ROLES.categorical) + list(ROLES.binary) if c in kept]
     disc = set(ROLES.discrete)
     t1 = ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" if c in disc else c for c in kept)
-    t2 = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM t1)) AS {c}" if c in num else
-                   f"coalesce({c}, (SELECT {c} FROM t1 WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}"
+    t2 = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM f1)) AS {c}" if c in num else
+                   f"coalesce({c}, (SELECT {c} FROM f1 WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}"
                    if c in strs else c for c in kept)
-    t3 = ", ".join(f"{_clip_expr(c, 't2')} AS {c}" if c in cont else c for c in kept)
+    t3 = ", ".join(f"{_clip_expr(c, 'f2')} AS {c}" if c in cont else c for c in kept)
     feats = [f"Handsets / {nzs('HandsetModels')} AS HandsetsPerModel",
              f"MonthlyRevenue / {nzs('MonthlyMinutes')} AS RevenuePerMinute"]
     enc = []
@@ -1004,12 +1071,15 @@ def _w1_sql() -> str:
     enc += [f"round({f.split(' AS ')[0]}, 6) AS {f.split(' AS ')[1]}" for f in feats]
     return W(f"""
 , t1 AS (SELECT {t1} FROM raw),
+f1 AS (SELECT * FROM t1 WHERE {fit}),
 t2 AS (SELECT {t2} FROM t1),
-t3 AS (SELECT {t3} FROM t2)
-SELECT {', '.join(enc)} FROM t3""", raw=True)
+f2 AS (SELECT * FROM t2 WHERE {fit}),
+t3 AS (SELECT {t3} FROM f2)
+SELECT {', '.join(enc)} FROM {f"(SELECT * FROM t2 WHERE {apply})" if apply else "t3"}""", raw=True)
 
 
 ORACLES["w01_preprocess"] = _w1_sql()
+ORACLES["s10_saved_preprocessor"] = _w1_sql("CustomerID % 3 <> 0", "CustomerID % 3 = 0")
 
 
 # --------------------------------------------------------------------------- model reports

@@ -327,6 +327,18 @@ def q_e07(spark, sf):
     return EN.fit_one_hot(m, ONE_HOT_COLS, drop_first=True).transform(m)
 
 
+@query("e06_one_hot_wide")
+def q_e06_wide(spark, sf):
+    """A key column with thousands of values as one sparse vector, fitted on early lines (later keys: all zeros)."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("key"), "l_shipdate")
+    enc = EN.fit_one_hot(li.where("l_shipdate < timestamp '1997-01-01'"), ["key"])
+    vector = F.unwrap_udt("key_onehot")
+    return enc.transform(li.drop("l_shipdate")).select(
+        "l_orderkey", "l_linenumber", vector["size"].alias("size"), F.size(vector["indices"]).alias("non_zeros"),
+        F.get(vector["indices"], F.lit(0)).alias("place"), F.get(vector["values"], F.lit(0)).alias("value"))
+
+
 @query("e08_scale_standard")
 def q_e08(spark, sf):
     m = mart(spark, sf).select("CustomerID", *CONT)
@@ -574,6 +586,28 @@ def q_l08w(spark, sf):
     return round_doubles(SE.woe_table(_lab(spark, sf), WOE_NUMERIC, WOE_CATEGORICAL, "label"))
 
 
+@query("l02_indicator_f")
+def q_l02_indicators(spark, sf):
+    """F of each one-hot indicator of two key columns with thousands of values."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_partkey", "l_orderkey", "l_returnflag")
+    return SE.indicator_f(li, ["l_partkey", "l_orderkey"], "l_returnflag")
+
+
+@query("l01_indicator_correlation")
+def q_l01_indicators(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    return SE.indicator_correlation(li, ["l_partkey", "l_suppkey"], ["l_quantity", "l_extendedprice", "l_discount"])
+
+
+@query("l02_select_encoded")
+def q_l02_encoded(spark, sf):
+    """The best of the order lines' numeric columns and of all indicators of four key and flag columns."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    li = li.withColumn("late", (F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp")).cast("int"))
+    return SE.select_encoded(li, ["l_quantity", "l_extendedprice", "l_discount"],
+                             ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"], "late", k=30)
+
+
 @query("l08_information_value")
 def q_l08(spark, sf):
     return SE.information_values(_lab(spark, sf), FEATURE_NUMERIC, CATS, "label")
@@ -879,6 +913,18 @@ def q_w02(spark, sf):
     return round_doubles(rows.withColumn("rank", rank[F.col("feature")]))
 
 
+@query("s10_saved_preprocessor")
+def q_s10(spark, sf):
+    """Fitted on two thirds of the customers, saved, loaded, replayed on the others."""
+    from pyspark.ml import PipelineModel
+    raw = raw_mart(spark, sf)
+    pre = WF.Preprocessor()
+    pre.fit_transform(raw.where("CustomerID % 3 <> 0"))
+    path = _scratch(spark, "preprocessor")
+    pre.model().save(path)
+    return round_doubles(PipelineModel.load(path).transform(raw.where("CustomerID % 3 = 0")))
+
+
 @query("w03_prepare_data")
 def q_w03(spark, sf):
     return WF.prepare_data(mart(spark, sf), shuffle="modular")

@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentio.operators import clean as CL
 from retentio.operators import encode as EN
 from retentio.operators import features as FE
+from retentio.operators import fitted as FT
 from retentio.operators import metrics as MT
 from retentio.operators import models as MD
 from retentio.operators import sample as SA
@@ -74,6 +76,10 @@ class Preprocessor:
                                   fallback=[c for c in self.roles.strings if c in df.columns])
         return self._encode_scale(df, fit=False)
 
+    def model(self) -> PipelineModel:
+        """The fitted state as a pipeline that can be saved, loaded and run on a stream."""
+        return FT.pipeline_of(self.state, self.roles)
+
     def _encode_scale(self, df: DataFrame, fit: bool) -> DataFrame:
         cfg, st = self.config, self.state
         if cfg.create_feature_groups:
@@ -139,10 +145,7 @@ def prepare_data(df: DataFrame, roles: ColumnRoles = CHURN_ROLES, test_frac: flo
     df = df.select(*[F.when(F.col(c) == "Yes", 1).when(F.col(c) == "No", 0).alias(c) if c in strict else F.col(c)
                      for c in df.columns])
     rest = [c for c in strings if c not in strict]
-    narrow, wide = EN.split_by_width(df, rest)       # a wide column gets label codes, not thousands of columns
-    df = EN.fit_one_hot(df, narrow).transform(df)
-    if wide:
-        df = EN.fit_label_encoder(df, wide).transform(df, unknown="none")
+    df = EN.fit_one_hot(df, rest).transform(df)      # a wide column becomes one sparse vector
     out = SA.stratified_split(df, roles.id, "label", test_frac, seed, shuffle=shuffle)
     if out_path:
         out.write.mode("overwrite").partitionBy("split").parquet(out_path)
@@ -249,7 +252,7 @@ def first_look_importance(raw: DataFrame, roles: ColumnRoles = CHURN_ROLES, seed
 def process_and_save(spark, train_path: str, holdout_path: str, out_dir: str,
                      config: PreprocessConfig | None = None, roles: ColumnRoles = CHURN_ROLES) -> Preprocessor:
     """Load train + holdout, fit the preprocessor on train, replay it on holdout
-    (holdout columns aligned to train's), write both as Parquet under ``out_dir``."""
+    (holdout columns aligned to train's), write both as Parquet and the fitted pipeline under ``out_dir``."""
     from retentio.sources import io as IO
     train, holdout = IO.load_pair(spark, train_path, holdout_path)
     pre = Preprocessor(roles, config or PreprocessConfig())
@@ -258,4 +261,5 @@ def process_and_save(spark, train_path: str, holdout_path: str, out_dir: str,
     h = CL.align_features(h, [c for c in t.columns if c != roles.target or c in h.columns], fill=0.0)
     IO.save(t, f"{out_dir}/train_processed.parquet")
     IO.save(h, f"{out_dir}/holdout_processed.parquet")
+    pre.model().write().overwrite().save(f"{out_dir}/preprocessor")
     return pre
