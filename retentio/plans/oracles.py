@@ -1079,7 +1079,7 @@ SELECT {', '.join(enc)} FROM {f"(SELECT * FROM t2 WHERE {apply})" if apply else
 
 
 ORACLES["w01_preprocess"] = _w1_sql()
-ORACLES["s10_saved_preprocessor"] = _w1_sql("CustomerID % 3 <> 0", "CustomerID % 3 = 0")
+ORACLES["s10_saved_preprocessor"] = _w1_sql("(CustomerID * 7919) % 1009 < 700", "(CustomerID * 7919) % 1009 >= 700")
 
 
 # --------------------------------------------------------------------------- model reports

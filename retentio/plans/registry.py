@@ -919,10 +919,10 @@ def q_s10(spark, sf):
     from pyspark.ml import PipelineModel
     raw = raw_mart(spark, sf)
     pre = WF.Preprocessor()
-    pre.fit_transform(raw.where("CustomerID % 3 <> 0"))
+    pre.fit_transform(raw.where("(CustomerID * 7919) % 1009 < 700"))
     path = _scratch(spark, "preprocessor")
     pre.model().save(path)
-    return round_doubles(PipelineModel.load(path).transform(raw.where("CustomerID % 3 = 0")))
+    return round_doubles(PipelineModel.load(path).transform(raw.where("(CustomerID * 7919) % 1009 >= 700")))
 
 
 @query("w03_prepare_data")
