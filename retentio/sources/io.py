@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retentio.operators.clean import schema_diff
+from retentio.sources.json_array import read_json_array
 
 READERS = {".csv": "csv", ".json": "json", ".parquet": "parquet", ".pq": "parquet"}
 
@@ -35,7 +36,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV (header), JSON (whole-file, multiLine), Parquet by suffix."""
+    """CSV (header), JSON (arrays of objects, cut at byte ranges), Parquet by suffix."""
     if not _exists(spark, path):
         raise FileNotFoundError(path)
     fmt = READERS.get(_suffix(path))
@@ -47,7 +48,7 @@ def load(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     if fmt == "csv":
         return r.option("header", True).option("inferSchema", schema is None).csv(path)
     if fmt == "json":
-        return r.option("multiLine", True).json(path)
+        return read_json_array(spark, path, schema)
     return r.parquet(path)
 
 
