@@ -108,17 +108,22 @@ def blend_grid(n_models: int, steps: int = 10) -> list[tuple[float, ...]]:
 def _blend_scores(df: DataFrame, models: Sequence[str], combos: Sequence[Sequence[float]], label: str,
                   metric: str, threshold: float = 0.5) -> DataFrame:
     """Score every weight vector: returns (combo, w0.., score)."""
-    tuples = df.groupBy(label, *models).agg(F.count("*").alias("cnt"))
+    return score_tuples(df.groupBy(label, *models).agg(F.count("*").alias("cnt")), models, combos, label, metric, threshold)
+
+
+def score_tuples(tuples: DataFrame, models: Sequence[str], combos: Sequence[Sequence[float]], label: str,
+                 metric: str, threshold: float = 0.5) -> DataFrame:
+    """As ``_blend_scores``, from the distinct (label, scores) with their counts ``cnt``."""
     # one weight vector's scores are bounded by the distinct tuples, not by the expanded grid
     parts = slice_count(tuples)
     arr = F.array(*[F.struct(F.lit(i).alias("combo"), *[F.lit(float(w)).alias(f"w{j}") for j, w in enumerate(c)])
                     for i, c in enumerate(combos)])
-    ex = tuples.select(label, "cnt", *models, F.explode(arr).alias("c"))
+    ex = tuples.select(label, "cnt", *models, F.explode(arr).alias("_c"))
     blended = None
     for j, m in enumerate(models):
-        term = F.col(m) * F.col(f"c.w{j}")
+        term = F.col(m) * F.col(f"_c.w{j}")
         blended = term if blended is None else blended + term
-    rows = ex.select(label, "cnt", F.col("c.combo").alias("combo"), blended.alias("prob"))
+    rows = ex.select(label, "cnt", F.col("_c.combo").alias("combo"), blended.alias("prob"))
     y = F.col(label) == 1
     if metric in ("auc", "average_precision"):
         sc = rows.groupBy("combo", F.col("prob").alias("score")).agg(
@@ -203,7 +208,10 @@ def optimal_weights(df: DataFrame, models: Sequence[str], label: str = "label",
     """B6 for two or three models, B7 for more; a single model has weight 1."""
     if len(models) == 1:
         return _blend_scores(df, models, [(1.0,)], label, metric).select(F.lit(1.0).alias(f"w_{models[0]}"), rnd("score").alias("score"))
-    return (blend_weights if len(models) <= 3 else blend_search)(df, models, label, metric)
+    if len(models) <= 3:
+        return blend_weights(df, models, label, metric)
+    from retentio.operators.blend_optimiser import blend_optimise
+    return blend_optimise(df, models, label, metric)
 
 
 # ----------------------------------------------------------------- B9 / B10

@@ -991,6 +991,7 @@ UNION ALL SELECT id, t, forecast_prob AS prob, 'forecast' AS kind FROM ({_future
 
 # --------------------------------------------------------------------------- sources / sinks / streaming
 ORACLES["s01_csv_roundtrip"] = W("SELECT * FROM mart")
+ORACLES["s02_json_roundtrip"] = W("SELECT * FROM mart")
 ORACLES["s03_parquet_roundtrip"] = W("SELECT * FROM mart")
 ORACLES["s08_split_files"] = W(f"""
 , rk AS (SELECT CustomerID, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label,

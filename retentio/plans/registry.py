@@ -364,6 +364,7 @@ def q_e12(spark, sf):
 
 
 # --------------------------------------------------------------------------- metrics
+from retentio.operators import blend_optimiser as BO  # noqa: E402
 from retentio.operators import ensemble as EB  # noqa: E402
 from retentio.operators import metrics as MT  # noqa: E402
 
@@ -861,6 +862,12 @@ def q_b07(spark, sf):
     return round_doubles(EB.blend_search(scored, [*MODELS, "p4"], metric="auc"))
 
 
+@query("b07_blend_optimise")
+def q_b07_optimise(spark, sf):
+    scored = scored_table(spark, sf).withColumn("p4", (F.col("p1") + F.col("p3")) / 2)
+    return round_doubles(BO.blend_optimise(scored, [*MODELS, "p4"], metric="auc"))
+
+
 @query("t07_forecast_with_history")
 def q_t07(spark, sf):
     """Past scores and forecasts of ten drawn customers (the number that a chart shows)."""
@@ -987,6 +994,15 @@ def q_s01(spark, sf):
     return IO.load(spark, path, schema=m.schema)
 
 
+@query("s02_json_roundtrip")
+def q_s02(spark, sf):
+    """Records over several lines and separated by commas, which only a whole-file reader or ranges can take."""
+    m = mart(spark, sf)
+    path = _scratch(spark, "mart") + ".json"
+    m.select(F.to_json(F.struct("*"), {"pretty": "true"})).write.option("lineSep", ",\n").text(path)
+    return IO.load(spark, path, schema=m.schema)
+
+
 @query("s03_parquet_roundtrip")
 def q_s03(spark, sf):
     m = mart(spark, sf)
