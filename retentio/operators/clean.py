@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from retentio.functions.expr import rnd
 from retentio.plans.ordering import quantile_row
+from retentio.session import stored
 
 # ----------------------------------------------------------------- C1 / C13
 
@@ -221,27 +222,79 @@ def fit_outlier_clip(df: DataFrame, cols: Sequence[str], threshold: float = 3.0)
     return OutlierClip(bounds)
 
 
+#: share of the threshold beyond which a row is a suspect, and the share of a column's variance
+#: that has to be left for its moments to be downdated
+SUSPECT, VARIANCE_LEFT = 0.85, 1e-6
+
+
+def _downdated(df: DataFrame, cols: Sequence[str], threshold: float) -> list[tuple[str, float | None, float | None]]:
+    """(column, mean, std) for a prefix of ``cols`` (at least one), each on the rows that the columns before it keep.
+
+    Two scans: the moments of all columns, and the suspects, rows near or beyond the threshold of some column, which
+    are stored.  The moments of a later column are those of the scan less the removed rows, all of them suspects.  The
+    prefix ends where a row that is no suspect could be an outlier by the new moments, or where too little variance is
+    left for the difference to be exact."""
+    cols = list(cols)
+    row = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"),
+        F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+    found = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)]
+    done = [(cols[0], found[0][2], found[0][3])]
+    if len(cols) == 1:
+        return done
+    near = F.lit(False)
+    for c, _, m, s in found:
+        near = near | F.coalesce(_z_outlier(c, m, s, SUSPECT * threshold), F.lit(False))
+    suspects = stored(df.select(*cols).where(near), "outlier-suspects")
+    removed = F.lit(False)
+    for (c, n, m, s), before in zip(found[1:], found):
+        removed = removed | F.coalesce(_z_outlier(before[0], *done[-1][1:], threshold), F.lit(False))
+        if s is None or s == 0:                       # constant on all rows, so on those that are left
+            done.append((c, m, s))
+            continue
+        d = F.col(c).cast("double") - F.lit(m)
+        gone = suspects.where(removed).agg(F.count(d).alias("n"), F.sum(d).alias("d"), F.sum(d * d).alias("q")).first()
+        left, squares = n - gone["n"], (n - 1) * s * s
+        if left < 2:
+            return done
+        shift = -(gone["d"] or 0.0) / left
+        rest = squares - (gone["q"] or 0.0) - left * shift * shift
+        if not rest > VARIANCE_LEFT * squares:
+            return done
+        std, safe = (rest / (left - 1)) ** 0.5, SUSPECT * threshold * s
+        if not abs(shift) + safe <= threshold * std:
+            return done
+        done.append((c, m + shift, std))
+    return done
+
+
+def sequential_outlier_rules(df: DataFrame, cols: Sequence[str], threshold: float = 3.0) -> list[tuple[str, float | None, float | None]]:
+    """(column, mean, std) of every column on the rows that the columns before it keep."""
+    rules, rest = [], list(cols)
+    while rest:
+        done = _downdated(_without_outliers(df, rules, threshold), rest, threshold)
+        rules, rest = rules + done, rest[len(done):]
+    return rules
+
+
+def _without_outliers(df: DataFrame, rules, threshold: float) -> DataFrame:
+    for c, m, s in rules:
+        df = df.where(~F.coalesce(_z_outlier(c, m, s, threshold), F.lit(False)))
+    return df
+
+
 def remove_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, mode: str = "sequential") -> DataFrame:
     """Drop rows with |z| > threshold.
 
     ``sequential`` (reference): column by column, later columns' mean/std are
-    taken on the already-reduced frame (N15) - one aggregate per column, each
-    a single scan with the previous bounds as literal predicates.
+    taken on the already-reduced frame (N15), downdated from one scan.
     ``joint``: all z-scores from the full frame, one aggregate.
     """
     cols = list(cols)
     if mode == "joint":
         mom = _moments(df, cols)
-        cond = F.lit(False)
-        for c in cols:
-            cond = cond | F.coalesce(_z_outlier(c, *mom[c], threshold), F.lit(False))
-        return df.where(~cond)
-    cur = df
-    for c in cols:
-        m, s = _moments(cur, [c])[c]
-        out = _z_outlier(c, m, s, threshold)
-        cur = cur.where(~F.coalesce(out, F.lit(False)))
-    return cur
+        return _without_outliers(df, [(c, *mom[c]) for c in cols], threshold)
+    return _without_outliers(df, sequential_outlier_rules(df, cols, threshold), threshold)
 
 
 @dataclass(frozen=True)
