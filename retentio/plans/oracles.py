@@ -230,11 +230,13 @@ SELECT count(*) AS n_keys, count(*) FILTER (WHERE cnt > 1) AS n_repeated_keys,
        CAST(coalesce(sum(cnt - 1), 0) AS BIGINT) AS n_duplicate_rows
 FROM (SELECT o_custkey, count(*) AS cnt FROM orders GROUP BY o_custkey)"""
 
-ORACLES["p06_describe_numeric"] = W(_union([
+_RAW_NUMERIC = (", rawnum AS (SELECT * REPLACE (" + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in ROLES.discrete)
+                + ") FROM raw)\n")
+ORACLES["p06_describe_numeric"] = W(_RAW_NUMERIC + _union([
     f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
        round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
-       round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM raw"""
-    for c in _CONT]), raw=True)
+       round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM rawnum"""
+    for c in _NUMERIC]), raw=True)
 
 ORACLES["p07_top_values"] = W("""
 SELECT ServiceArea AS value, count(*) AS count,
@@ -292,8 +294,8 @@ def _corr_sql(a: str, b: str, src: str) -> str:
        CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE round(corr({a}, {b}), 6) END AS corr FROM {src}""")
 
 
-ORACLES["p13_correlation_matrix"] = W(_union(
-    [_corr_sql(a, b, "raw") for i, a in enumerate(_CONT) for b in _CONT[i + 1:]]), raw=True)
+ORACLES["p13_correlation_matrix"] = W(_RAW_NUMERIC + _union(
+    [_corr_sql(a, b, "rawnum") for i, a in enumerate(_NUMERIC) for b in _NUMERIC[i + 1:]]), raw=True)
 
 ORACLES["p14_top_target_correlations"] = W(
     ", lab AS (SELECT *, CASE WHEN Churn = 'Yes' THEN 1.0 ELSE 0.0 END AS label FROM mart),\n"
@@ -311,14 +313,14 @@ ORACLES["p15_correlated_pairs"] = W(
     ", c AS (" + _union([_corr_sql(a, b, "mart") for i, a in enumerate(_NUMERIC) for b in _NUMERIC[i + 1:]]) + ")\n"
     "SELECT column_a, column_b, corr FROM c WHERE abs(corr) > 0.7")
 
-ORACLES["p16_iqr_outlier_summary"] = W(_union([
+ORACLES["p16_iqr_outlier_summary"] = W(_RAW_NUMERIC + _union([
     f"""SELECT '{c}' AS "column",
-       (SELECT count(*) FROM raw, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM raw) b
+       (SELECT count(*) FROM rawnum, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM rawnum) b
         WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outlier_count,
-       round(CAST((SELECT count(*) FROM raw, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM raw) b
-        WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS DOUBLE) * 100.0 / (SELECT count(*) FROM raw), 6)
+       round(CAST((SELECT count(*) FROM rawnum, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM rawnum) b
+        WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS DOUBLE) * 100.0 / (SELECT count(*) FROM rawnum), 6)
          AS outlier_pct"""
-    for c in _CONT]), raw=True)
+    for c in _NUMERIC]), raw=True)
 
 ORACLES["p17_non_numeric_audit"] = W(_union([
     f"""SELECT '{c}' AS "column", count(*) AS non_numeric_count,
@@ -536,16 +538,16 @@ ORACLES["e07_dummies_drop_first"] = _one_hot_sql(True)
 
 ORACLES["e08_scale_standard"] = W("SELECT CustomerID, " + ", ".join(
     f"round(({c} - (SELECT avg({c}) FROM mart)) / (SELECT CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL "
-    f"THEN 1 ELSE stddev_pop({c}) END FROM mart), 6) AS {c}" for c in _CONT) + " FROM mart")
+    f"THEN 1 ELSE stddev_pop({c}) END FROM mart), 6) AS {c}" for c in _NUMERIC) + " FROM mart")
 
 ORACLES["e09_scale_minmax"] = W("SELECT CustomerID, " + ", ".join(
     f"round(({c} - (SELECT min({c}) FROM mart)) / (SELECT CASE WHEN max({c}) - min({c}) = 0 THEN 1 "
-    f"ELSE max({c}) - min({c}) END FROM mart), 6) AS {c}" for c in _CONT) + " FROM mart")
+    f"ELSE max({c}) - min({c}) END FROM mart), 6) AS {c}" for c in _NUMERIC) + " FROM mart")
 
 ORACLES["e10_scale_robust"] = W("SELECT CustomerID, " + ", ".join(
     f"round(({c} - (SELECT quantile_cont({c}, 0.5) FROM mart)) / (SELECT CASE WHEN quantile_cont({c}, 0.75) = "
     f"quantile_cont({c}, 0.25) THEN 1 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END FROM mart), 6) AS {c}"
-    for c in _CONT) + " FROM mart")
+    for c in _NUMERIC) + " FROM mart")
 
 _STRING_COLS = _CATS + _BINS
 ORACLES["e12_prepare_for_model"] = W("SELECT " + ", ".join(

@@ -42,6 +42,11 @@ def raw_mart(spark, sf):
     return mart_table(spark, sf, raw=True)
 
 
+def raw_numeric(spark, sf):
+    """The raw mart with its text columns of numbers coerced."""
+    return CL.coerce_numeric(raw_mart(spark, sf), ROLES.discrete)
+
+
 # --------------------------------------------------------------------------- bridge
 @query("s03_customer_mart")
 def q_customer_mart(spark, sf):
@@ -131,7 +136,7 @@ def q_p04(spark, sf):
 
 @query("p06_describe_numeric")
 def q_p06(spark, sf):
-    return PR.describe_numeric(raw_mart(spark, sf), list(ROLES.continuous))
+    return PR.describe_numeric(raw_numeric(spark, sf), list(ROLES.numeric))
 
 
 @query("p07_top_values")
@@ -166,7 +171,7 @@ def q_p12(spark, sf):
 
 @query("p13_correlation_matrix")
 def q_p13(spark, sf):
-    return PR.correlation_matrix(raw_mart(spark, sf), list(ROLES.continuous))
+    return PR.correlation_matrix(raw_numeric(spark, sf), list(ROLES.numeric))
 
 
 def _labelled(spark, sf):
@@ -186,7 +191,7 @@ def q_p15(spark, sf):
 
 @query("p16_iqr_outlier_summary")
 def q_p16(spark, sf):
-    return PR.iqr_outlier_summary(raw_mart(spark, sf), list(ROLES.continuous))
+    return PR.iqr_outlier_summary(raw_numeric(spark, sf), list(ROLES.numeric))
 
 
 @query("p17_non_numeric_audit")
@@ -341,20 +346,20 @@ def q_e06_wide(spark, sf):
 
 @query("e08_scale_standard")
 def q_e08(spark, sf):
-    m = mart(spark, sf).select("CustomerID", *CONT)
-    return round_doubles(EN.fit_standard_scaler(m, CONT).transform(m))
+    m = mart(spark, sf).select("CustomerID", *FEATURE_NUMERIC)
+    return round_doubles(EN.fit_standard_scaler(m, FEATURE_NUMERIC).transform(m))
 
 
 @query("e09_scale_minmax")
 def q_e09(spark, sf):
-    m = mart(spark, sf).select("CustomerID", *CONT)
-    return round_doubles(EN.fit_minmax_scaler(m, CONT).transform(m))
+    m = mart(spark, sf).select("CustomerID", *FEATURE_NUMERIC)
+    return round_doubles(EN.fit_minmax_scaler(m, FEATURE_NUMERIC).transform(m))
 
 
 @query("e10_scale_robust")
 def q_e10(spark, sf):
-    m = mart(spark, sf).select("CustomerID", *CONT)
-    return round_doubles(EN.fit_robust_scaler(m, CONT).transform(m))
+    m = mart(spark, sf).select("CustomerID", *FEATURE_NUMERIC)
+    return round_doubles(EN.fit_robust_scaler(m, FEATURE_NUMERIC).transform(m))
 
 
 @query("e12_prepare_for_model")
