@@ -362,21 +362,22 @@ ORACLES["c02_sparse_columns"] = W(_union([
        CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / count(*) > 70.0 AS dropped FROM raw"""
     for c in MART_COLUMNS]), raw=True)
 
+_FIT = _RAW_NUMERIC + ", fitrows AS (SELECT * FROM rawnum WHERE (CustomerID * 7919) % 1009 < 700)\n"
 ORACLES["c03_impute_median"] = W(
-    "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, {_med(c)}), 6) AS {c}" for c in _CONT) + " FROM raw",
-    raw=True)
+    _FIT + "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, {_med(c, 'fitrows')}), 6) AS {c}" for c in _NUMERIC)
+    + " FROM rawnum", raw=True)
 
 ORACLES["c05_impute_mode"] = W(
-    "SELECT CustomerID, " + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM raw",
-    raw=True)
+    _FIT + "SELECT CustomerID, " + ", ".join(f"coalesce({c}, {_mode(c, 'fitrows')}) AS {c}" for c in _CATS + _BINS)
+    + " FROM raw", raw=True)
 
 ORACLES["c06_impute_self"] = W(
-    "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, {_med(c)}), 6) AS {c}" for c in _CONT) + ", "
-    + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM raw", raw=True)
+    _RAW_NUMERIC + "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, {_med(c, 'rawnum')}), 6) AS {c}" for c in _NUMERIC)
+    + ", " + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM rawnum", raw=True)
 
 ORACLES["c07_second_pass_impute"] = W(
-    "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM raw)), 6) AS {c}" for c in _CONT)
-    + ", " + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in _CATS + _BINS) + " FROM raw", raw=True)
+    _FIT + "SELECT CustomerID, " + ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM fitrows)), 6) AS {c}" for c in _NUMERIC)
+    + ", " + ", ".join(f"coalesce({c}, {_mode(c, 'fitrows')}) AS {c}" for c in _CATS + _BINS) + " FROM rawnum", raw=True)
 
 
 def _zflag(c, src):
@@ -446,6 +447,7 @@ ORACLES["e04_label_encode"] = W(
 
 # category lists follow from the mart's definitions (fixed by construction)
 _ONE_HOT = {
+    "ServiceArea": sorted(f"NATION_{i}" for i in range(25)),
     "CreditRating": ["1-Highest", "2-High", "3-Good", "5-Low", "7-Lowest"],
     "PrizmCode": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
     "Occupation": ["Clerical", "Crafts", "Other", "Professional", "Retired"],
@@ -1006,9 +1008,7 @@ ORACLES["st01_streaming_features"] = ORACLES["f_features_risk"]
 # --------------------------------------------------------------------------- W3 prepare data
 # Categories follow from the mart's definition: nation names are NATION_<key> for the 25 keys.
 _W3_ONE_HOT = {
-    "ServiceArea": sorted(f"NATION_{i}" for i in range(25)),
-    "CreditRating": _ONE_HOT["CreditRating"], "PrizmCode": _ONE_HOT["PrizmCode"],
-    "Occupation": _ONE_HOT["Occupation"], "MaritalStatus": _ONE_HOT["MaritalStatus"],
+    **_ONE_HOT,
     "Homeownership": ["Known", "Unknown"],
 }
 _W3_STRICT = ["ChildrenInHH", "HandsetWebCapable", "OwnsComputer", "HasCreditCard", "MadeCallToRetentionTeam"]

@@ -229,28 +229,32 @@ def q_c02(spark, sf):
     return CL.sparse_decision_table(raw_mart(spark, sf), 0.7)
 
 
+#: the customers that imputers are fitted on; they are replayed on all
+FIT_ROWS = "(CustomerID * 7919) % 1009 < 700"
+
+
 @query("c03_impute_median")
 def q_c03(spark, sf):
-    r = raw_mart(spark, sf).select("CustomerID", *CONT)
-    return round_doubles(CL.fit_median_imputer(r, CONT).transform(r))
+    r = raw_numeric(spark, sf).select("CustomerID", *FEATURE_NUMERIC)
+    return round_doubles(CL.fit_median_imputer(r.where(FIT_ROWS), FEATURE_NUMERIC).transform(r))
 
 
 @query("c05_impute_mode")
 def q_c05(spark, sf):
     r = raw_mart(spark, sf).select("CustomerID", *CATS, *BINS)
-    return CL.fit_mode_imputer(r, CATS + BINS).transform(r)
+    return CL.fit_mode_imputer(r.where(FIT_ROWS), CATS + BINS).transform(r)
 
 
 @query("c06_impute_self")
 def q_c06(spark, sf):
-    r = raw_mart(spark, sf).select("CustomerID", *CONT, *CATS, *BINS)
-    return round_doubles(CL.impute_self(r, CONT, CATS + BINS))
+    r = raw_numeric(spark, sf).select("CustomerID", *FEATURE_NUMERIC, *CATS, *BINS)
+    return round_doubles(CL.impute_self(r, FEATURE_NUMERIC, CATS + BINS))
 
 
 @query("c07_second_pass_impute")
 def q_c07(spark, sf):
-    r = raw_mart(spark, sf).select("CustomerID", *CONT, *CATS, *BINS)
-    return round_doubles(CL.second_pass(r, r, CONT, CATS + BINS))
+    r = raw_numeric(spark, sf).select("CustomerID", *FEATURE_NUMERIC, *CATS, *BINS)
+    return round_doubles(CL.second_pass(r, r.where(FIT_ROWS), FEATURE_NUMERIC, CATS + BINS))
 
 
 @query("c08_outlier_clip")
@@ -317,7 +321,7 @@ def q_e04_wide(spark, sf):
     return enc.transform(li.drop("l_shipdate"))
 
 
-ONE_HOT_COLS = ["CreditRating", "PrizmCode", "Occupation", "MaritalStatus"]
+ONE_HOT_COLS = ["ServiceArea", "CreditRating", "PrizmCode", "Occupation", "MaritalStatus"]
 
 
 @query("e06_one_hot")
@@ -931,7 +935,7 @@ def q_s10(spark, sf):
     from pyspark.ml import PipelineModel
     raw = raw_mart(spark, sf)
     pre = WF.Preprocessor()
-    pre.fit_transform(raw.where("(CustomerID * 7919) % 1009 < 700"))
+    pre.fit_transform(raw.where(FIT_ROWS))
     path = _scratch(spark, "preprocessor")
     pre.model().save(path)
     return round_doubles(PipelineModel.load(path).transform(raw.where("(CustomerID * 7919) % 1009 >= 700")))
