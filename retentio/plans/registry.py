@@ -973,8 +973,9 @@ def q_w05(spark, sf):
 @query("w06_deployment_batch")
 def q_w06(spark, sf):
     train, test = _train_test(spark, sf)
-    m = MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train)
-    out = WF.deployment_batch(m, test, "CustomerID")["predictions"]
+    path = _scratch(spark, "model")
+    MD.create_model("logistic_regression", FEATURE_NUMERIC, "label").fit(train).save(path)
+    out = WF.deployment_batch(path, test, "CustomerID")["predictions"]
     back = out.join(test.select(F.col("CustomerID").alias("customer_id"), "label"), "customer_id")
     return RP.scored_report(back, "customer_id", "label", "churn_probability")
 

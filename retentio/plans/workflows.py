@@ -217,11 +217,15 @@ def score_holdout(model: MD.ChurnModel, holdout: DataFrame, id_col: str,
                          (F.col("prob") >= threshold).cast("int").alias("predicted_churn"))
 
 
-def deployment_batch(model: MD.ChurnModel, holdout: DataFrame, id_col: str, out_path: str | None = None,
+def deployment_batch(model: MD.ChurnModel | str, holdout: DataFrame, id_col: str, out_path: str | None = None,
                      threshold: float = DEPLOYMENT_THRESHOLD, top: int = 20) -> dict:
-    """Score -> report (when labels exist) -> top-k risk -> importances -> write predictions."""
+    """Load (``model`` may be the folder of a saved one) -> score -> report (when labels exist) -> top-k risk ->
+    importances -> write predictions (S9)."""
+    if isinstance(model, str):
+        model = MD.ChurnModel.load(model)
     preds = score_holdout(model, holdout, id_col, threshold)
-    out = {"predictions": preds, "top_risk": MT.top_risk(preds, "churn_probability", top, "customer_id")}
+    out = {"predictions": preds, "top_risk": MT.top_risk(preds, "churn_probability", top, "customer_id"),
+           "importances": model.feature_importances() if model.kind != "neural_network" else []}
     if "label" in holdout.columns:
         j = preds.join(holdout.select(F.col(id_col).alias("customer_id"), "label"), "customer_id")
         out["report"] = MT.classification_report(j.withColumnRenamed("churn_probability", "prob"), threshold=threshold)

@@ -128,3 +128,16 @@ def test_preprocessor_replays_on_holdout(spark, sf):
     hold.write.parquet(f"{d}/hold.parquet")
     process_and_save(spark, f"{d}/train.parquet", f"{d}/hold.parquet", f"{d}/out")
     assert spark.read.parquet(f"{d}/out/holdout_processed.parquet").count() == hold.count()
+
+
+def test_deployment_batch_from_a_saved_model(spark):
+    from retentio.operators import models as MD
+    from retentio.plans.workflows import deployment_batch
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 3), int(i % 7 > 3)) for i in range(120)], "id int, a double, b double, label int")
+    model = MD.create_model("random_forest", ["a", "b"], "label").fit(df)
+    d = _tmp()
+    model.save(f"{d}/model")
+    live, loaded = deployment_batch(model, df, "id"), deployment_batch(f"{d}/model", df, "id", out_path=f"{d}/scores")
+    assert sorted(map(str, live["predictions"].collect())) == sorted(map(str, spark.read.parquet(f"{d}/scores").collect()))
+    assert loaded["importances"][0][0] == "a" and loaded["importances"] == live["importances"]
+    assert loaded["report"].count() > 0 and loaded["top_risk"].count() > 0
