@@ -14,9 +14,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder as SparseOneHot
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentio.plans.ordering import quantile_row, row_index
 from retentio.session import cut_lineage
@@ -166,6 +167,13 @@ def strict_binary_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 # ----------------------------------------------------------------- E6, E7
 
 
+def _sparse_one(place: Column, size: int) -> Column:
+    """A sparse vector of ``size`` numbers with a 1 at ``place``; all zeros where it is NULL."""
+    fields = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size},"indices":['), F.coalesce(place.cast("string"), F.lit("")),
+                      F.lit('],"values":['), F.when(place.isNull(), "").otherwise("1.0"), F.lit("]}}"))
+    return F.from_json(fields, T.StructType([T.StructField("v", VectorUDT())]))["v"]
+
+
 @dataclass(frozen=True)
 class OneHotEncoder:
     """``{col}_{category}`` double indicators over the fitted categories;
@@ -186,12 +194,13 @@ class OneHotEncoder:
         first = int(self.drop_first)
         n = self.sizes[c] - first
         known = self.dictionaries[c].select(F.col("value").alias(f"_value{i}"), (F.col("code") - first).alias(f"_code{i}"))
-        place = F.when(F.col(f"_code{i}") >= 0, F.col(f"_code{i}")).otherwise(F.lit(n)).cast("double")
-        coded = df.join(known, F.col(c).cast("string") == F.col(f"_value{i}"), "left").withColumn(f"_place{i}", place)
-        # a place of n or more is none of the categories: all zeros
-        encoder = SparseOneHot(inputCol=f"_place{i}", outputCol=f"{c}_onehot", handleInvalid="keep", dropLast=True)
-        sized = df.sparkSession.range(1).select(F.lit(float(n - 1)).alias(f"_place{i}"))
-        return encoder.fit(sized).transform(coded).drop(f"_value{i}", f"_code{i}", f"_place{i}")
+        place = F.when(F.col(f"_code{i}") >= 0, F.col(f"_code{i}"))
+        coded = df.join(known, F.col(c).cast("string") == F.col(f"_value{i}"), "left")
+        # Spark ML's encoder names every category in the column's metadata, which the driver holds: here the metadata
+        # has their number only
+        sized = {"ml_attr": {"num_attrs": n}}
+        return coded.withColumn(f"{c}_onehot", _sparse_one(place, n)) \
+            .withMetadata(f"{c}_onehot", sized).drop(f"_value{i}", f"_code{i}")
 
     def transform(self, df: DataFrame) -> DataFrame:
         out, vectors = [], {}

@@ -122,3 +122,12 @@ def test_selection_drops_indicators_that_repeat_a_number(spark):
     assert {v for s, v, _ in out if s == "k"} == {f"k{i}" for i in range(5)}
     one_class = df.withColumn("y", F.lit(1))
     assert SE.indicator_f(one_class, ["k"], "y").where("f_score is not null").count() == 0
+
+
+def test_sparse_one_hot_keeps_no_name_a_category(spark):
+    """The driver holds a column's metadata: it has to stay as small for millions of categories."""
+    df = spark.createDataFrame([(i, f"k{i % 40:02d}") for i in range(80)] + [(80, None), (81, "new")], "id long, x string")
+    out = EN.fit_one_hot(df.where("id < 80"), ["x"], limit=2).transform(df)
+    assert out.schema["x_onehot"].metadata == {"ml_attr": {"num_attrs": 40}}
+    got = {r["id"]: r["x_onehot"] for r in out.collect()}
+    assert all(v.size == 40 and list(v.indices) == ([i % 40] if i < 80 else []) for i, v in got.items())
