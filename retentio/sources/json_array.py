@@ -6,7 +6,8 @@ on all bytes before it, so one pass summarises every range for each of the three
 starts (outside a string, inside, inside after a backslash): the state at its end and the
 change of depth.  The driver composes the summaries, some 100 bytes a range, in order.  A
 second pass lets every range emit the records that begin in it, reading on past its end until
-the last of them closes.
+the last of them closes.  Both passes take a range in blocks of ``BLOCK_BYTES``, so a task's memory
+follows from the block and the longest record, not from the range.
 
 Holds for one object, objects one after another and arrays of objects; what lies between the
 records is skipped.  Files are opened in the tasks through ``pyarrow.fs``.
@@ -25,6 +26,8 @@ from pyspark.sql import types as T
 from retentio.session import checkpoint_dir
 
 RANGE_BYTES = 64 * 1024 * 1024
+#: bytes that a task scans at a time
+BLOCK_BYTES = 1 << 20
 OUTSIDE, INSIDE, ESCAPED = range(3)
 QUOTE, BACKSLASH = ord('"'), ord("\\")
 
@@ -47,14 +50,25 @@ def scan(data: bytes, state: int) -> tuple[np.ndarray, int]:
     a = np.frombuffer(data, np.uint8)
     if not a.size:
         return np.zeros(0, np.int8), state
-    at = np.arange(a.size)
-    other = np.maximum.accumulate(np.where(a == BACKSLASH, -1, at))      # last byte that is no backslash
-    run = at - other + (state == ESCAPED) * (other == -1)                # backslashes that end here
-    escaped = np.concatenate([[state == ESCAPED], run[:-1] % 2 == 1])
-    quotes = np.cumsum((a == QUOTE) & ~escaped) + (state != OUTSIDE)
-    inside = quotes % 2 == 1
-    end = OUTSIDE if not inside[-1] else ESCAPED if run[-1] % 2 == 1 and a[-1] == BACKSLASH else INSIDE
-    return np.where(inside, 0, STEP[a]).astype(np.int8), end
+    slash = a == BACKSLASH
+    quote, ends_escaped = a == QUOTE, False
+    if slash.any():
+        at = np.arange(a.size)
+        other = np.maximum.accumulate(np.where(slash, -1, at))           # last byte that is no backslash
+        run = at - other + (state == ESCAPED) * (other == -1)            # backslashes that end here
+        quote[1:] &= run[:-1] % 2 == 0
+        ends_escaped = bool(run[-1] % 2 == 1 and slash[-1])
+    if state == ESCAPED:
+        quote[0] = False
+    inside = (np.cumsum(quote, dtype=np.uint8) + np.uint8(state != OUTSIDE)) % 2 == 1       # the parity outlasts the overflow
+    end = OUTSIDE if not inside[-1] else ESCAPED if ends_escaped else INSIDE
+    return np.where(inside, np.int8(0), STEP[a]), end
+
+
+def _blocks(f, at: int, length: int) -> Iterator[bytes]:
+    """The bytes of a range, ``BLOCK_BYTES`` at a time: a task holds a few blocks, not its range."""
+    for k in range(at, at + length, BLOCK_BYTES):
+        yield f.read_at(min(BLOCK_BYTES, at + length - k), k)
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,11 +77,15 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = b.to_pylist()
         ends, steps = [], []
         for r in rows:
+            states, depths = [OUTSIDE, INSIDE, ESCAPED], [0, 0, 0]
             with _open(r["path"]) as f:
-                data = f.read_at(r["length"], r["at"])
-            found = [scan(data, s) for s in (OUTSIDE, INSIDE, ESCAPED)]
-            ends.append([e for _, e in found])
-            steps.append([int(d.sum(dtype=np.int64)) for d, _ in found])
+                for data in _blocks(f, r["at"], r["length"]):
+                    found = {s: scan(data, s) for s in set(states)}
+                    sums = {s: int(d.sum(dtype=np.int64)) for s, (d, _) in found.items()}
+                    depths = [d + sums[s] for d, s in zip(depths, states)]
+                    states = [found[s][1] for s in states]
+            ends.append(states)
+            steps.append(depths)
         yield pa.RecordBatch.from_arrays(
             [b.column("file"), b.column("at"), pa.array(ends, pa.list_(pa.int32())), pa.array(steps, pa.list_(pa.int64()))],
             names=["file", "at", "ends", "steps"])
@@ -75,10 +93,14 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _records(data: bytes, state: int, depth: int, base: int, more) -> list[str]:
     """The records that begin in ``data``; ``more()`` gives the bytes that follow it, empty at the end of the file."""
+    return _found(data, *scan(data, state), depth, base, more)
+
+
+def _found(data: bytes, change: np.ndarray, state: int, depth: int, base: int, more) -> list[str]:
+    """``_records`` of scanned bytes; ``state`` is the one after them."""
     out, size, start = [], len(data), None
     buffer, read = data, 0
     while True:
-        change, state = scan(buffer[read:], state)
         level = depth + np.cumsum(change, dtype=np.int64)
         edges = np.flatnonzero(((change > 0) & (level == base + 1)) | ((change < 0) & (level == base)))
         for i in edges.tolist():
@@ -95,24 +117,35 @@ def _records(data: bytes, state: int, depth: int, base: int, more) -> list[str]:
         following = more()
         if not following:
             return out                            # the file ends inside a record
+        if read == size:
+            buffer = bytearray(buffer)            # grows in place
         buffer += following
+        change, state = scan(following, state)
+
 
+def _following(f, at: int):
+    """Reads on from ``at``, more at every call: most records end soon, a long one takes few calls."""
+    step = 1 << 14
 
-def _emit(range_bytes: int):
-    def emit(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                with _open(r["path"]) as f:
-                    at = r["at"] + r["length"]
+    def more() -> bytes:
+        nonlocal at, step
+        data = f.read_at(step, at)
+        at, step = at + len(data), min(2 * step, BLOCK_BYTES)
+        return data
+    return more
 
-                    def more():
-                        nonlocal at
-                        data = f.read_at(min(range_bytes, 1 << 20), at)
-                        at += len(data)
-                        return data
-                    found = _records(f.read_at(r["length"], r["at"]), r["state"], r["depth"], r["base"], more)
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["value"])
-    return emit
+
+def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for r in b.to_pylist():
+            at, state, depth = r["at"], r["state"], r["depth"]
+            with _open(r["path"]) as f:
+                for data in _blocks(f, at, r["length"]):
+                    at += len(data)
+                    change, state = scan(data, state)
+                    found = _found(data, change, state, depth, r["base"], _following(f, at))
+                    depth += int(change.sum(dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["value"])
 
 
 def _files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
@@ -161,7 +194,7 @@ def json_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
         summary = found[(i, at)]
         state, depth = summary["ends"][state], depth + summary["steps"][state]
     return spread(starts, "file int, path string, at long, length long, state int, depth long, base int").mapInArrow(
-        _emit(range_bytes), "value string")
+        _emit, "value string")
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

@@ -69,3 +69,39 @@ def test_empty_array_and_folder_of_files(spark):
         with open(f"{folder}/{i}.json", "w") as f:
             json.dump([{"id": 10 * i + j} for j in range(4)], f)
     assert sorted(r["id"] for r in IO.load(spark, f"{folder}/*.json").collect()) == [10 * i + j for i in range(3) for j in range(4)]
+
+
+def test_memory_follows_the_block_not_the_range(tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+    text = json.dumps([{"id": i, "s": "a \\\\ \" { " * 6} for i in range(80_000)]).encode()
+    path = str(tmp_path / "x.json")
+    with open(path, "wb") as f:
+        f.write(text)
+    rows = [{"file": 0, "path": path, "at": 0, "length": len(text), "state": JA.OUTSIDE, "depth": 0, "base": 1}]
+    tracemalloc.start()
+    summary = next(JA._summaries(iter([pa.RecordBatch.from_pylist(rows)]))).to_pylist()[0]
+    assert summary["ends"][JA.OUTSIDE] == JA.OUTSIDE and summary["steps"][JA.OUTSIDE] == 0
+    n = sum(b.num_rows for b in JA._emit(iter([pa.RecordBatch.from_pylist(rows)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 80_000 and peak < 64 << 20, peak           # several 100 MB when the range is scanned at once
+
+
+def test_ranges_taken_in_blocks_give_the_same_records(tmp_path, monkeypatch):
+    import pyarrow as pa
+    text = json.dumps(_rows(60), ensure_ascii=False, indent=1).encode()
+    path = str(tmp_path / "x.json")
+    with open(path, "wb") as f:
+        f.write(text)
+    batch = lambda r: iter([pa.RecordBatch.from_pylist([r])])                                  # noqa: E731
+    for size in (1, 7, 100, 1 << 20):
+        monkeypatch.setattr(JA, "BLOCK_BYTES", size)
+        got, state, depth = [], JA.OUTSIDE, 0
+        for at in range(0, len(text), 333):
+            row = {"file": 0, "path": path, "at": at, "length": min(333, len(text) - at), "state": state, "depth": depth, "base": 1}
+            got += [json.loads(v) for b in JA._emit(batch(row)) for v in b.column("value").to_pylist()]
+            out = next(JA._summaries(batch(row))).to_pylist()[0]
+            state, depth = out["ends"][state], depth + out["steps"][state]
+        assert got == _rows(60) and (state, depth) == (JA.OUTSIDE, 0)
