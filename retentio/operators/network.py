@@ -112,13 +112,19 @@ def _matrix(x: pd.Series, width: int) -> np.ndarray:
     return np.nan_to_num(np.array([[np.nan if v is None else v for v in r] for r in x], float).reshape(len(x), width), nan=0.0)
 
 
+def _arrow_matrix(x: pa.Array, width: int) -> np.ndarray:
+    """``_matrix`` of an Arrow column of lists, without a Python object a row."""
+    return np.nan_to_num(x.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(x), width), nan=0.0)
+
+
 def _gradient(rows, flat, shapes, p, width: int, number: int):
     """(gradient, training loss, training weight, validation loss, validation weight), summed over the rows."""
     def run(batches):
         params, total, sums = split_params(flat, shapes), np.zeros(len(flat)), np.zeros(4)
         task = TaskContext.get().partitionId()
         for k, b in enumerate(batches):
-            x, y, w, val = _matrix(b["x"], width), b["y"].to_numpy(float), b["w"].to_numpy(float), b["val"].to_numpy(bool)
+            x = _arrow_matrix(b.column("x"), width)
+            y, w, val = (b.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "val"))
             xt, yt, wt = x[~val], y[~val], w[~val]
             if p["kind"] == "recurrent":
                 loss, g = recurrent(params, xt, yt, wt, p["steps"])
@@ -133,14 +139,16 @@ def _gradient(rows, flat, shapes, p, width: int, number: int):
             total += np.concatenate([v.ravel() for v in g])
             sums += loss, wt.sum(), _outer_loss(held, y[val], w[val])[0], w[val].sum()
         vector = np.concatenate([sums, total])
-        yield pd.DataFrame({"chunk": range(0, len(vector), CHUNK), "v": [vector[a:a + CHUNK] for a in range(0, len(vector), CHUNK)]})
+        at = range(0, len(vector), CHUNK)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([vector[a:a + CHUNK] for a in at], pa.list_(pa.float64()))],
+                                         names=["chunk", "v"])
 
     def add(part: pa.Table) -> pa.Table:
-        v = np.sum([np.asarray(x) for x in part.column("v").to_pylist()], axis=0)
+        v = part.column("v").combine_chunks().flatten().to_numpy().reshape(len(part), -1).sum(axis=0)
         return pa.table({"chunk": part.column("chunk").slice(0, 1), "v": pa.array([v.tolist()], pa.list_(pa.float64()))})
 
     kind = "chunk int, v array<double>"
-    parts = rows.mapInPandas(run, kind).groupBy("chunk").applyInArrow(add, kind).collect()          # one row a chunk
+    parts = rows.mapInArrow(run, kind).groupBy("chunk").applyInArrow(add, kind).collect()          # one row a chunk
     vector = np.concatenate([r["v"] for r in sorted(parts, key=lambda r: r["chunk"])])
     return vector[4:], *vector[:4]
 

@@ -90,3 +90,13 @@ def test_recurrent_and_edges(spark, tmp_path):
     first = churn.predict_proba(plain.fillna(0.0), ["id"]).orderBy("id").collect()
     assert ChurnModel.load(str(tmp_path / "churn")).predict_proba(plain.fillna(0.0), ["id"]).orderBy("id").collect() == first
     assert len(churn.training_curve()) == 6
+
+
+def test_arrow_columns_give_the_same_matrix():
+    import pandas as pd
+    import pyarrow as pa
+    values = [[1.0, None, 3.0], [float("nan"), 5.0, 6.0], [7.0, 8.0, None], [0.5, 0.25, 0.125]]
+    column = pa.array(values, pa.list_(pa.float64()))
+    for part in (column, column.slice(1, 2), column.slice(4)):
+        want = NN._matrix(pd.Series(part.to_pylist(), dtype=object), 3) if len(part) else np.zeros((0, 3))
+        assert np.array_equal(NN._arrow_matrix(part, 3), want)
