@@ -56,16 +56,18 @@ class Tree:
             column.append(v)
         return len(self.feature) - 1
 
-    def leaves(self, bins: np.ndarray) -> np.ndarray:
-        """Node at which each row of ``bins`` ends."""
-        feature, cut, left, right = (np.asarray(x) for x in (self.feature, self.bin, self.left, self.right))
-        at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(max(self.depth)):
-            f = feature[at]
-            inner = f >= 0
-            goes_left = bins[rows, np.maximum(f, 0)] <= cut[at]
-            at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
+    def leaves(self, columns: np.ndarray) -> np.ndarray:
+        """Node at which each row ends; ``columns`` holds one line of bytes a feature.  Nodes are taken in order, a
+        parent before its children, by steps over whole lines: no row is looked up on its own."""
+        kind = np.min_scalar_type(len(self.feature))
+        at = np.zeros(columns.shape[1], kind)
+        for v, f in enumerate(self.feature):
+            if f >= 0:
+                here = at == v
+                left = here & (columns[f] <= self.bin[v])
+                here ^= left
+                at += left * kind.type(self.left[v] - v)
+                at += here * kind.type(self.right[v] - v)
         return at
 
     def compact(self) -> "Tree":
@@ -102,12 +104,21 @@ def best_split(g: np.ndarray, h: np.ndarray, n: np.ndarray, ridge: float, least:
     return at, float(gain[at])
 
 
-def _margin(batch: pd.DataFrame, width: int, trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
-    bins = np.frombuffer(b"".join(batch["bins"]), np.uint8).reshape(len(batch), width)
-    margin = batch["margin"].to_numpy(float)
+def _columns(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    """The bytes of a batch, one line a feature."""
+    data = batch.column("bins").cast(pa.binary(width))
+    flat = np.frombuffer(data.buffers()[1], np.uint8)[data.offset * width:(data.offset + len(data)) * width]
+    return np.ascontiguousarray(flat.reshape(len(data), width).T)
+
+
+def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _margin(columns: np.ndarray, margin: np.ndarray, trees: list[Tree]) -> np.ndarray:
     for t in trees:
-        margin = margin + np.asarray(t.value)[t.leaves(bins)]
-    return bins, margin
+        margin = margin + np.asarray(t.value)[t.leaves(columns)]
+    return margin
 
 
 def _loss(y, w, margin):
@@ -132,9 +143,9 @@ class _Trainer:
 
         def add(batches):
             for b in batches:
-                b["margin"] = _margin(b, width, trees)[1]
-                yield b
-        self.rows, self.pending = stored(self.rows.mapInPandas(add, self.rows.schema), "boosting"), []
+                margin = _margin(_columns(b, width), _numbers(b, "margin"), trees)
+                yield b.set_column(b.schema.get_field_index("margin"), "margin", pa.array(margin))
+        self.rows, self.pending = stored(self.rows.mapInArrow(add, self.rows.schema), "boosting"), []
 
     def losses(self) -> tuple[float, float | None]:
         """Mean log loss of training and validation rows under the trees so far."""
@@ -161,30 +172,37 @@ class _Trainer:
         def histograms(batches):
             hist, lost = np.zeros((3, len(nodes), len(features), n_bins)), np.zeros((2, 2))
             for b in batches:
-                bins, margin = _margin(b, width, trees)
+                if not b.num_rows:
+                    continue
+                columns = _columns(b, width)
+                margin, y, w, held = _margin(columns, _numbers(b, "margin"), trees), *(_numbers(b, c) for c in ("y", "w", "val"))
                 if measure:
                     for val in (0, 1):
-                        s = b["val"].to_numpy(bool) == bool(val)
-                        ys, ws = b["y"].to_numpy(float)[s], b["w"].to_numpy(float)[s]
+                        s = held == bool(val)
+                        ys, ws = y[s], w[s]
                         lost[val] += _loss(ys, ws, margin[s]), ws.sum()
-                slot = slot_of[tree.leaves(bins)]
-                use = (slot >= 0) & ~b["val"].to_numpy(bool)
-                y, w, slot = b["y"].to_numpy(float)[use], b["w"].to_numpy(float)[use], slot[use]
+                slot = slot_of[tree.leaves(columns)]
+                use = np.flatnonzero((slot >= 0) & ~held)
+                y, w, key = y[use], w[use], slot[use] * n_bins
                 prob = 1 / (1 + np.exp(-margin[use]))
-                weights = (w * (prob - y), w * prob * (1 - prob), np.ones(len(y)))
+                weights = (w * (prob - y), w * prob * (1 - prob), None)
                 for j, f in enumerate(features):
-                    key = slot * n_bins + bins[use, f]
+                    cell = key + columns[f][use]
                     for k, v in enumerate(weights):
-                        hist[k, :, j, :] += np.bincount(key, v, len(nodes) * n_bins).reshape(len(nodes), n_bins)
+                        hist[k, :, j, :] += np.bincount(cell, v, len(nodes) * n_bins).reshape(len(nodes), n_bins)
+            kinds = pa.int32(), pa.int32(), *[pa.list_(pa.float64())] * 3
             for s in np.flatnonzero(hist[2, :, 0].any(axis=1)):
                 parts = [hist[:, s, j:j + BLOCK].reshape(3, -1) for j in range(0, len(features), BLOCK)]
-                yield pd.DataFrame({"leaf": s, "block": range(len(parts)), **{c: [q[k] for q in parts] for k, c in enumerate("ghn")}})
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(
+                    ([s] * len(parts), range(len(parts)), *([q[k] for q in parts] for k in range(3))), kinds)],
+                    names=["leaf", "block", *"ghn"])
             for val in (0, 1):
                 if lost[val, 1]:
-                    yield pd.DataFrame({"leaf": [-1 - val], "block": [0], "g": [lost[val]], "h": [lost[val]], "n": [lost[val]]})
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(
+                        ([-1 - val], [0], *[[lost[val]]] * 3), kinds)], names=["leaf", "block", *"ghn"])
 
         def choose(part: pa.Table) -> pa.Table:
-            g, h, n = (np.sum([np.asarray(x) for x in part.column(c).to_pylist()], axis=0) for c in "ghn")
+            g, h, n = (part.column(c).combine_chunks().flatten().to_numpy().reshape(len(part), -1).sum(axis=0) for c in "ghn")
             leaf, block = part.column("leaf")[0].as_py(), part.column("block")[0].as_py()
             if leaf < 0:
                 row = [leaf, 0, 0, g[0] / g[1], *[0.0] * 6]
@@ -198,7 +216,7 @@ class _Trainer:
             return pa.table({f.split()[0]: pa.array([v], pa.int32() if f.endswith("int") else pa.float64())
                              for f, v in zip(SPLIT.split(", "), row)})
 
-        rows = self.rows.mapInPandas(histograms, HIST).groupBy("leaf", "block").applyInArrow(choose, SPLIT).collect()
+        rows = self.rows.mapInArrow(histograms, HIST).groupBy("leaf", "block").applyInArrow(choose, SPLIT).collect()
         if measure:
             loss = {r["leaf"]: r["gain"] for r in rows}
             self.measured = loss[-1], loss.get(-2)
@@ -295,9 +313,7 @@ class LeafwiseModel(Model, DefaultParamsReadable, DefaultParamsWritable):
             if not len(x):
                 return pd.Series([], dtype=object)
             bins = find_bins(np.array([[np.nan if v is None else v for v in r] for r in x], float), edges)
-            margin = np.full(len(x), init)
-            for t in trees:
-                margin += np.asarray(t.value)[t.leaves(bins)]
+            margin = _margin(np.ascontiguousarray(bins.T), np.full(len(x), init), trees)
             prob = 1 / (1 + np.exp(-margin))
             return pd.Series(list(np.stack([1 - prob, prob], axis=1)))
 
@@ -395,12 +411,15 @@ class LeafwiseBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
         def pack(batches):
             for b in batches:
-                values = np.array([[np.nan if v is None else v for v in r] for r in b["x"]], float).reshape(len(b), width)
-                yield pd.DataFrame({"bins": [r.tobytes() for r in find_bins(values, edges)], "y": b["y"], "w": b["w"],
-                                    "val": b["val"], "margin": init})
+                values = b.column("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(b), width)
+                packed = [r.tobytes() for r in find_bins(values, edges)]
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), *(b.column(c) for c in ("y", "w", "val")),
+                                                  pa.array(np.full(len(b), init))], names=["bins", "y", "w", "val", "margin"])
 
         tasks = max(1, min(df.sparkSession.sparkContext.defaultParallelism, cuts["n"] // ROWS_A_TASK))
-        rows = stored(src.coalesce(tasks).mapInPandas(pack, "bins binary, y double, w double, val boolean, margin double"), "boosting")
+        # dealt evenly: the stored rows may lie in few files, which would leave tasks without rows in every job
+        spread = src.repartition(tasks) if tasks > 1 else src.coalesce(1)
+        rows = stored(spread.mapInArrow(pack, "bins binary, y double, w double, val boolean, margin double"), "boosting")
         trainer, trees, rng = _Trainer(rows, width, n_bins, p), [], np.random.default_rng(p["seed"])
         curve = []
         while True:

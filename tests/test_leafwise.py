@@ -136,3 +136,33 @@ def test_edges(spark, tmp_path):
     assert model.split_counts()["d"] == 0 and model.split_importances("cover")["a"] > 0
     assert np.isclose(sum(v for _, v in model.feature_importances()), 1) and len(model.training_curve()) == 4
     assert model.predict_proba(df.where(F.lit(False))).count() == 0
+
+
+def test_leaves_equal_a_walk_row_by_row():
+    rng = np.random.default_rng(4)
+    for splits in (0, 30, 400):                                  # 400: node numbers beyond a byte
+        tree = LW.Tree()
+        for _ in range(splits):
+            v = int(rng.choice([i for i, f in enumerate(tree.feature) if f < 0]))
+            tree.feature[v], tree.bin[v] = int(rng.integers(0, 5)), int(rng.integers(0, 20))
+            tree.left[v], tree.right[v] = (tree.child(tree.depth[v] + 1, 0.0, 0.0, 0.0) for _ in range(2))
+        columns = rng.integers(0, 20, (5, 300)).astype(np.uint8)
+        want = []
+        for row in columns.T:
+            v = 0
+            while tree.feature[v] >= 0:
+                v = tree.left[v] if row[tree.feature[v]] <= tree.bin[v] else tree.right[v]
+            want.append(v)
+        assert tree.leaves(columns).tolist() == want
+
+
+def test_rows_of_one_file_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(LW, "ROWS_A_TASK", 50)
+    kept, plain = [], LW.stored
+    monkeypatch.setattr(LW, "stored", lambda df, name: kept.append(plain(df, name)) or kept[-1])
+    x, y, w = data()
+    LW.LeafwiseBoosting(maxIter=1, maxBins=20).fit(frame(spark, x, y).coalesce(1))
+    files = {f for f in kept[1].inputFiles()}
+    assert len(files) == min(spark.sparkContext.defaultParallelism, len(y) // 50) > 1
+    sizes = [r["n"] for r in kept[1].groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == len(files) and max(sizes) < 2 * min(sizes)
