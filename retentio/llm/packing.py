@@ -103,9 +103,8 @@ def default_tokenizer() -> str:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0,
-           id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
-    """(id, piece, start, length, ids_crc32[, ids]): the cut token sequences.
-    ``ids`` is little-endian unsigned 32-bit; ``with_ids=False`` leaves it out."""
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, piece, start, length, ids_crc32, ids): the cut token sequences; ``ids`` is little-endian unsigned 32-bit."""
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
@@ -125,18 +124,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id:
                     start.append(at // 4)
                     length.append(len(piece) // 4)
                     crc.append(zlib.crc32(piece))
-                    if with_ids:
-                        ids.append(piece)
+                    ids.append(piece)
             cols = [batch.column("_id").take(pa.array(row, pa.int64())), pa.array(number, pa.int32()),
-                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            names = ["_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                cols.append(pa.array(ids, pa.binary()))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    out = src.mapInArrow(cut, f"_id {id_type}, piece int, start long, length long, ids_crc32 long"
-                         + (", ids binary" if with_ids else ""))
+                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+                    pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["_id", "piece", "start", "length", "ids_crc32", "ids"])
+
+    out = src.mapInArrow(cut, f"_id {id_type}, piece int, start long, length long, ids_crc32 long, ids binary")
     return out.withColumnRenamed("_id", id_col)
 
 
@@ -212,13 +206,18 @@ def pack(cut: DataFrame, max_tokens: int = 2048, max_docs: int | None = None, ma
     return src.groupBy("_block").applyInArrow(pack_block, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, max_tokens: int = 2048,
-                   with_ids: bool = False, **limits) -> DataFrame:
-    """Tokenise, cut and pack; the pieces are stored once between the steps."""
-    cut = stage(pieces(docs, tokenizer_path or default_tokenizer(), max_tokens, with_ids=with_ids), "pieces")
-    return pack(cut, max_tokens, **limits)
+def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, max_tokens: int = 2048, **limits) -> DataFrame:
+    """Tokenise, cut and pack: every piece with its token ids (``ids``) and its place.
+
+    The pieces are stored once; the packing deals their lengths alone, numbered by stored row (ids of documents
+    may repeat or be NULL), and the places are joined to the token ids, so no block holds tokens."""
+    cut = stage(pieces(docs, tokenizer_path or default_tokenizer(), max_tokens)
+                .withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    places = pack(cut.drop("ids"), max_tokens, **limits).select("_row", "sequence_id", "offset")
+    return cut.join(places, "_row").drop("_row")
 
 
 def query(spark, sf_dir):
-    """op6: all documents in sequences of at most 2048 tokens."""
-    return pack_documents(table(spark, sf_dir, "documents"))
+    """op6: all documents in sequences of at most 2048 tokens; the digest is that of the packed ids."""
+    packed = pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

@@ -112,6 +112,26 @@ def test_packing_contract(spark):
     assert packing.pack_documents(frame(spark, [])).count() == 0
 
 
+def test_packed_documents_carry_their_tokens(spark, tmp_path):
+    rows = corpus(30) + [(900, None), (None, "text without an id"), (901, "many words " * 4000), (1, "again"), (1, "again")]
+    docs = frame(spark, rows)
+    encode = packing.WordIds(packing.default_tokenizer()).encode
+    want = []
+    for i, t in rows:
+        ids = encode(t or "", add_special_tokens=False).ids + [0]
+        want += [(i, k, at, len(ids[at:at + 2048]), np.array(ids[at:at + 2048], "<u4").tobytes())
+                 for k, at in enumerate(range(0, len(ids), 2048))]
+    key = lambda r: tuple((x is None, x) for x in r)
+    got = packing.pack_documents(docs).collect()
+    assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"])) for r in got), key=key) == sorted(want, key=key)
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in got)
+    for (s, at, n), (following, start, _) in zip(places, places[1:]):
+        assert start == (at + n if s == following else 0)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    digests = packing.query(spark, str(tmp_path))
+    assert collect(digests, "doc_id", "piece", "ids_crc32") == sorted(((i, k, zlib.crc32(b)) for i, k, _, _, b in want), key=key)
+
+
 @pytest.mark.parametrize("rule,weights", [("norm", (1, 0, 0)), ("norm", (1, 1, 1)), ("dot", (1, 1, 1))])
 def test_best_fit_keeps_every_limit(rule, weights):
     rng = np.random.default_rng(2)
