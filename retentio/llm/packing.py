@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from retentio.llm.common import stage, table
 
 #: words, and parts of words, whose ids a worker remembers; a memory is cleared when it is full
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 # The parts into which the word-level BPE vocabulary takes a word (its published
 # pattern), for lower-case letters of ASCII and Latin-1; words with other characters take the
@@ -71,13 +71,15 @@ class WordIds(dict):
         super().__init__()
         tokenizer = Tokenizer.from_file(tokenizer_path)
         self.encode = tokenizer.encode
-        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.holds_special = re.compile("|".join(special) or "(?!)").search
         self.parts = _PartIds(tokenizer)
         self[""] = b""
 
     def __missing__(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and not any(x in word for x in self.special):
-            ids = b"".join(map(self.parts.__getitem__, _PART.findall(word.lower())))
+        if _PLAIN.fullmatch(word) and not self.holds_special(word):
+            # a word of letters only is one part
+            ids = self.parts[word.lower()] if word.isalpha() else b"".join(map(self.parts.__getitem__, _PART.findall(word.lower())))
         else:
             ids = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) >= REMEMBERED:
