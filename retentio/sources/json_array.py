@@ -53,8 +53,8 @@ def scan(data: bytes, state: int) -> tuple[np.ndarray, int]:
     slash = a == BACKSLASH
     quote, ends_escaped = a == QUOTE, False
     if slash.any():
-        at = np.arange(a.size)
-        other = np.maximum.accumulate(np.where(slash, -1, at))           # last byte that is no backslash
+        at = np.arange(a.size, dtype=np.int32 if a.size < 1 << 31 else np.int64)
+        other = np.maximum.accumulate(np.where(slash, at.dtype.type(-1), at))           # last byte that is no backslash
         run = at - other + (state == ESCAPED) * (other == -1)            # backslashes that end here
         quote[1:] &= run[:-1] % 2 == 0
         ends_escaped = bool(run[-1] % 2 == 1 and slash[-1])
