@@ -105,8 +105,12 @@ def score_counts(df: DataFrame, label: str = "label", prob: str = "prob", model:
 
 def roc_auc(df: DataFrame, label: str = "label", prob: str = "prob", model: str | None = None) -> DataFrame:
     """V3: tie-aware AUC (Mann-Whitney); NULL when only one class is present."""
-    keys = _keys(model)
-    sc = stored(score_counts(df, label, prob, model), "scores")     # the slicing reads it three times
+    return auc_of_counts(score_counts(df, label, prob, model), _keys(model))
+
+
+def auc_of_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``roc_auc`` of distinct scores with their ``pos`` and ``neg``, one row per key."""
+    sc = stored(counts, "scores")                               # the slicing reads it three times
     cum = running_sum(sc, ["score"], ["neg"], keys)             # negatives at or below each score
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.groupBy(*keys).agg(

@@ -15,12 +15,15 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentio.operators.leafwise import LeafwiseBoosting, LeafwiseModel
 from retentio.operators.network import NetworkClassifier, NetworkModel
@@ -146,6 +149,18 @@ class ChurnModel:
         found = clf.importances(kind)
         return {f: found.get(i, 0.0) for i, f in enumerate(self.features)}
 
+    def linear_form(self) -> tuple[list[float], list[float], list[float], float] | None:
+        """(mean, scale, coefficients, intercept) of a two-class logistic regression, whose margin is
+        ``sum((x - mean) * scale * coefficient) + intercept``; None for other kinds."""
+        self._check()
+        clf = self.model.stages[-1]
+        if self.kind != "logistic_regression" or clf.coefficientMatrix.numRows != 1:
+            return None
+        scaler = self.model.stages[-2]
+        scale = [1.0 / float(v) if v else 0.0 for v in scaler.std.toArray()]
+        return ([float(v) for v in scaler.mean.toArray()], scale,
+                [float(v) for v in clf.coefficients.toArray()], float(clf.intercept))
+
     # ------------------------------------------------------------- M13
     def training_curve(self, df: DataFrame | None = None) -> list[tuple[int, float]]:
         self._check()
@@ -289,14 +304,14 @@ def permutation_importance(model: ChurnModel, df: DataFrame, id_col: str, label:
 
     Per repeat, one permutation pairs each row's position in id order with the
     row at the same position in a seeded hash order (exact ranks from the
-    slice-wise ``row_index``, all repeats in one pass).  The paired table is
-    stored once; every (repeat, feature) variant of a row is then scored in one
-    job, with only that feature taken from the donor row, and reduced to
-    distinct scores before anything is shuffled.
+    slice-wise ``row_index``, all repeats in one pass).  Every (repeat, feature)
+    variant of a row is scored with only that feature taken from the donor row,
+    and reduced to distinct scores before anything is shuffled.  A logistic
+    regression's variants are scored in NumPy, a batch of pairs at a time; other
+    kinds send every variant through the fitted pipeline.
     """
     from retentio.operators import metrics as MT
     from retentio.plans.ordering import row_index
-    from retentio.session import cut_lineage
     base = MT.roc_auc(model.predict_proba(df, keep=[label]).withColumnRenamed(label, "label")).first()[0]
     feats = list(model.features)
     by_id = row_index(df.select(id_col, label, *feats), [id_col], name="_pos")
@@ -304,17 +319,74 @@ def permutation_importance(model: ChurnModel, df: DataFrame, id_col: str, label:
     shuffled = df.select(id_col, *feats, repeats).withColumn("_k", F.xxhash64(F.col(id_col), F.col("_rep") + F.lit(seed)))
     donor = row_index(shuffled, ["_k", id_col], ["_rep"], name="_pos") \
         .select("_pos", "_rep", *[F.col(f).alias(f"_d_{f}") for f in feats])
-    pairs = cut_lineage(by_id.join(donor, "_pos"))
-    tag = F.explode(F.array(*[F.lit(f) for f in feats])).alias("_f")
-    variants = pairs.select("*", tag).select(label, F.concat_ws("#", "_f", "_rep").alias("_variant"), *[
-        F.when(F.col("_f") == f, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in feats])
-    scored = model.predict_proba(variants, keep=["_variant", label]).withColumnRenamed(label, "label")
-    auc = MT.roc_auc(scored, model="_variant")                 # one row per feature and repeat
+    pairs = by_id.join(donor, "_pos")
+    scalar = all(isinstance(df.schema[f].dataType, (T.NumericType, T.BooleanType)) for f in feats)
+    form = model.linear_form() if scalar else None
+    counts = _linear_counts(pairs, feats, label, form) if form else _variant_counts(model, pairs, feats, label)
+    auc = MT.auc_of_counts(counts, ["_variant"])                # one row per feature and repeat
     drop = F.lit(None if base is None else float(base)).cast("double") - F.col("roc_auc")
-    return (auc.groupBy(F.substring_index("_variant", "#", 1).alias("feature"))
+    name = F.element_at(F.array(*map(F.lit, feats)), F.col("_variant") % len(feats) + 1)
+    return (auc.groupBy(name.alias("feature"))
             .agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")))
 
 
+def _variant_counts(model: ChurnModel, pairs: DataFrame, feats: Sequence[str], label: str) -> DataFrame:
+    """Score counts of every variant (repeat x features + feature), each row through the model's pipeline."""
+    from retentio.operators import metrics as MT
+    from retentio.session import cut_lineage
+    tag = F.explode(F.array(*[F.lit(j) for j in range(len(feats))])).alias("_f")
+    variants = cut_lineage(pairs).select("*", tag).select(
+        F.col(label).alias("_label"), (F.col("_rep") * len(feats) + F.col("_f")).alias("_variant"), *[
+            F.when(F.col("_f") == j, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for j, f in enumerate(feats)])
+    return MT.score_counts(model.predict_proba(variants, keep=["_variant", "_label"]), "_label", model="_variant")
+
+
+def _linear_counts(pairs: DataFrame, feats: Sequence[str], label: str, form: tuple) -> DataFrame:
+    """``_variant_counts`` of a logistic regression.
+
+    A variant's margin is the sum of the terms before its feature, the donor's term and the terms after
+    it, so one pair costs two running sums for all its variants.  For a given feature the sum depends on
+    the variant's values alone: rows with equal values tie, whoever their donor is."""
+    mean, scale, coef, intercept = form
+    k = len(feats)
+
+    def count(batches):
+        for b in batches:
+            def terms(prefix):
+                x = np.column_stack([b.column(f"{prefix}{j}").to_numpy(zero_copy_only=False) for j in range(k)])
+                return (x - mean) * scale * coef
+
+            if not b.num_rows:
+                continue
+            pos, neg, rep = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_pos", "_neg", "_rep"))
+            with np.errstate(over="ignore", invalid="ignore"):
+                own, donor = terms("_x"), terms("_d")
+                before, after = np.zeros_like(own), np.zeros_like(own)
+                np.cumsum(own[:, :-1], axis=1, out=before[:, 1:])
+                after[:, :-1] = np.cumsum(own[:, :0:-1], axis=1)[:, ::-1]
+                score = 1.0 - 1.0 / (1.0 + np.exp(before + donor + after + intercept))
+            out = []
+            for r in np.unique(rep).tolist():
+                at = np.flatnonzero(rep == r)
+                for j in range(k):
+                    value, inverse = np.unique(score[at, j], return_inverse=True)
+                    out.append((r * k + j, value, *(np.bincount(inverse, y[at], len(value)) for y in (pos, neg))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat([v[0] for v in out], [len(v[1]) for v in out]), pa.int32()),
+                 pa.array(np.concatenate([v[1] for v in out]), pa.float64()),
+                 *[pa.array(np.concatenate([v[i] for v in out]).astype(np.int64)) for i in (2, 3)]],
+                names=["_variant", "score", "pos", "neg"])
+
+    def values(prefix, names):                    # a missing value scores NaN, as the assembler keeps it
+        return [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"{prefix}{j}") for j, c in enumerate(names)]
+
+    y = F.col(label) == 1
+    given = pairs.select("_rep", F.coalesce(y, F.lit(False)).alias("_pos"), F.coalesce(~y, F.lit(False)).alias("_neg"),
+                         *values("_x", feats), *values("_d", [f"_d_{f}" for f in feats]))
+    return (given.mapInArrow(count, "_variant int, score double, pos long, neg long")
+            .groupBy("_variant", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+
+
 def importance_origin(importances: Sequence[tuple[str, float]], engineered: Sequence[str], top: int = 20) -> dict:
     """Share of original vs engineered features among the top-n importances."""
     head = [f for f, _ in list(importances)[:top]]
